@@ -105,8 +105,18 @@ def match_confidence(priority: Column, keyword_len: Column) -> Column:
 
 
 def keyword_pattern(keyword: Column) -> Column:
-    """``B kw ('?s)? B`` with the keyword's regex metacharacters escaped."""
-    return F.concat(F.lit(B), regex_escape(keyword), F.lit("(?:'?s)?"), F.lit(B))
+    """``B kw ('?s)? B`` with the keyword's regex metacharacters escaped.
+
+    Written literal-first so Java's regex engine can skip ahead with its
+    literal-prefix search: the leading boundary becomes a fixed-length
+    look-behind placed after the literal. If the keyword starts with a word
+    character, the character before it must not be one; otherwise it must be.
+    """
+    esc = regex_escape(keyword)
+    starts_word = keyword.rlike(f"\\A{WORD}")
+    lead = F.when(starts_word, F.concat(F.lit(f"(?<!{WORD}"), esc, F.lit(")"))) \
+        .otherwise(F.concat(F.lit(f"(?<={WORD}"), esc, F.lit(")")))
+    return F.concat(esc, lead, F.lit("(?:'?s)?"), F.lit(B))
 
 
 def detect_labels(text: Column, patterns: dict[str, str] | None = None) -> Column:

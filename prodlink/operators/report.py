@@ -9,3 +9,27 @@ from pyspark.sql import functions as F
 def count_matches(matches: DataFrame) -> DataFrame:
     matched = F.col("figure_name") != ""
     return matches.agg(F.count_if(matched).alias("matched"), F.count_if(~matched).alias("unmatched"))
+
+
+def count_enriched(combined: DataFrame) -> DataFrame:
+    return combined.agg(F.count_if(F.col("found")).alias("found_in_catalog"),
+                        F.count_if(~F.col("found")).alias("missing_from_catalog"))
+
+
+def count_errors(errors: DataFrame, key: str = "post_id") -> DataFrame:
+    """Total messages, records with at least one, and the pass verdict."""
+    return errors.agg(F.count(F.lit(1)).alias("total_errors"),
+                      F.count_distinct(key).alias("records_with_errors"),
+                      (F.count(F.lit(1)) == 0).alias("passed"))
+
+
+def top_errors(errors: DataFrame, n: int = 10, key: str = "post_id") -> DataFrame:
+    """First ``n`` messages by (key, err_ord) plus how many more there are.
+
+    The limit is the feature (a report of the first messages); Spark plans it
+    as a distributed top-k (TakeOrderedAndProject), never a full sort.
+    """
+    more = errors.agg(F.lit(0).alias("one"), F.greatest(F.count(F.lit(1)) - n, F.lit(0)).alias("more"))
+    head = errors.orderBy(key, "err_ord").limit(n).withColumn("one", F.lit(0))
+    # ``more`` is one row by construction (a global aggregate).
+    return head.join(F.broadcast(more), "one").select(key, "err_ord", "message", "more")

@@ -59,3 +59,49 @@ def posts_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         created.cast("double").alias("created_utc"),
         F.concat(F.lit("/r/"), F.col("lang"), F.lit("/comments/"), _s(F.col("doc_id")), F.lit("/"))
         .alias("permalink"))
+
+
+# ------------------------------------------------------------------ ENR
+
+def enrich_matches_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENR matches: one linked post per part, with blank / unknown / upper-case names."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    name = (F.when(k % 19 == 0, F.lit(""))
+            .when(k % 11 == 0, F.concat(F.lit("nobody "), _s(k)))
+            .when(k % 5 == 0, F.upper("p_name")).otherwise(F.col("p_name")))
+    issues = F.when(k % 4 == 0, "loose_joints, warped_parts").when(k % 4 == 1, " broken_parts").otherwise("")
+    link = F.when(k % 6 == 0, F.lit("")).otherwise(F.concat(F.lit("https://example.org/"), _s(k)))
+    return p.select(k.alias("post_id"), name.alias("figure_name"), F.col("p_brand").alias("brand"),
+                    F.col("p_type").alias("product_line"), issues.alias("detected_issues"),
+                    link.alias("reddit_permalink"))
+
+
+def enrich_catalog_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENR catalog: one row per part; several parts share (name, brand), so last-wins matters."""
+    p = table(spark, sf_dir, "part")
+    k, size = F.col("p_partkey"), _s(F.col("p_size"))
+    sculptor = (F.when(k % 9 == 0, "UNKNOWN").when(k % 10 == 0, "")
+                .otherwise(F.concat(F.lit("S"), size, F.lit(" "))))
+    release = F.when(k % 8 == 0, "UNKNOWN").otherwise(F.concat(F.lit("late Mar-"), _s(F.lit(1995) + k % 10)))
+    spec = F.when(k % 3 == 0, F.concat(F.lit("Scale: 1/"), size, F.lit("\nMaterial: PVC"))) \
+        .otherwise(F.concat(F.lit("Size: H"), size))
+    series = (F.when(k % 7 == 0, F.lit("")).when(k % 7 == 1, F.concat(F.lit('"'), F.col("p_type"), F.lit('"')))
+              .otherwise(F.col("p_type")))
+    material = F.when(k % 3 == 0, F.lit("PVC")).otherwise(F.lit(""))
+    return p.select(k.alias("cat_ord"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"),
+                    F.col("p_type").alias("product_line"), series.alias("series_title"),
+                    sculptor.alias("sculptor"), release.alias("release_date"), spec.alias("spec"),
+                    material.alias("material"))
+
+
+def with_validation_faults(combined: DataFrame) -> DataFrame:
+    """Inject record faults by key modulus for the validation queries."""
+    k = F.col("post_id")
+    return combined.select(
+        "post_id",
+        F.when(k % 23 == 0, F.lit("bad")).otherwise(F.col("mode")).alias("mode"),
+        F.when(k % 37 == 0, F.lit(None).cast("string")).otherwise(F.col("figure_name")).alias("figure_name"),
+        F.when(k % 41 == 0, F.lit("")).otherwise(F.col("brand")).alias("brand"),
+        F.when(k % 29 == 0, F.lit('{"a": 1}')).when(k % 31 == 0, F.lit("not json"))
+        .otherwise(F.col("issues")).alias("issues"))

@@ -150,3 +150,92 @@ def labels_sql(text: str, patterns: dict[str, str] | None = None) -> str:
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip("\n") for c in ctes) + "\n"
+
+
+# ------------------------------------------------------------------ ENR
+
+ENR_CTE = """
+em AS (
+  SELECT p_partkey AS post_id,
+    CASE WHEN p_partkey % 19 = 0 THEN '' WHEN p_partkey % 11 = 0 THEN 'nobody ' || cast(p_partkey AS varchar(20))
+         WHEN p_partkey % 5 = 0 THEN upper(p_name) ELSE p_name END AS figure_name,
+    p_brand AS brand, p_type AS product_line,
+    CASE p_partkey % 4 WHEN 0 THEN 'loose_joints, warped_parts' WHEN 1 THEN ' broken_parts' ELSE '' END AS detected_issues,
+    CASE WHEN p_partkey % 6 = 0 THEN '' ELSE 'https://example.org/' || cast(p_partkey AS varchar(20)) END AS reddit_permalink
+  FROM part),
+ec AS (
+  SELECT p_partkey AS cat_ord, p_name AS name, p_brand AS brand, p_type AS product_line,
+    CASE p_partkey % 7 WHEN 0 THEN '' WHEN 1 THEN '"' || p_type || '"' ELSE p_type END AS series_title,
+    CASE WHEN p_partkey % 9 = 0 THEN 'UNKNOWN' WHEN p_partkey % 10 = 0 THEN ''
+         ELSE 'S' || cast(p_size AS varchar(20)) || ' ' END AS sculptor,
+    CASE WHEN p_partkey % 8 = 0 THEN 'UNKNOWN' ELSE 'late Mar-' || cast(1995 + p_partkey % 10 AS varchar(20)) END AS release_date,
+    CASE p_partkey % 3 WHEN 0 THEN 'Scale: 1/' || cast(p_size AS varchar(20)) || chr(10) || 'Material: PVC'
+         ELSE 'Size: H' || cast(p_size AS varchar(20)) END AS spec,
+    CASE WHEN p_partkey % 3 = 0 THEN 'PVC' ELSE '' END AS material
+  FROM part),
+emm AS (SELECT * FROM em WHERE figure_name <> '' AND brand <> ''),
+eclast AS (
+  SELECT lower(name) AS k_name, lower(brand) AS k_brand, arg_max(ec, cat_ord) AS r
+  FROM ec GROUP BY 1, 2)"""
+
+
+def clean_sql(x: str) -> str:
+    return (f"CASE WHEN {x} IS NULL OR {x} IN ('', 'UNKNOWN', 'unknown') THEN NULL "
+            f"ELSE regexp_replace(trim({x}), '^\"|\"$', '', 'g') END")
+
+
+def scale_sql(x: str) -> str:
+    return (f"CASE WHEN regexp_matches(coalesce({x}, ''), '(?i)Scale:\\s*(1/\\d+|\\d+:\\d+|[^\\n]+)') "
+            f"THEN trim(regexp_extract({x}, '(?i)Scale:\\s*(1/\\d+|\\d+:\\d+|[^\\n]+)', 1)) END")
+
+
+def age_sql(x: str, as_of: int) -> str:
+    y = f"regexp_extract(lower({x}), '\\d{{4}}', 0)"
+    d = f"({as_of} - cast({y} AS integer))"
+    return (f"CASE WHEN {x} IS NULL OR {x} = '' OR {x} = 'UNKNOWN' OR {y} = '' THEN 'Unknown' "
+            f"WHEN {d} = 0 THEN 'New' WHEN {d} = 1 THEN '1 Year' "
+            f"WHEN {d} > 1 THEN cast({d} AS varchar) || ' Years' ELSE 'Pre-order' END")
+
+
+def issues_json_sql(x: str) -> str:
+    return (f"to_json(list_filter(list_transform(string_split(coalesce({x}, ''), ','), lambda s: trim(s)), "
+            f"lambda s: s <> ''))::varchar")
+
+
+def combined_sql(as_of: int) -> str:
+    found = "(l.r IS NOT NULL)"
+    return f"""
+comb AS (
+  SELECT m.post_id, {found} AS found, 'data' AS mode,
+    CASE WHEN {found} THEN {clean_sql('l.r.name')} ELSE m.figure_name END AS figure_name,
+    CASE WHEN {found} THEN {clean_sql('l.r.brand')} ELSE m.brand END AS brand,
+    CASE WHEN {found} THEN {clean_sql('l.r.product_line')} ELSE m.product_line END AS product_line,
+    CASE WHEN {found} THEN {clean_sql('l.r.series_title')} END AS series_title,
+    CASE WHEN {found} THEN {clean_sql('l.r.sculptor')} END AS sculptor,
+    CASE WHEN {found} THEN {scale_sql('l.r.spec')} END AS scale,
+    CASE WHEN {found} THEN {clean_sql('l.r.material')} END AS materials,
+    CASE WHEN {found} THEN 'AmiAmi' END AS seller,
+    CASE WHEN {found} THEN {age_sql('l.r.release_date', as_of)} ELSE 'Unknown' END AS age,
+    'true' AS authenticity,
+    {issues_json_sql('m.detected_issues')} AS issues,
+    CASE WHEN coalesce(m.reddit_permalink, '') <> '' THEN 'Reddit report: ' || m.reddit_permalink END AS issue_description
+  FROM emm m LEFT JOIN eclast l ON lower(m.figure_name) = l.k_name AND lower(m.brand) = l.k_brand)"""
+
+
+FAULTS_CTE = """
+fr AS (
+  SELECT post_id,
+    CASE WHEN post_id % 23 = 0 THEN 'bad' ELSE mode END AS mode,
+    CASE WHEN post_id % 37 = 0 THEN NULL ELSE figure_name END AS figure_name,
+    CASE WHEN post_id % 41 = 0 THEN '' ELSE brand END AS brand,
+    CASE WHEN post_id % 29 = 0 THEN '{"a": 1}' WHEN post_id % 31 = 0 THEN 'not json' ELSE issues END AS issues
+  FROM comb),
+errs AS (
+  SELECT post_id, generate_subscripts(e, 1) - 1 AS err_ord, unnest(e) AS message FROM (
+    SELECT post_id, list_filter([
+      CASE WHEN coalesce(figure_name, '') = '' THEN 'Row ' || post_id || ': Missing figure_name' END,
+      CASE WHEN coalesce(brand, '') = '' THEN 'Row ' || post_id || ': Missing brand' END,
+      CASE WHEN coalesce(mode NOT IN ('fix', 'data'), true) THEN 'Row ' || post_id || ': Invalid mode (must be ''fix'' or ''data'')' END,
+      CASE WHEN coalesce(issues, '') <> '' AND NOT json_valid(issues) THEN 'Row ' || post_id || ': Invalid JSON in issues field' END,
+      CASE WHEN coalesce(issues, '') <> '' AND json_valid(issues) AND json_type(issues) <> 'ARRAY' THEN 'Row ' || post_id || ': issues must be a JSON array' END
+    ], lambda x: x IS NOT NULL) AS e FROM fr))"""

@@ -202,3 +202,123 @@ def q_labels_to_json(spark, sf):
 
 def flagship(spark, sf):
     return _match_posts(spark, sf)
+
+
+# ====================================================================== enrichment
+
+from ..operators import enrich as N  # noqa: E402
+from ..operators import report as R  # noqa: E402
+
+AS_OF_YEAR = 1999
+_ENR = O.with_(O.ENR_CTE)
+_COMB = O.with_(O.ENR_CTE, O.combined_sql(AS_OF_YEAR))
+
+
+def _combined(spark, sf):
+    matched = N.filter_matched(D.enrich_matches_from_part(spark, sf))
+    return N.enrich_join(matched, D.enrich_catalog_from_part(spark, sf), AS_OF_YEAR)
+
+
+@register("filter_matched", _ENR + "SELECT post_id, figure_name, brand FROM emm")
+def q_filter_matched(spark, sf):
+    return N.filter_matched(D.enrich_matches_from_part(spark, sf)).select("post_id", "figure_name", "brand")
+
+
+@register("dedupe_last", _ENR + """
+SELECT k_name, k_brand, r.cat_ord AS cat_ord, r.sculptor AS sculptor, r.release_date AS release_date FROM eclast""")
+def q_dedupe_last(spark, sf):
+    return N.dedupe_last(D.enrich_catalog_from_part(spark, sf)) \
+        .select("k_name", "k_brand", "cat_ord", "sculptor", "release_date")
+
+
+@register("enrich_join", _COMB + "SELECT * EXCLUDE (found) FROM comb")
+def q_enrich_join(spark, sf):
+    return _combined(spark, sf).drop("found")
+
+
+@register("build_combined", _COMB + "SELECT post_id, " + ", ".join(N.COMBINED_COLUMNS) + " FROM comb")
+def q_build_combined(spark, sf):
+    return _combined(spark, sf).select("post_id", *N.COMBINED_COLUMNS)
+
+
+@register("enrich_semi", _ENR + """
+SELECT post_id, figure_name, brand FROM emm m
+WHERE EXISTS (SELECT 1 FROM eclast l WHERE l.k_name = lower(m.figure_name) AND l.k_brand = lower(m.brand))""")
+def q_enrich_semi(spark, sf):
+    m = N.filter_matched(D.enrich_matches_from_part(spark, sf))
+    return N.enrich_split(m, D.enrich_catalog_from_part(spark, sf), "left_semi").select("post_id", "figure_name", "brand")
+
+
+@register("enrich_anti", _ENR + """
+SELECT post_id, figure_name, brand FROM emm m
+WHERE NOT EXISTS (SELECT 1 FROM eclast l WHERE l.k_name = lower(m.figure_name) AND l.k_brand = lower(m.brand))""")
+def q_enrich_anti(spark, sf):
+    m = N.filter_matched(D.enrich_matches_from_part(spark, sf))
+    return N.enrich_split(m, D.enrich_catalog_from_part(spark, sf), "left_anti").select("post_id", "figure_name", "brand")
+
+
+@register("count_enriched", _COMB + """
+SELECT count(*) FILTER (WHERE found) AS found_in_catalog, count(*) FILTER (WHERE NOT found) AS missing_from_catalog FROM comb""")
+def q_count_enriched(spark, sf):
+    return R.count_enriched(_combined(spark, sf))
+
+
+@register("clean_text", _ENR + f"""
+SELECT cat_ord, {O.clean_sql('sculptor')} AS sculptor, {O.clean_sql('series_title')} AS series_title,
+       {O.clean_sql('release_date')} AS release_date FROM ec""")
+def q_clean_text(spark, sf):
+    c = D.enrich_catalog_from_part(spark, sf)
+    return c.select("cat_ord", T.clean_text(F.col("sculptor")).alias("sculptor"),
+                    T.clean_text(F.col("series_title")).alias("series_title"),
+                    T.clean_text(F.col("release_date")).alias("release_date"))
+
+
+@register("extract_scale", _ENR + f"SELECT cat_ord, {O.scale_sql('spec')} AS scale FROM ec")
+def q_extract_scale(spark, sf):
+    c = D.enrich_catalog_from_part(spark, sf)
+    return c.select("cat_ord", T.extract_scale(F.col("spec")).alias("scale"))
+
+
+_ORDER_DATE_SQL = ("CASE WHEN o_orderkey % 13 = 0 THEN 'UNKNOWN' WHEN o_orderkey % 17 = 0 THEN '' "
+                   "WHEN o_orderkey % 19 = 0 THEN 'mid ' || strftime(o_orderdate, '%b') ELSE "
+                   "strftime(o_orderdate, '%b') || '-' || cast(year(o_orderdate) AS varchar) END")
+
+
+@register("age_bucket", f"SELECT o_orderkey, {O.age_sql('d', AS_OF_YEAR)} AS age FROM "
+          f"(SELECT o_orderkey, {_ORDER_DATE_SQL} AS d FROM orders)")
+def q_age_bucket(spark, sf):
+    o = D.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    month = F.date_format("o_orderdate", "MMM")
+    d = (F.when(k % 13 == 0, F.lit("UNKNOWN")).when(k % 17 == 0, F.lit(""))
+         .when(k % 19 == 0, F.concat(F.lit("mid "), month))
+         .otherwise(F.concat(month, F.lit("-"), F.year("o_orderdate").cast("string"))))
+    return o.select("o_orderkey", T.age_bucket(d, AS_OF_YEAR).alias("age"))
+
+
+def _faulty(spark, sf):
+    return D.with_validation_faults(_combined(spark, sf))
+
+
+_VAL = O.with_(O.ENR_CTE, O.combined_sql(AS_OF_YEAR), O.FAULTS_CTE)
+
+
+@register("validate_records", _VAL + "SELECT post_id, cast(err_ord AS integer) AS err_ord, message FROM errs")
+def q_validate_records(spark, sf):
+    return N.validate_records(_faulty(spark, sf))
+
+
+@register("count_errors", _VAL + """
+SELECT (SELECT count(*) FROM errs) AS total_errors,
+       (SELECT count(DISTINCT post_id) FROM errs) AS records_with_errors,
+       (SELECT count(*) FROM errs) = 0 AS passed""")
+def q_count_errors(spark, sf):
+    return R.count_errors(N.validate_records(_faulty(spark, sf)))
+
+
+@register("top_errors", _VAL + """
+SELECT post_id, cast(err_ord AS integer) AS err_ord, message,
+       greatest((SELECT count(*) FROM errs) - 10, 0) AS more
+FROM errs ORDER BY post_id, err_ord LIMIT 10""")
+def q_top_errors(spark, sf):
+    return R.top_errors(N.validate_records(_faulty(spark, sf)), n=10)
