@@ -105,3 +105,50 @@ def with_validation_faults(combined: DataFrame) -> DataFrame:
         F.when(k % 41 == 0, F.lit("")).otherwise(F.col("brand")).alias("brand"),
         F.when(k % 29 == 0, F.lit('{"a": 1}')).when(k % 31 == 0, F.lit("not json"))
         .otherwise(F.col("issues")).alias("issues"))
+
+
+# ------------------------------------------------------------------ LIST
+
+LIST_BLOCK = 500  # sections per rendered listing file (bounded; file count grows with part)
+
+
+def listing_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LIST: one listing section per part, with missing codes (key % 13) and brands (key % 17)."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    tab = F.lit("\t")
+    price = F.format_number(F.floor("p_retailprice").cast("bigint") * 10, 0)
+    code = F.when(k % 13 == 0, F.lit("NOCODE")).otherwise(F.concat(F.lit("FIGURE-"), F.lpad(_s(k), 6, "0")))
+    brand = F.when(k % 17 == 0, F.concat(F.lit("Maker"), tab, F.col("p_brand"))) \
+        .otherwise(F.concat(F.lit("Brand"), tab, F.col("p_brand")))
+    section = F.concat_ws(
+        "\n", code, F.lit("About this item"),
+        F.concat(F.lit("Release Date"), tab, F.lit("Mar-"), _s(F.lit(2017) + k % 11), tab,
+                 F.lit("List Price"), tab, price, F.lit(" JPY")),
+        brand, F.concat(F.lit("Product Line"), tab, F.col("p_type")),
+        F.concat(F.lit("Character Name    "), F.col("p_name")),
+        F.concat(F.lit("Sculptor"), tab, F.lit("S"), _s(F.col("p_size")), F.lit(" ")),
+        F.concat(F.lit("Specifications"), tab, F.lit("Scale: 1/"), _s(F.col("p_size"))),
+        F.lit("Material: PVC & ABS"), F.lit(""), F.lit("[Set Contents]"), F.lit("Main Body x1"),
+        F.concat(F.lit("Details"), tab, F.lit("x")))
+    source = F.concat(F.lit("vendor"), _s(F.expr(f"p_partkey div {LIST_BLOCK}")))
+    return p.select("p_partkey", source.alias("source"), section.alias("section"))
+
+
+def listing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source, value): the sections of one source joined in key order with '\\n-\\n'.
+
+    A group is at most LIST_BLOCK sections, so no document grows with the data.
+    """
+    s = listing_sections(spark, sf_dir)
+    ordered = F.array_sort(F.collect_list(F.struct("p_partkey", "section")))
+    return s.groupBy("source").agg(
+        F.array_join(F.transform(ordered, lambda x: x["section"]), "\n-\n").alias("value"))
+
+
+def write_listing_files(spark: SparkSession, sf_dir: str) -> str:
+    """Render LIST as one text file per vendor folder under the scratch root."""
+    from ..session import scratch_path
+    root = scratch_path(spark, "listing")
+    listing_documents(spark, sf_dir).write.partitionBy("source").text(root)
+    return root

@@ -239,3 +239,35 @@ errs AS (
       CASE WHEN coalesce(issues, '') <> '' AND NOT json_valid(issues) THEN 'Row ' || post_id || ': Invalid JSON in issues field' END,
       CASE WHEN coalesce(issues, '') <> '' AND json_valid(issues) AND json_type(issues) <> 'ARRAY' THEN 'Row ' || post_id || ': issues must be a JSON array' END
     ], lambda x: x IS NOT NULL) AS e FROM fr))"""
+
+
+# ------------------------------------------------------------------ LIST
+
+LIST_CTE = """
+lsec AS (
+  SELECT p_partkey, 'vendor' || cast(p_partkey // 500 AS varchar) AS source,
+    cast(row_number() OVER (PARTITION BY p_partkey // 500 ORDER BY p_partkey) - 1 AS integer) AS pos,
+    p_partkey = max(p_partkey) OVER (PARTITION BY p_partkey // 500) AS is_last,
+    p_name, p_brand, p_type, p_size, cast(floor(p_retailprice) AS bigint) * 10 AS jpy,
+    concat_ws(chr(10),
+      CASE WHEN p_partkey % 13 = 0 THEN 'NOCODE' ELSE 'FIGURE-' || lpad(cast(p_partkey AS varchar), 6, '0') END,
+      'About this item',
+      'Release Date' || chr(9) || 'Mar-' || cast(2017 + p_partkey % 11 AS varchar) || chr(9) || 'List Price' || chr(9)
+        || format('{:,}', cast(floor(p_retailprice) AS bigint) * 10) || ' JPY',
+      CASE WHEN p_partkey % 17 = 0 THEN 'Maker' || chr(9) || p_brand ELSE 'Brand' || chr(9) || p_brand END,
+      'Product Line' || chr(9) || p_type, 'Character Name    ' || p_name,
+      'Sculptor' || chr(9) || 'S' || cast(p_size AS varchar) || ' ',
+      'Specifications' || chr(9) || 'Scale: 1/' || cast(p_size AS varchar), 'Material: PVC & ABS', '',
+      '[Set Contents]', 'Main Body x1', 'Details' || chr(9) || 'x') AS section
+  FROM part),
+lcat AS (
+  SELECT source, pos, p_partkey, 'FIGURE-' || lpad(cast(p_partkey AS varchar), 6, '0') AS gcode, p_name AS name,
+    CASE WHEN p_partkey % 17 = 0 THEN '' ELSE p_brand END AS brand, p_type AS product_line, '' AS series_title,
+    'Mar-' || cast(2017 + p_partkey % 11 AS varchar) AS release_date, 'S' || cast(p_size AS varchar) AS sculptor,
+    'PVC & ABS' AS material, 'Scale: 1/' || cast(p_size AS varchar) || chr(10) || 'Material: PVC & ABS' AS spec,
+    '' AS status, cast(jpy AS varchar) AS price_jpy, printf('%.2f', jpy * 0.0069::double) AS price_usd,
+    true AS has_about
+  FROM lsec WHERE p_partkey % 13 <> 0)"""
+
+CATALOG_COLS = ("gcode, name, brand, product_line, series_title, release_date, sculptor, material, spec, "
+                "status, price_jpy, price_usd")

@@ -322,3 +322,70 @@ SELECT post_id, cast(err_ord AS integer) AS err_ord, message,
 FROM errs ORDER BY post_id, err_ord LIMIT 10""")
 def q_top_errors(spark, sf):
     return R.top_errors(N.validate_records(_faulty(spark, sf)), n=10)
+
+
+# ====================================================================== listings -> catalog
+
+from ..operators import extract as X  # noqa: E402
+from ..sources import listing as SL  # noqa: E402
+
+_LIST = O.with_(O.LIST_CTE)
+
+
+def _listing_docs(spark, sf):
+    return SL.read_listing_text(spark, D.write_listing_files(spark, sf), pattern="*/*.txt")
+
+
+def _sections(spark, sf):
+    return X.split_records(_listing_docs(spark, sf))
+
+
+@register("src_listing_text", _LIST + """
+SELECT source, cast(sum(length(section)) + 3 * (count(*) - 1) + 1 AS bigint) AS n_chars FROM lsec GROUP BY source""")
+def q_src_listing_text(spark, sf):
+    return _listing_docs(spark, sf).select("source", F.length("value").cast("bigint").alias("n_chars"))
+
+
+# The text writer ends every file with a newline, so the last section keeps one.
+@register("split_records", _LIST + """
+SELECT source, pos, section || CASE WHEN is_last THEN chr(10) ELSE '' END AS section FROM lsec""")
+def q_split_records(spark, sf):
+    return _sections(spark, sf).select("source", "pos", "section")
+
+
+@register("count_sections", _LIST + """
+SELECT source, count(*) AS sections, count(*) FILTER (WHERE p_partkey % 13 <> 0) AS parsed,
+       count(*) FILTER (WHERE p_partkey % 13 <> 0 AND p_partkey % 17 <> 0) AS kept
+FROM lsec GROUP BY source""")
+def q_count_sections(spark, sf):
+    return X.count_sections(_sections(spark, sf))
+
+
+@register("extract_fields", _LIST + """
+SELECT source, pos, gcode, name, brand, product_line, series_title, release_date, sculptor, status, has_about
+FROM lcat""")
+def q_extract_fields(spark, sf):
+    s = _sections(spark, sf)
+    return s.where(X.is_candidate(F.col("section"))).select("source", "pos", *X.extract_fields(F.col("section")))
+
+
+@register("extract_price", _LIST + "SELECT source, pos, price_jpy, price_usd FROM lcat")
+def q_extract_price(spark, sf):
+    s = _sections(spark, sf)
+    return s.where(X.is_candidate(F.col("section"))).select("source", "pos", *X.extract_price(F.col("section")))
+
+
+@register("extract_spec", _LIST + "SELECT source, pos, spec, material FROM lcat")
+def q_extract_spec(spark, sf):
+    s = _sections(spark, sf)
+    return s.where(X.is_candidate(F.col("section"))).select("source", "pos", *X.extract_spec(F.col("section")))
+
+
+@register("filter_valid_records", _LIST + "SELECT source, pos, gcode, has_about FROM lcat WHERE brand <> ''")
+def q_filter_valid_records(spark, sf):
+    return X.filter_valid_records(X.parse_sections(_sections(spark, sf))).select("source", "pos", "gcode", "has_about")
+
+
+@register("build_catalog", _LIST + f"SELECT source, pos, {O.CATALOG_COLS} FROM lcat WHERE brand <> ''")
+def q_build_catalog(spark, sf):
+    return X.build_catalog(_listing_docs(spark, sf))
