@@ -389,3 +389,57 @@ def q_filter_valid_records(spark, sf):
 @register("build_catalog", _LIST + f"SELECT source, pos, {O.CATALOG_COLS} FROM lcat WHERE brand <> ''")
 def q_build_catalog(spark, sf):
     return X.build_catalog(_listing_docs(spark, sf))
+
+
+# ====================================================================== text preparation, html
+
+from ..sources import html as H  # noqa: E402
+
+
+def _injected_documents(spark, sf):
+    """documents.text with BOM / CR / zero-width / comment lines injected by key modulus."""
+    d = D.table(spark, sf, "documents")
+    k, t = F.col("doc_id"), F.col("text")
+    t = F.when(k % 4 == 0, F.replace(t, F.lit("\n"), F.lit("\r\n"))) \
+        .when(k % 7 == 0, F.replace(t, F.lit("\n"), F.lit("\r"))).otherwise(t)
+    t = F.when(k % 5 == 0, F.replace(t, F.lit("."), F.lit(".\u200b"))).otherwise(t)
+    t = F.when(k % 3 == 0, F.concat(F.lit("\ufeff"), t)).otherwise(t)
+    t = F.when(k % 6 == 0, F.concat(F.lit("# page 1 of 3\n"), t)).otherwise(t)
+    t = F.when(k % 9 == 0, F.concat(t, F.lit("\n   # trailing note"))).otherwise(t)
+    return d.select("doc_id", t.alias("text"))
+
+
+_NORM_SQL = ("regexp_replace(regexp_replace(regexp_replace(text, '^\\x{FEFF}', ''), '\\r\\n?', chr(10), 'g'), "
+             "'[\\x{200B}-\\x{200D}\\x{FEFF}]', '', 'g')")
+
+
+@register("normalize_text", f"""
+SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN '# page 1 of 3' || chr(10) ELSE '' END || {_NORM_SQL}
+  || CASE WHEN doc_id % 9 = 0 THEN chr(10) || '   # trailing note' ELSE '' END AS text FROM documents""")
+def q_normalize_text(spark, sf):
+    d = _injected_documents(spark, sf)
+    return d.select("doc_id", T.normalize_text(F.col("text")).alias("text"))
+
+
+@register("drop_comment_lines", f"""
+SELECT doc_id, array_to_string(list_filter(string_split({_NORM_SQL}, chr(10)),
+  lambda l: NOT regexp_matches(l, '^\\s*#')), chr(10)) AS text FROM documents""")
+def q_drop_comment_lines(spark, sf):
+    d = _injected_documents(spark, sf)
+    return d.select("doc_id", X.prepare_document(F.col("text")).alias("text"))
+
+
+@register("text_preview", "SELECT doc_id, substr(replace(coalesce(text, ''), chr(10), ' '), 1, 500) AS preview FROM documents")
+def q_text_preview(spark, sf):
+    d = D.table(spark, sf, "documents")
+    return d.select("doc_id", T.text_preview(F.col("text")).alias("preview"))
+
+
+@register("html_heading_text", """
+SELECT page_id, array_to_string(list_transform(regexp_extract_all(html, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1\\s*>', 1),
+  lambda x: replace(replace(replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', chr(160)), '&amp;', '&')), '')
+  AS heading FROM pages""")
+def q_html_heading_text(spark, sf):
+    p = D.table(spark, sf, "pages")
+    return p.select("page_id", H.heading_text(F.col("html")).alias("heading"))
