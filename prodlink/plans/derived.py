@@ -152,3 +152,49 @@ def write_listing_files(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "listing")
     listing_documents(spark, sf_dir).write.partitionBy("source").text(root)
     return root
+
+
+# ------------------------------------------------------------------ ENV
+
+DUMP_BLOCK = 1000  # children per rendered dump file (bounded; file count grows with events)
+
+
+def dump_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One child post per event, with flairs blanked (key % 7 = 0) or padded (key % 7 = 1)."""
+    e = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    from ..functions.text import ntz_epoch_seconds
+    flair = (F.when(k % 7 == 0, F.lit(None).cast("string"))
+             .when(k % 7 == 1, F.concat(F.lit(" "), F.col("event_type"), F.lit(" ")))
+             .otherwise(F.col("event_type")))
+    return e.select(
+        F.expr(f"event_id div {DUMP_BLOCK}").alias("dump"), k.alias("event_id"),
+        F.struct(_s(k).alias("id"), F.col("event_type").alias("title"),
+                 F.concat(F.lit("u"), _s(F.col("user_id"))).alias("author"),
+                 flair.alias("link_flair_text"), ntz_epoch_seconds(F.col("ts")).alias("created_utc"),
+                 F.col("props").alias("selftext"),
+                 F.concat(F.lit("/r/x/comments/"), _s(k), F.lit("/")).alias("permalink"),
+                 F.lit("").alias("url"), (k % 2 == 0).alias("is_video"), F.lit("").alias("thumbnail"))
+        .alias("data"))
+
+
+def write_dump_files(spark: SparkSession, sf_dir: str, repeat_first: bool = True) -> str:
+    """Render ENV: one listing JSON per block of events (children in key order), plus a
+    malformed file, a file without ``data.children`` and (optionally) a second copy of
+    dump 0 so duplicates across files are exercised."""
+    from ..session import scratch_path
+    root = scratch_path(spark, "dumps")
+    c = dump_children(spark, sf_dir)
+    ordered = F.array_sort(F.collect_list(F.struct("event_id", "data")))
+    listing = F.to_json(F.struct(F.lit("Listing").alias("kind"), F.struct(
+        F.transform(ordered, lambda x: F.struct(F.lit("t3").alias("kind"), x["data"].alias("data")))
+        .alias("children")).alias("data")))
+    docs = c.groupBy("dump").agg(listing.alias("value"))
+    if repeat_first:
+        docs = docs.unionByName(docs.where("dump = 0").withColumn("dump", F.lit(-1).cast("long")))
+    extra = (docs.where("dump = 0").select(
+        F.explode(F.array(F.struct(F.lit(-2).cast("long").alias("dump"), F.lit('{"data": {"children": [{"data": ').alias("value")),
+                          F.struct(F.lit(-3).cast("long").alias("dump"), F.lit('{"kind": "Listing", "other": 1}').alias("value"))))
+        .alias("x")).select("x.dump", "x.value"))
+    docs.unionByName(extra).write.partitionBy("dump").text(root)
+    return root

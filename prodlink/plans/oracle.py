@@ -271,3 +271,18 @@ lcat AS (
 
 CATALOG_COLS = ("gcode, name, brand, product_line, series_title, release_date, sculptor, material, spec, "
                 "status, price_jpy, price_usd")
+
+
+# ------------------------------------------------------------------ ENV
+
+ENV_CTE = """
+ev0 AS (
+  SELECT event_id, event_id // 1000 AS dump,
+    cast(row_number() OVER (PARTITION BY event_id // 1000 ORDER BY event_id) - 1 AS integer) AS pos,
+    cast(event_id AS varchar) AS id, event_type AS title, 'u' || cast(user_id AS varchar) AS author,
+    CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 7 = 1 THEN ' ' || event_type || ' ' ELSE event_type END AS flair_raw,
+    strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.' || lpad(cast(millisecond(ts) % 1000 AS varchar), 3, '0') || 'Z' AS created_date,
+    substr(replace(coalesce(props, ''), chr(10), ' '), 1, 500) AS selftext,
+    '/r/x/comments/' || cast(event_id AS varchar) || '/' AS permalink, '' AS url
+  FROM events),
+ev AS (SELECT * FROM ev0 UNION ALL SELECT * REPLACE (-1 AS dump) FROM ev0 WHERE dump = 0)"""

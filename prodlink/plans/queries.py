@@ -443,3 +443,64 @@ SELECT page_id, array_to_string(list_transform(regexp_extract_all(html, '(?is)<h
 def q_html_heading_text(spark, sf):
     p = D.table(spark, sf, "pages")
     return p.select("page_id", H.heading_text(F.col("html")).alias("heading"))
+
+
+# ====================================================================== dumps -> posts
+
+from ..operators import posts as P  # noqa: E402
+from ..sources import json_dump as SJ  # noqa: E402
+
+_ENV = O.with_(O.ENV_CTE)
+
+
+def _children(spark, sf):
+    c = SJ.read_listing_dumps(spark, D.write_dump_files(spark, sf))
+    return c.withColumn("dump", F.regexp_extract("path", r"dump=(-?\d+)", 1).cast("bigint"))
+
+
+@register("src_json_listing", _ENV + "SELECT dump, pos, id, title FROM ev")
+def q_src_json_listing(spark, sf):
+    return _children(spark, sf).select("dump", "pos", F.col("post.id").alias("id"), F.col("post.title").alias("title"))
+
+
+@register("filter_flair", _ENV + "SELECT dump, pos, id FROM ev WHERE trim(flair_raw) = 'error'")
+def q_filter_flair(spark, sf):
+    return P.filter_flair(_children(spark, sf), "error").select("dump", "pos", F.col("post.id").alias("id"))
+
+
+@register("project_posts", _ENV + """
+SELECT dump, pos, id, title, author, coalesce(flair_raw, 'No Flair') AS flair, created_date, selftext, permalink, url FROM ev""")
+def q_project_posts(spark, sf):
+    c = _children(spark, sf)
+    dump = F.regexp_extract("path", r"dump=(-?\d+)", 1).cast("bigint").alias("dump")
+    return P.project_posts(c).select(dump, "pos", "id", "title", "author", "flair", "created_date", "selftext", "permalink", "url")
+
+
+@register("epoch_to_iso", _ENV + "SELECT dump, pos, created_date FROM ev")
+def q_epoch_to_iso(spark, sf):
+    c = _children(spark, sf)
+    return c.select("dump", "pos", T.epoch_to_iso(F.col("post.created_utc")).alias("created_date"))
+
+
+@register("union_posts", _ENV + "SELECT id, count(*) AS copies FROM ev GROUP BY id")
+def q_union_posts(spark, sf):
+    return _children(spark, sf).groupBy(F.col("post.id").alias("id")).agg(F.count(F.lit(1)).alias("copies"))
+
+
+@register("count_flair", _ENV + """
+SELECT dump, count(*) AS posts, count(*) FILTER (WHERE trim(flair_raw) = 'error') AS flair_posts FROM ev GROUP BY dump""")
+def q_count_flair(spark, sf):
+    c = _children(spark, sf)
+    return P.count_flair(c, "error").select(
+        F.regexp_extract("path", r"dump=(-?\d+)", 1).cast("bigint").alias("dump"), "posts", "flair_posts")
+
+
+_POSTS_SQL = _ENV + """
+SELECT id AS "Post ID", title AS "Title", author AS "Author", flair_raw AS "Flair", created_date AS "Created Date",
+       selftext AS "Text (Preview)", permalink AS "Permalink", url AS "URL"
+FROM ev WHERE trim(flair_raw) = 'error'"""
+
+
+@register("build_posts", _POSTS_SQL)
+def q_build_posts(spark, sf):
+    return P.posts_csv_frame(P.build_posts(_children(spark, sf), "error"))
