@@ -198,3 +198,33 @@ def write_dump_files(spark: SparkSession, sf_dir: str, repeat_first: bool = True
         .alias("x")).select("x.dump", "x.value"))
     docs.unionByName(extra).write.partitionBy("dump").text(root)
     return root
+
+
+# ------------------------------------------------------------------ CSV
+
+CSV_BLOCK = 1000  # customers per rendered CSV file
+CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+def write_customer_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Render ``customer`` as CSV text with faults by key modulus: short rows (11), long rows (13),
+    quoted multi-line names (17), doubled quotes (23), blank lines (19), padded fields (29)."""
+    from ..session import scratch_path
+    root = scratch_path(spark, "customer_csv")
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    name = (F.when(k % 17 == 0, F.concat(F.lit('"'), F.col("c_name"), F.lit('\nsecond line"')))
+            .when(k % 23 == 0, F.concat(F.lit('"'), F.col("c_name"), F.lit(' ""q"""')))
+            .otherwise(F.col("c_name")))
+    key = F.when(k % 29 == 0, F.concat(F.lit("  "), _s(k), F.lit(" "))).otherwise(_s(k))
+    full = F.concat_ws(",", key, name, _s(F.col("c_nationkey")), _s(F.col("c_acctbal")), F.col("c_mktsegment"))
+    short = F.concat_ws(",", key, name, _s(F.col("c_nationkey")), _s(F.col("c_acctbal")))
+    line = F.when(k % 11 == 0, short).when(k % 13 == 0, F.concat(full, F.lit(",x"))).otherwise(full)
+    line = F.when(k % 19 == 0, F.concat(line, F.lit("\n"))).otherwise(line)
+    bucket = F.expr(f"c_custkey div {CSV_BLOCK}")
+    rows = c.select(bucket.alias("bucket"), k.alias("ord"), line.alias("value"))
+    header = rows.select("bucket").distinct().select(
+        "bucket", F.lit(-1).cast("long").alias("ord"), F.lit(",".join(CUSTOMER_COLUMNS)).alias("value"))
+    (rows.unionByName(header).repartition("bucket").sortWithinPartitions("bucket", "ord")
+     .select("bucket", "value").write.partitionBy("bucket").text(root))
+    return root

@@ -504,3 +504,56 @@ FROM ev WHERE trim(flair_raw) = 'error'"""
 @register("build_posts", _POSTS_SQL)
 def q_build_posts(spark, sf):
     return P.posts_csv_frame(P.build_posts(_children(spark, sf), "error"))
+
+
+# ====================================================================== CSV scan and sinks
+
+from ..sources import csv_lenient as SC  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+
+@register("src_csv_lenient", """
+SELECT cast(c_custkey AS varchar) AS c_custkey,
+  CASE WHEN c_custkey % 17 = 0 THEN c_name || chr(10) || 'second line'
+       WHEN c_custkey % 23 = 0 THEN c_name || ' q' ELSE c_name END AS c_name,
+  cast(c_nationkey AS varchar) AS c_nationkey, cast(c_acctbal AS varchar) AS c_acctbal, c_mktsegment
+FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 13 <> 0""")
+def q_src_csv_lenient(spark, sf):
+    return SC.read_csv_lenient(spark, D.write_customer_csv(spark, sf), D.CUSTOMER_COLUMNS)
+
+
+@register("sink_catalog_csv", _LIST + f"SELECT source, {O.CATALOG_COLS} FROM lcat WHERE brand <> ''")
+def q_sink_catalog_csv(spark, sf):
+    path = scratch_path(spark, "catalog_csv")
+    SC.write_stage_csv(X.build_catalog(_listing_docs(spark, sf)).drop("pos"), path, ["source"])
+    return SC.read_stage_csv(spark, path, X.CATALOG_COLUMNS).na.fill("")
+
+
+@register("sink_posts_csv", _POSTS_SQL)
+def q_sink_posts_csv(spark, sf):
+    path = scratch_path(spark, "posts_csv")
+    SC.write_stage_csv(P.posts_csv_frame(P.build_posts(_children(spark, sf), "error")), path)
+    return SC.read_stage_csv(spark, path, [t for _, t in P.POSTS_CSV_COLUMNS]).na.fill("")
+
+
+@register("sink_matches_csv", _match_posts_sql(DATA_LABELS))
+def q_sink_matches_csv(spark, sf):
+    path = scratch_path(spark, "matches_csv")
+    m = _match_posts(spark, sf, DATA_LABELS)
+    SC.write_stage_csv(m, path)
+    return SC.read_stage_csv(spark, path, m.columns).na.fill("") \
+        .withColumn("post_id", F.col("post_id").cast("bigint"))
+
+
+RUN_DATE = "1999-06-30"
+
+
+@register("sink_combined_csv", _COMB + f"""
+SELECT post_id, {', '.join(N.COMBINED_COLUMNS)}, '{RUN_DATE}' AS run_date FROM comb""")
+def q_sink_combined_csv(spark, sf):
+    path = scratch_path(spark, "combined_csv")
+    c = _combined(spark, sf).select("post_id", *N.COMBINED_COLUMNS).withColumn("run_date", F.lit(RUN_DATE))
+    SC.write_stage_csv(c, path, ["run_date"])
+    back = SC.read_stage_csv(spark, path, ["post_id", *N.COMBINED_COLUMNS])
+    return back.withColumn("post_id", F.col("post_id").cast("bigint")) \
+        .withColumn("run_date", F.col("run_date").cast("string"))
