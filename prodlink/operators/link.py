@@ -225,6 +225,7 @@ def plan_link(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
     broadcast vs. salted shuffle and whether non-word runs are extracted.
     """
     kw = keyword_table(catalog, ord_col=ord_col, rules=rules)
+    # ``best_per_keyword`` names the ordinal ``cat_ord`` inside the hit struct.
     best_kw = best_per_keyword(kw, ord_col=ord_col, w=weights)
     anchors = keyword_anchors(best_kw)
     stats = anchors.agg(F.count(F.lit(1)).alias("n"),

@@ -33,3 +33,22 @@ def top_errors(errors: DataFrame, n: int = 10, key: str = "post_id") -> DataFram
     head = errors.orderBy(key, "err_ord").limit(n).withColumn("one", F.lit(0))
     # ``more`` is one row by construction (a global aggregate).
     return head.join(F.broadcast(more), "one").select(key, "err_ord", "message", "more")
+
+
+def accuracy_by_category(outcomes: DataFrame, category: str = "category") -> DataFrame:
+    """Count and percent of total per outcome category.
+
+    The window over ``()`` runs on the already-aggregated rows (one per
+    category), never on the outcome rows themselves.
+    """
+    from pyspark.sql import Window
+    counts = outcomes.groupBy(category).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(category, "n", (F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy())).alias("pct"))
+
+
+def accuracy_rollup(outcomes: DataFrame, klass: str = "class", category: str = "category") -> DataFrame:
+    """Categories merged into coarser classes: ROLLUP(class, category) with percent of total."""
+    from pyspark.sql import Window
+    r = outcomes.rollup(klass, category).agg(F.count(F.lit(1)).alias("n"))
+    total = F.max(F.when(F.col(klass).isNull() & F.col(category).isNull(), F.col("n"))).over(Window.partitionBy())
+    return r.select(klass, category, "n", (F.col("n") * 100.0 / total).alias("pct"))

@@ -200,10 +200,6 @@ def q_labels_to_json(spark, sf):
     return p.select("post_id", T.labels_to_json(joined).alias("issues"))
 
 
-def flagship(spark, sf):
-    return _match_posts(spark, sf)
-
-
 # ====================================================================== enrichment
 
 from ..operators import enrich as N  # noqa: E402
@@ -557,3 +553,65 @@ def q_sink_combined_csv(spark, sf):
     back = SC.read_stage_csv(spark, path, ["post_id", *N.COMBINED_COLUMNS])
     return back.withColumn("post_id", F.col("post_id").cast("bigint")) \
         .withColumn("run_date", F.col("run_date").cast("string"))
+
+
+# ====================================================================== accuracy reports
+
+def _outcomes(spark, sf):
+    """Review outcomes from ``labels``: category from (quality, toxic), class from quality."""
+    lb = D.table(spark, sf, "labels")
+    cat = F.concat(F.lit("q"), F.col("quality").cast("string"), F.lit("_t"), F.col("toxic").cast("string"))
+    klass = F.when(F.col("quality") == 1, F.lit("usable")).otherwise(F.lit("unused"))
+    return lb.select("doc_id", cat.alias("category"), klass.alias("class"))
+
+
+_OUT_SQL = ("SELECT doc_id, 'q' || cast(quality AS varchar) || '_t' || cast(toxic AS varchar) AS category, "
+            "CASE WHEN quality = 1 THEN 'usable' ELSE 'unused' END AS class FROM labels")
+
+
+@register("accuracy_by_category", f"""
+SELECT category, count(*) AS n, count(*) * 100.0 / sum(count(*)) OVER () AS pct
+FROM ({_OUT_SQL}) GROUP BY category""")
+def q_accuracy_by_category(spark, sf):
+    return R.accuracy_by_category(_outcomes(spark, sf))
+
+
+@register("accuracy_rollup", f"""
+SELECT class, category, count(*) AS n, count(*) * 100.0 / (SELECT count(*) FROM labels) AS pct
+FROM ({_OUT_SQL}) GROUP BY ROLLUP (class, category)""")
+def q_accuracy_rollup(spark, sf):
+    return R.accuracy_rollup(_outcomes(spark, sf))
+
+
+# ====================================================================== workflow
+
+from . import workflow as W  # noqa: E402
+
+
+def flagship(spark, sf):
+    """entry(): the whole workflow in one plan; the combined table is the result."""
+    return W.run_workflow(spark, sf).combined.select("post_id", *N.COMBINED_COLUMNS)
+
+
+@register("count_stages", _LINK + """,
+""" + O.ENR_CTE.strip("\n") + "," + O.combined_sql(AS_OF_YEAR).strip("\n") + """
+SELECT 'catalog' AS stage, count(*) AS n FROM cat
+UNION ALL SELECT 'keywords', count(*) FROM kw WHERE length(keyword) >= 4
+UNION ALL SELECT 'posts', count(*) FROM ptxt
+UNION ALL SELECT 'linked', count(*) FROM best
+UNION ALL SELECT 'matched', count(*) FROM emm
+UNION ALL SELECT 'combined', count(*) FROM comb
+UNION ALL SELECT 'found', count(*) FROM comb WHERE found""")
+def q_count_stages(spark, sf):
+    from functools import reduce
+    plan = _link_plan(spark, sf)
+    comb = _combined(spark, sf)
+    parts = [("catalog", D.catalog_from_benchmark(spark, sf)),
+             ("keywords", plan.keywords.where(F.length("keyword") >= 4)),
+             ("posts", _posts_prepared(spark, sf)),
+             ("linked", plan.best),
+             ("matched", N.filter_matched(D.enrich_matches_from_part(spark, sf))),
+             ("combined", comb),
+             ("found", comb.where("found"))]
+    counts = [df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("n")) for name, df in parts]
+    return reduce(lambda a, b: a.unionByName(b), counts)
