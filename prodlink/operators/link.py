@@ -26,6 +26,7 @@ shuffle join takes over above the limit.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keywords import DEFAULT_RULES, KeywordRules, gen_keywords
 from ..functions.text import B, NONWORD, WORD, js_regex, regex_escape
+from ..session import checkpoint_root
 
 # Issue label -> pattern (JS flavour, case-insensitive), in dictionary order.
 ISSUE_PATTERNS = {
@@ -119,10 +121,27 @@ def keyword_pattern(keyword: Column) -> Column:
     return F.concat(esc, lead, F.lit("(?:'?s)?"), F.lit(B))
 
 
+def label_regex(pattern: str, text_is_lower: bool = True) -> str:
+    """Java form of a case-insensitive JS label pattern, tuned for scanning.
+
+    * A leading ``\\b`` before a word character only needs "no word character
+      before", a single look-behind instead of the two-way boundary test.
+    * On lower-cased text ``(?i)`` is redundant when the pattern holds no
+      upper-case letter (escapes such as ``\\S`` aside); dropping it keeps
+      Java's matcher on its faster case-sensitive path.
+    """
+    body = pattern
+    if re.match(r"\\b(?:\(\??:?)?[A-Za-z0-9_]", body) or re.match(r"\\b\((?:[A-Za-z0-9_]+\|)*[A-Za-z0-9_]+", body):
+        body = f"(?<!{WORD})" + body[2:]
+    upper = re.search(r"[A-Z]", re.sub(r"\\.", "", pattern))
+    flag = "(?i)" if (upper or not text_is_lower) else ""
+    return flag + js_regex(body)
+
+
 def detect_labels(text: Column, patterns: dict[str, str] | None = None) -> Column:
     """Labels whose pattern occurs in ``text``, in dictionary order."""
     patterns = ISSUE_PATTERNS if patterns is None else patterns
-    hits = [F.when(text.rlike("(?i)" + js_regex(p)), F.lit(label)) for label, p in patterns.items()]
+    hits = [F.when(text.rlike(label_regex(p)), F.lit(label)) for label, p in patterns.items()]
     return F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
 
 
@@ -220,14 +239,19 @@ def plan_link(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
               broadcast_rows: int = BROADCAST_ANCHOR_ROWS) -> LinkPlan:
     """Build the link plan. ``posts`` needs ``key`` and ``txt`` (see ``search_text``).
 
-    One small action runs here: the anchor table's row count and whether any
-    keyword lacks word characters (both on the catalog side only), which decide
-    broadcast vs. salted shuffle and whether non-word runs are extracted.
+    Two small actions run here, on the catalog side only: the anchor table is
+    checkpointed, then its row count and whether any keyword lacks word
+    characters decide broadcast vs. salted shuffle and whether non-word runs
+    are extracted from the posts.
     """
     kw = keyword_table(catalog, ord_col=ord_col, rules=rules)
     # ``best_per_keyword`` names the ordinal ``cat_ord`` inside the hit struct.
     best_kw = best_per_keyword(kw, ord_col=ord_col, w=weights)
-    anchors = keyword_anchors(best_kw)
+    # Catalog-side tables are small next to the posts: materialise them once in
+    # the shared checkpoint folder (reliable, lineage cut), so the row count
+    # below is exact and the main plan does not recompute keyword generation.
+    checkpoint_root(catalog.sparkSession)
+    anchors = keyword_anchors(best_kw).checkpoint(eager=True)
     stats = anchors.agg(F.count(F.lit(1)).alias("n"),
                         F.count_if(~F.col("anchor").rlike(WORD)).alias("runs")).first()
     broadcast_ok = stats["n"] <= broadcast_rows
