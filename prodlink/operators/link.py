@@ -138,10 +138,80 @@ def label_regex(pattern: str, text_is_lower: bool = True) -> str:
     return flag + js_regex(body)
 
 
-def detect_labels(text: Column, patterns: dict[str, str] | None = None) -> Column:
-    """Labels whose pattern occurs in ``text``, in dictionary order."""
+_META = set("\\[](){}?*+.|^$")
+
+
+def _literal_prefix(alt: str) -> str:
+    """Leading plain characters of a regex alternative; a char followed by a
+    quantifier that allows zero repeats is not required, so it is cut."""
+    out = []
+    for i, ch in enumerate(alt):
+        if ch in _META:
+            if ch in "?*{" and out:
+                out.pop()
+            break
+        out.append(ch)
+    return "".join(out)
+
+
+def required_literals(pattern: str) -> list[str] | None:
+    """Strings one of which must occur in any match of ``pattern``, or None.
+
+    Conservative: only a leading ``\\b`` and one leading group of plain
+    alternatives (or a plain leading literal) are understood; anything else
+    gives None (no pre-filter).
+    """
+    body = pattern[2:] if pattern.startswith("\\b") else pattern
+    if body.startswith("("):
+        depth, alts, cur, i = 0, [], [], 0
+        while True:
+            i += 1
+            if i >= len(body):
+                return None
+            ch = body[i]
+            if ch == "\\":
+                cur.append(body[i:i + 2])
+                i += 1
+                continue
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                if depth == 0:
+                    alts.append("".join(cur))
+                    break
+                depth -= 1
+            elif ch == "|" and depth == 0:
+                alts.append("".join(cur))
+                cur = []
+                continue
+            cur.append(ch)
+        lits = [_literal_prefix(a) for a in alts]
+        return lits if lits and all(lits) else None
+    lit = _literal_prefix(body)
+    return [lit] if lit else None
+
+
+def detect_labels(text: Column, patterns: dict[str, str] | None = None,
+                  text_is_lower: bool = True) -> Column:
+    """Labels whose pattern occurs in ``text``, in dictionary order.
+
+    When a pattern needs one of a few literal strings (and the text is
+    lower-cased, the pattern has no upper-case letter), a byte-level
+    ``contains`` test guards the regex, which then only runs on candidates.
+    """
     patterns = ISSUE_PATTERNS if patterns is None else patterns
-    hits = [F.when(text.rlike(label_regex(p)), F.lit(label)) for label, p in patterns.items()]
+
+    def test(p: str) -> Column:
+        rx = text.rlike(label_regex(p, text_is_lower))
+        lits = required_literals(p) if text_is_lower and not re.search(r"[A-Z]", re.sub(r"\\.", "", p)) else None
+        if not lits:
+            return rx
+        guard = F.lit(False)
+        for lit in dict.fromkeys(lits):
+            guard = guard | F.contains(text, F.lit(lit))
+        return guard & rx
+
+    hits = [F.when(test(p), F.lit(label)) for label, p in patterns.items()]
     return F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
 
 
@@ -191,30 +261,50 @@ def keyword_anchors(best: DataFrame, min_run: int = 4) -> DataFrame:
                        keyword_pattern(F.col("keyword")).alias("pattern"), "hit")
 
 
-def post_terms(txt: Column, txt_nh: Column, with_runs: bool, min_run: int = 4) -> Column:
-    parts = [word_tokens(txt), word_tokens(txt_nh)]
+def post_terms(txt: Column, txt_nh: Column, with_runs: bool, min_len: int = 1,
+               min_run: int = 4) -> Column:
+    """Distinct join terms of a post: word tokens of the text and, only when it has a
+    hyphen, of its hyphen-free copy (plus interior non-word runs if any keyword
+    needs them). Terms shorter than the shortest anchor cannot join and are dropped."""
+    empty = F.array().cast("array<string>")
+    has_hyphen = F.contains(txt, F.lit("-"))
+    parts = [word_tokens(txt), F.when(has_hyphen, word_tokens(txt_nh)).otherwise(empty)]
     if with_runs:
-        parts += [interior_runs(txt, min_run), interior_runs(txt_nh, min_run)]
-    return F.array_distinct(F.concat(*parts))
+        parts += [interior_runs(txt, min_run), F.when(has_hyphen, interior_runs(txt_nh, min_run)).otherwise(empty)]
+    terms = F.array_distinct(F.concat(*parts))
+    return F.filter(terms, lambda t: F.length(t) >= min_len) if min_len > 1 else terms
+
+
+def verify_hit() -> Column:
+    """Exact check of a candidate: the boundary regex on the text or its hyphen-free copy.
+
+    A cheap byte-level ``contains`` of the keyword runs first (a necessary
+    condition), so the regex, which decodes the whole text, only runs on real
+    occurrences; the hyphen-free copy is only tried when the text has a hyphen.
+    """
+    txt, nh, kw, pat = F.col("txt"), F.col("txt_nh"), F.col("keyword"), F.col("pattern")
+    on_txt = F.contains(txt, kw) & F.rlike(txt, pat)
+    on_nh = F.contains(txt, F.lit("-")) & F.contains(nh, kw) & F.rlike(nh, pat)
+    return on_txt | on_nh
 
 
 def match_candidates(posts: DataFrame, anchors: DataFrame, key: str, with_runs: bool,
-                     broadcast_ok: bool, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+                     broadcast_ok: bool, min_len: int = 1,
+                     salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Verified (key, keyword, hit) rows: anchor equi-join, then the exact regex."""
     p = posts.select(key, "txt", dehyphen(F.col("txt")).alias("txt_nh"))
-    terms = post_terms(F.col("txt"), F.col("txt_nh"), with_runs)
-    verify = F.rlike(F.col("txt"), F.col("pattern")) | F.rlike(F.col("txt_nh"), F.col("pattern"))
+    terms = post_terms(F.col("txt"), F.col("txt_nh"), with_runs, min_len)
     if broadcast_ok:
         exploded = p.select(key, "txt", "txt_nh", F.explode(terms).alias("anchor"))
         cand = exploded.join(F.broadcast(anchors), "anchor")
-        return cand.where(verify).select(key, "keyword", "hit")
+        return cand.where(verify_hit()).select(key, "keyword", "hit")
     # Large catalog: shuffle join on (anchor, salt). The salt spreads a hot
     # token over ``salt_buckets`` tasks; the anchor side is replicated per salt.
     salt = F.pmod(F.xxhash64(F.col(key)), F.lit(salt_buckets))
     exploded = p.select(key, salt.alias("salt"), F.explode(terms).alias("anchor"))
     salted = anchors.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("salt"))
     cand = exploded.join(salted, ["anchor", "salt"]).select(key, "keyword", "pattern", "hit")
-    return cand.join(p, key).where(verify).select(key, "keyword", "hit")
+    return cand.join(p, key).where(verify_hit()).select(key, "keyword", "hit")
 
 
 def best_match(verified: DataFrame, key: str) -> DataFrame:
@@ -251,12 +341,13 @@ def plan_link(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
     # the shared checkpoint folder (reliable, lineage cut), so the row count
     # below is exact and the main plan does not recompute keyword generation.
     checkpoint_root(catalog.sparkSession)
-    anchors = keyword_anchors(best_kw).checkpoint(eager=True)
+    anchors = keyword_anchors(best_kw).persist().checkpoint(eager=True)
     stats = anchors.agg(F.count(F.lit(1)).alias("n"),
-                        F.count_if(~F.col("anchor").rlike(WORD)).alias("runs")).first()
+                        F.count_if(~F.col("anchor").rlike(WORD)).alias("runs"),
+                        F.min(F.length("anchor")).alias("min_len")).first()
     broadcast_ok = stats["n"] <= broadcast_rows
     verified = match_candidates(posts, anchors, key, with_runs=stats["runs"] > 0,
-                                broadcast_ok=broadcast_ok)
+                                broadcast_ok=broadcast_ok, min_len=stats["min_len"] or 1)
     return LinkPlan(kw, best_kw, anchors, verified, best_match(verified, key), broadcast_ok)
 
 
