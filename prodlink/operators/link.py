@@ -323,32 +323,47 @@ class LinkPlan:
     broadcast: bool
 
 
-def plan_link(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
-              ord_col: str = "cat_ord", rules: KeywordRules = DEFAULT_RULES,
-              weights: MatchWeights = DEFAULT_WEIGHTS,
-              broadcast_rows: int = BROADCAST_ANCHOR_ROWS) -> LinkPlan:
-    """Build the link plan. ``posts`` needs ``key`` and ``txt`` (see ``search_text``).
+@dataclass
+class Anchors:
+    keywords: DataFrame
+    best_per_keyword: DataFrame
+    anchors: DataFrame
+    broadcast: bool
+    with_runs: bool
+    min_len: int
 
-    Two small actions run here, on the catalog side only: the anchor table is
-    checkpointed, then its row count and whether any keyword lacks word
-    characters decide broadcast vs. salted shuffle and whether non-word runs
-    are extracted from the posts.
+
+def prepare_anchors(catalog: DataFrame, ord_col: str = "cat_ord",
+                    rules: KeywordRules = DEFAULT_RULES, weights: MatchWeights = DEFAULT_WEIGHTS,
+                    broadcast_rows: int = BROADCAST_ANCHOR_ROWS) -> Anchors:
+    """Catalog side of the link, materialised once.
+
+    Keyword generation, the per-text winner and the anchor terms are small
+    next to the posts: they are persisted and checkpointed into the shared
+    checkpoint folder (lineage cut, survives executor loss), and one small
+    aggregate over them gives the exact row count that decides broadcast vs.
+    salted shuffle, whether non-word runs are needed, and the shortest anchor.
     """
     kw = keyword_table(catalog, ord_col=ord_col, rules=rules)
-    # ``best_per_keyword`` names the ordinal ``cat_ord`` inside the hit struct.
     best_kw = best_per_keyword(kw, ord_col=ord_col, w=weights)
-    # Catalog-side tables are small next to the posts: materialise them once in
-    # the shared checkpoint folder (reliable, lineage cut), so the row count
-    # below is exact and the main plan does not recompute keyword generation.
     checkpoint_root(catalog.sparkSession)
     anchors = keyword_anchors(best_kw).persist().checkpoint(eager=True)
     stats = anchors.agg(F.count(F.lit(1)).alias("n"),
                         F.count_if(~F.col("anchor").rlike(WORD)).alias("runs"),
                         F.min(F.length("anchor")).alias("min_len")).first()
-    broadcast_ok = stats["n"] <= broadcast_rows
-    verified = match_candidates(posts, anchors, key, with_runs=stats["runs"] > 0,
-                                broadcast_ok=broadcast_ok, min_len=stats["min_len"] or 1)
-    return LinkPlan(kw, best_kw, anchors, verified, best_match(verified, key), broadcast_ok)
+    return Anchors(kw, best_kw, anchors, stats["n"] <= broadcast_rows, stats["runs"] > 0,
+                   stats["min_len"] or 1)
+
+
+def plan_link(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
+              ord_col: str = "cat_ord", rules: KeywordRules = DEFAULT_RULES,
+              weights: MatchWeights = DEFAULT_WEIGHTS,
+              broadcast_rows: int = BROADCAST_ANCHOR_ROWS) -> LinkPlan:
+    """Build the link plan. ``posts`` needs ``key`` and ``txt`` (see ``search_text``)."""
+    a = prepare_anchors(catalog, ord_col, rules, weights, broadcast_rows)
+    verified = match_candidates(posts, a.anchors, key, with_runs=a.with_runs,
+                                broadcast_ok=a.broadcast, min_len=a.min_len)
+    return LinkPlan(a.keywords, a.best_per_keyword, a.anchors, verified, best_match(verified, key), a.broadcast)
 
 
 def match_posts(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
@@ -356,20 +371,27 @@ def match_posts(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
                 created: str = "created_date", permalink: str = "permalink",
                 label_patterns: dict[str, str] | None = None,
                 permalink_prefix: str = PERMALINK_PREFIX, **kw) -> DataFrame:
-    """Every post once: best catalog link ('' when none) and detected issue labels."""
+    """Every post once: best catalog link ('' when none) and detected issue labels.
+
+    The posts are hash-partitioned by key once, right after the scan. Both
+    consumers (the link, the labels) read that one exchange, the link's
+    arg-max aggregate is already clustered by key, and the final left join
+    is co-partitioned, so the whole plan has a single shuffle of the posts.
+    """
     prepared = posts.select(key, author, created, permalink,
-                            search_text(F.col(title), F.col(body)).alias("txt"))
-    plan = plan_link(prepared.select(key, "txt"), catalog, key=key, **kw)
-    left = prepared.select(key,
-                           F.col(author).alias("reddit_author"),
-                           F.col(created).alias("reddit_date"),
-                           F.concat(F.lit(permalink_prefix), F.coalesce(F.col(permalink), F.lit("")))
-                           .alias("reddit_permalink"),
-                           F.array_join(detect_labels(F.col("txt"), label_patterns), ", ")
-                           .alias("detected_issues"))
-    out = left.join(plan.best, key, "left")
+                            search_text(F.col(title), F.col(body)).alias("txt")).repartition(key)
+    a = prepare_anchors(catalog, **kw)
+    cols = [F.col(author).alias("reddit_author"), F.col(created).alias("reddit_date"),
+            F.concat(F.lit(permalink_prefix), F.coalesce(F.col(permalink), F.lit(""))).alias("reddit_permalink"),
+            F.array_join(detect_labels(F.col("txt"), label_patterns), ", ").alias("detected_issues")]
+    names = ["reddit_author", "reddit_date", "reddit_permalink", "detected_issues"]
+    if a.broadcast:
+        best = _one_pass(prepared.select(key, "txt", *cols), a, key, names)
+    else:
+        verified = match_candidates(prepared.select(key, "txt"), a.anchors, key, a.with_runs, False, a.min_len)
+        best = prepared.select(key, *cols).join(best_match(verified, key), key, "left")
     blank = F.lit("")
-    return out.select(
+    return best.select(
         key,
         F.coalesce(F.col("best.figure_name"), blank).alias("figure_name"),
         F.coalesce(F.col("best.brand"), blank).alias("brand"),
@@ -379,3 +401,25 @@ def match_posts(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
         F.coalesce(F.col("best.match_type"), blank).alias("match_type"),
         F.coalesce(F.col("best.confidence"), blank).alias("confidence"),
         "detected_issues")
+
+
+def _one_pass(posts: DataFrame, a: Anchors, key: str, carry: list[str]) -> DataFrame:
+    """Link without joining back: every post keeps one base row (term position 0,
+    or no terms at all) next to its verified hits, then one aggregate per key.
+
+    ``posts`` is hash-partitioned by ``key``, so the aggregate adds no shuffle;
+    the broadcast left join and the filter run in the explode's codegen stage.
+    """
+    p = posts.select(key, *carry, "txt", dehyphen(F.col("txt")).alias("txt_nh"))
+    terms = post_terms(F.col("txt"), F.col("txt_nh"), a.with_runs, a.min_len)
+    ex = p.select(key, *carry, "txt", "txt_nh", F.posexplode_outer(terms).alias("tpos", "anchor"))
+    j = ex.join(F.broadcast(a.anchors), "anchor", "left")
+    ok = F.coalesce(F.col("keyword").isNotNull() & verify_hit(), F.lit(False))
+    kept = j.where((F.coalesce(F.col("tpos"), F.lit(0)) == 0) | ok)
+    hit = F.when(ok, F.col("hit"))
+    order = F.when(ok, F.struct(F.col("hit.score"), (-F.col("hit.cat_ord")).alias("o1"),
+                                (-F.col("hit.kw_ord")).alias("o2")))
+    # Project before aggregating so the sort below the aggregate holds no text;
+    # carry columns depend on the key only, so grouping by them adds no groups.
+    slim = kept.select(key, *carry, hit.alias("hit"), order.alias("hit_order"))
+    return slim.groupBy(key, *carry).agg(F.max_by("hit", "hit_order").alias("best"))
