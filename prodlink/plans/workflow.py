@@ -16,6 +16,7 @@ from ..operators import enrich as N
 from ..operators import extract as X
 from ..operators import link as L
 from ..operators.catalog import union_catalogs
+from ..session import checkpoint_root
 from . import derived as D
 
 
@@ -37,7 +38,11 @@ def listing_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_workflow(spark: SparkSession, sf_dir: str, as_of_year: int = 1999,
                  label_patterns: dict[str, str] | None = None) -> WorkflowResult:
-    catalog = union_catalogs([D.catalog_from_benchmark(spark, sf_dir), listing_catalog(spark, sf_dir)])
+    # The catalog feeds keyword generation, the last-wins dedupe and a size
+    # check: materialise it once in the shared checkpoint folder.
+    checkpoint_root(spark)
+    catalog = union_catalogs([D.catalog_from_benchmark(spark, sf_dir), listing_catalog(spark, sf_dir)]) \
+        .checkpoint(eager=True)
     posts = D.posts_from_documents(spark, sf_dir) \
         .withColumn("created_date", epoch_to_iso(F.col("created_utc")))
     matches = L.match_posts(posts, catalog, ord_col="link_ord", label_patterns=label_patterns)
