@@ -615,3 +615,17 @@ def q_count_stages(spark, sf):
              ("found", comb.where("found"))]
     counts = [df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("n")) for name, df in parts]
     return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+# ====================================================================== streaming
+
+from ..streaming import dumps as ST  # noqa: E402
+
+
+@register("stream_posts", _POSTS_SQL)
+def q_stream_posts(spark, sf):
+    """The posts stage as a file-source stream (availableNow), read back: equals build_posts."""
+    root = D.write_dump_files(spark, sf)
+    out, ckpt = scratch_path(spark, "stream_posts"), scratch_path(spark, "stream_posts_ckpt")
+    ST.run_posts_stream(spark, root, out, ckpt, flair="error")
+    return P.posts_csv_frame(spark.read.parquet(out))

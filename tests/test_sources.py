@@ -45,3 +45,17 @@ def test_listing_golden_replay(spark):
             sorted([tuple(r[c] for c in cols) for r in want], key=str), src
         checked += 1
     assert checked > 0
+
+
+def test_link_stream_keeps_every_post(spark):
+    from prodlink.operators import posts as P
+    from prodlink.session import scratch_path
+    from prodlink.sources.json_dump import read_listing_dumps
+    from prodlink.streaming.dumps import run_link_stream
+    root = D.write_dump_files(spark, SF_SMALL)
+    out, ckpt = scratch_path(spark, "t_link"), scratch_path(spark, "t_link_ckpt")
+    run_link_stream(spark, root, D.catalog_from_benchmark(spark, SF_SMALL), out, ckpt, flair="error")
+    linked = spark.read.parquet(out)
+    batch = P.build_posts(read_listing_dumps(spark, root), "error")
+    assert linked.count() == batch.count() > 0
+    assert set(linked.columns) >= {"post_key", "figure_name", "detected_issues", "batch_id"}
