@@ -88,9 +88,16 @@ def filter_valid_records(parsed: DataFrame) -> DataFrame:
     return parsed.where((F.col("gcode") != "") & (F.col("brand") != ""))
 
 
-def build_catalog(docs: DataFrame, rate: float = JPY_TO_USD) -> DataFrame:
-    """Documents -> catalog rows (source, pos, catalog columns)."""
-    parsed = parse_sections(split_records(docs), rate)
+def build_catalog(docs: DataFrame, rate: float = JPY_TO_USD, spread: bool = True) -> DataFrame:
+    """Documents -> catalog rows (source, pos, catalog columns).
+
+    A few large files would leave the per-section regex work on a few tasks;
+    with ``spread`` the sections are redistributed over every core first.
+    """
+    sections = split_records(docs)
+    if spread:
+        sections = sections.repartition(docs.sparkSession.sparkContext.defaultParallelism)
+    parsed = parse_sections(sections, rate)
     return filter_valid_records(parsed).select("source", "pos", *CATALOG_COLUMNS)
 
 

@@ -223,7 +223,11 @@ def keyword_table(catalog: DataFrame, ord_col: str = "cat_ord",
                   rules: KeywordRules = DEFAULT_RULES) -> DataFrame:
     """One row per generated keyword: (ord, kw_ord, keyword, priority, match_type, carry...)."""
     kws = F.concat(*[gen_keywords(F.col(c), rules) for c in sources])
-    return (catalog.select(ord_col, *carry, F.posexplode(kws).alias("kw_ord", "kw"))
+    # Keyword generation is CPU-heavy per row and the catalog is small in bytes,
+    # so it tends to arrive in few partitions: spread it over every core first.
+    spread = catalog.select(ord_col, *dict.fromkeys(carry + sources)) \
+        .repartition(catalog.sparkSession.sparkContext.defaultParallelism)
+    return (spread.select(ord_col, *carry, F.posexplode(kws).alias("kw_ord", "kw"))
             .select(ord_col, "kw_ord", F.col("kw.text").alias("keyword"),
                     F.col("kw.priority").alias("priority"), F.col("kw.type").alias("match_type"),
                     *carry))
