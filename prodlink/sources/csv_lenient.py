@@ -18,7 +18,14 @@ from ..functions.text import js_trim
 CORRUPT = "_corrupt_record"
 
 
-def read_csv_lenient(spark: SparkSession, path: str, columns: list[str], fill_empty: bool = True) -> DataFrame:
+def read_csv_lenient(spark: SparkSession, path: str, columns: list[str], fill_empty: bool = True,
+                     ordinal: str | None = None) -> DataFrame:
+    """Lenient scan; with ``ordinal`` adds (``path``, ``ordinal``) giving file order.
+
+    A multiLine CSV file is never split, so one task reads each file front to
+    back and ``monotonically_increasing_id`` increases in file order within
+    the file; together with the file path it orders rows (last-wins needs it).
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
                           + [T.StructField(CORRUPT, T.StringType())])
     df = (spark.read.schema(schema)
@@ -27,9 +34,14 @@ def read_csv_lenient(spark: SparkSession, path: str, columns: list[str], fill_em
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
           .option("recursiveFileLookup", True)
           .csv(path))
+    extra = []
+    if ordinal:
+        df = df.select("*", F.col("_metadata.file_path").alias("path"),
+                       F.monotonically_increasing_id().alias(ordinal))
+        extra = ["path", ordinal]
     ok = df.where(F.col(CORRUPT).isNull())
     clean = [js_trim(F.translate(F.col(c), '"\r', "")).alias(c) for c in columns]
-    out = ok.select(*clean)
+    out = ok.select(*clean, *extra)
     return out.na.fill("") if fill_empty else out
 
 

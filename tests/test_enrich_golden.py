@@ -1,0 +1,41 @@
+"""Opt-in golden replay of the enrichment stage.
+
+Set ENRICH_GOLDEN_CATALOG to a catalog CSV and ENRICH_GOLDEN_COMBINED to a
+combined CSV produced from it (with ENRICH_GOLDEN_AS_OF, default 2026). The
+figure name/brand/line of each combined row are fed back as linked posts; the
+recomputed catalog columns must equal the file.
+"""
+
+import csv
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from prodlink.operators import enrich as N
+from prodlink.sources.csv_lenient import read_csv_lenient
+
+CAT = os.environ.get("ENRICH_GOLDEN_CATALOG")
+COMB = os.environ.get("ENRICH_GOLDEN_COMBINED")
+
+
+def _header(path):
+    with open(path, newline="", encoding="utf-8") as fh:
+        return next(csv.reader(fh))
+
+
+@pytest.mark.skipif(not (CAT and COMB), reason="golden files not configured")
+def test_enrichment_golden_replay(spark):
+    as_of = int(os.environ.get("ENRICH_GOLDEN_AS_OF", "2026"))
+    catalog = read_csv_lenient(spark, CAT, _header(CAT), ordinal="cat_ord")
+    want = read_csv_lenient(spark, COMB, _header(COMB), fill_empty=False, ordinal="post_id")
+    matches = want.select("post_id", "figure_name", "brand", "product_line",
+                          F.lit("").alias("detected_issues"),
+                          F.regexp_replace("issue_description", "^Reddit report: ", "").alias("reddit_permalink"))
+    got = N.enrich_join(matches, catalog, as_of)
+    cols = ["figure_name", "brand", "product_line", "series_title", "sculptor", "scale", "materials", "seller", "age"]
+    g = {r.post_id: tuple(r[c] or None for c in cols) for r in got.collect()}
+    w = {r.post_id: tuple(r[c] or None for c in cols) for r in want.collect()}
+    assert len(w) > 0
+    bad = [(k, g[k], w[k]) for k in w if g[k] != w[k]]
+    assert not bad, bad[:3]
