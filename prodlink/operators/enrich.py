@@ -77,11 +77,13 @@ def enrich_join(matched: DataFrame, catalog: DataFrame, as_of_year: int,
         .alias("issue_description"))
 
 
-def enrich_split(matched: DataFrame, catalog: DataFrame, how: str) -> DataFrame:
+def enrich_split(matched: DataFrame, catalog: DataFrame, how: str,
+                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``left_semi``: linked posts found in the catalog; ``left_anti``: missing."""
     keys = catalog.select(*_key(F.col("name"), F.col("brand"))).distinct()
     left = matched.select("*", *_key(F.col("figure_name"), F.col("brand")))
-    return left.join(keys, ["k_name", "k_brand"], how).drop("k_name", "k_brand")
+    j, _ = join_small(left, keys, ["k_name", "k_brand"], how, broadcast_rows)
+    return j.drop("k_name", "k_brand")
 
 
 # ------------------------------------------------------------------ validation

@@ -5,16 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default ceiling for a broadcast side (rows). The side's row count is taken
-# with one small action before the join is planned.
+from ..session import checkpoint_root
+
+# Default ceiling for a broadcast side (rows). The side's exact row count is
+# taken from its materialised copy before the join is planned.
 BROADCAST_ROWS = 2_000_000
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Persist and checkpoint a (small) side into the shared checkpoint folder:
+    computed once, lineage cut, and counted exactly afterwards for free."""
+    checkpoint_root(df.sparkSession)
+    return df.persist().checkpoint(eager=True)
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+               max_rows: int = BROADCAST_ROWS, materialize_small: bool = True) -> tuple[DataFrame, bool]:
     """Join ``big`` with ``small``; broadcast ``small`` only when its row count is
     at most ``max_rows``. Above that the join is a shuffle join that AQE may
     still convert at runtime and whose skewed partitions it splits."""
+    if materialize_small:
+        small = materialize(small)
     n = small.count()
     if n <= max_rows:
         return big.join(F.broadcast(small), on, how), True

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keywords import DEFAULT_RULES, KeywordRules, gen_keywords
 from ..functions.text import B, NONWORD, WORD, js_regex, regex_escape
-from ..session import checkpoint_root
+from .joins import materialize
 
 # Issue label -> pattern (JS flavour, case-insensitive), in dictionary order.
 ISSUE_PATTERNS = {
@@ -350,8 +350,7 @@ def prepare_anchors(catalog: DataFrame, ord_col: str = "cat_ord",
     """
     kw = keyword_table(catalog, ord_col=ord_col, rules=rules)
     best_kw = best_per_keyword(kw, ord_col=ord_col, w=weights)
-    checkpoint_root(catalog.sparkSession)
-    anchors = keyword_anchors(best_kw).persist().checkpoint(eager=True)
+    anchors = materialize(keyword_anchors(best_kw))
     stats = anchors.agg(F.count(F.lit(1)).alias("n"),
                         F.count_if(~F.col("anchor").rlike(WORD)).alias("runs"),
                         F.min(F.length("anchor")).alias("min_len")).first()

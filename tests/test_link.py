@@ -101,3 +101,19 @@ def test_required_literals_are_conservative():
     assert L.required_literals(r"\bab?c") == ["a"]
     assert L.required_literals(r"(?:ab|cd)") is None
     assert L.required_literals(r"[a-z]+@x") is None
+
+
+@pytest.mark.parametrize("seed", [4])
+def test_salted_shuffle_path_equals_broadcast_path(spark, seed):
+    rng = random.Random(seed)
+    names = _names(rng, 20)
+    cat = spark.createDataFrame([(i, names[i], f"B{i % 3}", "L", names[(i + 7) % 20] if i % 2 else "")
+                                 for i in range(20)], "cat_ord long, name string, brand string, "
+                                                      "product_line string, series_title string")
+    posts = spark.createDataFrame([(i, "", t, "a", "d", "/p") for i, t in enumerate(_texts(rng, 50))],
+                                  "post_id long, title string, selftext string, author string, "
+                                  "created_date string, permalink string")
+    bc = sorted(map(tuple, L.match_posts(posts, cat).collect()))
+    sh = sorted(map(tuple, L.match_posts(posts, cat, broadcast_rows=0).collect()))
+    assert bc == sh
+    assert any(r[1] for r in bc)
