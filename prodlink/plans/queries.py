@@ -7,15 +7,28 @@ whole given tables. Column names are aliased identically in the oracle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keywords as K
 from ..functions import text as T
+from ..operators import enrich as N
+from ..operators.catalog import union_catalogs
+from ..operators import extract as X
 from ..operators import link as L
+from ..operators import posts as P
+from ..operators import report as R
+from ..session import scratch_path
+from ..sources import csv_lenient as SC
+from ..sources import html as H
+from ..sources import json_dump as SJ
+from ..sources import listing as SL
+from ..streaming import dumps as ST
 from . import derived as D
 from . import oracle as O
+from . import workflow as W
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -101,7 +114,6 @@ def q_dehyphenate(spark, sf):
 SELECT CASE WHEN cat_ord < 1000 THEN 0 ELSE 1 END AS src_ord, cat_ord, name, brand FROM cat""")
 def q_union_catalogs(spark, sf):
     cat = D.catalog_from_benchmark(spark, sf)
-    from ..operators.catalog import union_catalogs
     return union_catalogs([cat.where("cat_ord < 1000"), cat.where("cat_ord >= 1000")]) \
         .select("src_ord", "cat_ord", "name", "brand")
 
@@ -180,8 +192,7 @@ def q_build_matches(spark, sf):
 SELECT count(b.post_id) AS matched, count(*) - count(b.post_id) AS unmatched
 FROM ptxt p LEFT JOIN best b USING (post_id)""")
 def q_count_matches(spark, sf):
-    from ..operators.report import count_matches
-    return count_matches(_match_posts(spark, sf))
+    return R.count_matches(_match_posts(spark, sf))
 
 
 @register("detect_labels", O.with_(O.POST_CTE) + f"""
@@ -202,8 +213,6 @@ def q_labels_to_json(spark, sf):
 
 # ====================================================================== enrichment
 
-from ..operators import enrich as N  # noqa: E402
-from ..operators import report as R  # noqa: E402
 
 AS_OF_YEAR = 1999
 _ENR = O.with_(O.ENR_CTE)
@@ -322,8 +331,6 @@ def q_top_errors(spark, sf):
 
 # ====================================================================== listings -> catalog
 
-from ..operators import extract as X  # noqa: E402
-from ..sources import listing as SL  # noqa: E402
 
 _LIST = O.with_(O.LIST_CTE)
 
@@ -389,7 +396,6 @@ def q_build_catalog(spark, sf):
 
 # ====================================================================== text preparation, html
 
-from ..sources import html as H  # noqa: E402
 
 
 def _injected_documents(spark, sf):
@@ -443,8 +449,6 @@ def q_html_heading_text(spark, sf):
 
 # ====================================================================== dumps -> posts
 
-from ..operators import posts as P  # noqa: E402
-from ..sources import json_dump as SJ  # noqa: E402
 
 _ENV = O.with_(O.ENV_CTE)
 
@@ -504,8 +508,6 @@ def q_build_posts(spark, sf):
 
 # ====================================================================== CSV scan and sinks
 
-from ..sources import csv_lenient as SC  # noqa: E402
-from ..session import scratch_path  # noqa: E402
 
 
 @register("src_csv_lenient", """
@@ -585,7 +587,6 @@ def q_accuracy_rollup(spark, sf):
 
 # ====================================================================== workflow
 
-from . import workflow as W  # noqa: E402
 
 
 def flagship(spark, sf):
@@ -603,23 +604,25 @@ UNION ALL SELECT 'matched', count(*) FROM emm
 UNION ALL SELECT 'combined', count(*) FROM comb
 UNION ALL SELECT 'found', count(*) FROM comb WHERE found""")
 def q_count_stages(spark, sf):
-    from functools import reduce
+    """Cardinalities per stage: one small aggregate per stage input, unioned."""
     plan = _link_plan(spark, sf)
     comb = _combined(spark, sf)
     parts = [("catalog", D.catalog_from_benchmark(spark, sf)),
              ("keywords", plan.keywords.where(F.length("keyword") >= 4)),
              ("posts", _posts_prepared(spark, sf)),
              ("linked", plan.best),
-             ("matched", N.filter_matched(D.enrich_matches_from_part(spark, sf))),
-             ("combined", comb),
-             ("found", comb.where("found"))]
+             ("matched", N.filter_matched(D.enrich_matches_from_part(spark, sf)))]
     counts = [df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("n")) for name, df in parts]
-    return reduce(lambda a, b: a.unionByName(b), counts)
+    # combined and found come from one pass over the combined rows
+    both = comb.agg(F.count(F.lit(1)).alias("combined"), F.count_if("found").alias("found")) \
+        .select(F.explode(F.array(F.struct(F.lit("combined").alias("stage"), F.col("combined").alias("n")),
+                                  F.struct(F.lit("found").alias("stage"), F.col("found").alias("n")))).alias("x")) \
+        .select("x.stage", "x.n")
+    return reduce(lambda a, b: a.unionByName(b), counts + [both])
 
 
 # ====================================================================== streaming
 
-from ..streaming import dumps as ST  # noqa: E402
 
 
 @register("stream_posts", _POSTS_SQL)
