@@ -376,6 +376,9 @@ def match_posts(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
                 permalink_prefix: str = PERMALINK_PREFIX, **kw) -> DataFrame:
     """Every post once: best catalog link ('' when none) and detected issue labels.
 
+    ``key`` must identify a post row uniquely (for dumps, where the same post
+    can appear in two files, use file path + position).
+
     The posts are hash-partitioned by key once, right after the scan. Both
     consumers (the link, the labels) read that one exchange, the link's
     arg-max aggregate is already clustered by key, and the final left join

@@ -44,9 +44,11 @@ def run_link_stream(spark: SparkSession, root: str, catalog: DataFrame, out: str
     from ..operators.link import match_posts
 
     def link_batch(batch: DataFrame, batch_id: int) -> None:
+        # foreachBatch is at-least-once: each batch overwrites its own folder,
+        # so a batch replayed after a failure replaces its output, never doubles it.
         keyed = batch.withColumn("post_key", F.concat_ws(":", "path", F.col("pos").cast("string")))
         match_posts(keyed, catalog, key="post_key", created="created_date", **link_kw) \
-            .withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+            .write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
 
     posts = P.build_posts(read_dump_stream(spark, root), flair)
     q = (posts.writeStream.foreachBatch(link_batch).option("checkpointLocation", checkpoint)
