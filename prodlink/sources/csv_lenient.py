@@ -39,7 +39,11 @@ def read_csv_lenient(spark: SparkSession, path: str, columns: list[str], fill_em
         df = df.select("*", F.col("_metadata.file_path").alias("path"),
                        F.monotonically_increasing_id().alias(ordinal))
         extra = ["path", ordinal]
-    ok = df.where(F.col(CORRUPT).isNull())
+    # The filter also reads the data columns: Spark refuses a query over raw CSV
+    # whose only referenced column is the corrupt-record one (e.g. a count()).
+    # Requiring the corrupt column turns CSV column pruning off, so every row
+    # is parsed whole and its arity checked.
+    ok = df.where(F.col(CORRUPT).isNull() & (F.length(F.concat_ws("\u0001", *columns)) >= 0))
     clean = [js_trim(F.translate(F.col(c), '"\r', "")).alias(c) for c in columns]
     out = ok.select(*clean, *extra)
     return out.na.fill("") if fill_empty else out
