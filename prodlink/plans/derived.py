@@ -187,6 +187,12 @@ def write_dump_files(spark: SparkSession, sf_dir: str, repeat_first: bool = True
     dump 0 so duplicates across files are exercised."""
     from ..session import scratch_path
     root = scratch_path(spark, "dumps")
+    dump_documents(spark, sf_dir, repeat_first).write.partitionBy("dump").text(root)
+    return root
+
+
+def dump_documents(spark: SparkSession, sf_dir: str, repeat_first: bool = True) -> DataFrame:
+    """(dump, value): the ENV listing documents as JSON text (see ``write_dump_files``)."""
     c = dump_children(spark, sf_dir)
     ordered = F.array_sort(F.collect_list(F.struct("event_id", "data")))
     listing = F.to_json(F.struct(F.lit("Listing").alias("kind"), F.struct(
@@ -199,8 +205,7 @@ def write_dump_files(spark: SparkSession, sf_dir: str, repeat_first: bool = True
         F.explode(F.array(F.struct(F.lit(-2).cast("long").alias("dump"), F.lit('{"data": {"children": [{"data": ').alias("value")),
                           F.struct(F.lit(-3).cast("long").alias("dump"), F.lit('{"kind": "Listing", "other": 1}').alias("value"))))
         .alias("x")).select("x.dump", "x.value"))
-    docs.unionByName(extra).write.partitionBy("dump").text(root)
-    return root
+    return docs.unionByName(extra)
 
 
 # ------------------------------------------------------------------ CSV

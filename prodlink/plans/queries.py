@@ -591,7 +591,7 @@ def q_accuracy_rollup(spark, sf):
 
 def flagship(spark, sf):
     """entry(): the whole workflow in one plan; the combined table is the result."""
-    return W.run_workflow(spark, sf).combined.select("post_id", *N.COMBINED_COLUMNS)
+    return W.run_workflow(spark, sf).combined.select("post_key", *N.COMBINED_COLUMNS)
 
 
 @register("count_stages", _LINK + """,

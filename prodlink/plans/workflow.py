@@ -15,8 +15,10 @@ from ..functions.text import epoch_to_iso
 from ..operators import enrich as N
 from ..operators import extract as X
 from ..operators import link as L
+from ..operators import posts as P
 from ..operators.catalog import union_catalogs
 from ..session import checkpoint_root
+from ..sources import json_dump as SJ
 from . import derived as D
 
 
@@ -36,16 +38,30 @@ def listing_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.withColumn("cat_ord", F.regexp_extract("gcode", r"(\d+)$", 1).cast("long"))
 
 
+def workflow_posts(spark: SparkSession, sf_dir: str, flair: str = "error") -> DataFrame:
+    """Stage 2 input: posts from the forum documents plus posts parsed from the
+    listing dumps (flair-filtered), under one string key."""
+    docs = D.posts_from_documents(spark, sf_dir).select(
+        F.concat(F.lit("doc:"), F.col("post_id").cast("string")).alias("post_key"),
+        "title", "selftext", "author", epoch_to_iso(F.col("created_utc")).alias("created_date"), "permalink")
+    dumps = D.dump_documents(spark, sf_dir, repeat_first=False) \
+        .select(F.concat(F.lit("dump"), F.col("dump").cast("string")).alias("path"), "value")
+    dump_posts = P.build_posts(SJ.parse_listing_documents(dumps), flair).select(
+        F.concat(F.lit("dump:"), F.col("path"), F.lit(":"), F.col("pos").cast("string")).alias("post_key"),
+        "title", "selftext", "author", "created_date", "permalink")
+    return docs.unionByName(dump_posts)
+
+
 def run_workflow(spark: SparkSession, sf_dir: str, as_of_year: int = 1999,
                  label_patterns: dict[str, str] | None = None) -> WorkflowResult:
+    """Stage 1 (two vendor catalogs) -> stage 2 (posts) -> stage 3 (link) -> stage 4 (enrich, validate)."""
     # The catalog feeds keyword generation, the last-wins dedupe and a size
     # check: materialise it once in the shared checkpoint folder.
     checkpoint_root(spark)
     catalog = union_catalogs([D.catalog_from_benchmark(spark, sf_dir), listing_catalog(spark, sf_dir)]) \
         .checkpoint(eager=True)
-    posts = D.posts_from_documents(spark, sf_dir) \
-        .withColumn("created_date", epoch_to_iso(F.col("created_utc")))
-    matches = L.match_posts(posts, catalog, ord_col="link_ord", label_patterns=label_patterns)
-    combined = N.enrich_join(N.filter_matched(matches), catalog, as_of_year, ord_col="link_ord")
-    errors = N.validate_records(combined)
+    posts = workflow_posts(spark, sf_dir)
+    matches = L.match_posts(posts, catalog, key="post_key", ord_col="link_ord", label_patterns=label_patterns)
+    combined = N.enrich_join(N.filter_matched(matches), catalog, as_of_year, ord_col="link_ord", key="post_key")
+    errors = N.validate_records(combined, key="post_key")
     return WorkflowResult(catalog, posts, matches, combined, errors)

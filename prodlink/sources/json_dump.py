@@ -41,3 +41,12 @@ def read_listing_dumps(spark: SparkSession, root: str, glob: str = "*.txt") -> D
                      F.posexplode(F.col("data.children")).alias("pos", "child")) \
         .select("path", "pos", F.col("child.data").alias("post")) \
         .where(F.col("post").isNotNull())
+
+
+def parse_listing_documents(docs: DataFrame, value: str = "value", path: str = "path") -> DataFrame:
+    """Same rows as ``read_listing_dumps`` for listing JSON already held in a
+    string column (one document per row); unparsable documents yield nothing."""
+    parsed = docs.select(F.col(path).alias("path"), F.from_json(F.col(value), LISTING_SCHEMA).alias("doc"))
+    return parsed.select("path", F.posexplode(F.col("doc.data.children")).alias("pos", "child")) \
+        .select("path", "pos", F.col("child.data").alias("post")) \
+        .where(F.col("post").isNotNull())

@@ -47,5 +47,5 @@ def test_every_query_has_an_oracle():
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.columns[0] == "post_id"
+    assert df.columns[0] == "post_key"
     assert df.count() >= 0
