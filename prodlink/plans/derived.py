@@ -201,7 +201,8 @@ def dump_documents(spark: SparkSession, sf_dir: str, repeat_first: bool = True)
     docs = c.groupBy("dump").agg(listing.alias("value"))
     if repeat_first:
         docs = docs.unionByName(docs.where("dump = 0").withColumn("dump", F.lit(-1).cast("long")))
-    extra = (docs.where("dump = 0").select(
+    # the two broken files ride on one existing event row (a pushed-down filter, no aggregate)
+    extra = (c.where(F.col("event_id") == 0).select(
         F.explode(F.array(F.struct(F.lit(-2).cast("long").alias("dump"), F.lit('{"data": {"children": [{"data": ').alias("value")),
                           F.struct(F.lit(-3).cast("long").alias("dump"), F.lit('{"kind": "Listing", "other": 1}').alias("value"))))
         .alias("x")).select("x.dump", "x.value"))
