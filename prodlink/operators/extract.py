@@ -101,6 +101,18 @@ def build_catalog(docs: DataFrame, rate: float = JPY_TO_USD, spread: bool = True
     return filter_valid_records(parsed).select("source", "pos", *CATALOG_COLUMNS)
 
 
+def build_catalog_from_records(records: DataFrame, rate: float = JPY_TO_USD) -> DataFrame:
+    """Catalog rows from ``read_listing_records`` output (the reader already split
+    the files, so a single huge file is spread over many input splits).
+
+    Normalisation and comment removal run per record. Records carry no
+    position, so ``pos`` is null; the product code identifies the row.
+    """
+    sections = records.select("source", F.lit(None).cast("int").alias("pos"),
+                              prepare_document(F.col("section")).alias("section"))
+    return filter_valid_records(parse_sections(sections, rate)).select("source", "pos", *CATALOG_COLUMNS)
+
+
 def count_sections(sections: DataFrame) -> DataFrame:
     """Per source: non-blank sections, parsed products, products kept."""
     s = F.col("section")
