@@ -58,3 +58,19 @@ def test_link_stream_keeps_every_post(spark):
     batch = P.build_posts(read_listing_dumps(spark, root), "error")
     assert linked.count() == batch.count() > 0
     assert set(linked.columns) >= {"post_key", "figure_name", "detected_issues", "batch_id"}
+
+
+def test_run_folders_end_to_end(spark):
+    from prodlink.cli import run_folders
+    from prodlink.session import scratch_path
+    listings = D.write_listing_files(spark, SF_SMALL)
+    dumps = D.write_dump_files(spark, SF_SMALL)
+    out = scratch_path(spark, "cli_out")
+    counts = run_folders(spark, listings, dumps, out, flair="error", as_of_year=1999, run_date="1999-06-30",
+                         listing_pattern="*/*.txt")
+    assert counts["posts"] == counts["matches"] > 0
+    assert counts["catalog"] > 0 and counts["combined"] <= counts["matches"]
+    for sub in ("catalog", "posts", "matches", "combined"):
+        assert os.path.isdir(os.path.join(out, sub))
+    # a run date folder appears only when something was linked
+    assert os.path.isdir(os.path.join(out, "combined", "run_date=1999-06-30")) == (counts["combined"] > 0)
