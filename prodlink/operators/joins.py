@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a row-count check."""
+"""Join helpers: broadcast only behind an exact size check (rows and bytes)."""
 
 from __future__ import annotations
 
@@ -7,26 +7,43 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
-# Default ceiling for a broadcast side (rows). The side's exact row count is
-# taken from its materialised copy before the join is planned.
+# Ceilings for a broadcast side. Both are checked on the materialised side:
+# the exact row count and the summed JSON length of its rows (a byte proxy).
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Persist and checkpoint a (small) side into the shared checkpoint folder:
-    computed once, lineage cut, and counted exactly afterwards for free."""
+    """Checkpoint a (small) side into the shared checkpoint folder: computed once,
+    lineage cut. The temporary cache only serves the checkpoint write."""
     checkpoint_root(df.sparkSession)
-    return df.persist().checkpoint(eager=True)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
+
+
+def size_stats(df: DataFrame, *extra) -> dict:
+    """Exact row count and approximate bytes (sum of JSON lengths), in one pass,
+    plus any extra aggregate columns."""
+    row = df.agg(F.count(F.lit(1)).alias("rows"),
+                 F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
+                 *extra).first()
+    return row.asDict()
+
+
+def fits_broadcast(stats: dict, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    return stats["rows"] <= max_rows and stats["bytes"] <= max_bytes
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_ROWS, materialize_small: bool = True) -> tuple[DataFrame, bool]:
-    """Join ``big`` with ``small``; broadcast ``small`` only when its row count is
-    at most ``max_rows``. Above that the join is a shuffle join that AQE may
+               max_rows: int = BROADCAST_ROWS, materialize_small: bool = True,
+               max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Join ``big`` with ``small``; broadcast ``small`` only when its measured size
+    is within both limits. Above them the join is a shuffle join that AQE may
     still convert at runtime and whose skewed partitions it splits."""
     if materialize_small:
         small = materialize(small)
-    n = small.count()
-    if n <= max_rows:
+    if fits_broadcast(size_stats(small), max_rows, max_bytes):
         return big.join(F.broadcast(small), on, how), True
     return big.join(small, on, how), False

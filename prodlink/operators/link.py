@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keywords import DEFAULT_RULES, KeywordRules, gen_keywords
 from ..functions.text import B, NONWORD, WORD, js_regex, regex_escape
-from .joins import materialize
+from .joins import BROADCAST_BYTES, fits_broadcast, materialize, size_stats
 
 # Issue label -> pattern (JS flavour, case-insensitive), in dictionary order.
 ISSUE_PATTERNS = {
@@ -64,7 +64,7 @@ class MatchWeights:
 
 DEFAULT_WEIGHTS = MatchWeights()
 
-# Anchor tables above this many rows are not broadcast (about 100 bytes a row).
+# Anchor tables above this many rows (or BROADCAST_BYTES) are not broadcast.
 BROADCAST_ANCHOR_ROWS = 2_000_000
 SALT_BUCKETS = 16
 
@@ -339,7 +339,8 @@ class Anchors:
 
 def prepare_anchors(catalog: DataFrame, ord_col: str = "cat_ord",
                     rules: KeywordRules = DEFAULT_RULES, weights: MatchWeights = DEFAULT_WEIGHTS,
-                    broadcast_rows: int = BROADCAST_ANCHOR_ROWS) -> Anchors:
+                    broadcast_rows: int = BROADCAST_ANCHOR_ROWS,
+                    broadcast_bytes: int = BROADCAST_BYTES) -> Anchors:
     """Catalog side of the link, materialised once.
 
     Keyword generation, the per-text winner and the anchor terms are small
@@ -351,11 +352,10 @@ def prepare_anchors(catalog: DataFrame, ord_col: str = "cat_ord",
     kw = keyword_table(catalog, ord_col=ord_col, rules=rules)
     best_kw = best_per_keyword(kw, ord_col=ord_col, w=weights)
     anchors = materialize(keyword_anchors(best_kw))
-    stats = anchors.agg(F.count(F.lit(1)).alias("n"),
-                        F.count_if(~F.col("anchor").rlike(WORD)).alias("runs"),
-                        F.min(F.length("anchor")).alias("min_len")).first()
-    return Anchors(kw, best_kw, anchors, stats["n"] <= broadcast_rows, stats["runs"] > 0,
-                   stats["min_len"] or 1)
+    stats = size_stats(anchors, F.count_if(~F.col("anchor").rlike(WORD)).alias("runs"),
+                       F.min(F.length("anchor")).alias("min_len"))
+    return Anchors(kw, best_kw, anchors, fits_broadcast(stats, broadcast_rows, broadcast_bytes),
+                   stats["runs"] > 0, stats["min_len"] or 1)
 
 
 def plan_link(posts: DataFrame, catalog: DataFrame, key: str = "post_id",

@@ -17,7 +17,7 @@ from ..operators import extract as X
 from ..operators import link as L
 from ..operators import posts as P
 from ..operators.catalog import union_catalogs
-from ..session import checkpoint_root
+from ..operators.joins import materialize
 from ..sources import json_dump as SJ
 from . import derived as D
 
@@ -57,9 +57,8 @@ def run_workflow(spark: SparkSession, sf_dir: str, as_of_year: int = 1999,
     """Stage 1 (two vendor catalogs) -> stage 2 (posts) -> stage 3 (link) -> stage 4 (enrich, validate)."""
     # The catalog feeds keyword generation, the last-wins dedupe and a size
     # check: materialise it once in the shared checkpoint folder.
-    checkpoint_root(spark)
-    catalog = union_catalogs([D.catalog_from_benchmark(spark, sf_dir), listing_catalog(spark, sf_dir)]) \
-        .checkpoint(eager=True)
+    catalog = materialize(union_catalogs([D.catalog_from_benchmark(spark, sf_dir),
+                                          listing_catalog(spark, sf_dir)]))
     posts = workflow_posts(spark, sf_dir)
     matches = L.match_posts(posts, catalog, key="post_key", ord_col="link_ord", label_patterns=label_patterns)
     combined = N.enrich_join(N.filter_matched(matches), catalog, as_of_year, ord_col="link_ord", key="post_key")
