@@ -15,13 +15,14 @@ containment theta-join is rewritten as an equi-join on an *anchor token*:
   followed by an apostrophe), so the text's interior non-word runs are the terms.
 * Every candidate is then verified with the exact boundary regex.
 
-Plan (broadcast path): scan -> project search text + terms -> explode ->
-BroadcastHashJoin(anchors) -> Filter(rlike) -> partial max_by -> one shuffle of
-(post key, best struct) -> final max_by -> left join with the posts. The long
-text is never shuffled; it is only referenced while the exploded rows stream
-through the same codegen stage. The anchor table grows with the catalog, not
-with the posts; its row count is checked before broadcasting and a salted
-shuffle join takes over above the limit.
+Plan of ``match_posts`` (broadcast path): scan -> search text -> one hash
+exchange of the posts by key -> tokenise -> explode (one base row per post
+kept) -> broadcast left hash join with the anchors -> filter (byte-level
+``contains`` then the regex) -> project -> partial + final arg-max, already
+clustered by key. One shuffle in all; no join back to the posts. The anchor
+table grows with the catalog, not with the posts; it is checkpointed and
+measured (rows, bytes) before broadcasting, and a salted shuffle join takes
+over above the limits.
 """
 
 from __future__ import annotations
