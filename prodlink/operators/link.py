@@ -67,7 +67,7 @@ DEFAULT_WEIGHTS = MatchWeights()
 
 # Anchor tables above this many rows (or BROADCAST_BYTES) are not broadcast.
 BROADCAST_ANCHOR_ROWS = 2_000_000
-SALT_BUCKETS = 16
+SALT_BUCKETS = 16  # minimum; see salt_buckets_for
 
 
 # ---------------------------------------------------------------- columns
@@ -359,14 +359,21 @@ def prepare_anchors(catalog: DataFrame, ord_col: str = "cat_ord",
                    stats["runs"] > 0, stats["min_len"] or 1)
 
 
+def salt_buckets_for(spark) -> int:
+    """Salts for the shuffle path: a hot token is spread over this many tasks
+    (the anchor side is replicated as often). Scales with the shuffle width."""
+    return max(SALT_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions", "200")) // 64)
+
+
 def plan_link(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
               ord_col: str = "cat_ord", rules: KeywordRules = DEFAULT_RULES,
               weights: MatchWeights = DEFAULT_WEIGHTS,
-              broadcast_rows: int = BROADCAST_ANCHOR_ROWS) -> LinkPlan:
+              broadcast_rows: int = BROADCAST_ANCHOR_ROWS, salt_buckets: int | None = None) -> LinkPlan:
     """Build the link plan. ``posts`` needs ``key`` and ``txt`` (see ``search_text``)."""
     a = prepare_anchors(catalog, ord_col, rules, weights, broadcast_rows)
     verified = match_candidates(posts, a.anchors, key, with_runs=a.with_runs,
-                                broadcast_ok=a.broadcast, min_len=a.min_len)
+                                broadcast_ok=a.broadcast, min_len=a.min_len,
+                                salt_buckets=salt_buckets or salt_buckets_for(posts.sparkSession))
     return LinkPlan(a.keywords, a.best_per_keyword, a.anchors, verified, best_match(verified, key), a.broadcast)
 
 
@@ -374,7 +381,8 @@ def match_posts(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
                 title: str = "title", body: str = "selftext", author: str = "author",
                 created: str = "created_date", permalink: str = "permalink",
                 label_patterns: dict[str, str] | None = None,
-                permalink_prefix: str = PERMALINK_PREFIX, **kw) -> DataFrame:
+                permalink_prefix: str = PERMALINK_PREFIX, salt_buckets: int | None = None,
+                **kw) -> DataFrame:
     """Every post once: best catalog link ('' when none) and detected issue labels.
 
     ``key`` must identify a post row uniquely (for dumps, where the same post
@@ -395,7 +403,8 @@ def match_posts(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
     if a.broadcast:
         best = _one_pass(prepared.select(key, "txt", *cols), a, key, names)
     else:
-        verified = match_candidates(prepared.select(key, "txt"), a.anchors, key, a.with_runs, False, a.min_len)
+        verified = match_candidates(prepared.select(key, "txt"), a.anchors, key, a.with_runs, False, a.min_len,
+                                    salt_buckets or salt_buckets_for(posts.sparkSession))
         best = prepared.select(key, *cols).join(best_match(verified, key), key, "left")
     blank = F.lit("")
     return best.select(
