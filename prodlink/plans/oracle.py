@@ -115,8 +115,8 @@ KW_STEPS = (KW_STEPS
             .replace("WORDKW", _kw("w", 4, "'word'"))
             .replace("FULLKW", _kw("low", 1, "'full'")))
 
-SCORE_SQL = ("CASE priority WHEN 1 THEN 1000 WHEN 2 THEN 500 WHEN 3 THEN 300 WHEN 4 THEN 100 ELSE 0 END"
-             " + length(keyword) + CASE WHEN match_type = 'phrase' THEN 50 ELSE 0 END")
+SCORE_SQL = ("cast(CASE priority WHEN 1 THEN 1000 WHEN 2 THEN 500 WHEN 3 THEN 300 WHEN 4 THEN 100 ELSE 0 END"
+             " + length(keyword) + CASE WHEN match_type = 'phrase' THEN 50 ELSE 0 END AS INTEGER)")
 CONF_SQL = ("CASE WHEN priority IN (1, 2) THEN 'High' WHEN priority = 3 AND length(keyword) >= 12 THEN 'High'"
             " WHEN priority = 3 THEN 'Medium' WHEN priority = 4 AND length(keyword) >= 8 THEN 'Medium'"
             " ELSE 'Low' END")

@@ -25,15 +25,23 @@ def _rows(pdf):
 
 
 ORACLES = E.oracle_sql()
+_DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+              "double": "DOUBLE"}
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
+    df = E.queries()[name](spark, SF_SMALL)
+    got = df.toPandas()
     if name not in ORACLES:
         assert len(got) >= 0
         return
-    want = duck.execute(ORACLES[name]).df()
+    res = duck.execute(ORACLES[name])
+    duck_types = {d[0]: str(d[1]) for d in res.description}
+    want = res.df()
+    spark_types = {f.name: _DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types
     gc, gr = _rows(got)
     wc, wr = _rows(want)
     assert gc == wc
