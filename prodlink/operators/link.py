@@ -68,6 +68,7 @@ DEFAULT_WEIGHTS = MatchWeights()
 # Anchor tables above this many rows (or BROADCAST_BYTES) are not broadcast.
 BROADCAST_ANCHOR_ROWS = 2_000_000
 SALT_BUCKETS = 16  # minimum; see salt_buckets_for
+MAX_CATALOG_PARTITIONS = 512
 
 
 # ---------------------------------------------------------------- columns
@@ -225,9 +226,10 @@ def keyword_table(catalog: DataFrame, ord_col: str = "cat_ord",
     """One row per generated keyword: (ord, kw_ord, keyword, priority, match_type, carry...)."""
     kws = F.concat(*[gen_keywords(F.col(c), rules) for c in sources])
     # Keyword generation is CPU-heavy per row and the catalog is small in bytes,
-    # so it tends to arrive in few partitions: spread it over every core first.
-    spread = catalog.select(ord_col, *dict.fromkeys(carry + sources)) \
-        .repartition(catalog.sparkSession.sparkContext.defaultParallelism)
+    # so it tends to arrive in few partitions: spread it over the cores first
+    # (capped, so a large cluster does not get thousands of tiny tasks).
+    width = min(catalog.sparkSession.sparkContext.defaultParallelism, MAX_CATALOG_PARTITIONS)
+    spread = catalog.select(ord_col, *dict.fromkeys(carry + sources)).repartition(width)
     return (spread.select(ord_col, *carry, F.posexplode(kws).alias("kw_ord", "kw"))
             .select(ord_col, "kw_ord", F.col("kw.text").alias("keyword"),
                     F.col("kw.priority").alias("priority"), F.col("kw.type").alias("match_type"),
