@@ -123,18 +123,86 @@ def keyword_pattern(keyword: Column) -> Column:
     return F.concat(esc, lead, F.lit("(?:'?s)?"), F.lit(B))
 
 
+def _leading_group(body: str) -> tuple[list[str], int] | None:
+    """Top-level alternatives of the group that opens ``body`` and the index of
+    its closing parenthesis; None if ``body`` does not open with a group."""
+    if not body.startswith("("):
+        return None
+    depth, alts, cur, i = 0, [], [], 0
+    while True:
+        i += 1
+        if i >= len(body):
+            return None
+        ch = body[i]
+        if ch == "\\":
+            cur.append(body[i:i + 2])
+            i += 1
+            continue
+        if ch == "(":
+            depth += 1
+        elif ch == ")":
+            if depth == 0:
+                alts.append("".join(cur))
+                return alts, i
+            depth -= 1
+        elif ch == "|" and depth == 0:
+            alts.append("".join(cur))
+            cur = []
+            continue
+        cur.append(ch)
+
+
+def _has_top_level_bar(body: str) -> bool:
+    depth, in_class, i = 0, False, 0
+    while i < len(body):
+        ch = body[i]
+        if ch == "\\":
+            i += 2
+            continue
+        if in_class:
+            in_class = ch != "]"
+        elif ch == "[":
+            in_class = True
+        elif ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+        elif ch == "|" and depth == 0:
+            return True
+        i += 1
+    return False
+
+
+def _optional_after(body: str, end: int) -> bool:
+    rest = body[end + 1:]
+    return rest[:1] in ("?", "*") or rest.startswith("{0")
+
+
+_WORD_START = re.compile(r"[A-Za-z0-9_]")
+
+
 def label_regex(pattern: str, text_is_lower: bool = True) -> str:
     """Java form of a case-insensitive JS label pattern, tuned for scanning.
 
-    * A leading ``\\b`` before a word character only needs "no word character
-      before", a single look-behind instead of the two-way boundary test.
+    * A leading ``\\b`` that is always followed by a word character (a plain
+      word, or a required group whose alternatives all start with one) only
+      needs "no word character before": one look-behind instead of the
+      two-way boundary test.
     * On lower-cased text ``(?i)`` is redundant when the pattern holds no
       upper-case letter (escapes such as ``\\S`` aside); dropping it keeps
       Java's matcher on its faster case-sensitive path.
     """
     body = pattern
-    if re.match(r"\\b(?:\(\??:?)?[A-Za-z0-9_]", body) or re.match(r"\\b\((?:[A-Za-z0-9_]+\|)*[A-Za-z0-9_]+", body):
-        body = f"(?<!{WORD})" + body[2:]
+    if body.startswith("\\b"):
+        rest = body[2:]
+        group = _leading_group(rest)
+        if group is not None:
+            alts, end = group
+            ok = not _optional_after(rest, end) and all(_WORD_START.match(a) for a in alts)
+        else:
+            ok = bool(_WORD_START.match(rest))
+        if ok:
+            body = f"(?<!{WORD})" + rest
     upper = re.search(r"[A-Z]", re.sub(r"\\.", "", pattern))
     flag = "(?i)" if (upper or not text_is_lower) else ""
     return flag + js_regex(body)
@@ -147,7 +215,7 @@ def _literal_prefix(alt: str) -> str:
     """Leading plain characters of a regex alternative; a char followed by a
     quantifier that allows zero repeats is not required, so it is cut."""
     out = []
-    for i, ch in enumerate(alt):
+    for ch in alt:
         if ch in _META:
             if ch in "?*{" and out:
                 out.pop()
@@ -159,36 +227,23 @@ def _literal_prefix(alt: str) -> str:
 def required_literals(pattern: str) -> list[str] | None:
     """Strings one of which must occur in any match of ``pattern``, or None.
 
-    Conservative: only a leading ``\\b`` and one leading group of plain
-    alternatives (or a plain leading literal) are understood; anything else
-    gives None (no pre-filter).
+    Conservative: only a leading ``\\b`` and one required leading group of
+    plain alternatives (or a plain leading literal) are understood; a
+    top-level ``|``, an optional group or anything else gives None (no
+    pre-filter), so the guard can never drop a real match.
     """
     body = pattern[2:] if pattern.startswith("\\b") else pattern
-    if body.startswith("("):
-        depth, alts, cur, i = 0, [], [], 0
-        while True:
-            i += 1
-            if i >= len(body):
-                return None
-            ch = body[i]
-            if ch == "\\":
-                cur.append(body[i:i + 2])
-                i += 1
-                continue
-            if ch == "(":
-                depth += 1
-            elif ch == ")":
-                if depth == 0:
-                    alts.append("".join(cur))
-                    break
-                depth -= 1
-            elif ch == "|" and depth == 0:
-                alts.append("".join(cur))
-                cur = []
-                continue
-            cur.append(ch)
+    if _has_top_level_bar(body):
+        return None
+    group = _leading_group(body)
+    if group is not None:
+        alts, end = group
+        if _optional_after(body, end):
+            return None
         lits = [_literal_prefix(a) for a in alts]
         return lits if lits and all(lits) else None
+    if body.startswith("("):
+        return None
     lit = _literal_prefix(body)
     return [lit] if lit else None
 

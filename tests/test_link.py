@@ -101,6 +101,21 @@ def test_required_literals_are_conservative():
     assert L.required_literals(r"\bab?c") == ["a"]
     assert L.required_literals(r"(?:ab|cd)") is None
     assert L.required_literals(r"[a-z]+@x") is None
+    assert L.required_literals(r"\b(ab)?cd") is None          # optional group
+    assert L.required_literals(r"abc|xyz") is None             # top-level alternation
+    assert L.required_literals(r"\b(ab)|cd") is None
+    assert L.required_literals(r"\b(a\)b|cd)x") == ["a", "cd"]
+
+
+def test_label_regex_boundary_rewrite_is_safe(spark):
+    # the look-behind rewrite only applies when every alternative starts with a word char
+    assert L.label_regex(r"\b(ab|cd)\b").startswith("(?<![A-Za-z0-9_])")
+    assert not L.label_regex(r"\b(ab|-x)").startswith("(?<!")
+    assert not L.label_regex(r"\b(ab)?-x").startswith("(?<!")
+    pats = {"mixed": r"\b(ab|-x)", "optional": r"\b(zz)?-y", "alt": r"foo|\bbar"}
+    df = spark.createDataFrame([("q-x",), ("q-y",), ("a bar",), ("ab",), ("-x",)], "t string")
+    got = [r.l for r in df.select(F.array_join(L.detect_labels(F.col("t"), pats), ",").alias("l")).collect()]
+    assert got == ["mixed", "optional", "alt", "mixed", ""]
 
 
 @pytest.mark.parametrize("seed", [4])
