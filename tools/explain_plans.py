@@ -14,6 +14,13 @@ from prodlink.plans import queries as Q  # noqa: E402
 from prodlink.plans import workflow as W  # noqa: E402
 from prodlink.session import local_session  # noqa: E402
 
+NOTES = {
+    "workflow (entry)": "One exchange hash-partitions all posts by key (link + labels + arg-max run "
+                        "after it without another shuffle); the other groups `events` children into "
+                        "listing documents, i.e. renders the dump fixture in memory.",
+    "match_posts": "The single exchange is the posts by key; anchors are a checkpointed, size-checked broadcast.",
+    "build_catalog": "The exchange spreads listing sections over all cores before the regex extraction.",
+}
 NAMES = ["match_posts", "build_combined", "build_catalog", "build_posts", "src_csv_lenient", "validate_records"]
 
 
@@ -39,6 +46,7 @@ def main() -> None:
         shuffles = len(re.findall(r"\+- Exchange ", text))
         bcast = len(re.findall(r"BroadcastExchange", text))
         out += [f"## {name}", "", f"shuffle exchanges: {shuffles}, broadcast exchanges: {bcast}", "",
+                *([NOTES[name], ""] if name in NOTES else []),
                 "```", text.strip()[:6000], "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
         fh.write("\n".join(out))
