@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from prodlink.operators import link as L
 
-VOCAB = ["spider", "man", "spider-man", "izuku", "midoriya", "deku", "batman", "beyond", "ver", "v2",
-         "figure", "series", "revoltech", "amazing", "yamaguchi", "eren", "ryu", "hayabusa", "x-men",
-         "kit", "(deku)", "ver.1.5", "gear", "ring", "café", "ninja", "gaiden"]
-TEXT_EXTRA = ["erens", "eren's", "spiderman", "batmans", "the", "a", "!!", "--", "deku)", "(kit", "rings",
-              "ninja-gaiden", "café's", "hayabusas", "x-mens"]
+VOCAB = ["sky", "walker", "sky-walker", "torvin", "maleko", "(tori)", "marlow", "beyond", "ver", "v2",
+         "figure", "series", "zentrix", "gallant", "oshiro", "kiran", "rook", "falcon", "x-ray",
+         "kit", "(kit)", "ver.1.5", "gear", "ring", "café", "ninja", "gaiden"]
+TEXT_EXTRA = ["kirans", "kiran's", "skywalker", "marlows", "the", "a", "!!", "--", "tori)", "(kit", "rings",
+              "ninja-gaiden", "café's", "falcons", "x-rays"]
 
 
 def _names(rng, n):
