@@ -39,18 +39,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets a fresh local one only
-    when it is unset (tests / local mode).
+    ``spark.checkpoint.dir`` from the session wins. Only when it is unset
+    (tests / local mode) a fresh local folder is registered with
+    ``setCheckpointDir`` (the setting itself cannot change at runtime).
     """
+    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="prodlink-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if root:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)
+        return root
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    root = tempfile.mkdtemp(prefix="prodlink-ckpt-")
+    sc.setCheckpointDir(root)
     return root
 
 

