@@ -40,9 +40,13 @@ def dedupe_last(catalog: DataFrame, ord_col: str = "cat_ord") -> DataFrame:
 
 def enrich_join(matched: DataFrame, catalog: DataFrame, as_of_year: int,
                 seller: str = DEFAULT_SELLER, ord_col: str = "cat_ord",
-                key: str = "post_id", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                key: str = "post_id", broadcast_rows: int = BROADCAST_ROWS,
+                materialize_catalog: bool = True) -> DataFrame:
     """Left join linked posts with the last-wins catalog; full record when found,
-    minimal record otherwise. ``as_of_year`` replaces the wall clock."""
+    minimal record otherwise. ``as_of_year`` replaces the wall clock.
+
+    ``materialize_catalog=False`` skips checkpointing the last-wins table when
+    ``catalog`` is itself already materialised (re-aggregating it is cheap)."""
     last = dedupe_last(catalog, ord_col).select(
         "k_name", "k_brand", F.lit(True).alias("found"),
         F.col("name").alias("c_name"), F.col("brand").alias("c_brand"),
@@ -51,7 +55,8 @@ def enrich_join(matched: DataFrame, catalog: DataFrame, as_of_year: int,
         F.col("spec").alias("c_spec"), F.col("release_date").alias("c_release"))
     left = matched.select(key, *_key(F.col("figure_name"), F.col("brand")), "figure_name", "brand",
                           "product_line", "detected_issues", "reddit_permalink")
-    j, _ = join_small(left, last, ["k_name", "k_brand"], "left", broadcast_rows)
+    j, _ = join_small(left, last, ["k_name", "k_brand"], "left", broadcast_rows,
+                      materialize_small=materialize_catalog)
     found = F.coalesce(F.col("found"), F.lit(False))
     null = F.lit(None).cast("string")
 

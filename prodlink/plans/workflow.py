@@ -61,6 +61,7 @@ def run_workflow(spark: SparkSession, sf_dir: str, as_of_year: int = 1999,
                                           listing_catalog(spark, sf_dir)]))
     posts = workflow_posts(spark, sf_dir)
     matches = L.match_posts(posts, catalog, key="post_key", ord_col="link_ord", label_patterns=label_patterns)
-    combined = N.enrich_join(N.filter_matched(matches), catalog, as_of_year, ord_col="link_ord", key="post_key")
+    combined = N.enrich_join(N.filter_matched(matches), catalog, as_of_year, ord_col="link_ord", key="post_key",
+                             materialize_catalog=False)
     errors = N.validate_records(combined, key="post_key")
     return WorkflowResult(catalog, posts, matches, combined, errors)
