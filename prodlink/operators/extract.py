@@ -19,7 +19,8 @@ CATALOG_COLUMNS = ["gcode", "name", "brand", "product_line", "series_title", "re
                    "sculptor", "material", "spec", "status", "price_jpy", "price_usd"]
 
 S = WS  # JS \s
-# Patterns, first match, case-insensitive; \z is JS's end of input.
+# Field patterns of the listing format (first match, case-insensitive),
+# written for Java regex: S is JS whitespace, \z is JS's end of input.
 P_GCODE = r"(?mi)^FIGURE-\d+"
 P_RELEASE = rf"(?i)Release Date{S}+([^\t\n]+)"
 P_BRAND = rf"(?i)Brand{S}+(.+?)(?:\n|\z)"
