@@ -16,8 +16,10 @@ from prodlink.session import local_session  # noqa: E402
 
 NOTES = {
     "workflow (entry)": "One exchange hash-partitions all posts by key (link + labels + arg-max run "
-                        "after it without another shuffle); the other groups `events` children into "
-                        "listing documents, i.e. renders the dump fixture in memory.",
+                        "after it without another shuffle); one groups `events` children into "
+                        "listing documents, i.e. renders the dump fixture in memory; one is the "
+                        "last-wins dedupe of the small, checkpointed catalog that feeds the "
+                        "enrichment broadcast.",
     "match_posts": "The single exchange is the posts by key; anchors are a checkpointed, size-checked broadcast.",
     "build_catalog": "The exchange spreads listing sections over all cores before the regex extraction.",
 }
