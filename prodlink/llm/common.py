@@ -37,14 +37,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def lower_az(col: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(col, UPPER, LOWER)
+    """Lower-case A-Z only. Plain ASCII texts take the cheap built-in, which does the same there."""
+    return F.when(F.octet_length(col) == F.length(col), F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))
 
 
 def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+NULL_ID = -(1 << 63)
+
+
+def long_id(col: str = "doc_id") -> Column:
+    """The id as a never-null key: a null id becomes NULL_ID, below all others."""
+    return F.coalesce(F.col(col).cast("long"), F.lit(NULL_ID))
+
+
+def plain_id(col: str) -> Column:
+    """Back from ``long_id``."""
+    return F.nullif(F.col(col), F.lit(NULL_ID))
+
+
 def held_out(col: str = "doc_id") -> Column:
     """True where crc32(doc_id as text) mod 5 is 0; a null id counts as held out."""
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % 5 == 0, F.lit(True))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import subword
+from . import blocknames, subword
 
 QUERIES = {
+    "op1_exact_dedup": blocknames.op1_exact_dedup,
     "op2_quality": subword.op2_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_exact_dedup": blocknames.OP1_SQL,
+}
