@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import blocknames, subword
+from . import blocknames, digestcache, regrammar, subword
 
 QUERIES = {
     "op1_exact_dedup": blocknames.op1_exact_dedup,
     "op2_quality": subword.op2_quality,
+    "op6_token_counts": digestcache.op6_token_counts,
+    "op7_token_ids": regrammar.op7_token_ids,
 }
 
 ORACLES: dict[str, str] = {

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, table, utf8_slices, whole_text
+from .common import held_out, map_arrow, table, utf8_slices, whole_text
 
 SAMPLE_DOCS = 4000        # bound of the training sample (documents)
 SAMPLE_BYTES = 64 << 20   # and of its text; the sample stops before the document that would pass it
@@ -216,7 +216,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], out: str = "score") ->
             yield pa.RecordBatch.from_arrays([*cols, pa.array(m.score(texts))],
                                              names=[*batch.schema.names[:-1], out])
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
