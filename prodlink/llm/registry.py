@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import blocknames, digestcache, grouppack, regrammar, subword
+from . import blocknames, digestcache, grouppack, langid, regrammar, subword
 
 QUERIES = {
     "op1_exact_dedup": blocknames.op1_exact_dedup,
     "op2_quality": subword.op2_quality,
     "op3_packing": grouppack.op3_packing,
+    "op5_language": langid.op5_language,
     "op6_token_counts": digestcache.op6_token_counts,
     "op7_token_ids": regrammar.op7_token_ids,
 }
