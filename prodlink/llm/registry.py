@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import blocknames, digestcache, grouppack, langid, regrammar, subword
+from . import blocknames, decontaminate, digestcache, grouppack, langid, regrammar, subword
 
 QUERIES = {
     "op1_exact_dedup": blocknames.op1_exact_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_language": langid.op5_language,
     "op6_token_counts": digestcache.op6_token_counts,
     "op7_token_ids": regrammar.op7_token_ids,
+    "op9_decontamination": decontaminate.op9_decontamination,
 }
 
 ORACLES: dict[str, str] = {
