@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import blocknames, decontaminate, digestcache, grouppack, langid, regrammar, subword
+from . import blocknames, decontaminate, digestcache, grouppack, langid, perspectives, regrammar, subword
 
 QUERIES = {
     "op1_exact_dedup": blocknames.op1_exact_dedup,
@@ -11,9 +11,11 @@ QUERIES = {
     "op5_language": langid.op5_language,
     "op6_token_counts": digestcache.op6_token_counts,
     "op7_token_ids": regrammar.op7_token_ids,
+    "op8_chat_perspectives": perspectives.op8_chat_perspectives,
     "op9_decontamination": decontaminate.op9_decontamination,
 }
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": blocknames.OP1_SQL,
+    "op8_chat_perspectives": perspectives.OP8_SQL,
 }
