@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import blocknames, decontaminate, digestcache, grouppack, langid, perspectives, regrammar, subword
+from . import blocknames, decontaminate, digestcache, grouppack, langid, neardup, perspectives, regrammar, subword
 
 QUERIES = {
     "op1_exact_dedup": blocknames.op1_exact_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_token_ids": regrammar.op7_token_ids,
     "op8_chat_perspectives": perspectives.op8_chat_perspectives,
     "op9_decontamination": decontaminate.op9_decontamination,
+    "op10_near_dedup": neardup.op10_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
