@@ -48,7 +48,7 @@ def _first_names(docs: DataFrame) -> DataFrame:
               .select("id", F.xxhash64("t").alias("v"), n.alias("n"),
                       F.transform(F.sequence(F.lit(0), n - 1),
                                   lambda i: F.substring(bytes_, i * BLOCK_BYTES + 1, F.lit(BLOCK_BYTES))).alias("b"))
-              .select("id", "v", "n", F.posexplode("b").alias("pos", "block"))
+              .select("id", "v", "n", F.posexplode_outer("b").alias("pos", "block"))
               .withColumn("h", F.xxhash64("block")))
     seen = Observation()
     frequent = stored(blocks.select("h").observe(seen, F.count(F.lit(1)).alias("rows"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import blocknames, decontaminate, digestcache, grouppack, langid, neardup, perspectives, regrammar, subword
+from . import blocknames, decontaminate, digestcache, grouppack, langid, linejoin, neardup, perspectives, regrammar, subword
 
 QUERIES = {
     "op1_exact_dedup": blocknames.op1_exact_dedup,
     "op2_quality": subword.op2_quality,
     "op3_packing": grouppack.op3_packing,
+    "op4_line_dedup": linejoin.op4_line_dedup,
     "op5_language": langid.op5_language,
     "op6_token_counts": digestcache.op6_token_counts,
     "op7_token_ids": regrammar.op7_token_ids,
@@ -18,5 +19,6 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": blocknames.OP1_SQL,
+    "op4_line_dedup": linejoin.OP4_SQL,
     "op8_chat_perspectives": perspectives.OP8_SQL,
 }
