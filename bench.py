@@ -36,7 +36,10 @@ def main() -> None:
 
     spark = local_session(cpus, shuffle_partitions=max(cpus * 2, 8))
     builders = {name: fn for name, (fn, _) in Q.REGISTRY.items()}
-    builders["workflow"] = lambda s, d: W.run_workflow(s, d).combined
+    builders["workflow"] = lambda s, d: W.run_workflow(s, d, layout_partitions=cpus).combined
+    # The test files hold one row group each; spread them explicitly, as a tiny input needs it.
+    builders["match_posts"] = lambda s, d: Q._match_posts(s, d, layout_partitions=cpus)
+    builders["build_matches"] = lambda s, d: Q._match_posts(s, d, Q.DATA_LABELS, layout_partitions=cpus)
 
     def run(name: str, where: str = sf_dir) -> float:
         t0 = time.perf_counter()

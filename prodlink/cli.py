@@ -15,6 +15,7 @@ import datetime as dt
 import os
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +24,10 @@ from .operators import extract as X
 from .operators import link as L
 from .operators import posts as P
 from .operators.catalog import union_catalogs
-from .operators.joins import join_small, materialize
+from .operators import report as R
+from .session import scratch_path
 from .sources import csv_lenient as SC
-from .sources.json_dump import read_listing_dumps
+from .sources.json_dump import POST_FIELDS, read_listing_dumps
 from .sources.listing import read_listing_text
 
 
@@ -34,53 +36,75 @@ def run_folders(spark: SparkSession, listings: str | None, dumps: str, out: str,
                 as_of_year: int | None = None, run_date: str | None = None,
                 rate: float = X.JPY_TO_USD, seller: str = N.DEFAULT_SELLER,
                 label_patterns: dict[str, str] | None = None,
-                listing_pattern: str = "*/raw.txt") -> dict[str, int]:
-    """Run catalog -> posts -> matches -> combined; returns the stage counts."""
+                listing_pattern: str = "*/raw.txt") -> dict[str, int | bool]:
+    """Run catalog -> posts -> matches -> combined; returns the counts.
+
+    Next to the four exports, ``reports/run_date=*/`` holds the counts per source and per dump file and the
+    validation report. An absent or unreadable input counts as empty, and a stage without rows
+    writes nothing. Stages are stored once (Parquet under the shared folder) and read from there, so
+    every dump is parsed and linked once.
+    """
     today = dt.date.today()
     as_of_year = as_of_year or today.year
     run_date = run_date or today.isoformat()
 
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
     vendors: list[DataFrame] = []
     if listings:
-        catalog = X.build_catalog(read_listing_text(spark, listings, listing_pattern), rate)
+        catalog = kept(X.build_catalog(read_listing_text(spark, listings, listing_pattern), rate), "catalog")
         SC.write_stage_csv(catalog.drop("pos"), os.path.join(out, "catalog"), ["source"])
-        vendors.append(_listing_order(catalog))
+        # catalog order: vendor folders by name, then the place in the file
+        vendors.append(catalog.withColumn("cat_ord", F.struct(F.col("source").alias("path"), F.col("pos").cast("long").alias("pos"))))
     for path in catalog_csvs or []:
-        vendors.append(SC.read_csv_lenient(spark, path, X.CATALOG_COLUMNS, ordinal="cat_ord"))
+        rows = SC.read_csv_lenient(spark, path, X.CATALOG_COLUMNS, ordinal="pos")
+        vendors.append(rows.withColumn("cat_ord", F.struct("path", "pos")))
     if not vendors:
         raise ValueError("no catalog: give listing folders or catalog CSVs")
-    # catalog order = vendor order (listing folders first), then order inside a vendor
-    merged = materialize(union_catalogs(vendors))
+    merged = kept(union_catalogs(vendors), "merged")
 
-    children = read_listing_dumps(spark, dumps)
-    posts = P.build_posts(children, flair).withColumn(
-        "post_key", F.concat_ws(":", "path", F.col("pos").cast("string")))
+    children = kept(_or_none(spark, dumps), "children")
+    posts = kept(P.build_posts(children, flair).withColumn(
+        "post_key", F.concat_ws(":", "path", F.col("pos").cast("string"))), "posts")
     SC.write_stage_csv(P.posts_csv_frame(posts), os.path.join(out, "posts"))
 
-    matches = L.match_posts(posts, merged, key="post_key", created="created_date",
-                            ord_col="link_ord", label_patterns=label_patterns)
+    matches = kept(L.match_posts(posts, merged, key="post_key", created="created_date",
+                                 ord_col="link_ord", label_patterns=label_patterns), "matches")
     SC.write_stage_csv(matches, os.path.join(out, "matches"))
 
-    combined = N.enrich_join(N.filter_matched(matches), merged, as_of_year, seller=seller,
-                             ord_col="link_ord", key="post_key")
-    errors = N.validate_records(combined, key="post_key")
+    combined = kept(N.enrich_join(N.filter_matched(matches), merged, as_of_year, seller=seller,
+                                  ord_col="link_ord", key="post_key"), "combined")
     SC.write_stage_csv(combined.select("post_key", *N.COMBINED_COLUMNS).withColumn("run_date", F.lit(run_date)),
                        os.path.join(out, "combined"), ["run_date"])
+    errors = kept(N.validate_records(combined, key="post_key"), "errors")
+
+    reports = os.path.join(out, "reports", f"run_date={run_date}")
+    per_source = merged.groupBy(F.coalesce("source", F.lit("")).alias("source")) if "source" in merged.columns \
+        else merged.groupBy(F.lit("").alias("source"))
+    SC.write_stage_csv(per_source.agg(F.count(F.lit(1)).alias("products")), f"{reports}/sources")
+    SC.write_stage_csv(P.count_flair(children, flair), f"{reports}/dumps")
+    SC.write_stage_csv(R.top_errors(errors, key="post_key"), f"{reports}/validation")
+
     counts = [df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("n"))
               for name, df in [("catalog", merged), ("posts", posts), ("matches", matches),
                                ("combined", combined), ("errors", errors)]]
-    return {r.stage: r.n for r in reduce(DataFrame.unionByName, counts).collect()}
-
-
-def _listing_order(catalog: DataFrame) -> DataFrame:
-    """cat_ord = rank of the source folder (alphabetical, like a directory
-    listing) * 2^32 + position in its file. Only the distinct folder names are
-    ranked (a handful of rows), never the catalog itself."""
-    from pyspark.sql import Window
-    folders = catalog.select("source").distinct() \
-        .withColumn("src_rank", F.dense_rank().over(Window.orderBy("source")))
-    ranked, _ = join_small(catalog, folders, "source", "left")
-    return ranked.withColumn("cat_ord", F.col("src_rank").cast("long") * F.lit(1 << 32) + F.col("pos"))
+    result = {r.stage: r.n for r in reduce(DataFrame.unionByName, counts).collect()}
+    return (result | R.count_matches(matches).first().asDict() | R.count_enriched(combined).first().asDict()
+            | {"passed": result["errors"] == 0})
+
+
+def _or_none(spark: SparkSession, dumps: str) -> DataFrame:
+    """The dumps' children; none where the path is absent."""
+    try:
+        return read_listing_dumps(spark, dumps)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        schema = f"path string, pos int, post {POST_FIELDS.simpleString()}"
+        return spark.createDataFrame([], schema)
 
 
 def main(argv: list[str] | None = None) -> None:

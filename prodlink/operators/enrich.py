@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import age_bucket, clean_text, extract_scale, labels_to_json
-from .joins import BROADCAST_ROWS, join_small
 
 # Fixed values of the combined record.
 DEFAULT_SELLER = "AmiAmi"
@@ -40,13 +39,12 @@ def dedupe_last(catalog: DataFrame, ord_col: str = "cat_ord") -> DataFrame:
 
 def enrich_join(matched: DataFrame, catalog: DataFrame, as_of_year: int,
                 seller: str = DEFAULT_SELLER, ord_col: str = "cat_ord",
-                key: str = "post_id", broadcast_rows: int = BROADCAST_ROWS,
-                materialize_catalog: bool = True) -> DataFrame:
+                key: str = "post_id") -> DataFrame:
     """Left join linked posts with the last-wins catalog; full record when found,
     minimal record otherwise. ``as_of_year`` replaces the wall clock.
 
-    ``materialize_catalog=False`` skips checkpointing the last-wins table when
-    ``catalog`` is itself already materialised (re-aggregating it is cheap)."""
+    Adaptive execution knows the exact size of the deduplicated catalog from its shuffle and
+    decides between broadcast, sort-merge and split skewed partitions; building the plan runs no job."""
     last = dedupe_last(catalog, ord_col).select(
         "k_name", "k_brand", F.lit(True).alias("found"),
         F.col("name").alias("c_name"), F.col("brand").alias("c_brand"),
@@ -55,8 +53,7 @@ def enrich_join(matched: DataFrame, catalog: DataFrame, as_of_year: int,
         F.col("spec").alias("c_spec"), F.col("release_date").alias("c_release"))
     left = matched.select(key, *_key(F.col("figure_name"), F.col("brand")), "figure_name", "brand",
                           "product_line", "detected_issues", "reddit_permalink")
-    j, _ = join_small(left, last, ["k_name", "k_brand"], "left", broadcast_rows,
-                      materialize_small=materialize_catalog)
+    j = left.join(last, ["k_name", "k_brand"], "left")
     found = F.coalesce(F.col("found"), F.lit(False))
     null = F.lit(None).cast("string")
 
@@ -82,13 +79,11 @@ def enrich_join(matched: DataFrame, catalog: DataFrame, as_of_year: int,
         .alias("issue_description"))
 
 
-def enrich_split(matched: DataFrame, catalog: DataFrame, how: str,
-                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def enrich_split(matched: DataFrame, catalog: DataFrame, how: str) -> DataFrame:
     """``left_semi``: linked posts found in the catalog; ``left_anti``: missing."""
     keys = catalog.select(*_key(F.col("name"), F.col("brand"))).distinct()
     left = matched.select("*", *_key(F.col("figure_name"), F.col("brand")))
-    j, _ = join_small(left, keys, ["k_name", "k_brand"], how, broadcast_rows)
-    return j.drop("k_name", "k_brand")
+    return left.join(keys, ["k_name", "k_brand"], how).drop("k_name", "k_brand")
 
 
 # ------------------------------------------------------------------ validation

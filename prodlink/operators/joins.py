@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind an exact size check (rows and bytes)."""
+"""Materialised small sides and their exact size (rows and bytes), the check before a broadcast."""
 
 from __future__ import annotations
 
@@ -34,16 +34,3 @@ def size_stats(df: DataFrame, *extra) -> dict:
 
 def fits_broadcast(stats: dict, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     return stats["rows"] <= max_rows and stats["bytes"] <= max_bytes
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_ROWS, materialize_small: bool = True,
-               max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """Join ``big`` with ``small``; broadcast ``small`` only when its measured size
-    is within both limits. Above them the join is a shuffle join that AQE may
-    still convert at runtime and whose skewed partitions it splits."""
-    if materialize_small:
-        small = materialize(small)
-    if fits_broadcast(size_stats(small), max_rows, max_bytes):
-        return big.join(F.broadcast(small), on, how), True
-    return big.join(small, on, how), False

@@ -15,11 +15,10 @@ containment theta-join is rewritten as an equi-join on an *anchor token*:
   followed by an apostrophe), so the text's interior non-word runs are the terms.
 * Every candidate is then verified with the exact boundary regex.
 
-Plan of ``match_posts`` (broadcast path): scan -> search text -> one hash
-exchange of the posts by key -> tokenise -> explode (one base row per post
-kept) -> broadcast left hash join with the anchors -> filter (byte-level
-``contains`` then the regex) -> project -> partial + final arg-max, already
-clustered by key. One shuffle in all; no join back to the posts. The anchor
+Plan of ``match_posts`` (broadcast path): scan -> search text -> tokenise -> explode
+(one base row per post kept) -> broadcast left hash join with the anchors -> filter
+(byte-level ``contains`` then the regex) -> project to slim rows -> partial arg-max ->
+one exchange by key -> final arg-max. No text is shuffled, no join back to the posts. The anchor
 table grows with the catalog, not with the posts; it is checkpointed and
 measured (rows, bytes) before broadcasting, and a salted shuffle join takes
 over above the limits.
@@ -68,7 +67,6 @@ DEFAULT_WEIGHTS = MatchWeights()
 # Anchor tables above this many rows (or BROADCAST_BYTES) are not broadcast.
 BROADCAST_ANCHOR_ROWS = 2_000_000
 SALT_BUCKETS = 16  # minimum; see salt_buckets_for
-MAX_CATALOG_PARTITIONS = 512
 
 
 # ---------------------------------------------------------------- columns
@@ -280,11 +278,9 @@ def keyword_table(catalog: DataFrame, ord_col: str = "cat_ord",
                   rules: KeywordRules = DEFAULT_RULES) -> DataFrame:
     """One row per generated keyword: (ord, kw_ord, keyword, priority, match_type, carry...)."""
     kws = F.concat(*[gen_keywords(F.col(c), rules) for c in sources])
-    # Keyword generation is CPU-heavy per row and the catalog is small in bytes,
-    # so it tends to arrive in few partitions: spread it over the cores first
-    # (capped, so a large cluster does not get thousands of tiny tasks).
-    width = min(catalog.sparkSession.sparkContext.defaultParallelism, MAX_CATALOG_PARTITIONS)
-    spread = catalog.select(ord_col, *dict.fromkeys(carry + sources)).repartition(width)
+    # Keyword generation is CPU-heavy per row and the catalog is small in bytes, so it tends
+    # to arrive in few partitions: spread it by its ordinal, as wide as the session shuffles.
+    spread = catalog.select(ord_col, *dict.fromkeys(carry + sources)).repartition(F.col(ord_col))
     return (spread.select(ord_col, *carry, F.posexplode(kws).alias("kw_ord", "kw"))
             .select(ord_col, "kw_ord", F.col("kw.text").alias("keyword"),
                     F.col("kw.priority").alias("priority"), F.col("kw.type").alias("match_type"),
@@ -303,10 +299,10 @@ def best_per_keyword(keywords: DataFrame, ord_col: str = "cat_ord",
     hit = F.struct(
         F.col("score"), F.col(ord_col).alias("cat_ord"), F.col("kw_ord"),
         F.col("name").alias("figure_name"), F.col("brand"), F.col("product_line"),
-        F.col("keyword").alias("matched_keyword"), F.col("match_type"),
+        F.col("keyword").alias("matched_keyword"), F.col("match_type"), F.col("priority"),
         match_confidence(F.col("priority"), F.length("keyword")).alias("confidence"))
-    order = F.struct(F.col("score"), (-F.col(ord_col)).alias("o1"), (-F.col("kw_ord")).alias("o2"))
-    return k.groupBy("keyword").agg(F.max_by(hit, order).alias("hit"))
+    order = F.struct((-F.col("score")).alias("o0"), F.col(ord_col).alias("o1"), F.col("kw_ord").alias("o2"))
+    return k.groupBy("keyword").agg(F.min_by(hit, order).alias("hit"))
 
 
 def keyword_anchors(best: DataFrame, min_run: int = 4) -> DataFrame:
@@ -369,10 +365,14 @@ def match_candidates(posts: DataFrame, anchors: DataFrame, key: str, with_runs:
     return cand.join(p, key).where(verify_hit()).select(key, "keyword", "hit")
 
 
+def hit_order() -> Column:
+    """Least first: highest score, then the catalog's order (any orderable type), then the keyword's."""
+    return F.struct((-F.col("hit.score")).alias("o0"), F.col("hit.cat_ord").alias("o1"), F.col("hit.kw_ord").alias("o2"))
+
+
 def best_match(verified: DataFrame, key: str) -> DataFrame:
     """Arg-max per post: highest score, then lowest catalog ordinal, then keyword ordinal."""
-    order = F.struct(F.col("hit.score"), (-F.col("hit.cat_ord")).alias("o1"), (-F.col("hit.kw_ord")).alias("o2"))
-    return verified.groupBy(key).agg(F.max_by(F.col("hit"), order).alias("best"))
+    return verified.groupBy(key).agg(F.min_by(F.col("hit"), hit_order()).alias("best"))
 
 
 @dataclass
@@ -439,20 +439,23 @@ def match_posts(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
                 created: str = "created_date", permalink: str = "permalink",
                 label_patterns: dict[str, str] | None = None,
                 permalink_prefix: str = PERMALINK_PREFIX, salt_buckets: int | None = None,
+                layout_partitions: int | None = None, anchors: Anchors | None = None,
                 **kw) -> DataFrame:
     """Every post once: best catalog link ('' when none) and detected issue labels.
 
     ``key`` must identify a post row uniquely (for dumps, where the same post
     can appear in two files, use file path + position).
 
-    The posts are hash-partitioned by key once, right after the scan. Both
-    consumers (the link, the labels) read that one exchange, the link's
-    arg-max aggregate is already clustered by key, and the final left join
-    is co-partitioned, so the whole plan has a single shuffle of the posts.
+    Posts are tokenised, joined and verified on the scan's own splits; only slim rows reach the
+    arg-max. ``layout_partitions`` spreads a tiny input that arrives in fewer splits than there are
+    cores (it shuffles the texts, so it is off by default). ``anchors`` takes a catalog prepared
+    before (``prepare_anchors``), for callers that link many batches.
     """
     prepared = posts.select(key, author, created, permalink,
-                            search_text(F.col(title), F.col(body)).alias("txt")).repartition(key)
-    a = prepare_anchors(catalog, **kw)
+                            search_text(F.col(title), F.col(body)).alias("txt"))
+    if layout_partitions:
+        prepared = prepared.repartition(layout_partitions, key)
+    a = anchors or prepare_anchors(catalog, **kw)
     cols = [F.col(author).alias("reddit_author"), F.col(created).alias("reddit_date"),
             F.concat(F.lit(permalink_prefix), F.coalesce(F.col(permalink), F.lit(""))).alias("reddit_permalink"),
             F.array_join(detect_labels(F.col("txt"), label_patterns), ", ").alias("detected_issues")]
@@ -480,8 +483,8 @@ def _one_pass(posts: DataFrame, a: Anchors, key: str, carry: list[str]) -> DataF
     """Link without joining back: every post keeps one base row (term position 0,
     or no terms at all) next to its verified hits, then one aggregate per key.
 
-    ``posts`` is hash-partitioned by ``key``, so the aggregate adds no shuffle;
-    the broadcast left join and the filter run in the explode's codegen stage.
+    Texts stay on the scan's own splits: only (key, hit, carried columns) reach the
+    aggregate's shuffle, and columns nobody reads are not computed.
     """
     p = posts.select(key, *carry, "txt", dehyphen(F.col("txt")).alias("txt_nh"))
     terms = post_terms(F.col("txt"), F.col("txt_nh"), a.with_runs, a.min_len)
@@ -490,9 +493,8 @@ def _one_pass(posts: DataFrame, a: Anchors, key: str, carry: list[str]) -> DataF
     ok = F.coalesce(F.col("keyword").isNotNull() & verify_hit(), F.lit(False))
     kept = j.where((F.coalesce(F.col("tpos"), F.lit(0)) == 0) | ok)
     hit = F.when(ok, F.col("hit"))
-    order = F.when(ok, F.struct(F.col("hit.score"), (-F.col("hit.cat_ord")).alias("o1"),
-                                (-F.col("hit.kw_ord")).alias("o2")))
-    # Project before aggregating so the sort below the aggregate holds no text;
-    # carry columns depend on the key only, so grouping by them adds no groups.
+    order = F.when(ok, hit_order())
+    # Project before aggregating, so no text is shuffled. Carried columns are the same in all rows of a key.
     slim = kept.select(key, *carry, hit.alias("hit"), order.alias("hit_order"))
-    return slim.groupBy(key, *carry).agg(F.max_by("hit", "hit_order").alias("best"))
+    return slim.groupBy(key).agg(F.min_by("hit", "hit_order").alias("best"),
+                                 *[F.any_value(c).alias(c) for c in carry])

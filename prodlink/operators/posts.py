@@ -10,8 +10,9 @@ from ..functions.text import epoch_to_iso, js_trim, text_preview
 # Fixed value: the flair the source keeps.
 DEFAULT_FLAIR = "Quality Issues"
 
+# Column titles of the posts export.
 POSTS_CSV_COLUMNS = [("id", "Post ID"), ("title", "Title"), ("author", "Author"), ("flair", "Flair"),
-                     ("created_date", "Created Date"), ("selftext", "Text (Preview)"),
+                     ("created_date", "Created Date"), ("preview", "Text (Preview)"),
                      ("permalink", "Permalink"), ("url", "URL")]
 
 
@@ -28,7 +29,7 @@ def _or_default(c: Column, default) -> Column:
 
 
 def project_posts(children: DataFrame, preview_chars: int = 500) -> DataFrame:
-    """Flatten with per-field defaults; ISO date; newline-free preview."""
+    """Flatten with per-field defaults; ISO date; the whole body, and a newline-free preview for the export."""
     p = lambda f: F.col(f"post.{f}")
     created = F.coalesce(p("created_utc"), F.lit(0.0))
     return children.select(
@@ -39,7 +40,8 @@ def project_posts(children: DataFrame, preview_chars: int = 500) -> DataFrame:
         _or_default(p("link_flair_text"), "No Flair").alias("flair"),
         created.alias("created_utc"),
         epoch_to_iso(created).alias("created_date"),
-        text_preview(p("selftext"), preview_chars).alias("selftext"),
+        _or_default(p("selftext"), "").alias("selftext"),
+        text_preview(p("selftext"), preview_chars).alias("preview"),
         _or_default(p("permalink"), "").alias("permalink"),
         _or_default(p("url"), "").alias("url"),
         F.coalesce(p("is_video"), F.lit(False)).alias("is_video"),

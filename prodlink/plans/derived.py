@@ -22,16 +22,23 @@ def _s(c: Column | int) -> Column:
 
 # ------------------------------------------------------------------ CAT
 
+CAT_ROWS = 1_000_000  # ordinals kept for one item: six million words
+
+
 def catalog_from_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CAT: catalog rows built from ``benchmark`` text; every 10th item repeats
-    with a larger ordinal so first-wins / last-wins are both exercised."""
+    """CAT: one catalog row per six consecutive words of ``benchmark`` text (the last row of an item is
+    filled up with ``end``); every 10th item's rows repeat with the next ordinal, as a second
+    vendor's, so first-wins / last-wins are both exercised. Even ordinals are vendor 0, odd ones vendor 1."""
     b = table(spark, sf_dir, "benchmark")
     w = F.split(F.trim(F.regexp_replace("text", "[^A-Za-z0-9]+", " ")), " ")
-    words = b.select("item_id", *[F.get(w, i).alias(f"w{i + 1}") for i in range(6)])
-    # Every 10th item again with ordinal item_id + 1000 (explode, not a union,
-    # so the projections above are planned once).
-    ords = F.when(F.col("item_id") % 10 == 0, F.array(F.col("item_id"), F.col("item_id") + 1000)) \
-        .otherwise(F.array(F.col("item_id")))
+    words = (b.select("item_id", w.alias("w"))
+             .select("item_id", "w", F.explode(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / 6).cast("int"))).alias("k"))
+             .select("item_id", "k", *[F.coalesce(F.get("w", F.col("k") * 6 + i), F.lit("end")).alias(f"w{i + 1}")
+                                       for i in range(6)]))
+    # Every 10th item again with the odd ordinal (explode, not a union, so the projections above
+    # are planned once).
+    first = (F.col("item_id") * CAT_ROWS + F.col("k")) * 2
+    ords = F.when(F.col("item_id") % 10 == 0, F.array(first, first + 1)).otherwise(F.array(first))
     n = words.select("*", F.explode(ords).alias("cat_ord"))
     i5, sp = F.col("item_id") % 5, F.lit(" ")
     w1, w2, w3, w4, w5, w6 = (F.col(f"w{i}") for i in range(1, 7))
@@ -121,7 +128,7 @@ def listing_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     tab = F.lit("\t")
     price = F.format_number(F.floor("p_retailprice").cast("bigint") * 10, 0)
-    code = F.when(k % 13 == 0, F.lit("NOCODE")).otherwise(F.concat(F.lit("FIGURE-"), F.lpad(_s(k), 6, "0")))
+    code = F.when(k % 13 == 0, F.lit("NOCODE")).otherwise(F.format_string("FIGURE-%012d", k))
     brand = F.when(k % 17 == 0, F.concat(F.lit("Maker"), tab, F.col("p_brand"))) \
         .otherwise(F.concat(F.lit("Brand"), tab, F.col("p_brand")))
     section = F.concat_ws(
@@ -191,6 +198,21 @@ def write_dump_files(spark: SparkSession, sf_dir: str, repeat_first: bool = True
     return root
 
 
+def document_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, value): listing documents whose posts have whole ``documents`` texts as bodies (names and
+    labels beyond the preview's 500 characters); one per block of document ids."""
+    d = table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    post = F.struct(_s(k).alias("id"), F.lit("").alias("title"), F.col("source").alias("author"),
+                    F.lit("Quality Issues").alias("link_flair_text"),
+                    (F.lit(1704067200) + k * 60).cast("double").alias("created_utc"), F.col("text").alias("selftext"),
+                    F.concat(F.lit("/r/"), F.col("lang"), F.lit("/comments/"), _s(k), F.lit("/")).alias("permalink"))
+    children = F.collect_list(F.struct(F.lit("t3").alias("kind"), post.alias("data")))
+    listing = F.to_json(F.struct(F.lit("Listing").alias("kind"), F.struct(children.alias("children")).alias("data")))
+    return (d.groupBy(F.expr(f"doc_id div {DUMP_BLOCK // 10}").alias("dump")).agg(listing.alias("value"))
+            .select(_s(F.col("dump")).alias("path"), "value"))
+
+
 def dump_documents(spark: SparkSession, sf_dir: str, repeat_first: bool = True) -> DataFrame:
     """(dump, value): the ENV listing documents as JSON text (see ``write_dump_files``)."""
     c = dump_children(spark, sf_dir)
@@ -201,23 +223,25 @@ def dump_documents(spark: SparkSession, sf_dir: str, repeat_first: bool = True)
     docs = c.groupBy("dump").agg(listing.alias("value"))
     if repeat_first:
         docs = docs.unionByName(docs.where("dump = 0").withColumn("dump", F.lit(-1).cast("long")))
-    # the two broken files ride on one existing event row (a pushed-down filter, no aggregate)
+    # a broken file, one without posts and one whose top level is an array ride on one existing event row (a pushed-down filter, no aggregate)
     extra = (c.where(F.col("event_id") == 0).select(
         F.explode(F.array(F.struct(F.lit(-2).cast("long").alias("dump"), F.lit('{"data": {"children": [{"data": ').alias("value")),
-                          F.struct(F.lit(-3).cast("long").alias("dump"), F.lit('{"kind": "Listing", "other": 1}').alias("value"))))
+                          F.struct(F.lit(-3).cast("long").alias("dump"), F.lit('{"kind": "Listing", "other": 1}').alias("value")),
+                          F.struct(F.lit(-4).cast("long").alias("dump"), F.lit('[{"data": {"children": [{"data": {"id": "x"}}]}}]').alias("value"))))
         .alias("x")).select("x.dump", "x.value"))
     return docs.unionByName(extra)
 
 
 # ------------------------------------------------------------------ CSV
 
-CSV_BLOCK = 1000  # customers per rendered CSV file
+CSV_BLOCK = 250  # customers per rendered CSV file
 CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
 def write_customer_csv(spark: SparkSession, sf_dir: str) -> str:
     """Render ``customer`` as CSV text with faults by key modulus: short rows (11), long rows (13),
-    quoted multi-line names (17), doubled quotes (23), blank lines (19), padded fields (29)."""
+    quoted multi-line names (17), doubled quotes (23), blank lines (19), padded fields (29).
+    By file: the columns in order, in reverse order, or with a further column in front."""
     from ..session import scratch_path
     root = scratch_path(spark, "customer_csv")
     c = table(spark, sf_dir, "customer")
@@ -226,14 +250,22 @@ def write_customer_csv(spark: SparkSession, sf_dir: str) -> str:
             .when(k % 23 == 0, F.concat(F.lit('"'), F.col("c_name"), F.lit(' ""q"""')))
             .otherwise(F.col("c_name")))
     key = F.when(k % 29 == 0, F.concat(F.lit("  "), _s(k), F.lit(" "))).otherwise(_s(k))
-    full = F.concat_ws(",", key, name, _s(F.col("c_nationkey")), _s(F.col("c_acctbal")), F.col("c_mktsegment"))
-    short = F.concat_ws(",", key, name, _s(F.col("c_nationkey")), _s(F.col("c_acctbal")))
+    bucket = F.expr(f"c_custkey div {CSV_BLOCK}")
+    cells = [key, name, _s(F.col("c_nationkey")), _s(F.col("c_acctbal")), F.col("c_mktsegment")]
+
+    def by_layout(b: Column, plain: list, reverse: list, more: list) -> Column:
+        return (F.when(b % 3 == 0, F.concat_ws(",", *plain)).when(b % 3 == 1, F.concat_ws(",", *reverse))
+                .otherwise(F.concat_ws(",", *more)))
+
+    full = by_layout(bucket, cells, cells[::-1], [F.lit("n"), *cells])
+    short = by_layout(bucket, cells[:-1], cells[:0:-1], [F.lit("n"), *cells[:-1]])
     line = F.when(k % 11 == 0, short).when(k % 13 == 0, F.concat(full, F.lit(",x"))).otherwise(full)
     line = F.when(k % 19 == 0, F.concat(line, F.lit("\n"))).otherwise(line)
-    bucket = F.expr(f"c_custkey div {CSV_BLOCK}")
     rows = c.select(bucket.alias("bucket"), k.alias("ord"), line.alias("value"))
     header = rows.select("bucket").distinct().select(
-        "bucket", F.lit(-1).cast("long").alias("ord"), F.lit(",".join(CUSTOMER_COLUMNS)).alias("value"))
+        "bucket", F.lit(-1).cast("long").alias("ord"),
+        by_layout(F.col("bucket"), *[[F.lit(n) for n in names] for names in (
+            CUSTOMER_COLUMNS, CUSTOMER_COLUMNS[::-1], ["note", *CUSTOMER_COLUMNS])]).alias("value"))
     (rows.unionByName(header).repartition("bucket").sortWithinPartitions("bucket", "ord")
      .select("bucket", "value").write.partitionBy("bucket").text(root))
     return root

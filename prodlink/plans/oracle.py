@@ -15,10 +15,15 @@ CAT_CTE = """
 cat_w AS (
   SELECT item_id, string_split(trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')), ' ') AS w
   FROM benchmark),
+cat_k AS (SELECT item_id, w, unnest(range(0, (len(w) - 1) // 6 + 1)) AS k FROM cat_w),
+cat_v AS (
+  SELECT item_id, (item_id * 1000000 + k) * 2 AS cat_ord, coalesce(w[6*k+1], 'end') AS w1, coalesce(w[6*k+2], 'end') AS w2,
+    coalesce(w[6*k+3], 'end') AS w3, coalesce(w[6*k+4], 'end') AS w4, coalesce(w[6*k+5], 'end') AS w5,
+    coalesce(w[6*k+6], 'end') AS w6 FROM cat_k),
 cat_n AS (
-  SELECT item_id, item_id AS cat_ord, w[1] AS w1, w[2] AS w2, w[3] AS w3, w[4] AS w4, w[5] AS w5, w[6] AS w6 FROM cat_w
+  SELECT * FROM cat_v
   UNION ALL
-  SELECT item_id, item_id + 1000, w[1], w[2], w[3], w[4], w[5], w[6] FROM cat_w WHERE item_id % 10 = 0),
+  SELECT * REPLACE (cat_ord + 1 AS cat_ord) FROM cat_v WHERE item_id % 10 = 0),
 cat AS (
   SELECT cat_ord,
     CASE item_id % 5 WHEN 0 THEN w1 || ' ' || w2
@@ -250,7 +255,7 @@ lsec AS (
     p_partkey = max(p_partkey) OVER (PARTITION BY p_partkey // 500) AS is_last,
     p_name, p_brand, p_type, p_size, cast(floor(p_retailprice) AS bigint) * 10 AS jpy,
     concat_ws(chr(10),
-      CASE WHEN p_partkey % 13 = 0 THEN 'NOCODE' ELSE 'FIGURE-' || lpad(cast(p_partkey AS varchar), 6, '0') END,
+      CASE WHEN p_partkey % 13 = 0 THEN 'NOCODE' ELSE printf('FIGURE-%012d', p_partkey) END,
       'About this item',
       'Release Date' || chr(9) || 'Mar-' || cast(2017 + p_partkey % 11 AS varchar) || chr(9) || 'List Price' || chr(9)
         || format('{:,}', cast(floor(p_retailprice) AS bigint) * 10) || ' JPY',
@@ -261,7 +266,7 @@ lsec AS (
       '[Set Contents]', 'Main Body x1', 'Details' || chr(9) || 'x') AS section
   FROM part),
 lcat AS (
-  SELECT source, pos, p_partkey, 'FIGURE-' || lpad(cast(p_partkey AS varchar), 6, '0') AS gcode, p_name AS name,
+  SELECT source, pos, p_partkey, printf('FIGURE-%012d', p_partkey) AS gcode, p_name AS name,
     CASE WHEN p_partkey % 17 = 0 THEN '' ELSE p_brand END AS brand, p_type AS product_line, '' AS series_title,
     'Mar-' || cast(2017 + p_partkey % 11 AS varchar) AS release_date, 'S' || cast(p_size AS varchar) AS sculptor,
     'PVC & ABS' AS material, 'Scale: 1/' || cast(p_size AS varchar) || chr(10) || 'Material: PVC & ABS' AS spec,

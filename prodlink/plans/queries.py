@@ -111,10 +111,10 @@ def q_dehyphenate(spark, sf):
 
 
 @register("union_catalogs", O.with_(O.CAT_CTE) + """
-SELECT CASE WHEN cat_ord < 1000 THEN 0 ELSE 1 END AS src_ord, cat_ord, name, brand FROM cat""")
+SELECT CAST(cat_ord % 2 AS INTEGER) AS src_ord, cat_ord, name, brand FROM cat""")
 def q_union_catalogs(spark, sf):
     cat = D.catalog_from_benchmark(spark, sf)
-    return union_catalogs([cat.where("cat_ord < 1000"), cat.where("cat_ord >= 1000")]) \
+    return union_catalogs([cat.where("cat_ord % 2 = 0"), cat.where("cat_ord % 2 = 1")]) \
         .select("src_ord", "cat_ord", "name", "brand")
 
 
@@ -156,16 +156,14 @@ def q_best_match(spark, sf):
 SELECT post_id, keyword AS matched_keyword, priority, confidence FROM best""")
 def q_match_confidence(spark, sf):
     b = _link_plan(spark, sf).best
-    kw = _kw_table(spark, sf)
-    prio = kw.select(F.col("cat_ord").alias("c"), F.col("kw_ord").alias("k"), "priority")
-    j = b.join(prio, (F.col("best.cat_ord") == F.col("c")) & (F.col("best.kw_ord") == F.col("k")))
-    return j.select("post_id", F.col("best.matched_keyword").alias("matched_keyword"), "priority",
-                    L.match_confidence(F.col("priority"), F.length("best.matched_keyword")).alias("confidence"))
+    return b.select("post_id", F.col("best.matched_keyword").alias("matched_keyword"),
+                    F.col("best.priority").alias("priority"), F.col("best.confidence").alias("confidence"))
 
 
-def _match_posts(spark, sf, labels=None):
+def _match_posts(spark, sf, labels=None, layout_partitions=None):
     posts = D.posts_from_documents(spark, sf).withColumn("created_date", T.epoch_to_iso(F.col("created_utc")))
-    return L.match_posts(posts, D.catalog_from_benchmark(spark, sf), label_patterns=labels)
+    return L.match_posts(posts, D.catalog_from_benchmark(spark, sf), label_patterns=labels,
+                         layout_partitions=layout_partitions)
 
 
 def _match_posts_sql(labels=None) -> str:
@@ -183,6 +181,18 @@ def q_match_posts(spark, sf):
     return _match_posts(spark, sf)
 
 
+_DUMP_LINK = O.with_(O.CAT_CTE, O.POST_CTE.replace("substr(replace(text, chr(10), ' '), 1, 80) AS title", "'' AS title"),
+                     O.KW_STEPS, O.HITS_STEPS)
+
+
+@register("link_dump_posts", _match_posts_sql(DATA_LABELS).replace(_LINK, _DUMP_LINK))
+def q_link_dump_posts(spark, sf):
+    """Posts parsed from listing dumps, linked and labelled on their whole bodies."""
+    posts = P.build_posts(SJ.parse_listing_documents(D.document_dumps(spark, sf)))
+    keyed = posts.withColumn("post_id", F.col("id").cast("bigint"))
+    return L.match_posts(keyed, D.catalog_from_benchmark(spark, sf), label_patterns=DATA_LABELS)
+
+
 @register("build_matches", _match_posts_sql(DATA_LABELS))
 def q_build_matches(spark, sf):
     return _match_posts(spark, sf, DATA_LABELS)
@@ -517,7 +527,9 @@ SELECT cast(c_custkey AS varchar) AS c_custkey,
   cast(c_nationkey AS varchar) AS c_nationkey, cast(c_acctbal AS varchar) AS c_acctbal, c_mktsegment
 FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 13 <> 0""")
 def q_src_csv_lenient(spark, sf):
-    return SC.read_csv_lenient(spark, D.write_customer_csv(spark, sf), D.CUSTOMER_COLUMNS)
+    path = D.write_customer_csv(spark, sf)
+    absent = SC.read_csv_lenient(spark, f"{path}-absent", D.CUSTOMER_COLUMNS)
+    return SC.read_csv_lenient(spark, path, D.CUSTOMER_COLUMNS).unionByName(absent)
 
 
 @register("sink_catalog_csv", _LIST + f"SELECT source, {O.CATALOG_COLS} FROM lcat WHERE brand <> ''")
@@ -530,7 +542,9 @@ def q_sink_catalog_csv(spark, sf):
 @register("sink_posts_csv", _POSTS_SQL)
 def q_sink_posts_csv(spark, sf):
     path = scratch_path(spark, "posts_csv")
-    SC.write_stage_csv(P.posts_csv_frame(P.build_posts(_children(spark, sf), "error")), path)
+    frame = P.posts_csv_frame(P.build_posts(_children(spark, sf), "error"))
+    SC.write_stage_csv(frame, path)
+    SC.write_stage_csv(frame.where("false"), path)  # an empty later run leaves the export alone
     return SC.read_stage_csv(spark, path, [t for _, t in P.POSTS_CSV_COLUMNS]).na.fill("")
 
 
@@ -543,15 +557,16 @@ def q_sink_matches_csv(spark, sf):
         .withColumn("post_id", F.col("post_id").cast("bigint"))
 
 
-RUN_DATE = "1999-06-30"
+RUN_DATE, NEXT_DATE = "1999-06-30", "1999-07-31"
 
 
 @register("sink_combined_csv", _COMB + f"""
-SELECT post_id, {', '.join(N.COMBINED_COLUMNS)}, '{RUN_DATE}' AS run_date FROM comb""")
+SELECT post_id, {', '.join(N.COMBINED_COLUMNS)}, unnest(['{RUN_DATE}', '{NEXT_DATE}']) AS run_date FROM comb""")
 def q_sink_combined_csv(spark, sf):
     path = scratch_path(spark, "combined_csv")
-    c = _combined(spark, sf).select("post_id", *N.COMBINED_COLUMNS).withColumn("run_date", F.lit(RUN_DATE))
-    SC.write_stage_csv(c, path, ["run_date"])
+    c = _combined(spark, sf).select("post_id", *N.COMBINED_COLUMNS)
+    for day in (RUN_DATE, NEXT_DATE):  # the second run keeps the first one's partition
+        SC.write_stage_csv(c.withColumn("run_date", F.lit(day)), path, ["run_date"])
     back = SC.read_stage_csv(spark, path, ["post_id", *N.COMBINED_COLUMNS])
     return back.withColumn("post_id", F.col("post_id").cast("bigint")) \
         .withColumn("run_date", F.col("run_date").cast("string"))

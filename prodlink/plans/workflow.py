@@ -53,15 +53,16 @@ def workflow_posts(spark: SparkSession, sf_dir: str, flair: str = "error") -> Da
 
 
 def run_workflow(spark: SparkSession, sf_dir: str, as_of_year: int = 1999,
-                 label_patterns: dict[str, str] | None = None) -> WorkflowResult:
+                 label_patterns: dict[str, str] | None = None,
+                 layout_partitions: int | None = None) -> WorkflowResult:
     """Stage 1 (two vendor catalogs) -> stage 2 (posts) -> stage 3 (link) -> stage 4 (enrich, validate)."""
     # The catalog feeds keyword generation, the last-wins dedupe and a size
     # check: materialise it once in the shared checkpoint folder.
     catalog = materialize(union_catalogs([D.catalog_from_benchmark(spark, sf_dir),
                                           listing_catalog(spark, sf_dir)]))
     posts = workflow_posts(spark, sf_dir)
-    matches = L.match_posts(posts, catalog, key="post_key", ord_col="link_ord", label_patterns=label_patterns)
-    combined = N.enrich_join(N.filter_matched(matches), catalog, as_of_year, ord_col="link_ord", key="post_key",
-                             materialize_catalog=False)
+    matches = L.match_posts(posts, catalog, key="post_key", ord_col="link_ord", label_patterns=label_patterns,
+                            layout_partitions=layout_partitions)
+    combined = N.enrich_join(N.filter_matched(matches), catalog, as_of_year, ord_col="link_ord", key="post_key")
     errors = N.validate_records(combined, key="post_key")
     return WorkflowResult(catalog, posts, matches, combined, errors)

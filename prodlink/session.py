@@ -7,7 +7,6 @@ unset (local runs, tests) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -52,6 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="prodlink-ckpt-")
     sc.setCheckpointDir(root)
     return root
@@ -59,7 +60,4 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the checkpoint root."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{checkpoint_root(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:12]}"

@@ -9,6 +9,10 @@ from the header are silently dropped. Here: an explicit all-string schema plus
 
 from __future__ import annotations
 
+import csv
+from urllib.parse import unquote
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,45 +22,72 @@ from ..functions.text import js_trim
 CORRUPT = "_corrupt_record"
 
 
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Header (column names) -> files that have it. One row per file reaches the driver, which lists
+    the files anyway. A file without a line has no header and no rows."""
+    lines = (spark.read.option("recursiveFileLookup", True).text(path)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+                     F.monotonically_increasing_id().alias("n"), "value"))
+    first = lines.groupBy("path").agg(F.min_by("value", F.struct("at", "n")).alias("line"))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for row in first.collect():
+        names = next(csv.reader([row["line"].lstrip("\ufeff").rstrip("\r")]), [])
+        out.setdefault(tuple(n.strip().replace('"', "") for n in names), []).append(unquote(row["path"]))
+    return out
+
+
 def read_csv_lenient(spark: SparkSession, path: str, columns: list[str], fill_empty: bool = True,
                      ordinal: str | None = None) -> DataFrame:
-    """Lenient scan; with ``ordinal`` adds (``path``, ``ordinal``) giving file order.
+    """Lenient scan: ``columns`` by the names in each file's own header row, whatever their order and
+    whatever other columns the file has; a column the file lacks is empty. A row's arity is
+    compared with its file's header. An absent path gives an empty table.
 
-    A multiLine CSV file is never split, so one task reads each file front to
-    back and ``monotonically_increasing_id`` increases in file order within
-    the file; together with the file path it orders rows (last-wins needs it).
+    With ``ordinal`` adds (``path``, ``ordinal``) giving file order. A multiLine CSV file is never
+    split, so one task reads each file front to back and ``monotonically_increasing_id``
+    increases in file order within the file; together with the file path it orders rows (last-wins needs it).
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                          + [T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.schema(schema)
-          .option("header", True).option("multiLine", True)
-          .option("quote", '"').option("escape", '"')
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-          .option("recursiveFileLookup", True)
-          .csv(path))
-    extra = []
-    if ordinal:
-        df = df.select("*", F.col("_metadata.file_path").alias("path"),
-                       F.monotonically_increasing_id().alias(ordinal))
-        extra = ["path", ordinal]
-    # The filter also reads the data columns: Spark refuses a query over raw CSV
-    # whose only referenced column is the corrupt-record one (e.g. a count()).
-    # Requiring the corrupt column turns CSV column pruning off, so every row
-    # is parsed whole and its arity checked.
-    ok = df.where(F.col(CORRUPT).isNull() & (F.length(F.concat_ws("\u0001", *columns)) >= 0))
-    clean = [js_trim(F.translate(F.col(c), '"\r', "")).alias(c) for c in columns]
-    out = ok.select(*clean, *extra)
-    return out.na.fill("") if fill_empty else out
+    extra = ["path", ordinal] if ordinal else []
+    schema = ", ".join(f"`{c}` string" for c in columns) + (f", path string, `{ordinal}` bigint" if ordinal else "")
+    try:
+        files = _headers(spark, path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        files = {}
+    out = spark.createDataFrame([], schema)
+    for names, paths in sorted(files.items()):
+        # Positions carry names of their own, so repeated or odd header names do no harm (the last one counts).
+        cells = {n: f"c{i}" for i, n in enumerate(names)}
+        raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]
+                           + [T.StructField(CORRUPT, T.StringType())])
+        df = (spark.read.schema(raw).option("header", True).option("multiLine", True)
+              .option("quote", '"').option("escape", '"')
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(sorted(paths)))
+        if ordinal:
+            df = df.select("*", F.col("_metadata.file_path").alias("path"),
+                           F.monotonically_increasing_id().alias(ordinal))
+        # The filter also reads the data columns: Spark refuses a query over raw CSV whose only
+        # referenced column is the corrupt-record one (e.g. a count()). Requiring the corrupt
+        # column turns CSV column pruning off, so every row is parsed whole and its arity checked.
+        ok = df.where(F.col(CORRUPT).isNull() & (F.length(F.concat_ws("\u0001", *cells.values())) >= 0))
+        clean = [js_trim(F.translate(F.col(cells[c]), '"\r', "")).alias(c) if c in cells
+                 else F.lit(None).cast("string").alias(c) for c in columns]
+        out = out.unionByName(ok.select(*clean, *extra))
+    return out.na.fill("", subset=columns) if fill_empty else out
 
 
 def write_stage_csv(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                    mode: str = "overwrite") -> None:
-    """Header + quoted fields; quotes inside values doubled."""
+                    mode: str = "overwrite") -> bool:
+    """Header + quoted fields; quotes inside values doubled. Nothing is written, and what an earlier run
+    left stays, when there are no rows. With ``partition_by`` only the partitions present are replaced."""
+    if df.isEmpty():
+        return False
     w = (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.csv(path)
+    return True
 
 
 def read_stage_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

@@ -30,23 +30,21 @@ LISTING_SCHEMA = T.StructType([
 def read_listing_dumps(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
     """(path, pos, post): children of every dump under ``root`` (recursively).
 
-    Each file is parsed whole (multiLine JSON) by one task; files are
-    independent. A malformed file or one without ``data.children`` yields no
-    rows. Duplicates across files are kept (UNION ALL semantics).
+    Each file is one JSON document, read whole by one task, as the format requires; files are
+    independent. A malformed file, one without ``data.children``, or one whose top level is not an
+    object yields no rows. Duplicates across files are kept (UNION ALL semantics).
     """
-    df = (spark.read.schema(LISTING_SCHEMA).option("multiLine", True)
-          .option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-          .option("mode", "PERMISSIVE").json(root))
-    return df.select(F.col("_metadata.file_path").alias("path"),
-                     F.posexplode(F.col("data.children")).alias("pos", "child")) \
-        .select("path", "pos", F.col("child.data").alias("post")) \
-        .where(F.col("post").isNotNull())
+    df = (spark.read.option("wholetext", True).option("pathGlobFilter", glob)
+          .option("recursiveFileLookup", True).text(root))
+    return parse_listing_documents(df.select(F.col("_metadata.file_path").alias("path"), "value"))
 
 
 def parse_listing_documents(docs: DataFrame, value: str = "value", path: str = "path") -> DataFrame:
     """Same rows as ``read_listing_dumps`` for listing JSON already held in a
-    string column (one document per row); unparsable documents yield nothing."""
-    parsed = docs.select(F.col(path).alias("path"), F.from_json(F.col(value), LISTING_SCHEMA).alias("doc"))
+    string column (one document per row); unparsable documents, and those whose top level is not an
+    object, yield nothing."""
+    objects = docs.where(F.ltrim(F.translate(F.col(value), "\ufeff\t\r\n", "   ")).startswith("{"))
+    parsed = objects.select(F.col(path).alias("path"), F.from_json(F.col(value), LISTING_SCHEMA).alias("doc"))
     return parsed.select("path", F.posexplode(F.col("doc.data.children")).alias("pos", "child")) \
         .select("path", "pos", F.col("child.data").alias("post")) \
         .where(F.col("post").isNotNull())

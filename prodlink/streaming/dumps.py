@@ -14,18 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import posts as P
-from ..sources.json_dump import LISTING_SCHEMA
+from ..sources.json_dump import parse_listing_documents
+
+
+ANCHOR_OPTIONS = ("ord_col", "rules", "weights", "broadcast_rows", "broadcast_bytes")
 
 
 def read_dump_stream(spark: SparkSession, root: str, glob: str = "*.txt",
                      max_files_per_trigger: int = 100) -> DataFrame:
     """Streaming (path, pos, post) rows from dump files under ``root``."""
-    df = (spark.readStream.schema(LISTING_SCHEMA).option("multiLine", True)
+    df = (spark.readStream.option("wholetext", True)
           .option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-          .option("maxFilesPerTrigger", max_files_per_trigger).json(root))
-    return df.select(F.col("_metadata.file_path").alias("path"),
-                     F.posexplode(F.col("data.children")).alias("pos", "child")) \
-        .select("path", "pos", F.col("child.data").alias("post")).where(F.col("post").isNotNull())
+          .option("maxFilesPerTrigger", max_files_per_trigger).text(root))
+    return parse_listing_documents(df.select(F.col("_metadata.file_path").alias("path"), "value"))
 
 
 def run_posts_stream(spark: SparkSession, root: str, out: str, checkpoint: str,
@@ -41,13 +42,16 @@ def run_posts_stream(spark: SparkSession, root: str, out: str, checkpoint: str,
 def run_link_stream(spark: SparkSession, root: str, catalog: DataFrame, out: str, checkpoint: str,
                     flair: str = P.DEFAULT_FLAIR, **link_kw) -> None:
     """Posts from new dumps linked to a static catalog in each micro-batch."""
-    from ..operators.link import match_posts
+    from ..operators.link import match_posts, prepare_anchors
+
+    anchors = prepare_anchors(catalog, **{k: v for k, v in link_kw.items() if k in ANCHOR_OPTIONS})  # once
+    rest = {k: v for k, v in link_kw.items() if k not in ANCHOR_OPTIONS}
 
     def link_batch(batch: DataFrame, batch_id: int) -> None:
         # foreachBatch is at-least-once: each batch overwrites its own folder,
         # so a batch replayed after a failure replaces its output, never doubles it.
         keyed = batch.withColumn("post_key", F.concat_ws(":", "path", F.col("pos").cast("string")))
-        match_posts(keyed, catalog, key="post_key", created="created_date", **link_kw) \
+        match_posts(keyed, catalog, key="post_key", created="created_date", anchors=anchors, **rest) \
             .write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
 
     posts = P.build_posts(read_dump_stream(spark, root), flair)

@@ -21,7 +21,11 @@ def test_shuffle_path_equals_broadcast_path_with_hot_key(spark):
     matches = _hot_matches(spark)
     cat = D.enrich_catalog_from_part(spark, SF_SMALL)
     a = sorted(map(tuple, N.enrich_join(matches, cat, 1999).collect()), key=str)
-    b = sorted(map(tuple, N.enrich_join(matches, cat, 1999, broadcast_rows=0).collect()), key=str)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = sorted(map(tuple, N.enrich_join(matches, cat, 1999).collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert a == b and len(a) == matches.count()
 
 
@@ -29,7 +33,7 @@ def test_semi_anti_partition_the_matches(spark):
     matches = N.filter_matched(D.enrich_matches_from_part(spark, SF_SMALL))
     cat = D.enrich_catalog_from_part(spark, SF_SMALL)
     semi = N.enrich_split(matches, cat, "left_semi").count()
-    anti = N.enrich_split(matches, cat, "left_anti", broadcast_rows=0).count()
+    anti = N.enrich_split(matches, cat, "left_anti").count()
     assert semi + anti == matches.count() and semi > 0 and anti > 0
 
 
