@@ -9,7 +9,7 @@
 4. Buckets whose members are not one component yet are gone through completely: every pair across
    components, again by signature, then on full sets. Small buckets are joined; large ones are
    compared in blocks of ``BLOCK`` x ``BLOCK`` members (one side without the bucket's largest component,
-   as every pair across components has a member outside it), and give out surviving pairs alone.
+   as every pair across components has a member outside it), and give out verified links alone.
 
 So no bucket is capped and no pair that shares a band is lost, but pairs inside a component are not
 tried. At similarity 0.85 a pair shares no band once in a million (24 bands of 5 places).
@@ -43,7 +43,8 @@ PLACES = BANDS * ROWS
 # spreads by less than 0.033, so a link falls under it about once in 100,000.
 LEAST_AGREEMENT = PERCENT / 100 - 0.14
 SMALL_BUCKET = 64
-BLOCK = 1024
+BLOCK = 1024                  # members of a block of a large bucket
+BLOCK_ELEMENTS = 1 << 21      # and shingles of their sets (16 MB)
 BROADCAST_NODES = 2_000_000   # 16 MB of ids
 
 _NULL_KEYS = -(1 << 62)       # keys below stand for rows without an id
@@ -124,58 +125,89 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                at = np.searchsorted(p, q)
-                at[at == len(p)] = 0
-                common = int((p[at] == q).sum()) if len(p) else 0
-                good.append(100 * common >= PERCENT * (len(p) + len(q) - common) and common > 0)
+            good = [_linked(_set_of(x.as_py()), _set_of(y.as_py())) for x, y in zip(batch.column(2), batch.column(3))]
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     return map_arrow(both, run, "a long, b long")
 
 
-def _across(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket in different components; those of large buckets agree in signature."""
+def _set_of(value: bytes) -> np.ndarray:
+    return np.frombuffer(value, np.uint64)
+
+
+def _linked(p: np.ndarray, q: np.ndarray) -> bool:
+    """Are two sorted sets similar enough?"""
+    if not len(p) or not len(q):
+        return False
+    at = np.searchsorted(p, q)
+    at[at == len(p)] = 0
+    common = int((p[at] == q).sum())
+    return 100 * common >= PERCENT * (len(p) + len(q) - common)
+
+
+def _open_buckets(members: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components, with the bucket's size and largest component."""
     sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("m"))
     open_ = (sizes.groupBy("bucket").agg(F.sum("m").alias("size"), F.count(F.lit(1)).alias("parts"),
                                          F.max_by("component", F.struct("m", "component")).alias("largest"))
              .filter("parts > 1").drop("parts"))
-    rows = stored(members.join(open_, "bucket"), "open-buckets")
+    return stored(members.join(open_, "bucket"), "open-buckets")
+
+
+def _pairs_of_small(rows: DataFrame) -> DataFrame:
+    """All pairs across components of buckets with SMALL_BUCKET members at most."""
     small = rows.filter(F.col("size") <= SMALL_BUCKET)
     x, y = (small.select("bucket", F.col("node").alias(n), F.col("component").alias(f"c{n}")) for n in "ab")
-    few = x.join(y, "bucket").filter("a < b and ca <> cb").select("a", "b")
-    large = (rows.filter(F.col("size") > SMALL_BUCKET).join(nodes.select("node", "n", "sig"), "node")
-             .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    return x.join(y, "bucket").filter("a < b and ca <> cb").select("a", "b").distinct()
+
+
+def _links_of_large(rows: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Verified links across components of the larger buckets, one per node and component it links to.
+
+    A block of members outside the largest component meets every block of the bucket; all its
+    pairs are tried there (in the first bucket that the two share) and only links leave the task.
+    """
+    large = rows.filter(F.col("size") > SMALL_BUCKET).join(nodes, "node")
+    weight = large.groupBy("bucket").agg(F.sum("n").alias("elements"))
+    large = (large.join(weight, "bucket")
+             .withColumn("blocks", F.ceil(F.greatest(F.col("size") / BLOCK, F.col("elements") / BLOCK_ELEMENTS)).cast("int"))
+             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .join(sets, "node"))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    # Left: members outside the largest component, against every block of members on the right.
-    outside = F.col("component") != F.col("largest")
-    kept = ["bucket", "node", "component", "n", "sig"]
-    left = large.filter(outside).select(*kept, F.col("block").alias("i"), F.explode(every).alias("j"), F.lit(True).alias("is_left"))
+    kept = ["bucket", "band", "node", "component", "n", "sig", "bands", "set"]
+    left = (large.filter(F.col("component") != F.col("largest"))
+            .select(*kept, F.col("block").alias("i"), F.explode(every).alias("j"), F.lit(True).alias("is_left")))
     right = large.select(*kept, F.explode(every).alias("i"), F.col("block").alias("j"), F.lit(False).alias("is_left"))
-    used = left.select("bucket", "i").distinct()  # left blocks with members
+    used = (rows.filter((F.col("size") > SMALL_BUCKET) & (F.col("component") != F.col("largest")))
+            .join(weight, "bucket").select("bucket", F.pmod(F.xxhash64("node"), F.ceil(F.greatest(
+                F.col("size") / BLOCK, F.col("elements") / BLOCK_ELEMENTS)).cast("int")).cast("int").alias("i")).distinct())
     blocks = left.union(right.join(used, ["bucket", "i"], "left_semi").select(left.columns))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        l, r = pdf[pdf["is_left"]], pdf[~pdf["is_left"]]
-        a_out, b_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        if len(l) and len(r):
-            ls, rs = (np.frombuffer(b"".join(s["sig"]), np.uint8).reshape(-1, PLACES) for s in (l, r))
-            ln, rn, lc, rc = l["n"].to_numpy(), r["n"].to_numpy(), l["component"].to_numpy(), r["component"].to_numpy()
-            ids, others = l["node"].to_numpy(), r["node"].to_numpy()
-            for k in range(len(l)):
-                may = np.flatnonzero((rc != lc[k]) & (100 * np.minimum(rn, ln[k]) >= PERCENT * np.maximum(rn, ln[k])))
-                may = may[(rs[may] == ls[k]).mean(axis=1) >= LEAST_AGREEMENT]
-                a_out.append(np.full(len(may), ids[k]))
-                b_out.append(others[may])
-        a, b = np.concatenate(a_out), np.concatenate(b_out)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    many = blocks.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
-    return few.union(many).distinct()
+        out: list[tuple[int, int]] = []
+        one, two = pdf[pdf["is_left"]], pdf[~pdf["is_left"]]
+        if len(one) and len(two):
+            sig = np.frombuffer(b"".join(two["sig"]), np.uint8).reshape(-1, PLACES)
+            bands = np.stack(two["bands"].to_numpy())
+            n, component, node = (two[c].to_numpy() for c in ("n", "component", "node"))
+            sets_ = [_set_of(x) for x in two["set"]]
+            for x in one.itertuples(index=False):
+                may = np.flatnonzero((component != x.component)
+                                     & (100 * np.minimum(n, x.n) >= PERCENT * np.maximum(n, x.n)))
+                may = may[(bands[may] == x.bands).argmax(axis=1) == x.band]
+                agree = (sig[may] == np.frombuffer(x.sig, np.uint8)).mean(axis=1)
+                own, done = _set_of(x.set), set()
+                for k in np.argsort(-agree, kind="stable"):
+                    if agree[k] < LEAST_AGREEMENT:
+                        break
+                    y = may[k]
+                    if component[y] not in done and _linked(own, sets_[y]):
+                        done.add(component[y])
+                        out.append((min(x.node, node[y]), max(x.node, node[y])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return blocks.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -186,17 +218,19 @@ def near_groups(docs: DataFrame) -> DataFrame:
                    .agg(F.min("key").alias("node"), F.first("n").alias("n"), F.first("sig").alias("sig"),
                         F.first("bands").alias("bands")), "classes")
     places = (nodes.select("node", F.posexplode("bands").alias("band", "h"))
-              .select("node", F.xxhash64("band", "h").alias("bucket")))
+              .select("node", "band", F.xxhash64("band", "h").alias("bucket")))
     shared = (places.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"))
               .filter("size > 1").drop("size"))
     members = stored(places.join(shared, "bucket"), "buckets")
-    met = stored(members.select("node").distinct().join(nodes.select("node", "n", "sig"), "node"), "met")
+    met = stored(members.select("node").distinct().join(nodes.drop("digest"), "node"), "met")
     sets = stored(_sets_of(docs, met.select("node").distinct()), "sets")
     stars = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     links = stored(_verified(_agreeing(stars, met), sets), "star-links")
     first = components(links)
-    named = members.join(first, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    more = stored(_verified(_agreeing(_across(named, met), met), sets), "more-links")
+    rows = _open_buckets(members.join(first, "node", "left")
+                         .select("bucket", "band", "node", F.coalesce("component", "node").alias("component")))
+    more = stored(_verified(_agreeing(_pairs_of_small(rows), met), sets)
+                  .union(_links_of_large(rows, met, sets)).distinct(), "more-links")
     last = first if more.isEmpty() else components(
         more.union(first.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     classes = (nodes.select("digest", "node").join(last, "node", "left")
