@@ -48,11 +48,14 @@ class _Words(dict):
 
 
 _PLAIN = re.compile("[\\x21-\u024f]+")              # characters whose class and case need no newer Unicode table
-_PRE_TOKENS = re.compile(                              # fixed value: the split pattern of this tokenizer
-    r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
+_PRE_TOKENS = re.compile(                              # fixed value: the split pattern of this tokenizer (and line ends)
+    r"\n|'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
 _ODD = re.compile("[\x7f-\xa0\xb2\xb3\xb9\xbc-\xbe]")  # spaces and digits of other classes: left to the library
 _ASCII_SPACE = np.zeros(256, bool)
 _ASCII_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_WORD_END = np.array([0xFFFFFFFF], np.uint32)          # no id
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -65,10 +68,15 @@ class WordBpe:
     """
 
     def __init__(self, path: str | None = None):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self._tokenizer = Tokenizer.from_file(path or tokenizer_path(WORD_BPE))
+        # The same model for pre-tokens that are already split, in lower case and composed.
+        self._pre_split = Tokenizer.from_str(self._tokenizer.to_str())
+        self._pre_split.normalizer = normalizers.Sequence([])
+        self._pre_split.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocab.values()) + 1, bool)
         self._ends[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
@@ -85,17 +93,24 @@ class WordBpe:
         """The library's ids of one text."""
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Each word's ids as the bytes of a uint32 array."""
+    @staticmethod
+    def _is_plain(w: str) -> bool:
+        """Can the word be split here, as the tokenizer would?"""
+        if w.isascii():
+            return w.isprintable() and "<|" not in w
+        return bool(_PLAIN.fullmatch(w)) and "<|" not in w and not _ODD.search(w) and is_normalized("NFC", w)
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        """Encode new words and add them to the sorted table."""
         if len(self._pieces) > CACHE_PIECES:
             self._pieces = {}
         pieces = self._pieces
-        split = [_PRE_TOKENS.findall(w.lower()) if _PLAIN.fullmatch(w) and "<|" not in w and "\u0130" not in w
-                 and "\xad" not in w and is_normalized("NFC", w) and not _ODD.search(w) else None for w in words]
-        new = list(dict.fromkeys(p for parts in split if parts for p in parts if p not in pieces))
+        plain = np.array([self._is_plain(w) for w in words], bool)
+        tokens = _PRE_TOKENS.findall("\n".join([w for w, p in zip(words, plain) if p]).lower() + "\n")
+        new = [t for t in dict.fromkeys(tokens) if t not in pieces and t != "\n"]
         for i in range(0, len(new), 4096):
             part = new[i:i + 4096]
-            ids = np.array(self._tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
+            ids = np.array(self._pre_split.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
                            np.uint32)
             cut = np.flatnonzero(self._ends[ids]) + 1
             if len(cut) == len(part) and cut[-1] == len(ids):
@@ -103,20 +118,20 @@ class WordBpe:
                 pieces.update((p, flat[a:b]) for p, a, b in zip(part, cut, cut[1:]))
             else:
                 pieces.update((p, self.plain(p).tobytes()) for p in part)
-        get = pieces.__getitem__
-        return [self.plain(w).tobytes() if parts is None else b"".join(map(get, parts))
-                for w, parts in zip(words, split)]
-
-    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        if len(self._keys) > CACHE_WORDS:
-            self._forget()
-        ids = self._encode_words(words)
-        lens = np.array([len(x) // 4 for x in ids], np.int64)
-        need = self._pool_size + int(lens.sum())
+        pieces["\n"] = _WORD_END.tobytes()
+        ids = np.frombuffer(b"".join(map(pieces.__getitem__, tokens)), np.uint32)
+        ends = np.flatnonzero(ids == _WORD_END[0])[:int(plain.sum())]
+        lens = np.diff(np.r_[-1, ends]) - 1
+        ids = ids[ids != _WORD_END[0]]
+        other = [self.plain(w) for w, p in zip(words, plain) if not p]
+        keys = np.concatenate([keys[plain], keys[~plain]])
+        lens = np.concatenate([lens, np.array([len(x) for x in other], np.int64)])
+        ids = np.concatenate([ids, *other])
+        need = self._pool_size + len(ids)
         if need > len(self._pool):
             self._pool = np.concatenate([self._pool[:self._pool_size], np.zeros(2 * need - self._pool_size, np.uint32)])
         at = self._pool_size + np.cumsum(lens) - lens
-        self._pool[self._pool_size:need] = np.frombuffer(b"".join(ids), np.uint32)
+        self._pool[self._pool_size:need] = ids
         self._pool_size = need
         every = np.concatenate([self._keys, keys])
         order = np.argsort(every)
@@ -129,6 +144,8 @@ class WordBpe:
         if len(self._power) <= n:
             self._power, self._inverse = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(2 * n, b, np.uint64)])
                                           for b in (np.uint64(_BASE), np.uint64(_INVERSE)))
+        if b"<|" not in raw.tobytes():  # else case may decide whether a marker is one
+            raw = _LOWER[raw]           # the tokenizer does so anyway; fewer distinct words
         word = ~_ASCII_SPACE[raw]
         edge = np.zeros(n + 1, bool)
         edge[off] = True
@@ -158,7 +175,14 @@ class WordBpe:
                 new, first = np.unique(k, return_index=True)
                 miss = np.arange(len(k))
             pick = short[miss[first]]
-            self._learn(new, [raw[s:e].tobytes().decode() for s, e in zip(starts[pick], ends[pick])])
+            if len(self._keys) > CACHE_WORDS:
+                self._forget()
+            # All new words in one string, each with a line end in place of what follows it.
+            after = np.cumsum(size[pick] + 1)
+            text = raw[np.minimum(np.repeat(starts[pick] - (after - size[pick] - 1), size[pick] + 1)
+                                  + np.arange(after[-1]), n - 1)]
+            text[after - 1] = 10
+            self._learn(new, text.tobytes().decode().split("\n")[:-1])
         if len(k):
             at[short], lens[short] = self._at[where], self._len[where]
         pool = self._pool
