@@ -67,7 +67,8 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer: str | None = None)
                  pa.array([len(t.encode()) for t in texts_], pa.int64()), pa.array(map(count, texts_), pa.int64())],
                 names=["content", "tokenizer", "n_bytes", "n_tokens"])
 
-    map_arrow(texts, encode, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
+    # Rows repeated whole were encoded each; the table takes a digest once.
+    map_arrow(texts, encode, CACHE_SCHEMA).dropDuplicates(["content"]).write.mode("append").parquet(cache_path)
     counts = (spark.read.schema(CACHE_SCHEMA).parquet(cache_path).filter(F.col("tokenizer") == ours)
               .groupBy("content").agg(F.max("n_bytes").alias("n_bytes"), F.max("n_tokens").alias("n_tokens")))
     return keys.join(counts, "content").select(plain_id("id").alias("doc_id"), "n_bytes", "n_tokens")
