@@ -28,7 +28,7 @@ from .operators import report as R
 from .session import scratch_path
 from .sources import csv_lenient as SC
 from .sources.json_dump import POST_FIELDS, read_listing_dumps
-from .sources.listing import read_listing_text
+from .sources.listing import read_listing_records
 
 
 def run_folders(spark: SparkSession, listings: str | None, dumps: str, out: str,
@@ -55,13 +55,15 @@ def run_folders(spark: SparkSession, listings: str | None, dumps: str, out: str,
 
     vendors: list[DataFrame] = []
     if listings:
-        catalog = kept(X.build_catalog(read_listing_text(spark, listings, listing_pattern), rate), "catalog")
+        catalog = kept(X.build_catalog_from_records(_listings(spark, listings, listing_pattern), rate), "catalog")
         SC.write_stage_csv(catalog.drop("pos"), os.path.join(out, "catalog"), ["source"])
         # catalog order: vendor folders by name, then the place in the file
-        vendors.append(catalog.withColumn("cat_ord", F.struct(F.col("source").alias("path"), F.col("pos").cast("long").alias("pos"))))
+        vendors.append(catalog.withColumn("cat_ord", F.struct("source", "pos.path", "pos.block", "pos.n", "pos.part")).drop("pos"))
     for path in catalog_csvs or []:
         rows = SC.read_csv_lenient(spark, path, X.CATALOG_COLUMNS, ordinal="pos")
-        vendors.append(rows.withColumn("cat_ord", F.struct("path", "pos")))
+        vendors.append(rows.withColumn("cat_ord", F.struct(
+            F.lit("").alias("source"), "path", F.lit(0).cast("long").alias("block"), F.col("pos").alias("n"),
+            F.lit(0).alias("part"))).drop("path", "pos"))
     if not vendors:
         raise ValueError("no catalog: give listing folders or catalog CSVs")
     merged = kept(union_catalogs(vendors), "merged")
@@ -96,6 +98,16 @@ def run_folders(spark: SparkSession, listings: str | None, dumps: str, out: str,
             | {"passed": result["errors"] == 0})
 
 
+def _listings(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """The listings' records; none where the path is absent."""
+    try:
+        return read_listing_records(spark, root, pattern)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "source string, path string, block long, n long, section string")
+
+
 def _or_none(spark: SparkSession, dumps: str) -> DataFrame:
     """The dumps' children; none where the path is absent."""
     try:

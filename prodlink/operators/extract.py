@@ -89,16 +89,10 @@ def filter_valid_records(parsed: DataFrame) -> DataFrame:
     return parsed.where((F.col("gcode") != "") & (F.col("brand") != ""))
 
 
-def build_catalog(docs: DataFrame, rate: float = JPY_TO_USD, spread: bool = True) -> DataFrame:
-    """Documents -> catalog rows (source, pos, catalog columns).
-
-    A few large files would leave the per-section regex work on a few tasks;
-    with ``spread`` the sections are redistributed over every core first.
-    """
-    sections = split_records(docs)
-    if spread:
-        sections = sections.repartition(docs.sparkSession.sparkContext.defaultParallelism)
-    parsed = parse_sections(sections, rate)
+def build_catalog(docs: DataFrame, rate: float = JPY_TO_USD) -> DataFrame:
+    """Whole documents -> catalog rows (source, pos, catalog columns); no shuffle. For files that
+    should be split over tasks see ``build_catalog_from_records``."""
+    parsed = parse_sections(split_records(docs), rate)
     return filter_valid_records(parsed).select("source", "pos", *CATALOG_COLUMNS)
 
 
@@ -106,12 +100,14 @@ def build_catalog_from_records(records: DataFrame, rate: float = JPY_TO_USD) ->
     """Catalog rows from ``read_listing_records`` output (the reader already split
     the files, so a single huge file is spread over many input splits).
 
-    Normalisation and comment removal run per record. Records carry no
-    position, so ``pos`` is null; the product code identifies the row.
+    Normalisation and comment removal run per record, then the record is split once more, for
+    separators that only show after them (CRLF files). ``pos`` is the struct (path, block, n, part):
+    the file, the input split's start, the record's order inside its split, the part of the record.
     """
-    sections = records.select("source", F.lit(None).cast("int").alias("pos"),
-                              prepare_document(F.col("section")).alias("section"))
-    return filter_valid_records(parse_sections(sections, rate)).select("source", "pos", *CATALOG_COLUMNS)
+    parts = (records.select("source", "path", "block", "n",
+                            F.posexplode(F.split(prepare_document(F.col("section")), r"\n-\n", -1)).alias("part", "section"))
+             .select("source", F.struct("path", "block", "n", "part").alias("pos"), "section"))
+    return filter_valid_records(parse_sections(parts, rate)).select("source", "pos", *CATALOG_COLUMNS)
 
 
 def count_sections(sections: DataFrame) -> DataFrame:

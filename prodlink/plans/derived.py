@@ -57,14 +57,20 @@ def catalog_from_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ POST
 
+LABEL_PHRASES = [" floppy arms", " a PAINT bleed", " snapped peg", " lost accessories", " it is bent", " stuck joint",
+                 " box damage"]
+
+
 def posts_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """POST: one post per document (title = first 80 chars of the text, body = whole text)."""
+    """POST: one post per document (title = first 80 chars of the text, body = whole text; behind it, by
+    key, one of ``LABEL_PHRASES``, so that every default label occurs)."""
     d = table(spark, sf_dir, "documents")
     created = F.lit(1704067200) + F.col("doc_id") * 60
     return d.select(
         F.col("doc_id").alias("post_id"),
         F.substring(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), 1, 80).alias("title"),
-        F.col("text").alias("selftext"),
+        F.concat("text", F.coalesce(F.get(F.array(*[F.lit(p) for p in LABEL_PHRASES]), F.col("doc_id").cast("int") % 29), F.lit("")))
+        .alias("selftext"),
         F.col("source").alias("author"),
         created.cast("double").alias("created_utc"),
         F.concat(F.lit("/r/"), F.col("lang"), F.lit("/comments/"), _s(F.col("doc_id")), F.lit("/"))

@@ -8,6 +8,7 @@ here; nothing in this module runs Spark.
 from __future__ import annotations
 
 from ..operators.link import ISSUE_PATTERNS
+from .derived import LABEL_PHRASES
 
 # ------------------------------------------------------------------ CAT / POST
 
@@ -39,7 +40,7 @@ cat AS (
 
 POST_CTE = """
 post AS (
-  SELECT doc_id AS post_id, substr(replace(text, chr(10), ' '), 1, 80) AS title, text AS selftext,
+  SELECT doc_id AS post_id, substr(replace(text, chr(10), ' '), 1, 80) AS title, text || coalesce(LABEL_LIST[doc_id % 29 + 1], '') AS selftext,
     source AS author, cast(1704067200 + doc_id * 60 AS double) AS created_utc,
     '/r/' || lang || '/comments/' || cast(doc_id AS varchar(20)) || '/' AS permalink
   FROM documents),
@@ -49,6 +50,9 @@ ptxt AS (
   FROM post)"""
 
 
+POST_CTE = POST_CTE.replace("LABEL_LIST", "[" + ", ".join(f"'{p}'" for p in LABEL_PHRASES) + "]")
+
+
 def iso_sql(x: str) -> str:
     """Epoch seconds -> ISO text with milliseconds, '' for 0 / null."""
     return (f"CASE WHEN coalesce({x}, 0) <> 0 THEN strftime(make_timestamp("

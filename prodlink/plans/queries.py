@@ -6,6 +6,7 @@ whole given tables. Column names are aliased identically in the oracle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -181,7 +182,7 @@ def q_match_posts(spark, sf):
     return _match_posts(spark, sf)
 
 
-_DUMP_LINK = O.with_(O.CAT_CTE, O.POST_CTE.replace("substr(replace(text, chr(10), ' '), 1, 80) AS title", "'' AS title"),
+_DUMP_LINK = O.with_(O.CAT_CTE, re.sub(r"text \|\| coalesce\(.*?, ''\) AS selftext", "text AS selftext", O.POST_CTE).replace("substr(replace(text, chr(10), ' '), 1, 80) AS title", "'' AS title"),
                      O.KW_STEPS, O.HITS_STEPS)
 
 
@@ -349,6 +350,13 @@ def _listing_docs(spark, sf):
     return SL.read_listing_text(spark, D.write_listing_files(spark, sf), pattern="*/*.txt")
 
 
+@register("src_listing_records", _LIST + f"SELECT source, {O.CATALOG_COLS} FROM lcat WHERE brand <> ''")
+def q_src_listing_records(spark, sf):
+    """The splittable reader: records cut by the reader, parsed one by one."""
+    records = SL.read_listing_records(spark, D.write_listing_files(spark, sf), pattern="*/*.txt")
+    return X.build_catalog_from_records(records).drop("pos")
+
+
 def _sections(spark, sf):
     return X.split_records(_listing_docs(spark, sf))
 

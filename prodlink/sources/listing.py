@@ -30,12 +30,14 @@ def read_listing_text(spark: SparkSession, root: str, pattern: str = "*/raw.txt"
 
 def read_listing_records(spark: SparkSession, root: str, pattern: str = "*/raw.txt",
                          sep: str = RECORD_SEP) -> DataFrame:
-    """(source, path, section) with the reader splitting records at ``sep``.
+    """(source, path, block, n, section) with the reader splitting records at ``sep``.
 
-    Splittable: a very large file is cut into many input splits. Normalisation
-    and comment removal then run per record (after the split), and records
-    carry no position; the record's code is its key.
+    Splittable: a very large file is cut into many input splits. Normalisation and comment
+    removal then run per record. ``block`` is where the record's input split starts and ``n``
+    increases inside a split, so (path, block, n) is the order of a file's records.
     """
     df = spark.read.text(f"{root.rstrip('/')}/{pattern}", lineSep=sep)
     path = F.col("_metadata.file_path")
-    return df.select(source_of(path).alias("source"), path.alias("path"), F.col("value").alias("section"))
+    return df.select(source_of(path).alias("source"), path.alias("path"),
+                     F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("n"), F.col("value").alias("section"))
