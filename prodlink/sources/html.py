@@ -2,20 +2,40 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Named entities decoded in heading text (``&amp;`` last).
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&")]
+# Named entities with their characters: those of HTML 4, and the apostrophe.
+ENTITIES = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
 
 H1 = r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>"
+_REFERENCE = r"\A(#[xX][0-9A-Fa-f]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point (decimal text); U+FFFD where there is none."""
+    n = code.try_cast("bigint")
+    valid = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise(F.lit("�"))
 
 
 def unescape_entities(c: Column) -> Column:
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    """Decode numeric and named entities, each once; anything else that starts with ``&`` stays."""
+    named = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, _REFERENCE, 1)
+        char = (F.when(F.lower(name).startswith("#x"), _character(F.conv(F.substring(name, 3, 99), 16, 10)))
+                .when(name.startswith("#"), _character(F.substring(name, 2, 99)))
+                .otherwise(F.try_element_at(named, name)))
+        rest = F.regexp_replace(part, _REFERENCE, "")
+        return F.when((name == "") | char.isNull(), F.concat(F.lit("&"), part)).otherwise(F.concat(char, rest))
+
+    parts = F.split(c, "&", -1)
+    tail = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
+    return F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))
 
 
 def heading_text(html: Column, pattern: str = H1) -> Column:
