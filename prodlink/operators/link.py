@@ -20,8 +20,8 @@ Plan of ``match_posts`` (broadcast path): scan -> search text -> tokenise -> exp
 (byte-level ``contains`` then the regex) -> project to slim rows -> partial arg-max ->
 one exchange by key -> final arg-max. No text is shuffled, no join back to the posts. The anchor
 table grows with the catalog, not with the posts; it is checkpointed and
-measured (rows, bytes) before broadcasting, and a salted shuffle join takes
-over above the limits.
+measured (rows, bytes) before broadcasting, and a shuffle join of slim rows
+takes over above the limits.
 """
 
 from __future__ import annotations
@@ -66,7 +66,6 @@ DEFAULT_WEIGHTS = MatchWeights()
 
 # Anchor tables above this many rows (or BROADCAST_BYTES) are not broadcast.
 BROADCAST_ANCHOR_ROWS = 2_000_000
-SALT_BUCKETS = 16  # minimum; see salt_buckets_for
 
 
 # ---------------------------------------------------------------- columns
@@ -347,22 +346,26 @@ def verify_hit() -> Column:
 
 
 def match_candidates(posts: DataFrame, anchors: DataFrame, key: str, with_runs: bool,
-                     broadcast_ok: bool, min_len: int = 1,
-                     salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Verified (key, keyword, hit) rows: anchor equi-join, then the exact regex."""
+                     broadcast_ok: bool, min_len: int = 1) -> DataFrame:
+    """Verified (key, keyword, hit) rows: anchor equi-join, then the exact regex.
+
+    Beyond the broadcast limit the join shuffles (key, term) and (anchor, keyword) rows only; tokens
+    that no anchor has are dropped by the join, and adaptive execution splits the partitions of
+    hot tokens. Texts meet their candidates by key; patterns are made from the keyword there
+    and the hits are fetched for verified keywords only.
+    """
     p = posts.select(key, "txt", dehyphen(F.col("txt")).alias("txt_nh"))
     terms = post_terms(F.col("txt"), F.col("txt_nh"), with_runs, min_len)
     if broadcast_ok:
         exploded = p.select(key, "txt", "txt_nh", F.explode(terms).alias("anchor"))
         cand = exploded.join(F.broadcast(anchors), "anchor")
         return cand.where(verify_hit()).select(key, "keyword", "hit")
-    # Large catalog: shuffle join on (anchor, salt). The salt spreads a hot
-    # token over ``salt_buckets`` tasks; the anchor side is replicated per salt.
-    salt = F.pmod(F.xxhash64(F.col(key)), F.lit(salt_buckets))
-    exploded = p.select(key, salt.alias("salt"), F.explode(terms).alias("anchor"))
-    salted = anchors.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("salt"))
-    cand = exploded.join(salted, ["anchor", "salt"]).select(key, "keyword", "pattern", "hit")
-    return cand.join(p, key).where(verify_hit()).select(key, "keyword", "hit")
+    terms_of = p.select(key, F.explode_outer(terms).alias("anchor")).where(F.col("anchor").isNotNull())
+    cand = terms_of.join(anchors.select("anchor", "keyword"), "anchor").select(key, "keyword").distinct()
+    checked = (cand.join(p, key).withColumn("pattern", keyword_pattern(F.col("keyword")))
+               .where(verify_hit()).select(key, "keyword"))
+    hits = anchors.groupBy("keyword").agg(F.any_value("hit").alias("hit"))
+    return checked.join(hits, "keyword").select(key, "keyword", "hit")
 
 
 def hit_order() -> Column:
@@ -405,7 +408,7 @@ def prepare_anchors(catalog: DataFrame, ord_col: str = "cat_ord",
     next to the posts: they are persisted and checkpointed into the shared
     checkpoint folder (lineage cut, survives executor loss), and one small
     aggregate over them gives the exact row count that decides broadcast vs.
-    salted shuffle, whether non-word runs are needed, and the shortest anchor.
+    shuffle, whether non-word runs are needed, and the shortest anchor.
     """
     kw = keyword_table(catalog, ord_col=ord_col, rules=rules)
     best_kw = best_per_keyword(kw, ord_col=ord_col, w=weights)
@@ -416,21 +419,14 @@ def prepare_anchors(catalog: DataFrame, ord_col: str = "cat_ord",
                    stats["runs"] > 0, stats["min_len"] or 1)
 
 
-def salt_buckets_for(spark) -> int:
-    """Salts for the shuffle path: a hot token is spread over this many tasks
-    (the anchor side is replicated as often). Scales with the shuffle width."""
-    return max(SALT_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions", "200")) // 64)
-
-
 def plan_link(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
               ord_col: str = "cat_ord", rules: KeywordRules = DEFAULT_RULES,
               weights: MatchWeights = DEFAULT_WEIGHTS,
-              broadcast_rows: int = BROADCAST_ANCHOR_ROWS, salt_buckets: int | None = None) -> LinkPlan:
+              broadcast_rows: int = BROADCAST_ANCHOR_ROWS) -> LinkPlan:
     """Build the link plan. ``posts`` needs ``key`` and ``txt`` (see ``search_text``)."""
     a = prepare_anchors(catalog, ord_col, rules, weights, broadcast_rows)
     verified = match_candidates(posts, a.anchors, key, with_runs=a.with_runs,
-                                broadcast_ok=a.broadcast, min_len=a.min_len,
-                                salt_buckets=salt_buckets or salt_buckets_for(posts.sparkSession))
+                                broadcast_ok=a.broadcast, min_len=a.min_len)
     return LinkPlan(a.keywords, a.best_per_keyword, a.anchors, verified, best_match(verified, key), a.broadcast)
 
 
@@ -438,7 +434,7 @@ def match_posts(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
                 title: str = "title", body: str = "selftext", author: str = "author",
                 created: str = "created_date", permalink: str = "permalink",
                 label_patterns: dict[str, str] | None = None,
-                permalink_prefix: str = PERMALINK_PREFIX, salt_buckets: int | None = None,
+                permalink_prefix: str = PERMALINK_PREFIX,
                 layout_partitions: int | None = None, anchors: Anchors | None = None,
                 **kw) -> DataFrame:
     """Every post once: best catalog link ('' when none) and detected issue labels.
@@ -463,8 +459,7 @@ def match_posts(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
     if a.broadcast:
         best = _one_pass(prepared.select(key, "txt", *cols), a, key, names)
     else:
-        verified = match_candidates(prepared.select(key, "txt"), a.anchors, key, a.with_runs, False, a.min_len,
-                                    salt_buckets or salt_buckets_for(posts.sparkSession))
+        verified = match_candidates(prepared.select(key, "txt"), a.anchors, key, a.with_runs, False, a.min_len)
         best = prepared.select(key, *cols).join(best_match(verified, key), key, "left")
     blank = F.lit("")
     return best.select(

@@ -194,6 +194,13 @@ def q_link_dump_posts(spark, sf):
     return L.match_posts(keyed, D.catalog_from_benchmark(spark, sf), label_patterns=DATA_LABELS)
 
 
+@register("match_posts_shuffle", _match_posts_sql())
+def q_match_posts_shuffle(spark, sf):
+    """The path for catalogs beyond the broadcast limit, forced."""
+    posts = D.posts_from_documents(spark, sf).withColumn("created_date", T.epoch_to_iso(F.col("created_utc")))
+    return L.match_posts(posts, D.catalog_from_benchmark(spark, sf), broadcast_rows=0)
+
+
 @register("build_matches", _match_posts_sql(DATA_LABELS))
 def q_build_matches(spark, sf):
     return _match_posts(spark, sf, DATA_LABELS)

@@ -119,7 +119,7 @@ def test_label_regex_boundary_rewrite_is_safe(spark):
 
 
 @pytest.mark.parametrize("seed", [4])
-def test_salted_shuffle_path_equals_broadcast_path(spark, seed):
+def test_shuffle_path_equals_broadcast_path(spark, seed):
     rng = random.Random(seed)
     names = _names(rng, 20)
     cat = spark.createDataFrame([(i, names[i], f"B{i % 3}", "L", names[(i + 7) % 20] if i % 2 else "")
