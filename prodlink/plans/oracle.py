@@ -295,3 +295,35 @@ ev0 AS (
     '/r/x/comments/' || cast(event_id AS varchar) || '/' AS permalink, '' AS url
   FROM events),
 ev AS (SELECT * FROM ev0 UNION ALL SELECT * REPLACE (-1 AS dump) FROM ev0 WHERE dump = 0)"""
+
+
+# ------------------------------------------------------------------ workflow
+
+def workflow_sql(columns: list[str], as_of: int, flair: str = "error") -> str:
+    """The whole workflow by brute force: two vendors' catalogs, documents and dump posts, link, combine."""
+    shared = "cat_ord, name, brand, product_line, series_title, release_date"
+    catalog = f"""
+wcat AS (
+  SELECT {shared}, NULL::varchar AS sculptor, NULL::varchar AS material, NULL::varchar AS spec FROM cat0
+  UNION ALL
+  SELECT (1::bigint << 50) + p_partkey, name, brand, product_line, series_title, release_date, sculptor, material, spec
+  FROM lcat WHERE brand <> ''),
+cat AS (SELECT {shared} FROM wcat)"""
+    texts = f"""
+wpost AS (
+  SELECT 'doc:' || post_id AS post_id, title, selftext, permalink FROM post
+  UNION ALL
+  SELECT 'dump:dump' || dump || ':' || pos, title, selftext, permalink FROM ev0 WHERE trim(flair_raw) = '{flair}'),
+ptxt AS (
+  SELECT post_id, permalink, lower(title || ' ' || replace(coalesce(selftext, ''), chr(10), ' ')) AS txt FROM wpost)"""
+    linked = f"""
+emm AS (
+  SELECT p.post_id, b.name AS figure_name, b.brand, b.product_line,
+    array_to_string({labels_sql('p.txt')}, ', ') AS detected_issues, 'https://reddit.com' || p.permalink AS reddit_permalink
+  FROM ptxt p JOIN best b USING (post_id) WHERE b.name <> '' AND b.brand <> ''),
+eclast AS (
+  SELECT lower(name) AS k_name, lower(brand) AS k_brand, arg_max(wcat, cat_ord) AS r FROM wcat GROUP BY 1, 2)"""
+    post = POST_CTE[:POST_CTE.index(",\nptxt AS")]
+    return (with_(LIST_CTE, ENV_CTE, CAT_CTE.replace("\ncat AS (", "\ncat0 AS ("), catalog, post, texts, KW_STEPS, HITS_STEPS,
+                  linked, combined_sql(as_of))
+            + f"SELECT post_id AS post_key, {', '.join(columns)} FROM comb")

@@ -629,6 +629,7 @@ def q_accuracy_rollup(spark, sf):
 
 
 
+@register("workflow", O.workflow_sql(N.COMBINED_COLUMNS, 1999))
 def flagship(spark, sf):
     """entry(): the whole workflow in one plan; the combined table is the result."""
     return W.run_workflow(spark, sf).combined.select("post_key", *N.COMBINED_COLUMNS)
