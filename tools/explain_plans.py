@@ -15,15 +15,14 @@ from prodlink.plans import workflow as W  # noqa: E402
 from prodlink.session import local_session  # noqa: E402
 
 NOTES = {
-    "workflow (entry)": "One exchange hash-partitions all posts by key (link + labels + arg-max run "
-                        "after it without another shuffle); one groups `events` children into "
-                        "listing documents, i.e. renders the dump fixture in memory; one is the "
-                        "last-wins dedupe of the small, checkpointed catalog that feeds the "
-                        "enrichment broadcast.",
-    "match_posts": "The single exchange is the posts by key; anchors are a checkpointed, size-checked broadcast.",
-    "build_catalog": "The exchange spreads listing sections over all cores before the regex extraction.",
+    "workflow (entry)": "No text is shuffled: the posts' exchange carries (key, hit, carried columns) into the arg-max. "
+                        "The others group `events` children into listing documents (the dump fixture, in memory), "
+                        "and deduplicate the catalog (last wins) for the enrichment join, which AQE plans.",
+    "match_posts": "The exchange carries slim rows into the arg-max; anchors are a checkpointed, size-checked broadcast.",
+    "match_posts_shuffle": "Beyond the broadcast limit: (post, term) and (anchor, keyword) rows, texts by key, hits by keyword.",
+    "build_catalog": "No exchange.",
 }
-NAMES = ["match_posts", "build_combined", "build_catalog", "build_posts", "src_csv_lenient", "validate_records"]
+NAMES = ["match_posts", "match_posts_shuffle", "build_combined", "build_catalog", "build_posts", "src_csv_lenient", "validate_records"]
 
 
 def plan_text(df) -> str:
