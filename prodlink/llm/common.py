@@ -62,6 +62,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table written by ``stored``, and let Spark drop the shuffle files of finished jobs."""
+    sc = df.sparkSession.sparkContext
+    for file in df.inputFiles()[:1]:
+        path = sc._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    sc._jvm.System.gc()
+
+
 def lower_az(col: Column) -> Column:
     """Lower-case A-Z only. Plain ASCII texts take the cheap built-in, which does the same there."""
     return F.when(F.octet_length(col) == F.length(col), F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))

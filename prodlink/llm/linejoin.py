@@ -5,17 +5,19 @@ distinct words are never touched. A line goes when an earlier line, by (doc_id,
 Jaccard similarity of ``4/5`` or more - whether that earlier line stays or not, so the result
 does not depend on any order of work.
 
-1. Rarity: occurrences of all words are counted into ``RARITY_SLOTS`` slots by hash. The counts, one
-   byte a slot, order words from rare to frequent (ties by hash); any order keeps the join exact.
-   More slots tell apart rarer words; raise them with the vocabulary.
+1. Rarity: occurrences of all words (as they are spelled) are counted into ``RARITY_SLOTS`` slots by
+   hash. The counts, one byte a slot, order words from rare to frequent (ties by hash); any order
+   keeps the join exact. More slots tell apart rarer words; raise them with the vocabulary.
 2. Lines with equal text are one class, led by its earliest line; all its other lines go.
-3. Prefix filter: similar lines share one of their n/5 + 1 rarest words. Class leaders meet under these
-   words, and a pair goes on only if it passes, inside the join, the length filter, the positional
-   filter (what can still follow the shared word) and a bitmap filter: each line carries 64
-   parities of its words' hashes, and every differing parity is a word that is not shared.
-4. First each line is compared with the two earliest lines under each of its words. In a family of
-   near-equal lines this settles nearly all, so that the family is never paired with itself. The
-   lines left over are compared with all earlier ones. Pairs are verified on the words.
+3. Families of near-equal lines are settled first, so that they are never paired with themselves: leaders
+   whose i-th smallest and i-th largest word hashes agree (i = 1 .. ``FAMILY_KEYS``) are compared with
+   the earliest of them, and those found similar are done. This only saves work.
+4. Prefix filter: similar lines share one of their n/5 + 1 rarest words. The leaders that are left meet
+   all earlier ones under these words, and a pair goes on only if it passes, inside the join, the
+   length filter, the positional filter (what can still follow the shared word) and a bitmap
+   filter: each line carries 64 parities of its words' hashes (192 more if it has over ``LONG_LINE``
+   words), and every differing parity is a word that is not shared.
+5. Pairs that pass the suffix bound on their whole prefixes are verified on the words themselves.
 
 Edge cases: null texts stay null and have no lines; empty lines stay; a null doc_id ranks first, told apart
 by text; rows that share a doc_id count as one document, line by line; repeated rows keep one
@@ -27,11 +29,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table, whole_text
+from .common import discard, stored, table, whole_text
 
 LEAST_WORDS = 5
 RARITY_SLOTS = 1 << 17
-LEADERS = 2                     # earliest lines under a word that everyone is compared with first
+FAMILY_KEYS = 3
+LONG_LINE = 80
 BROADCAST_ROWS = 2_000_000      # of ids, or of lists of removed places; beyond, the join shuffles
 BROADCAST_BYTES = 128 << 20
 
@@ -56,8 +59,8 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _rarity(docs: DataFrame) -> Column:
     """One character per slot, on a logarithmic scale: RARITY_SLOTS bytes whatever the corpus."""
-    words = (docs.select(F.lower(whole_text()).alias("t"))
-             .select(F.explode_outer(F.split(F.translate("t", "\n", " "), " ")).alias("w"))
+    words = (docs.select(F.replace(whole_text(), F.lit("\n"), F.lit(" ")).alias("t"))
+             .select(F.explode_outer(F.split("t", " ")).alias("w"))
              .groupBy(F.pmod(F.xxhash64("w"), F.lit(RARITY_SLOTS)).cast("int").alias("slot")).agg(F.count(F.lit(1)).alias("n")))
     level = F.least(F.lit(93), F.floor(4 * F.log2(F.col("n") + 1))).cast("int")
     out = bytearray(b"!" * RARITY_SLOTS)
@@ -66,31 +69,40 @@ def _rarity(docs: DataFrame) -> Column:
     return F.lit(bytes(out))
 
 
-def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """lines (id, place, same: digest of the line) and their classes: same, lines, id and place of the
-    leader, n words, prefix (hashes of the rarest words), bits (parities)."""
+def _same(line: Column) -> Column:
+    return F.unhex(F.md5(line))
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """Lines of equal text: same (digest), lines, id and place of the leader, n words, prefix (hashes of the
+    rarest words), bits (parities), keys (of families)."""
     rarity = _rarity(docs)
-    hashes = F.array_distinct(F.transform(_split_words(F.col("line")), lambda w: F.xxhash64(w)))
+    hashes = F.array_remove(F.array_distinct(F.transform(F.split("line", " "), lambda w: F.xxhash64(w))),
+                            F.xxhash64(F.lit("")))
     low = F.lit((1 << _HASH_BITS) - 1)
     ordered = F.sort_array(F.transform("h", lambda h: F.shiftleft(
         F.ascii(F.substring(rarity, F.pmod(h, F.lit(RARITY_SLOTS)).cast("int") + 1, F.lit(1)).cast("string")).cast("long"),
         _HASH_BITS).bitwiseOR(h.bitwiseAND(low))))
     # Parity of the words' hashes per bit number: one bit of each word, joined by exclusive or.
-    bits = F.aggregate("h", F.lit(0).cast("long"),
-                       lambda b, h: b.bitwiseXOR(F.call_function(
-                           "shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, 40), F.lit(64)).cast("int"))))
-    lines = stored(
-        _lines(docs).filter(F.length("line") >= 2 * LEAST_WORDS - 1)
-        .select("id", "place", F.unhex(F.md5("line")).alias("same"), hashes.alias("h"))
-        .filter(F.size("h") >= LEAST_WORDS)
-        .select("id", "place", "same", F.size("h").alias("n"), bits.alias("bits"),
-                F.transform(F.slice(ordered, 1, F.floor(F.size("h") / 5).cast("int") + 1),
-                            lambda x: x.bitwiseAND(low).cast("int")).alias("prefix")), "lines")
-    classes = stored(lines.groupBy("same").agg(
-        F.count(F.lit(1)).alias("lines"), F.min(F.struct("id", "place")).alias("lead"),
-        F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
-        .select("same", "lines", "lead.*", "n", "bits", "prefix"), "classes")
-    return lines.select("id", "place", "same"), classes
+    # (shiftleft takes its distance modulo 64.)
+    def parities(words: Column) -> Column:
+        return F.aggregate(words, F.lit(0).cast("long"), lambda b, h: b.bitwiseXOR(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 40).cast("int"))))
+
+    bits = parities(F.col("h"))
+    more = F.when(F.size("h") > LONG_LINE, F.array(*[
+        parities(F.filter("h", lambda h, k=k: F.pmod(h, F.lit(3)) == k)) for k in range(3)]))
+    keys = F.array(*[F.xxhash64(F.lit(i), F.get("s", F.lit(i)), F.get("s", F.size("s") - 1 - i)) for i in range(FAMILY_KEYS)])
+    lines = (_lines(docs).filter(F.length("line") >= 2 * LEAST_WORDS - 1)
+             .select("id", "place", _same(F.col("line")).alias("same"), hashes.alias("h"))
+             .filter(F.size("h") >= LEAST_WORDS)
+             .select("id", "place", "same", F.size("h").alias("n"), bits.alias("bits"), more.alias("more"), F.sort_array("h").alias("s"),
+                     F.transform(F.slice(ordered, 1, F.floor(F.size("h") / 5).cast("int") + 1),
+                                 lambda x: x.bitwiseAND(low).cast("int")).alias("prefix"))
+             .select("id", "place", "same", F.struct("n", "bits", "more", keys.alias("keys"), "prefix").alias("info")))
+    return stored(lines.groupBy("same").agg(
+        F.count(F.lit(1)).alias("lines"), F.min(F.struct("id", "place")).alias("lead"), F.first("info").alias("info"))
+        .select("same", "lines", "lead.*", "info.*"), "classes")
 
 
 def _small(df: DataFrame, bytes_a_row: int = 16) -> DataFrame:
@@ -99,55 +111,88 @@ def _small(df: DataFrame, bytes_a_row: int = 16) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS and n * bytes_a_row <= BROADCAST_BYTES else df
 
 
-def _candidates(later: DataFrame, earlier: DataFrame) -> DataFrame:
-    """Distinct pairs of lines (id, place, id2, place2) that pass all filters; both tables are members."""
-    x, y = later.alias("x"), earlier.alias("y")
+def _may_match(x: str, y: str) -> Column:
+    """Length and bitmap filters for two lines' columns n, bits and more."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+
+    def differ(a: Column, b: Column) -> Column:
+        return F.bit_count(a.bitwiseXOR(b))
+
+    a, b = F.col(f"{x}.more"), F.col(f"{y}.more")
+    spare = n + m - 2 * F.ceil(4 * (n + m) / 9)  # words not shared, at most
+    wide = F.coalesce(differ(F.get(a, F.lit(0)), F.get(b, F.lit(0))) + differ(F.get(a, F.lit(1)), F.get(b, F.lit(1)))
+                      + differ(F.get(a, F.lit(2)), F.get(b, F.lit(2))), F.lit(0))
+    return ((5 * n >= 4 * m) & (5 * m >= 4 * n) & (differ(F.col(f"{x}.bits"), F.col(f"{y}.bits")) <= spare) & (wide <= spare))
+
+
+def _family_pairs(classes: DataFrame) -> DataFrame:
+    """Leaders with the earliest leader of a common family key."""
+    w = Window.partitionBy("key").orderBy("id", "place")
+    rows = (classes.select(F.struct("n", "bits", "more").alias("x"), "id", "place", F.explode_outer("keys").alias("key"))
+            .withColumn("y", F.first(F.struct("x.n", "x.bits", "x.more", "id", "place")).over(w)))
+    return (rows.filter(((F.col("id") != F.col("y.id")) | (F.col("place") != F.col("y.place"))) & _may_match("x", "y"))
+            .select("id", "place", F.col("y.id").alias("id2"), F.col("y.place").alias("place2")).distinct())
+
+
+def _prefix_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
+    """Unsettled leaders with all earlier leaders under a common prefix word."""
+    words = (classes.select("id", "place", "n", "bits", "more", F.posexplode_outer("prefix").alias("rank", "word"))
+             .repartition(F.col("word")))  # one exchange for both sides of the join
+    x = words.join(_small(settled), ["id", "place"], "left_anti").alias("x")
+    y = words.alias("y")
     c = F.col
-    both = c("x.n") + c("y.n")
-    need = F.ceil(4 * both / 9)
     before = (c("y.id") < c("x.id")) | ((c("y.id") == c("x.id")) & (c("y.place") < c("x.place")))
-    length = (5 * c("x.n") >= 4 * c("y.n")) & (5 * c("y.n") >= 4 * c("x.n"))
     # At the pair's first shared word, that word and the shorter rest bound the overlap.
-    position = 1 + F.least(c("x.n") - c("x.rank"), c("y.n") - c("y.rank")) >= need
-    bitmap = both - F.bit_count(c("x.bits").bitwiseXOR(c("y.bits"))) >= 2 * need
-    return (x.join(y, (c("x.word") == c("y.word")) & before & length & position & bitmap)
+    position = F.least(c("x.n") - c("x.rank"), c("y.n") - c("y.rank")) >= F.ceil(4 * (c("x.n") + c("y.n")) / 9)
+    return (x.join(y, (c("x.word") == c("y.word")) & before & position & _may_match("x", "y"))
             .select("x.id", "x.place", c("y.id").alias("id2"), c("y.place").alias("place2")).distinct())
 
 
-def _similar(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, place) of lines with a verified earlier partner."""
+def _similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, place) of lines with a verified earlier partner; stored."""
     pairs = stored(pairs, "line-pairs")
-    ends = stored(pairs.select("id", "place").union(pairs.select("id2", "place2")).distinct(), "line-ends")
+
+    def with_ends(left: DataFrame, right: DataFrame, *cols: str) -> DataFrame:
+        a = right.select("id", "place", *cols)
+        b = right.select(F.col("id").alias("id2"), F.col("place").alias("place2"), *[F.col(x).alias(f"{x}2") for x in cols])
+        return left.join(a, ["id", "place"]).join(b, ["id2", "place2"])
+
+    # Suffix bound: of the two prefixes, the one that ends first in the order of rarity has all its shared
+    # words in the other one, so only the rest of that line can add to the words the prefixes share.
+    rest = F.greatest(F.col("n") - F.size("prefix"), F.col("n2") - F.size("prefix2"))
+    clashes = F.size("prefix") - F.size(F.array_distinct("prefix"))  # hidden by equal hashes inside a line
+    near = stored(with_ends(pairs, classes, "n", "prefix")
+                  .filter(F.size(F.array_intersect("prefix", "prefix2")) + clashes + rest >= F.ceil(4 * (F.col("n") + F.col("n2")) / 9))
+                  .select("id", "place", "id2", "place2"), "near-pairs")
+    ends = stored(near.select("id", "place").union(near.select("id2", "place2")).distinct(), "line-ends")
     ids = _small(stored(ends.select("id").distinct(), "line-docs"), 8)
-    words = (docs.filter(F.col("text").isNotNull()).select(_line_id().alias("id"), F.lower(whole_text()).alias("t"))
-             .join(ids, "id").select("id", F.posexplode_outer(F.split("t", "\n")).alias("place", "line"))
-             .join(_small(ends, 16), ["id", "place"], "left_semi")
-             .select("id", "place", F.array_distinct(_split_words(F.col("line"))).alias("words")))
-    words = stored(words, "line-words")
-    other = words.select(F.col("id").alias("id2"), F.col("place").alias("place2"), F.col("words").alias("words2"))
+    words = stored(
+        docs.filter(F.col("text").isNotNull()).select(_line_id().alias("id"), F.lower(whole_text()).alias("t"))
+        .join(ids, "id").select("id", F.posexplode_outer(F.split("t", "\n")).alias("place", "line"))
+        .join(_small(ends), ["id", "place"], "left_semi")
+        .select("id", "place", F.array_distinct(_split_words(F.col("line"))).alias("words")), "line-words")
     common = F.size(F.array_intersect("words", "words2"))
-    return (pairs.join(words, ["id", "place"]).join(other, ["id2", "place2"])
-            .filter(9 * common >= 4 * (F.size("words") + F.size("words2"))).select("id", "place").distinct())
+    out = stored(with_ends(near, words, "words")
+                 .filter(9 * common >= 4 * (F.size("words") + F.size("words2"))).select("id", "place").distinct(), "similar")
+    for df in (words, ends, near, pairs):
+        discard(df)
+    return out
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(id, place) of all lines to remove."""
-    lines, classes = _classes(docs)
-    here = Window.partitionBy("word")
-    members = stored(
-        classes.select("id", "place", "n", "bits", F.posexplode_outer("prefix").alias("rank", "word"))
-        .withColumn("rank", F.col("rank") + 1)
-        .withColumn("order", F.row_number().over(here.orderBy("id", "place")))
-        .withColumn("met", F.count(F.lit(1)).over(here)).filter("met > 1").drop("met"), "line-members")
-    first = stored(_similar(docs, _candidates(members, members.filter(F.col("order") <= LEADERS))), "settled")
-    left = members.join(_small(first), ["id", "place"], "left_anti")
-    second = _similar(docs, _candidates(left, members))
-    similar = stored(first.union(second).withColumn("similar", F.lit(True)), "similar-lines")
+    classes = _classes(docs)
+    first = _similar(docs, classes, _family_pairs(classes))
+    second = _similar(docs, classes, _prefix_pairs(classes, first))
+    similar = first.union(second).withColumn("similar", F.lit(True))
     # Classes with something to remove: further lines of the class, or all when the leader goes.
-    dirty = (classes.select("same", "lines", "id", "place").join(similar, ["id", "place"], "left")
-             .filter((F.col("lines") > 1) | F.col("similar"))
-             .select("same", F.col("id").alias("lead_id"), F.col("place").alias("lead_place"), "similar"))
-    return (lines.join(dirty, "same")
+    dirty = stored(classes.select("same", "lines", "id", "place").join(similar, ["id", "place"], "left")
+                   .filter((F.col("lines") > 1) | F.col("similar"))
+                   .select("same", F.col("id").alias("lead_id"), F.col("place").alias("lead_place"), "similar"), "dirty")
+    discard(classes)
+    return (_lines(docs).filter(F.length("line") >= 2 * LEAST_WORDS - 1)
+            .select("id", "place", _same(F.col("line")).alias("same"))
+            .join(dirty, "same")
             .filter(F.coalesce("similar", F.lit(False)) | (F.col("id") != F.col("lead_id"))
                     | (F.col("place") != F.col("lead_place"))).select("id", "place").distinct())
 
