@@ -57,18 +57,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, lineage cut, and
     safe against lost executors because the files do not live on them."""
-    path = shared_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = shared_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # Shuffle files of the finished job go once the driver has collected its garbage.
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:
-    """Delete a table written by ``stored``, and let Spark drop the shuffle files of finished jobs."""
+    """Delete a table written by ``stored`` that nothing reads any more."""
     sc = df.sparkSession.sparkContext
     for file in df.inputFiles()[:1]:
         path = sc._jvm.org.apache.hadoop.fs.Path(file).getParent()
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
-    sc._jvm.System.gc()
 
 
 def lower_az(col: Column) -> Column:
