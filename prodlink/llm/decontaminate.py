@@ -39,7 +39,7 @@ from .common import long_id, map_arrow, plain_id, stored, table, utf8_slices, wh
 WINDOW = 13
 SHINGLE = 5
 BLOCK_WORDS = 4_000_000
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE, _INVERSE = (np.uint64(x) for x in (0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)))
@@ -56,7 +56,7 @@ def words_of(raw: np.ndarray, off: np.ndarray):
     """(lower-cased bytes, word starts, word ends, word hashes, documents' offsets into the words)."""
     n = len(raw)
     if len(_powers[0]) <= n:
-        _powers[:] = [np.multiply.accumulate(np.r_[np.uint64(1), np.full(2 * n, b)]) for b in (_BASE, _INVERSE)]
+        _powers[:] = [np.multiply.accumulate(np.r_[np.uint64(1), np.full(n + n // 8, b)]) for b in (_BASE, _INVERSE)]
     low = _WORD[raw]
     word = low != 0
     edge = np.zeros(n + 1, bool)

@@ -46,7 +46,7 @@ GENERATIONS = 4
 SETTLED = 0.985      # a bin filled at least so far is not opened again
 ROUNDS = 6           # dealings at most; the last one is one instance if the loop has come so far
 WELL_FILLED = 0.97   # bins that crossover injects
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 PIECES = "id long, piece int, start long, length long, ids_crc32 long"
 

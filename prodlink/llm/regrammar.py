@@ -39,7 +39,7 @@ MAX_RULES = 16_000      # with about 49,400 ids, symbols then fit into two bytes
 LEAST_COUNT = 8         # a pair rarer than this is left alone
 BATCH_FACTOR = 16       # pairs within this factor of the most frequent are replaced in one round
 BATCH_LEAST = 512       # and at least this many pairs
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 FORMAT = ("part int, shard int, n_ids long, doc_id array<long>, doc_len array<long>, base long, "
           "width int, rules binary, expansion binary, symbols binary")

@@ -39,7 +39,7 @@ def shingle_sets(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """
     n, docs = len(raw), len(off) - 1
     if len(_powers[0]) <= n:
-        _powers[:] = [np.multiply.accumulate(np.r_[np.uint64(1), np.full(2 * n, b)]) for b in (_BASE, _INVERSE)]
+        _powers[:] = [np.multiply.accumulate(np.r_[np.uint64(1), np.full(n + n // 8, b)]) for b in (_BASE, _INVERSE)]
     word = ~_SPACE[raw]
     edge = np.zeros(n + 1, bool)
     edge[off] = True

@@ -17,7 +17,7 @@ import numpy as np
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
-CACHE_WORDS = 1_500_000  # words kept by one Python worker; the cache starts anew beyond that
+CACHE_WORDS = 800_000    # words kept by one Python worker; the cache starts anew beyond that
 CACHE_PIECES = 200_000   # and pre-tokens
 CACHE_CHARS = 64        # longer words (bytes) are encoded each time
 
@@ -142,7 +142,7 @@ class WordBpe:
         """UTF-8 bytes of some texts and their offsets -> ids of all, and each text's offsets into them."""
         n = len(raw)
         if len(self._power) <= n:
-            self._power, self._inverse = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(2 * n, b, np.uint64)])
+            self._power, self._inverse = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(n + n // 8, b, np.uint64)])
                                           for b in (np.uint64(_BASE), np.uint64(_INVERSE)))
         if b"<|" not in raw.tobytes():  # else case may decide whether a marker is one
             raw = _LOWER[raw]           # the tokenizer does so anyway; fewer distinct words
