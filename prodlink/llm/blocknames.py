@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from .common import LOWER, UPPER, long_id, lower_az, plain_id, stored, table, whole_text
 
 BLOCK_BYTES = 4096
+RUN = 64             # blocks cut from one copy of a stretch of text
 BUCKET_ROWS = 1024   # rows of one sorted bucket, on average
 HOT_KEYS = 4096      # a block is hot when it makes up more than 1/HOT_KEYS of all blocks
 HOT_LEAST = 64       # and has more rows than this
@@ -42,19 +43,24 @@ def _bucket_names(buckets: int, hashed: list[str], order: list[str]) -> tuple[Co
 
 def _first_names(docs: DataFrame) -> DataFrame:
     """(id, v, n, pos, name): n blocks, one row and one integer name per block."""
-    bytes_ = F.col("t").cast("binary")
+    def cut(bytes_: Column, size: Column, step: int) -> Column:
+        """Pieces of ``step`` bytes; at least one."""
+        last = F.greatest(F.lit(1), F.ceil(size / step)).cast("int") - 1
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(bytes_, i * step + 1, F.lit(step)))
+
+    # In two steps, as each cut copies what it is taken from. The outer form keeps the optimiser from
+    # adding a filter that would cut every text once more.
     n = F.greatest(F.lit(1), F.ceil(F.octet_length("t") / BLOCK_BYTES)).cast("int")
     blocks = (docs.select(long_id().alias("id"), normalised().alias("t"))
               .select("id", F.xxhash64("t").alias("v"), n.alias("n"),
-                      F.transform(F.sequence(F.lit(0), n - 1),
-                                  lambda i: F.substring(bytes_, i * BLOCK_BYTES + 1, F.lit(BLOCK_BYTES))).alias("b"))
-              .select("id", "v", "n", F.posexplode_outer("b").alias("pos", "block"))
-              .withColumn("h", F.xxhash64("block")))
+                      F.posexplode_outer(cut(F.col("t").cast("binary"), F.octet_length("t"), BLOCK_BYTES * RUN)).alias("run", "bytes"))
+              .select("id", "v", "n", "run", F.posexplode_outer(cut(F.col("bytes"), F.octet_length("bytes"), BLOCK_BYTES)).alias("at", "block"))
+              .select("id", "v", "n", (F.col("run") * RUN + F.col("at")).alias("pos"), "block", F.xxhash64("block").alias("h")))
     seen = Observation()
     frequent = stored(blocks.select("h").observe(seen, F.count(F.lit(1)).alias("rows"))
                       .groupBy("h").agg(F.count(F.lit(1)).alias("rows"))
                       .filter(F.col("rows") > HOT_LEAST), "block-counts")
-    total = seen.get["rows"]
+    total = 0 if docs.isEmpty() else seen.get["rows"]  # an empty plan observes nothing
     most = max(HOT_LEAST, total // HOT_KEYS)
     # At most HOT_KEYS rows: each stands for more than 1/HOT_KEYS of all blocks.
     hot = F.broadcast(frequent.filter(F.col("rows") > most).withColumnRenamed("rows", "hot_rows"))
