@@ -2,12 +2,16 @@
 
 Text is lower-cased; runs of non-letters become one space. Four-character windows of all learning
 documents are counted per language inside the scan tasks and summed by Spark. The language
-models (interpolated Kneser-Ney, lower orders from continuation counts) are estimated from
-windows that make up at least one in ``entries`` of their language's windows, so a model holds at
-most that many whatever the corpus (``ENTRIES`` per language, ``TOTAL_ENTRIES`` over all): a proven
-bound, and the counts behind it cover all documents. All orders are stored as sorted arrays of
-64-bit hashes with one row of log probabilities (a column per language) and are
-broadcast. A document gets the language with the lowest cross-entropy per character.
+models (interpolated Kneser-Ney, lower orders from continuation counts) are Spark aggregates over all
+these windows: continuation counts, context totals, discounts and probabilities of every order are
+tables that grow with the corpus, and no window or language is left out. Log probabilities are whole
+numbers of 1/``UNIT`` nat (an array by language), so sums do not depend on any order of work.
+
+Scoring: windows that make up at least one in ``entries`` of a language (``ENTRIES`` per language,
+``TOTAL_ENTRIES`` over all: a bound on their number) are broadcast with their final log probabilities and summed
+up in the scan tasks. All other windows of a document, counted, are joined to the tables; those that
+no language has are backed off there. The broadcast only saves work: results are the same without it.
+A document gets the language with the lowest cross-entropy per character.
 
 Rejection is calibrated on the same counts: the mean cross-entropy of language b's windows
 under model a is known for all a, b, and a prediction a counts as rejected (column
@@ -28,14 +32,16 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import held_out, map_arrow, table, whole_text
+from .common import held_out, map_arrow, stored, table, whole_text
 
 ORDER = 4
-ENTRIES = 1 << 17
-TOTAL_ENTRIES = 1 << 20
+ENTRIES = 1 << 17         # broadcast windows of a language; the others are joined
+TOTAL_ENTRIES = 1 << 20   # and of all languages
+UNIT = 1 << 20            # log probabilities are whole numbers of 1/UNIT nat
 SLICE_CHARS = 1 << 20
 FLUSH_WINDOWS = 1 << 22   # distinct windows that a task holds before it hands them on
 SHARPNESS = 8.0           # the score is a softmax of -SHARPNESS * cross-entropy per character
@@ -141,7 +147,7 @@ def count_windows(docs: DataFrame) -> DataFrame:
             .groupBy("lang", "window").agg(F.sum("n").alias("n")))
 
 
-# ---- model ------------------------------------------------------------------------------
+# ---- model in memory --------------------------------------------------------------------
 
 def _hash(keys: np.ndarray) -> np.ndarray:
     """One-to-one, so sorted hashes stand for the windows themselves."""
@@ -247,7 +253,7 @@ class Model:
 
 
 def build(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
-    """Model of all languages from their windows and counts."""
+    """Model of all languages from their windows and counts, in memory: what the tables of ``fit`` are checked against."""
     langs = sorted(counts)
     alphabet = len(np.unique(np.concatenate([_suffix(counts[x][0], 1) for x in langs]))) + 1 if langs else 1
     parts = [_KneserNey(*counts[x], alphabet) for x in langs]
@@ -270,51 +276,185 @@ def build(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     return model
 
 
-def fit(docs: DataFrame) -> Model:
-    """Counts over all learning documents; at most TOTAL_ENTRIES windows reach the driver."""
-    from .common import stored
-    counts = stored(count_windows(docs), "windows")
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    if not totals:
-        return build({})
-    entries = max(1, min(ENTRIES, TOTAL_ENTRIES // len(totals)))
-    total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    # A window kept makes up 1/entries of its language at least, so there are at most `entries`.
-    kept = (counts.join(total, "lang").filter(F.col("n") * entries >= F.col("total"))
-            .select("lang", "window", "n").toPandas())
-    return build({lang: (g["window"].to_numpy().view(np.uint64), g["n"].to_numpy(np.float64))
-                  for lang, g in kept.groupby("lang")})
+# ---- model in tables --------------------------------------------------------------------
+
+@dataclass
+class Tables:
+    langs: list[str]
+    grams: dict[int, DataFrame]      # by order: gram, log (array by language)
+    contexts: dict[int, DataFrame]   # by order: context, log of the weight of the next lower order
+    unknown: int
+    head: tuple[np.ndarray, np.ndarray]   # sorted windows, logs [windows, languages]
+    reject_above: list[float]
+
+
+def _tail(gram: Column, order: int) -> Column:
+    return gram.bitwiseAND(F.lit((1 << 16 * order) - 1))
+
+
+def _context(gram: Column) -> Column:
+    return F.shiftrightunsigned(gram, 16)
+
+
+def _by_language(entries: Column, size: int, value) -> Column:
+    """Array over all languages from a list of structs with the language's number ``l``; absent ones are null in ``value``."""
+    known = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["l"], e)))
+    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: value(F.try_element_at(known, i), i))
 
 
-def identify(docs: DataFrame, model: Model, keep: list[str], reject: bool = False) -> DataFrame:
+def _fixed(p: Column) -> Column:
+    return F.transform(p, lambda x: F.round(F.log(x) * UNIT).cast("int"))
+
+
+def _discount(ones: int, twos: int) -> float:
+    return min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.05), 0.95)
+
+
+def fit(docs: DataFrame) -> Tables:
+    """Tables of all orders over all learning documents; at most TOTAL_ENTRIES windows reach the driver."""
+    spark = docs.sparkSession
+    windows_ = stored(count_windows(docs), "windows")
+    totals = {r["lang"]: r["n"] for r in windows_.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    langs = sorted(totals)
+    if not langs:
+        return Tables([], {}, {}, 0, (np.zeros(0, np.uint64), np.zeros((0, 0), np.int64)), [])
+    size = len(langs)
+    numbers = F.broadcast(spark.createDataFrame([(x, k) for k, x in enumerate(langs)], "lang string, l int"))
+    counts = {ORDER: windows_.join(numbers, "lang").select("l", F.col("window").alias("gram"), F.col("n").alias("c"))}
+    for order in range(ORDER - 1, 0, -1):  # in how many contexts a gram continues
+        counts[order] = stored(counts[order + 1].groupBy("l", _tail(F.col("gram"), order).alias("gram"))
+                               .agg(F.count(F.lit(1)).alias("c")), f"continuations-{order}")
+    discounts = {}
+    for order in counts:
+        seen = {r["l"]: r for r in counts[order].groupBy("l").agg(
+            F.count_if(F.col("c") == 1).alias("ones"), F.count_if(F.col("c") == 2).alias("twos")).collect()}
+        discounts[order] = [_discount(seen[k]["ones"], seen[k]["twos"]) for k in range(size)]
+    alphabet = counts[1].select("gram").distinct().count() + 1
+
+    grams, contexts, lower = {}, {}, None
+    for order in range(1, ORDER + 1):
+        discount = F.array(*map(F.lit, discounts[order]))
+        context = stored(
+            counts[order].groupBy("l", _context(F.col("gram")).alias("context"))
+            .agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"))
+            .groupBy("context").agg(F.collect_list(F.struct("l", "total", "kinds")).alias("e"))
+            .select("context", _by_language(F.col("e"), size, lambda e, i: F.coalesce(e["total"], F.lit(0))).alias("total"),
+                    _by_language(F.col("e"), size, lambda e, i: F.coalesce(
+                        F.get(discount, i) * e["kinds"] / e["total"], F.lit(1.0))).alias("weight")), f"contexts-{order}")
+        contexts[order] = context.select("context", _fixed(F.col("weight")).alias("log"))
+        rows = (counts[order].groupBy("gram").agg(F.collect_list(F.struct("l", "c")).alias("e"))
+                .withColumn("context", _context(F.col("gram"))).join(context, "context"))
+        if order > 1:
+            rows = rows.withColumn("tail", _tail(F.col("gram"), order - 1)).join(
+                lower.select(F.col("gram").alias("tail"), F.col("p").alias("q")), "tail")
+        else:
+            rows = rows.withColumn("q", F.array_repeat(F.lit(1 / alphabet), size))
+        p = _by_language(F.col("e"), size, lambda e, i: F.coalesce(
+            F.try_divide(F.greatest(e["c"] - F.get(discount, i), F.lit(0.0)), F.get("total", i)), F.lit(0.0))
+            + F.get("weight", i) * F.get("q", i))
+        lower = stored(rows.select("gram", "e", p.alias("p")), f"grams-{order}")
+        grams[order] = lower.select("gram", _fixed(F.col("p")).alias("log"))
+
+    rows = lower.select("gram", "e", _fixed(F.col("p")).alias("log"))
+    total = F.array(*[F.lit(totals[x]) for x in langs])
+    entries = max(1, min(ENTRIES, TOTAL_ENTRIES // size))
+    # A window of the head makes up 1/entries of a language at least, so there are at most `entries` a language.
+    head = (rows.filter(F.exists("e", lambda e: e["c"] * entries >= F.get(total, e["l"])))
+            .select("gram", "log").toPandas().sort_values("gram", key=lambda g: g.to_numpy().view(np.uint64)))
+    logs = np.stack(head["log"].to_list()).astype(np.int32) if len(head) else np.zeros((0, size), np.int32)
+    sums = {r["l"]: r for r in rows.select("log", F.explode("e").alias("e")).groupBy("e.l").agg(*[
+        F.sum((F.col("e.c") * F.get("log", F.lit(k))).cast("decimal(38,0)")).alias(f"s{k}") for k in range(size)]).collect()}
+    reject_above = []
+    for a in range(size):
+        mean = [-float(sums[b][f"s{a}"]) / UNIT / totals[langs[b]] for b in range(size)]
+        other = mean[:a] + mean[a + 1:]
+        reject_above.append((mean[a] + min(other)) / 2 if other else mean[a] + 1)
+    return Tables(langs, grams, contexts, round(-np.log(alphabet) * UNIT), (head["gram"].to_numpy().view(np.uint64), logs), reject_above)
+
+
+def _add(x: Column, y: Column) -> Column:
+    return F.zip_with(x, y, lambda a, b: a + b)
+
+
+def _log_probabilities(grams: DataFrame, model: Tables) -> DataFrame:
+    """(window, log) of distinct windows; those that no language has are backed off."""
+    none = F.array_repeat(F.lit(0), len(model.langs))
+    found = stored(grams.join(model.grams[ORDER].withColumnRenamed("gram", "window"), "window", "left"), "found")
+    rest, weights, logs = found.filter("log IS NULL").select("window"), {}, {}
+    for order in range(ORDER, 0, -1):
+        own = _tail(F.col("window"), order) if order < ORDER else F.col("window")
+        rest = (rest.withColumn("context", _context(own))
+                .join(model.contexts[order].withColumnRenamed("log", f"w{order}"), "context", "left").drop("context"))
+        if order < ORDER:
+            rest = (rest.withColumn("gram", own)
+                    .join(model.grams[order].withColumnRenamed("log", f"p{order}"), "gram", "left").drop("gram"))
+    log = F.array_repeat(F.lit(model.unknown), len(model.langs))
+    for order in range(1, ORDER + 1):
+        log = _add(F.coalesce(f"w{order}", none), log)
+        if order < ORDER:
+            log = F.coalesce(F.col(f"p{order}"), log)
+    return found.filter("log IS NOT NULL").union(rest.select("window", log.alias("log")))
+
+
+def identify(docs: DataFrame, model: Tables, keep: list[str], reject: bool = False) -> DataFrame:
     """Columns ``keep`` plus lang_pred, score, cross_entropy, rejected."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most TOTAL_ENTRIES rows per order
+    shared = docs.sparkSession.sparkContext.broadcast(model.head)  # at most TOTAL_ENTRIES rows
     source = docs.select(*keep, whole_text().alias("_l_text"))
-    schema = (source.drop("_l_text").schema.add("lang_pred", "string").add("score", "double")
-              .add("cross_entropy", "double").add("rejected", "boolean"))
+    size = len(model.langs)
+    schema = (source.drop("_l_text").schema.add("_l_sums", T.ArrayType(T.LongType())).add("_l_size", "long")
+              .add("_l_rest", T.ArrayType(T.LongType())).add("_l_times", T.ArrayType(T.IntegerType())))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        names = np.array(m.langs + ["und"], object)
+        known, logs = shared.value
         for batch in batches:
-            h, size = m.cross_entropy(batch.column(batch.num_columns - 1).to_pylist())
-            if len(m.langs):
-                best = np.argmin(h, axis=1)
-                low = h[np.arange(len(h)), best]
-                share = np.exp(-SHARPNESS * (h - low[:, None]))
-                p = 1 / share.sum(axis=1)
-                bad = low > m.reject_above[best]
-            else:
-                best = np.zeros(len(h), int)
-                low, p, bad = np.zeros(len(h)), np.zeros(len(h)), np.ones(len(h), bool)
-            none = (size == 0) | (not m.langs)
-            best = np.where(none | (bad & reject), len(m.langs), best)
-            cols = [batch.column(i) for i in range(batch.num_columns - 1)]
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            sums, chars = np.zeros((len(texts), size), np.int64), np.zeros(len(texts), np.int64)
+            rest, times, ends = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], np.zeros(len(texts) + 1, np.int32)
+            for i, j in _slices(texts):
+                grams, at = windows(texts[i:j])
+                chars[i:j] = np.diff(at)
+                doc = np.repeat(np.arange(i, j), chars[i:j])
+                place = np.searchsorted(known, grams)
+                place[place == len(known)] = 0
+                hit = known[place] == grams if len(known) else np.zeros(len(grams), bool)
+                full = np.flatnonzero(chars[i:j])
+                if len(full) and len(known):
+                    sums[i + full] = np.add.reduceat(np.where(hit[:, None], logs[place], 0), at[:-1][full], axis=0, dtype=np.int64)
+                other, owner = grams[~hit], doc[~hit]
+                order = np.lexsort((other, owner))
+                other, owner = other[order], owner[order]
+                first = np.flatnonzero(np.r_[True, (other[1:] != other[:-1]) | (owner[1:] != owner[:-1])]) if len(other) else np.zeros(0, int)
+                rest.append(other[first])
+                times.append(np.diff(np.r_[first, len(other)]).astype(np.int32))
+                ends[i + 1:j + 1] = ends[i] + np.searchsorted(owner[first], np.arange(i, j), side="right")
             yield pa.RecordBatch.from_arrays(
-                [*cols, pa.array(names[best].tolist(), pa.string()), pa.array(np.where(none, 0.0, p)),
-                 pa.array(np.where(none, 0.0, low)), pa.array(bad | none)], names=schema.names)
-
-    return map_arrow(source, run, schema)
+                [*[batch.column(k) for k in range(batch.num_columns - 1)],
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * size), pa.array(sums.reshape(-1))),
+                 pa.array(chars), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rest).view(np.int64))),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(times)))], names=schema.names)
+
+    names = [F.col(c) for c in source.drop("_l_text").columns]
+    if not size:
+        return source.select(*names, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),
+                             F.lit(0.0).alias("cross_entropy"), F.lit(True).alias("rejected"))
+    # Rows get a number, fixed by storing them without their texts.
+    rows = stored(map_arrow(source, run, schema).withColumn("_l_row", F.monotonically_increasing_id()), "sums")
+    rest = rows.select("_l_row", F.explode(F.arrays_zip("_l_rest", "_l_times")).alias("r")).select(
+        "_l_row", F.col("r._l_rest").alias("window"), F.col("r._l_times").alias("n"))
+    joined = (rest.join(_log_probabilities(rest.select("window").distinct(), model), "window").groupBy("_l_row")
+              .agg(F.array(*[F.sum(F.col("n") * F.get("log", F.lit(k)).cast("long")) for k in range(size)]).alias("_l_more")))
+    h = F.transform(F.coalesce(_add(F.col("_l_sums"), F.col("_l_more")), F.col("_l_sums")),
+                    lambda x: -x / F.greatest(F.col("_l_size"), F.lit(1)) / UNIT)
+    none = F.col("_l_size") == 0
+    best = (F.array_position("_l_h", F.col("_l_low")) - 1).cast("int")
+    bad = F.col("_l_low") > F.get(F.array(*map(F.lit, model.reject_above)), best)
+    share = F.aggregate("_l_h", F.lit(0.0), lambda s, x: s + F.exp(-SHARPNESS * (x - F.col("_l_low"))))
+    return (rows.drop("_l_rest", "_l_times").join(joined, "_l_row", "left").withColumn("_l_h", h)
+            .withColumn("_l_low", F.array_min("_l_h"))
+            .select(*names, F.when(none | (bad if reject else F.lit(False)), "und")
+                    .otherwise(F.get(F.array(*map(F.lit, model.langs)), best)).alias("lang_pred"),
+                    F.when(none, 0.0).otherwise(1 / share).alias("score"),
+                    F.when(none, 0.0).otherwise(F.col("_l_low")).alias("cross_entropy"), (bad | none).alias("rejected")))
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,3 +56,44 @@ def test_rejection(spark):
     odd = spark.createDataFrame([(1, en), (2, de), (3, "zqxj wvkq jjxz qqwv kzxq")], "doc_id long, text string")
     got = {r.doc_id: r.lang_pred for r in I.identify(odd, model, ["doc_id"], reject=True).collect()}
     assert got == {1: "en", 2: "de", 3: "und"}
+
+
+def large_alphabet(lang, n, rng):
+    """Texts over 3,000 common characters that all languages share; which follow which differs by language."""
+    weights = 1 / np.arange(1, 3001)
+    draws = rng.choice(3000, (n, 60), p=weights / weights.sum())
+    for k in range(1, 60):
+        draws[:, k] = (draws[:, k] + draws[:, k - 1] * (lang + 2)) % 3000
+    return ["".join(chr(0x4E00 + c) for c in row) for row in draws]
+
+
+def test_no_window_is_cut(spark, monkeypatch):
+    """The tables give what all windows give in memory, however few are broadcast."""
+    rng = np.random.default_rng(3)
+    rows = [(i, t, f"l{k}") for k in range(3) for i, t in enumerate(large_alphabet(k, 60, rng), 1000 * k)]
+    rows += [(i, "only here: qqq \U00020000 " + t, "en" if i % 2 else None) for i, (_, t, _) in enumerate(rows[:20], 5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts = {}
+    for i, t, lang in rows:
+        if lang and zlib.crc32(str(i).encode()) % 5:
+            counts.setdefault(lang, []).append(I.windows([t])[0])
+    full = I.build({x: np.unique(np.concatenate(g), return_counts=True) for x, g in counts.items()})
+    want, _ = full.cross_entropy([t for _, t, _ in rows])
+    for entries in (1 << 17, 40):
+        monkeypatch.setattr(I, "ENTRIES", entries)
+        model = I.fit(docs)
+        got = {r.doc_id: r for r in I.identify(docs, model, ["doc_id"]).collect()}
+        assert sum(n for _, n in [(x, len(set(np.concatenate(g)))) for x, g in counts.items()]) > 8000
+        assert np.allclose(model.reject_above, full.reject_above, atol=1e-4)
+        for (i, _, _), h in zip(rows, want):
+            assert abs(got[i].cross_entropy - h.min()) < 1e-4 and got[i].lang_pred == full.langs[int(h.argmin())]
+
+
+def test_large_alphabet(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, t, f"l{k}") for k in range(2) for i, t in enumerate(large_alphabet(k, 5000, rng), 10_000 * k)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in I.identify(docs, I.fit(docs), ["doc_id"]).collect()}
+    out = [(i, lang) for i, _, lang in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    right = sum(got[i] == lang for i, lang in out) / len(out)
+    assert right > 0.97, right
