@@ -226,11 +226,19 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: repeated lines go; a document that lost lines and has none of LEAST_WORDS words left goes
-    too, as its content is elsewhere. n_chars is that of the remaining text."""
+    """Pipeline stage: repeated lines go. A document that lost lines goes too if nothing but white space is
+    left of it, or if it has no line of LEAST_WORDS words left and its whole remaining text is that of a document
+    that lost none, which stays. n_chars is that of the remaining text."""
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
-    return (dedup_lines(docs.select(*cols)).filter("_ld_left")
-            .withColumn("n_chars", F.when(F.col("_ld_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    rows = dedup_lines(docs.select(*cols))
+    same = _same(F.col("text"))
+    short = stored(rows.filter(~F.col("_ld_left") & F.col("text").rlike("(?U)\\S")).select(same.alias("same")).distinct(), "short-rests")
+    whole = stored(rows.filter((F.col("_ld_removed") == 0) & F.col("text").isNotNull()).select(same.alias("same"))
+                   .join(_small(short), "same", "left_semi").distinct(), "whole-texts")
+    rest = rows.filter("_ld_left").union(
+        rows.filter(~F.col("_ld_left") & F.col("text").rlike("(?U)\\S")).withColumn("same", same)
+        .join(_small(whole), "same", "left_anti").select(rows.columns))
+    return (rest.withColumn("n_chars", F.when(F.col("_ld_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
             .select(*cols))
 
 

@@ -65,3 +65,12 @@ def test_stage_drops_documents_without_own_content(spark):
     rows = {r.doc_id: (r.text, r.n_chars) for r in L.line_dedup_stage(spark, docs, "").collect()}
     own = "an own line of more than five words"
     assert rows == {1: (long_line, 9), 3: ("Hi.", 3), 4: (own, len(own))}
+
+
+def test_stage_keeps_short_lines_found_nowhere_else(spark):
+    long_line = "one two three four five six seven"
+    texts = [long_line, f"{long_line}\nroses\nare red", f"日本語の文章です\n{long_line}", f"{long_line}\na\tb\tc", f"{long_line}\n \t\u3000",
+             f"Hi.\n{long_line}", "Hi.", f"{long_line}\nyes\nno", "yes", "no"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS)
+    rows = {r.doc_id: r.text for r in L.line_dedup_stage(spark, docs, "").collect()}
+    assert rows == {0: long_line, 1: "roses\nare red", 2: "日本語の文章です", 3: "a\tb\tc", 6: "Hi.", 7: "yes\nno", 8: "yes", 9: "no"}
