@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import blocknames, decontaminate, digestcache, grouppack, langid, linejoin, neardup, perspectives, regrammar, subword
+from . import (blocknames, decontaminate, digestcache, grouppack, langid, linejoin, neardup, perspectives, regrammar, subword,
+               tokenalign)
 
 QUERIES = {
     "op1_exact_dedup": blocknames.op1_exact_dedup,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_chat_perspectives": perspectives.op8_chat_perspectives,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_near_dedup": neardup.op10_near_dedup,
+    "op11_token_alignment": tokenalign.op11_token_alignment,
 }
 
 ORACLES: dict[str, str] = {
