@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (blocknames, decontaminate, digestcache, grouppack, langid, linejoin, neardup, perspectives, regrammar, subword,
-               tokenalign)
+from . import (blocknames, decontaminate, digestcache, grouppack, langid, linejoin, neardup, perspectives, regrammar,
+               spellgram, subword, tokenalign)
 
 QUERIES = {
     "op1_exact_dedup": blocknames.op1_exact_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_near_dedup": neardup.op10_near_dedup,
     "op11_token_alignment": tokenalign.op11_token_alignment,
+    "op13_spelling_variants": spellgram.op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
