@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (blocknames, decontaminate, digestcache, grouppack, langid, linejoin, neardup, perspectives, regrammar,
-               spellgram, subword, tokenalign)
+from . import (blocknames, decontaminate, digestcache, divergence, grouppack, langid, linejoin, neardup, perspectives,
+               regrammar, spellgram, subword, tokenalign)
 
 QUERIES = {
     "op1_exact_dedup": blocknames.op1_exact_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_near_dedup": neardup.op10_near_dedup,
     "op11_token_alignment": tokenalign.op11_token_alignment,
+    "op12_quality_rules": divergence.op12_quality_rules,
     "op13_spelling_variants": spellgram.op13_spelling_variants,
 }
 
@@ -24,4 +25,5 @@ ORACLES: dict[str, str] = {
     "op1_exact_dedup": blocknames.OP1_SQL,
     "op4_line_dedup": linejoin.OP4_SQL,
     "op8_chat_perspectives": perspectives.OP8_SQL,
+    "op12_quality_rules": divergence.OP12_SQL,
 }
