@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import WS, js_trim
@@ -95,11 +95,14 @@ def dehyphenate(kws: Column, rules: KeywordRules = DEFAULT_RULES) -> Column:
     return F.concat(kws, extra)
 
 
-def base_keywords(s: Column, rules: KeywordRules = DEFAULT_RULES) -> Column:
-    """Rules 1-6 in emission order (no hyphen-free copies); empty for null / ''."""
+def name_parts(s: Column) -> dict[str, Column]:
+    """What the rules read of one string: lower-cased, without parentheticals, without version."""
     low = F.lower(s)
-    nop = parens_removed(low)
-    nov = version_removed(low)
+    return {"low": low, "nop": parens_removed(low), "nov": version_removed(low)}
+
+
+def keywords_of_parts(low: Column, nop: Column, nov: Column, words: Column, rules: KeywordRules = DEFAULT_RULES) -> Column:
+    """Rules 1-6 in emission order (no hyphen-free copies); empty for null / ''."""
     no_parens = F.when((nop != "") & (nop != low), F.array(_kw(nop, 2, "no-parens"))).otherwise(_empty())
     inside = F.filter(
         F.transform(F.regexp_extract_all(low, F.lit(r"\(([^)]+)\)"), 0),
@@ -108,12 +111,31 @@ def base_keywords(s: Column, rules: KeywordRules = DEFAULT_RULES) -> Column:
     parens_content = F.transform(inside, lambda t: _kw(t, 2, "parens-content"))
     no_version = F.when((nov != "") & (nov != low) & (nov != nop),
                         F.array(_kw(nov, 2, "no-version"))).otherwise(_empty())
-    words = name_words(nop)
     base = F.concat(F.array(_kw(low, 1, "full")), no_parens, parens_content, no_version,
                     word_ngrams(words, rules), significant_words(words, rules))
-    return F.when(F.coalesce(s, F.lit("")) == "", _empty()).otherwise(base)
+    return F.when(F.coalesce(low, F.lit("")) == "", _empty()).otherwise(base)
+
+
+def base_keywords(s: Column, rules: KeywordRules = DEFAULT_RULES) -> Column:
+    """Rules 1-6 for one string."""
+    p = name_parts(s)
+    return keywords_of_parts(p["low"], p["nop"], p["nov"], name_words(p["nop"]), rules)
 
 
 def gen_keywords(s: Column, rules: KeywordRules = DEFAULT_RULES) -> Column:
     """Ordered keyword structs for one string (rules 1-7); empty for null / ''."""
     return dehyphenate(base_keywords(s, rules), rules)
+
+
+def with_keywords(df: DataFrame, sources: tuple[str, ...], name: str, rules: KeywordRules = DEFAULT_RULES) -> DataFrame:
+    """``df`` with the keywords of all ``sources`` in one array: ``gen_keywords`` of each, concatenated.
+
+    Step by step, so that every intermediate value is computed once a row and not once for each use of it.
+    """
+    columns = df.columns
+    parts = [(f"_{i}_{part}", c) for i, s in enumerate(sources) for part, c in name_parts(F.col(s)).items()]
+    df = df.select(*columns, *[c.alias(n) for n, c in parts])
+    df = df.select("*", *[name_words(F.col(f"_{i}_nop")).alias(f"_{i}_words") for i in range(len(sources))])
+    df = df.select(*columns, *[keywords_of_parts(*(F.col(f"_{i}_{part}") for part in ("low", "nop", "nov", "words")), rules)
+                               .alias(f"_{i}") for i in range(len(sources))])
+    return df.select(*columns, F.concat(*[dehyphenate(F.col(f"_{i}"), rules) for i in range(len(sources))]).alias(name))

@@ -10,7 +10,7 @@ from ..session import checkpoint_root
 # Ceilings for a broadcast side. Both are checked on the materialised side:
 # the exact row count and the summed JSON length of its rows (a byte proxy).
 BROADCAST_ROWS = 2_000_000
-BROADCAST_BYTES = 256 * 1024 * 1024
+BROADCAST_BYTES = 64 * 1024 * 1024  # a hash table takes several times as much
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -7,21 +7,21 @@ containment theta-join is rewritten as an equi-join on an *anchor token*:
   in the lower-cased search text or in its hyphen-free copy.
 * Inside a match, every maximal word run of ``kw`` is a whole word token of the
   text; only the keyword's final run may carry a plural ``s``. So for one chosen
-  run ``t`` of ``kw`` (the longest), a match implies that the text's token set
-  holds ``t`` (or ``t + 's'`` when ``t`` ends the keyword). That is a necessary
-  condition that is an equality, so candidates come from an equi-join.
+  run ``t`` of ``kw``, a match implies that the text holds the token ``t`` (or ``t + 's'`` when ``t``
+  ends the keyword). That is an equality, so candidates come from an equi-join.
+* ``t`` is the run that stands at the fewest places of the posts (``token_frequencies``), so a word that is everywhere
+  does not meet every keyword that has it, however long the word is.
+* A candidate is settled at the place of its anchor: the words and the gaps around it must equal the
+  keyword's (``verify_place``). No regex runs over the text, and the cost of a check is the keyword's length, not the text's.
 * Keywords without any word character are anchored on their own text: in a
-  match they are a whole non-word run between two word characters (optionally
-  followed by an apostrophe), so the text's interior non-word runs are the terms.
-* Every candidate is then verified with the exact boundary regex.
-
-Plan of ``match_posts`` (broadcast path): scan -> search text -> tokenise -> explode
-(one base row per post kept) -> broadcast left hash join with the anchors -> filter
-(byte-level ``contains`` then the regex) -> project to slim rows -> partial arg-max ->
-one exchange by key -> final arg-max. No text is shuffled, no join back to the posts. The anchor
-table grows with the catalog, not with the posts; it is checkpointed and
-measured (rows, bytes) before broadcasting, and a shuffle join of slim rows
-takes over above the limits.
+  match they are a whole gap between two words (optionally followed by an apostrophe and an s).
+
+Plan of ``match_posts`` (broadcast path): scan -> search text -> words and gaps -> explode
+(one base row per post kept) -> broadcast left hash join with the anchors -> check of the place
+-> project to slim rows -> partial arg-max -> one exchange by key -> final arg-max. No text is
+shuffled, no join back to the posts. The anchor table grows with the catalog, not with the posts; it is
+checkpointed and measured (rows, bytes) before broadcasting, and ``position_join``, which shuffles
+hashes of words, takes over above the limits.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keywords import DEFAULT_RULES, KeywordRules, gen_keywords
-from ..functions.text import B, NONWORD, WORD, js_regex, regex_escape
+from ..functions.keywords import DEFAULT_RULES, KeywordRules, with_keywords
+from ..functions.text import B, WORD, js_regex, regex_escape
 from .joins import BROADCAST_BYTES, fits_broadcast, materialize, size_stats
 
 # Issue label -> pattern (JS flavour, case-insensitive), in dictionary order.
@@ -84,9 +84,9 @@ def word_tokens(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(f"{WORD}+"), 0)
 
 
-def interior_runs(c: Column, min_len: int) -> Column:
-    """Maximal non-word runs that sit between two word characters."""
-    return F.regexp_extract_all(c, F.lit(f"(?<={WORD}){NONWORD}{{{min_len},}}(?={WORD})"), 0)
+def gap_runs(c: Column) -> Column:
+    """What stands between the word tokens: before the first, between two, behind the last (one more than words)."""
+    return F.split(c, f"{WORD}+", -1)
 
 
 def match_score(priority: Column, keyword: Column, match_type: Column,
@@ -276,11 +276,10 @@ def keyword_table(catalog: DataFrame, ord_col: str = "cat_ord",
                   carry: tuple[str, ...] = ("name", "brand", "product_line"),
                   rules: KeywordRules = DEFAULT_RULES) -> DataFrame:
     """One row per generated keyword: (ord, kw_ord, keyword, priority, match_type, carry...)."""
-    kws = F.concat(*[gen_keywords(F.col(c), rules) for c in sources])
     # Keyword generation is CPU-heavy per row and the catalog is small in bytes, so it tends
     # to arrive in few partitions: spread it by its ordinal, as wide as the session shuffles.
     spread = catalog.select(ord_col, *dict.fromkeys(carry + sources)).repartition(F.col(ord_col))
-    return (spread.select(ord_col, *carry, F.posexplode(kws).alias("kw_ord", "kw"))
+    return (with_keywords(spread, sources, "kws", rules).select(ord_col, *carry, F.posexplode("kws").alias("kw_ord", "kw"))
             .select(ord_col, "kw_ord", F.col("kw.text").alias("keyword"),
                     F.col("kw.priority").alias("priority"), F.col("kw.type").alias("match_type"),
                     *carry))
@@ -304,68 +303,206 @@ def best_per_keyword(keywords: DataFrame, ord_col: str = "cat_ord",
     return k.groupBy("keyword").agg(F.min_by(hit, order).alias("hit"))
 
 
-def keyword_anchors(best: DataFrame, min_run: int = 4) -> DataFrame:
-    """(anchor, keyword, pattern, hit): one or two equality terms per keyword."""
-    toks = word_tokens(F.col("keyword"))
-    longest = F.aggregate(toks, F.element_at(toks, 1),
-                          lambda acc, t: F.when(F.length(t) > F.length(acc), t).otherwise(acc))
-    ends_word = F.col("keyword").rlike(f"{WORD}\\z")
-    plural = (F.element_at(toks, -1) == longest) & ends_word
-    word_anchor = F.when(plural, F.array(longest, F.concat(longest, F.lit("s")))).otherwise(F.array(longest))
-    run_anchor = F.array(F.col("keyword"), F.concat(F.col("keyword"), F.lit("'")))
-    anchors = F.when(F.size(toks) > 0, word_anchor).otherwise(run_anchor)
-    return best.select(F.explode(F.array_distinct(anchors)).alias("anchor"), "keyword",
-                       keyword_pattern(F.col("keyword")).alias("pattern"), "hit")
-
-
-def post_terms(txt: Column, txt_nh: Column, with_runs: bool, min_len: int = 1,
-               min_run: int = 4) -> Column:
-    """Distinct join terms of a post: word tokens of the text and, only when it has a
-    hyphen, of its hyphen-free copy (plus interior non-word runs if any keyword
-    needs them). Terms shorter than the shortest anchor cannot join and are dropped."""
-    empty = F.array().cast("array<string>")
-    has_hyphen = F.contains(txt, F.lit("-"))
-    parts = [word_tokens(txt), F.when(has_hyphen, word_tokens(txt_nh)).otherwise(empty)]
-    if with_runs:
-        parts += [interior_runs(txt, min_run), F.when(has_hyphen, interior_runs(txt_nh, min_run)).otherwise(empty)]
-    terms = F.array_distinct(F.concat(*parts))
-    return F.filter(terms, lambda t: F.length(t) >= min_len) if min_len > 1 else terms
-
-
-def verify_hit() -> Column:
-    """Exact check of a candidate: the boundary regex on the text or its hyphen-free copy.
-
-    A cheap byte-level ``contains`` of the keyword runs first (a necessary
-    condition), so the regex, which decodes the whole text, only runs on real
-    occurrences; the hyphen-free copy is only tried when the text has a hyphen.
+def keyword_anchors(best: DataFrame, frequencies: DataFrame | None = None) -> DataFrame:
+    """One or two equality terms per keyword, and what stands around them.
+
+    The anchor is the keyword's word run of least ``frequencies`` (term, n), the plural of a final run
+    counted in; ties go to the longest, then the first. Without frequencies a run counts as often as
+    keywords hold it. Columns: anchor, keyword, ``k`` (place of the anchor among the keyword's
+    ``m`` words, -1 for keywords without any), ``body`` (all words but the last), ``inner`` (the gaps between
+    words), ``last``, ``plural`` (may the last word carry an s?), ``lead`` and ``tail`` (what stands before the first
+    and behind the last word), hit.
+    """
+    terms = _terms_of(best)
+    if frequencies is None:
+        frequencies = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    # A keyword has one row per term: the array below is as long as the keyword has words.
+    run = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "k", "term")
+    found = (terms.join(frequencies, "term", "left").groupBy("keyword")
+             .agg(F.any_value("hit").alias("hit"), F.collect_list(F.when(F.col("term").isNotNull(), run)).alias("runs")))
+    w, g = F.col("w"), F.col("g")
+    parts = found.select("keyword", "hit", "runs", word_tokens(F.col("keyword")).alias("w"), gap_runs(F.col("keyword")).alias("g")) \
+        .select("keyword", "hit", "runs", "w", F.size(w).alias("m"), (F.element_at(g, -1) == "").alias("plural"),
+                F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))).alias("body"), F.try_element_at(w, F.lit(-1)).alias("last"),
+                F.slice(g, 2, F.greatest(F.size(g) - 2, F.lit(0))).alias("inner"),
+                F.element_at(g, 1).alias("lead"), F.element_at(g, -1).alias("tail"))
+    counted = F.transform(w, lambda t, i: F.struct(
+        F.aggregate(F.filter("runs", lambda r: r["k"] == i), F.lit(0).cast("long"), lambda a, r: a + r["n"]).alias("n"),
+        (-F.length(t)).alias("l"), i.alias("k")))
+    picked = parts.select("*", F.coalesce(F.array_min(counted)["k"], F.lit(-1)).alias("k"))
+    quoted = F.array("keyword", F.concat("keyword", F.lit("'")))
+    anchor = F.when(F.col("k") < 0, quoted).otherwise(F.transform(F.filter("runs", lambda r: r["k"] == F.col("k")), lambda r: r["term"]))
+    return picked.select(F.explode(anchor).alias("anchor"), "k", "keyword", "m", "body", "inner", "last", "plural", "lead", "tail", "hit")
+
+
+def _terms_of(best: DataFrame) -> DataFrame:
+    """keyword, hit, k, term: each word of a keyword and, where its final word may carry an s, that form; one row without
+    a term for a keyword without words."""
+    words = word_tokens(F.col("keyword"))
+    plural = F.when(F.col("keyword").rlike(f"{WORD}\\z"), F.array(F.concat(F.try_element_at("w", F.lit(-1)), F.lit("s"))))
+    terms = F.concat("w", F.coalesce(plural, F.array().cast("array<string>")))
+    return (best.select("keyword", "hit", words.alias("w")).select("keyword", "hit", F.size("w").alias("m"), F.posexplode_outer(terms))
+            .select("keyword", "hit", F.least(F.col("pos"), F.col("m") - 1).alias("k"), F.col("col").alias("term")))
+
+
+def anchor_terms(best: DataFrame) -> DataFrame:
+    """(term): every word a keyword's match can rest on, once."""
+    return _terms_of(best.select("keyword", F.lit(None).alias("hit"))).where(F.col("term").isNotNull()).select("term").distinct()
+
+
+def token_frequencies(posts: DataFrame, terms: DataFrame, broadcast_ok: bool) -> DataFrame:
+    """(term, n): at how many places of the posts (``txt`` and its hyphen-free copy) each of ``terms`` stands:
+    the join rows that an anchor costs.
+
+    One pass over the posts; each task counts before the shuffle, which carries one row per term and task.
+    """
+    txt = F.col("txt")
+    copies = F.when(F.contains(txt, F.lit("-")), F.array(txt, dehyphen(txt))).otherwise(F.array(txt))
+    found = posts.select(F.explode(copies).alias("t")).select(F.explode(word_tokens(F.col("t"))).alias("term"))
+    count = F.count(F.lit(1)).alias("n")
+    if broadcast_ok:
+        return found.join(F.broadcast(terms), "term").groupBy("term").agg(count)
+    return found.groupBy("term").agg(count).join(terms.hint("merge"), "term")
+
+
+def post_places(posts: DataFrame, key: str, carry: tuple[str, ...], with_runs: bool, outer: bool) -> DataFrame:
+    """One row per word of a post's text and of its hyphen-free copy: key, carried columns, ``v`` (0 text, 1 copy),
+    ``words``, ``gaps``, ``pos``, ``term``; with ``with_runs`` also the gaps, at places from size(words) on.
+
+    ``outer`` keeps a row for a text without terms. The arrays are references into the row, not copies: nothing is
+    materialised before a filter or projection has dropped them.
     """
-    txt, nh, kw, pat = F.col("txt"), F.col("txt_nh"), F.col("keyword"), F.col("pattern")
-    on_txt = F.contains(txt, kw) & F.rlike(txt, pat)
-    on_nh = F.contains(txt, F.lit("-")) & F.contains(nh, kw) & F.rlike(nh, pat)
-    return on_txt | on_nh
+    txt = F.col("txt")
+    copies = F.when(F.contains(txt, F.lit("-")), F.array(txt, dehyphen(txt))).otherwise(F.array(txt))
+    text = posts.select(key, *carry, F.posexplode(copies).alias("v", "t"))
+    split = text.select(key, *carry, "v", word_tokens(F.col("t")).alias("words"), gap_runs(F.col("t")).alias("gaps"))
+    terms = F.concat("words", "gaps") if with_runs else F.col("words")
+    explode = F.posexplode_outer if outer else F.posexplode
+    return split.select(key, *carry, "v", "words", "gaps", explode(terms).alias("pos", "term"))
 
 
-def match_candidates(posts: DataFrame, anchors: DataFrame, key: str, with_runs: bool,
-                     broadcast_ok: bool, min_len: int = 1) -> DataFrame:
-    """Verified (key, keyword, hit) rows: anchor equi-join, then the exact regex.
+def verify_place() -> Column:
+    """Does the keyword of an anchor row occur around this place? Equal to its boundary pattern (see ``keyword_pattern``).
 
-    Beyond the broadcast limit the join shuffles (key, term) and (anchor, keyword) rows only; tokens
-    that no anchor has are dropped by the join, and adaptive execution splits the partitions of
-    hot tokens. Texts meet their candidates by key; patterns are made from the keyword there
-    and the hits are fetched for verified keywords only.
+    A boundary makes words of the keyword whole words of the text and its gaps whole gaps. Where
+    the keyword begins or ends with a gap, a word must stand beyond it, or ``'s`` behind its end.
     """
-    p = posts.select(key, "txt", dehyphen(F.col("txt")).alias("txt_nh"))
-    terms = post_terms(F.col("txt"), F.col("txt_nh"), with_runs, min_len)
+    words, gaps, pos, m, k = (F.col(c) for c in ("words", "gaps", "pos", "m", "k"))
+    n, start = F.size(words), pos - k
+    first = F.greatest(start, F.lit(0)) + 1
+    end, s, quote = start + m, F.lit("s"), F.lit("'")
+    last = F.get(words, end - 1)
+    tail_gap = F.get(gaps, end)
+    worded = ((k >= 0) & (pos < n) & (start >= 0) & (end <= n)
+              & ((last == F.col("last")) | (F.col("plural") & (last == F.concat("last", s))))
+              & (F.slice(words, first, m - 1) == F.col("body")) & (F.slice(gaps, first + 1, m - 1) == F.col("inner"))
+              & ((F.col("lead") == "") | ((start > 0) & (F.get(gaps, start) == F.col("lead"))))
+              & ((F.col("tail") == "") | ((end < n) & (tail_gap == F.col("tail")))
+                 | ((tail_gap == F.concat("tail", quote)) & (F.get(words, end) == s))))
+    q = pos - n
+    bare = (k < 0) & (q > 0) & (q < n) & ((F.col("term") == F.col("keyword")) | (F.get(words, q) == s))
+    return F.coalesce(worded | bare, F.lit(False))
+
+
+def match_candidates(posts: DataFrame, anchors: DataFrame, key: str, with_runs: bool, broadcast_ok: bool) -> DataFrame:
+    """Verified (key, keyword, hit) rows: anchor equi-join, then the check around the anchor's place."""
     if broadcast_ok:
-        exploded = p.select(key, "txt", "txt_nh", F.explode(terms).alias("anchor"))
-        cand = exploded.join(F.broadcast(anchors), "anchor")
-        return cand.where(verify_hit()).select(key, "keyword", "hit")
-    terms_of = p.select(key, F.explode_outer(terms).alias("anchor")).where(F.col("anchor").isNotNull())
-    cand = terms_of.join(anchors.select("anchor", "keyword"), "anchor").select(key, "keyword").distinct()
-    checked = (cand.join(p, key).withColumn("pattern", keyword_pattern(F.col("keyword")))
-               .where(verify_hit()).select(key, "keyword"))
-    hits = anchors.groupBy("keyword").agg(F.any_value("hit").alias("hit"))
-    return checked.join(hits, "keyword").select(key, "keyword", "hit")
+        places = post_places(posts.select(key, "txt"), key, (), with_runs, outer=False)
+        cand = places.join(F.broadcast(anchors), F.col("term") == F.col("anchor"))
+        return cand.where(verify_place()).select(key, "keyword", "hit")
+    return position_join(posts, anchors, key, with_runs)
+
+
+def hashed_places(posts: DataFrame, key: str, with_runs: bool) -> DataFrame:
+    """``post_places`` as numbers only, no text: key, v, pos, h (the term), and hashes of what stands around it.
+
+    ``prev`` previous word and the gap behind it, ``this`` the word and the gap behind it, ``next`` next word, ``before`` and
+    ``after`` the gaps at both sides, ``after_s`` the gap without its final apostrophe where ``'s`` follows. Null where
+    there is nothing, and for the outer gaps of a text, beyond which no word stands.
+    """
+    words, gaps, pos, n = F.col("words"), F.col("gaps"), F.col("pos"), F.size("words")
+    q = pos - n
+    gap = F.get(gaps, pos + 1)
+    end_s = (F.get(words, pos + 1) == "s") & gap.endswith(F.lit("'"))
+    is_word = pos < n
+    here = post_places(posts.select(key, "txt"), key, (), with_runs, outer=False)
+    return here.where(is_word | ((q > 0) & (q < n))).select(
+        key, "v", F.when(is_word, pos).otherwise(-1 - q).alias("pos"), F.xxhash64("term").alias("h"),
+        F.when(is_word & (pos > 0), F.xxhash64(F.get(words, pos - 1), F.get(gaps, pos))).alias("prev"),
+        F.when(is_word, F.xxhash64("term", gap)).alias("this"),
+        F.when(is_word & (pos + 1 < n), F.xxhash64(F.get(words, pos + 1)))
+        .when(~is_word, F.xxhash64(F.get(words, q))).alias("next"),
+        F.when(is_word & (pos > 0), F.xxhash64(F.get(gaps, pos))).alias("before"),
+        F.when(is_word & (pos + 1 < n), F.xxhash64(gap)).alias("after"),
+        F.when(is_word & end_s, F.xxhash64(F.substr(gap, F.lit(1), F.length(gap) - 1))).alias("after_s"))
+
+
+def position_join(posts: DataFrame, anchors: DataFrame, key: str, with_runs: bool) -> DataFrame:
+    """``match_candidates`` for catalogs beyond the broadcast limit: no exchange carries a text.
+
+    Posts become rows of hashes (``hashed_places``). They meet the anchors by term; the neighbours of the anchor are compared
+    in the same row, which settles keywords of up to two or three words. For the rest each further
+    word of the keyword is looked up at its place (key, v, pos) and all must be there. Hashes have 64
+    bits. All joins are sort-merge joins on shuffled rows, whose hot terms adaptive execution splits; no side is broadcast.
+    """
+    places = hashed_places(posts, key, with_runs)
+    none, s = F.lit(None).cast("long"), F.lit("s")
+
+    def word(i: Column) -> Column:
+        return F.when(i == F.col("m") - 1, F.col("last")).otherwise(F.get("body", i))
+
+    def with_gap(i: Column) -> Column:
+        return F.xxhash64(F.get("body", i), F.get("inner", i))
+
+    k, m = F.col("k"), F.col("m")
+    asked = anchors.select(
+        F.xxhash64("anchor").alias("h"), F.xxhash64("keyword").alias("kid"), "k", "m", "plural",
+        F.when(k > 0, with_gap(k - 1)).alias("w_prev"), F.when((k >= 0) & (k < m - 1), with_gap(k)).alias("w_this"),
+        F.when((k >= 0) & (k < m - 1), F.xxhash64(word(k + 1))).alias("w_next"),
+        F.when(F.col("plural") & (k == m - 2), F.xxhash64(F.concat("last", s))).alias("w_next_s"),
+        F.when((k == 0) & (F.col("lead") != ""), F.xxhash64("lead")).alias("w_before"),
+        F.when((k >= 0) & (k == m - 1) & (F.col("tail") != ""), F.xxhash64("tail")).alias("w_after"),
+        F.when((k < 0) & (F.col("anchor") != F.col("keyword")), F.xxhash64(s)).alias("w_bare"),
+        ((k < 0) | (((k == 0) | ((k == 1) & (F.col("lead") == "")))
+                    & ((k == m - 1) | ((k == m - 2) & (F.col("tail") == ""))))).alias("settled"))
+
+    def same(have: str, want: str, *others: Column) -> Column:
+        test = F.col(have) == F.col(want)
+        for o in others:
+            test = test | o
+        return F.col(want).isNull() | F.coalesce(test, F.lit(False))
+
+    met = (places.join(asked.hint("merge"), "h")
+           .where(same("prev", "w_prev") & same("this", "w_this")
+                  & same("next", "w_next", F.col("next") == F.col("w_next_s"))
+                  & same("before", "w_before") & same("after", "w_after", F.col("after_s") == F.col("w_after"))
+                  & same("next", "w_bare"))
+           .select(key, "v", (F.col("pos") - F.col("k")).alias("start"), "kid", "k", "m", "settled"))
+    # Words of the keywords that one row cannot settle.
+    j = F.col("j")
+    element = (anchors.where((k >= 0) & (m > 2) | (F.col("tail") != "") | (F.col("lead") != "")).select(
+        F.xxhash64("keyword").alias("kid"), "m", "body", "inner", "last", "plural", "lead", "tail").distinct()
+        .withColumn("j", F.explode(F.sequence(F.lit(0), F.greatest(m - 1, F.lit(0))))).where(m > 0)
+        .select("kid", "j", F.when(j < m - 1, with_gap(j)).alias("w_this"),
+                F.when(j == m - 1, F.xxhash64("last")).alias("w_last"),
+                F.when((j == m - 1) & F.col("plural"), F.xxhash64(F.concat("last", s))).alias("w_last_s"),
+                F.when((j == 0) & (F.col("lead") != ""), F.xxhash64("lead")).alias("w_before"),
+                F.when((j == m - 1) & (F.col("tail") != ""), F.xxhash64("tail")).alias("w_after")))
+    looked_up = (met.where(~F.col("settled")).join(element.hint("merge"), "kid").where("j <> k")
+                 .select(key, "v", (F.col("start") + F.col("j")).alias("pos"), "start", "kid", "m",
+                         "w_this", "w_last", "w_last_s", "w_before", "w_after"))
+    known = anchors.select(F.explode(F.concat(
+        F.transform("body", lambda w: F.xxhash64(w)),
+        F.when(m > 0, F.array(F.xxhash64("last"), F.xxhash64(F.concat("last", s)))).otherwise(F.array().cast("array<bigint>"))))
+        .alias("h")).distinct()
+    there = places.join(known.hint("merge"), "h", "left_semi")
+    whole = (looked_up.join(there.hint("merge"), [key, "v", "pos"])
+             .where(same("this", "w_this") & same("h", "w_last", F.col("h") == F.col("w_last_s"))
+                    & same("before", "w_before") & same("after", "w_after", F.col("after_s") == F.col("w_after")))
+             .groupBy(key, "v", "start", "kid", "m").agg(F.count_distinct("pos").alias("n")).where(F.col("n") == m - 1))
+    checked = met.where("settled").select(key, "kid").union(whole.select(key, "kid")).distinct()
+    hits = anchors.groupBy(F.xxhash64("keyword").alias("kid")).agg(F.any_value("keyword").alias("keyword"), F.any_value("hit").alias("hit"))
+    return checked.join(hits.hint("merge"), "kid").select(key, "keyword", "hit")
 
 
 def hit_order() -> Column:
@@ -379,44 +516,41 @@ def best_match(verified: DataFrame, key: str) -> DataFrame:
 
 
 @dataclass
-class LinkPlan:
-    keywords: DataFrame
+class Anchors:
     best_per_keyword: DataFrame
     anchors: DataFrame
-    verified: DataFrame
-    best: DataFrame
     broadcast: bool
+    with_runs: bool
 
 
 @dataclass
-class Anchors:
+class LinkPlan:
     keywords: DataFrame
-    best_per_keyword: DataFrame
     anchors: DataFrame
+    verified: DataFrame
+    best: DataFrame
     broadcast: bool
-    with_runs: bool
-    min_len: int
 
 
-def prepare_anchors(catalog: DataFrame, ord_col: str = "cat_ord",
+def prepare_anchors(catalog: DataFrame, posts: DataFrame | None = None, ord_col: str = "cat_ord",
                     rules: KeywordRules = DEFAULT_RULES, weights: MatchWeights = DEFAULT_WEIGHTS,
-                    broadcast_rows: int = BROADCAST_ANCHOR_ROWS,
-                    broadcast_bytes: int = BROADCAST_BYTES) -> Anchors:
+                    broadcast_rows: int = BROADCAST_ANCHOR_ROWS, broadcast_bytes: int = BROADCAST_BYTES) -> Anchors:
     """Catalog side of the link, materialised once.
 
-    Keyword generation, the per-text winner and the anchor terms are small
-    next to the posts: they are persisted and checkpointed into the shared
-    checkpoint folder (lineage cut, survives executor loss), and one small
-    aggregate over them gives the exact row count that decides broadcast vs.
-    shuffle, whether non-word runs are needed, and the shortest anchor.
+    Keyword generation, the per-text winner and the anchor terms are small next to the posts: they are
+    checkpointed into the shared folder (lineage cut, survives executor loss), and one small aggregate
+    over them gives the row count and size that decide broadcast or shuffle. With ``posts`` (column
+    ``txt``) anchors are chosen by the terms' frequency in them, which takes a pass over the posts; without, by
+    their frequency among the keywords. The choice changes the work, never the result.
     """
-    kw = keyword_table(catalog, ord_col=ord_col, rules=rules)
-    best_kw = best_per_keyword(kw, ord_col=ord_col, w=weights)
-    anchors = materialize(keyword_anchors(best_kw))
-    stats = size_stats(anchors, F.count_if(~F.col("anchor").rlike(WORD)).alias("runs"),
-                       F.min(F.length("anchor")).alias("min_len"))
-    return Anchors(kw, best_kw, anchors, fits_broadcast(stats, broadcast_rows, broadcast_bytes),
-                   stats["runs"] > 0, stats["min_len"] or 1)
+    best_kw = materialize(best_per_keyword(keyword_table(catalog, ord_col=ord_col, rules=rules), ord_col=ord_col, w=weights))
+    frequencies = None
+    if posts is not None:
+        small = fits_broadcast(size_stats(best_kw.select("keyword")), broadcast_rows, broadcast_bytes)
+        frequencies = token_frequencies(posts, anchor_terms(best_kw), small)
+    anchors = materialize(keyword_anchors(best_kw, frequencies))
+    stats = size_stats(anchors, F.count_if(F.col("k") < 0).alias("runs"))
+    return Anchors(best_kw, anchors, fits_broadcast(stats, broadcast_rows, broadcast_bytes), stats["runs"] > 0)
 
 
 def plan_link(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
@@ -424,10 +558,9 @@ def plan_link(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
               weights: MatchWeights = DEFAULT_WEIGHTS,
               broadcast_rows: int = BROADCAST_ANCHOR_ROWS) -> LinkPlan:
     """Build the link plan. ``posts`` needs ``key`` and ``txt`` (see ``search_text``)."""
-    a = prepare_anchors(catalog, ord_col, rules, weights, broadcast_rows)
-    verified = match_candidates(posts, a.anchors, key, with_runs=a.with_runs,
-                                broadcast_ok=a.broadcast, min_len=a.min_len)
-    return LinkPlan(a.keywords, a.best_per_keyword, a.anchors, verified, best_match(verified, key), a.broadcast)
+    a = prepare_anchors(catalog, posts, ord_col, rules, weights, broadcast_rows)
+    verified = match_candidates(posts, a.anchors, key, with_runs=a.with_runs, broadcast_ok=a.broadcast)
+    return LinkPlan(keyword_table(catalog, ord_col=ord_col, rules=rules), a.anchors, verified, best_match(verified, key), a.broadcast)
 
 
 def match_posts(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
@@ -451,7 +584,7 @@ def match_posts(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
                             search_text(F.col(title), F.col(body)).alias("txt"))
     if layout_partitions:
         prepared = prepared.repartition(layout_partitions, key)
-    a = anchors or prepare_anchors(catalog, **kw)
+    a = anchors or prepare_anchors(catalog, prepared.select("txt"), **kw)
     cols = [F.col(author).alias("reddit_author"), F.col(created).alias("reddit_date"),
             F.concat(F.lit(permalink_prefix), F.coalesce(F.col(permalink), F.lit(""))).alias("reddit_permalink"),
             F.array_join(detect_labels(F.col("txt"), label_patterns), ", ").alias("detected_issues")]
@@ -459,8 +592,8 @@ def match_posts(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
     if a.broadcast:
         best = _one_pass(prepared.select(key, "txt", *cols), a, key, names)
     else:
-        verified = match_candidates(prepared.select(key, "txt"), a.anchors, key, a.with_runs, False, a.min_len)
-        best = prepared.select(key, *cols).join(best_match(verified, key), key, "left")
+        verified = match_candidates(prepared.select(key, "txt"), a.anchors, key, a.with_runs, False)
+        best = prepared.select(key, *cols).hint("merge").join(best_match(verified, key), key, "left")
     blank = F.lit("")
     return best.select(
         key,
@@ -475,18 +608,16 @@ def match_posts(posts: DataFrame, catalog: DataFrame, key: str = "post_id",
 
 
 def _one_pass(posts: DataFrame, a: Anchors, key: str, carry: list[str]) -> DataFrame:
-    """Link without joining back: every post keeps one base row (term position 0,
-    or no terms at all) next to its verified hits, then one aggregate per key.
+    """Link without joining back: every post keeps one base row (its text's first place,
+    or none at all) next to its verified hits, then one aggregate per key.
 
     Texts stay on the scan's own splits: only (key, hit, carried columns) reach the
     aggregate's shuffle, and columns nobody reads are not computed.
     """
-    p = posts.select(key, *carry, "txt", dehyphen(F.col("txt")).alias("txt_nh"))
-    terms = post_terms(F.col("txt"), F.col("txt_nh"), a.with_runs, a.min_len)
-    ex = p.select(key, *carry, "txt", "txt_nh", F.posexplode_outer(terms).alias("tpos", "anchor"))
-    j = ex.join(F.broadcast(a.anchors), "anchor", "left")
-    ok = F.coalesce(F.col("keyword").isNotNull() & verify_hit(), F.lit(False))
-    kept = j.where((F.coalesce(F.col("tpos"), F.lit(0)) == 0) | ok)
+    places = post_places(posts, key, tuple(carry), a.with_runs, outer=True)
+    j = places.join(F.broadcast(a.anchors), F.col("term") == F.col("anchor"), "left")
+    ok = F.coalesce(F.col("keyword").isNotNull() & verify_place(), F.lit(False))
+    kept = j.where(((F.col("v") == 0) & (F.coalesce(F.col("pos"), F.lit(0)) == 0)) | ok)
     hit = F.when(ok, F.col("hit"))
     order = F.when(ok, hit_order())
     # Project before aggregating, so no text is shuffled. Carried columns are the same in all rows of a key.

@@ -133,6 +133,47 @@ def _link_plan(spark, sf):
 _LINK = O.with_(O.CAT_CTE, O.POST_CTE, O.KW_STEPS, O.HITS_STEPS)
 
 
+# Words of the keywords (the last one also with an s) and the places of the posts where each stands.
+_TERM_STEPS = r"""
+kwords AS (
+  SELECT keyword, unnest(w) AS run, generate_subscripts(w, 1) - 1 AS k, len(w) AS m, regexp_matches(keyword, '[A-Za-z0-9_]$') AS ends
+  FROM (SELECT keyword, regexp_extract_all(keyword, '[A-Za-z0-9_]+') AS w FROM kwt)),
+kterms AS (
+  SELECT keyword, k, run, run AS term FROM kwords
+  UNION ALL SELECT keyword, k, run, run || 's' FROM kwords WHERE k = m - 1 AND ends),
+places AS (
+  SELECT unnest(regexp_extract_all(txt, '[A-Za-z0-9_]+')) AS term FROM pt
+  UNION ALL SELECT unnest(regexp_extract_all(txt_nh, '[A-Za-z0-9_]+')) FROM pt WHERE contains(txt, '-')),
+freq AS (SELECT term, count(*) AS n FROM places WHERE term IN (SELECT term FROM kterms) GROUP BY term),
+picked AS (
+  SELECT keyword, k FROM (
+    SELECT keyword, k, row_number() OVER (PARTITION BY keyword ORDER BY sum(coalesce(n, 0)), -length(run), k) AS place
+    FROM kterms LEFT JOIN freq USING (term) GROUP BY keyword, k, run) WHERE place = 1)"""
+
+
+@register("token_frequencies", _LINK.rstrip() + "," + _TERM_STEPS + " SELECT term, n FROM freq")
+def q_token_frequencies(spark, sf):
+    """How often each word of a keyword stands in the posts: what its use as an anchor costs."""
+    best = L.best_per_keyword(L.keyword_table(D.catalog_from_benchmark(spark, sf)))
+    return L.token_frequencies(_posts_prepared(spark, sf), L.anchor_terms(best), broadcast_ok=False)
+
+
+@register("keyword_anchors", _LINK.rstrip() + "," + _TERM_STEPS + """
+SELECT keyword, cast(k AS integer) AS k, term AS anchor FROM kterms SEMI JOIN picked USING (keyword, k)""")
+def q_keyword_anchors(spark, sf):
+    """Each keyword's rarest word, the equality term of the containment join."""
+    posts = _posts_prepared(spark, sf)
+    return L.prepare_anchors(D.catalog_from_benchmark(spark, sf), posts).anchors.where("k >= 0").select("keyword", "k", "anchor")
+
+
+@register("regex_escape", _LINK + r"""
+SELECT keyword, regexp_replace(keyword, '([.*+?^${}()|\[\]\\])', '\\\1', 'g') AS escaped FROM kwt""")
+def q_regex_escape(spark, sf):
+    """Keywords with their regex metacharacters escaped, as a boundary pattern holds them."""
+    k = _kw_table(spark, sf).where(F.length("keyword") >= 4).select("keyword").distinct()
+    return k.select("keyword", T.regex_escape(F.col("keyword")).alias("escaped"))
+
+
 @register("match_candidates", _LINK + "SELECT DISTINCT post_id, keyword FROM vhit")
 def q_match_candidates(spark, sf):
     return _link_plan(spark, sf).verified.select("post_id", "keyword").distinct()
@@ -196,7 +237,7 @@ def q_link_dump_posts(spark, sf):
 
 @register("match_posts_shuffle", _match_posts_sql())
 def q_match_posts_shuffle(spark, sf):
-    """The path for catalogs beyond the broadcast limit, forced."""
+    """The path for catalogs beyond the broadcast limit, forced: no side is broadcast, no exchange carries a text."""
     posts = D.posts_from_documents(spark, sf).withColumn("created_date", T.epoch_to_iso(F.col("created_utc")))
     return L.match_posts(posts, D.catalog_from_benchmark(spark, sf), broadcast_rows=0)
 

@@ -132,3 +132,107 @@ def test_shuffle_path_equals_broadcast_path(spark, seed):
     sh = sorted(map(tuple, L.match_posts(posts, cat, broadcast_rows=0).collect()))
     assert bc == sh
     assert any(r[1] for r in bc)
+
+
+CATALOG = "cat_ord long, name string, brand string, product_line string, series_title string"
+POSTS = "post_id long, title string, selftext string, author string, created_date string, permalink string"
+
+
+def _post_rows(spark, texts):
+    return spark.createDataFrame([(i, "", t, "a", "d", "/p") for i, t in enumerate(texts)], POSTS)
+
+
+def _link_all(spark, names, series, texts, **kw):
+    cat = spark.createDataFrame([(i, n, f"B{i}", "L", s) for i, (n, s) in enumerate(zip(names, series))], CATALOG)
+    got = {r.post_id: (r.figure_name, r.matched_keyword) for r in L.match_posts(_post_rows(spark, texts), cat, **kw).collect()}
+    kws = [(r.cat_ord, r.kw_ord, r.keyword, r.priority, r.match_type, r.name) for r in L.keyword_table(cat).collect()]
+    return got, _brute([(i, " " + t) for i, t in enumerate(texts)], kws)
+
+
+@pytest.mark.parametrize("broadcast_rows", [2_000_000, 0])
+@pytest.mark.parametrize("seed", [11, 12])
+def test_odd_gaps_equal_brute_force(spark, seed, broadcast_rows):
+    """Names and texts of few words with every kind of gap, apostrophe, hyphen and letter beyond ASCII at any place."""
+    rng = random.Random(seed)
+    glue = [" ", " ", "-", "--", "'", "' ", "!!", "!!!!", ".", "é", " é ", "日本", "'s ", "s", "'s", "  "]
+    words = ["aaaa", "bbbbbb", "s", "cc", "aaaas", "bbbbbbs", "x_1"]
+
+    def phrase(n):
+        return "".join(rng.choice(["", "", *glue]) + rng.choice(words) for _ in range(n)) + rng.choice(["", "", *glue])
+
+    names = [phrase(rng.randint(1, 4)) for _ in range(30)] + ["!!!!", "-----", "é!!é'"]
+    texts = [phrase(rng.randint(0, 9)) for _ in range(90)]
+    texts += [rng.choice(["", "x", " "]) + rng.choice(names) + rng.choice(["", "s", "'s", "' s", "x", " x", "'", "'sx"]) for _ in range(60)]
+    got, want = _link_all(spark, names, [""] * len(names), texts, broadcast_rows=broadcast_rows)
+    assert got == want and sum(bool(v[1]) for v in want.values()) > 50
+
+
+def _hot_fixture(spark):
+    """Every name holds a word that is long and in every post, and one that is short and in few."""
+    names = [f"collectables zq{i}" for i in range(40)]
+    cat = spark.createDataFrame([(i, n, "B", "L", "") for i, n in enumerate(names)], CATALOG)
+    texts = [f"collectables on the shelf, collectables zq{i % 400} too" for i in range(400)]
+    return cat, _post_rows(spark, texts).select("post_id", L.search_text(F.col("title"), F.col("selftext")).alias("txt"))
+
+
+def _candidates(posts, anchors):
+    places = L.post_places(posts, "post_id", (), False, outer=False)
+    return places.join(anchors, F.col("term") == F.col("anchor")).count()
+
+
+def test_rare_anchor_spares_candidates(spark):
+    """Of the join rows before verification at most a fifth is left, and the result is the same."""
+    cat, posts = _hot_fixture(spark)
+    best = L.best_per_keyword(L.keyword_table(cat)).where("keyword LIKE '% zq%'")
+    longest = L.token_frequencies(posts, L.anchor_terms(best), True).withColumn("n", F.lit(1).cast("long"))
+    rare = L.keyword_anchors(best, L.token_frequencies(posts, L.anchor_terms(best), True))
+    hot = L.keyword_anchors(best, longest)  # ties go to the longest run, as before
+    assert {r.anchor for r in hot.collect()} == {"collectables"}
+    assert all(r.anchor.startswith("zq") for r in rare.collect())
+    assert 5 * _candidates(posts, rare) <= _candidates(posts, hot)
+    pairs = [sorted(map(tuple, L.match_candidates(posts, a, "post_id", False, ok).select("post_id", "keyword").distinct().collect()))
+             for a in (rare, hot) for ok in (True, False)]
+    assert pairs[0] and all(p == pairs[0] for p in pairs)
+
+
+def test_token_frequencies(spark):
+    posts = spark.createDataFrame([(1, "a-b ab ab zz"), (2, "ab"), (3, "b"), (4, "")], "post_id long, txt string")
+    terms = spark.createDataFrame([("ab",), ("b",), ("none",)], "term string")
+    for ok in (True, False):
+        assert {r.term: r.n for r in L.token_frequencies(posts, terms, ok).collect()} == {"ab": 6, "b": 2}
+
+
+def test_position_join_moves_no_text(spark):
+    """Beyond the limits no exchange carries a string of the post's text and nothing is broadcast."""
+    cat, posts = _hot_fixture(spark)
+    a = L.prepare_anchors(cat, posts, broadcast_rows=0)
+    assert not a.broadcast
+    plan = L.match_candidates(posts, a.anchors, "post_id", a.with_runs, False)._jdf.queryExecution().executedPlan()
+
+    def nodes(p):
+        yield p
+        for i in range(p.children().size()):
+            yield from nodes(p.children().apply(i))
+
+    todo = [plan.initialPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan]
+    found = [n for p in todo for n in nodes(p)]
+    assert not [n for n in found if "Broadcast" in n.nodeName()]
+    exchanges = [n for n in found if n.nodeName() == "Exchange"]
+    assert len(exchanges) >= 4
+    for n in exchanges:
+        names = {n.output().apply(i).name() for i in range(n.output().size())}
+        assert names.isdisjoint({"txt", "t", "words", "gaps", "term"})
+
+
+def test_keyword_pattern_agrees_with_places(spark):
+    """The boundary pattern on the text and the check of places name the same pairs."""
+    names = ["sky-walker (tori)", "kit 'n gear", "ver.1.5", "rook falcon"]
+    cat = spark.createDataFrame([(i, n, "B", "L", "") for i, n in enumerate(names)], CATALOG)
+    texts = ["skywalker", "my sky-walker (tori)s", "sky-walker (tori)", "kit 'n gears!", "ver.1.5's", "rook falcons", "rook  falcon"]
+    posts = spark.createDataFrame(list(enumerate(texts)), "post_id long, txt string")
+    a = L.prepare_anchors(cat, posts)
+    placed = {tuple(r) for r in L.match_candidates(posts, a.anchors, "post_id", a.with_runs, True).select("post_id", "keyword").collect()}
+    pattern = L.keyword_pattern(F.col("keyword"))
+    pairs = posts.crossJoin(a.best_per_keyword.select("keyword")).where(
+        F.rlike("txt", pattern) | F.rlike(L.dehyphen(F.col("txt")), pattern))
+    assert placed == {tuple(r) for r in pairs.select("post_id", "keyword").collect()} and placed
