@@ -1,7 +1,7 @@
 """Folder-to-folder run of the four stages (what a user of the source runs today).
 
     python -m prodlink.cli --listings DIR --dumps DIR --out DIR [--catalog-csv FILE ...]
-                           [--flair "Quality Issues"] [--as-of-year 2026] [--run-date 2026-04-12]
+                           [--flair "Quality Issues"] [--as-of-year 2026] [--run-date 2026-04-12] [--distinct-posts]
 
 Writes ``out/catalog`` (one folder per source), ``out/posts``, ``out/matches``
 and ``out/combined/run_date=...`` as CSV with headers. Stages are chained as
@@ -13,10 +13,9 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import os
-from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import enrich as N
@@ -36,8 +35,9 @@ def run_folders(spark: SparkSession, listings: str | None, dumps: str, out: str,
                 as_of_year: int | None = None, run_date: str | None = None,
                 rate: float = X.JPY_TO_USD, seller: str = N.DEFAULT_SELLER,
                 label_patterns: dict[str, str] | None = None,
-                listing_pattern: str = "*/raw.txt") -> dict[str, int | bool]:
-    """Run catalog -> posts -> matches -> combined; returns the counts.
+                listing_pattern: str = "*/raw.txt", distinct_posts: bool = False) -> dict[str, int | bool]:
+    """Run catalog -> posts -> matches -> combined; returns the counts of the stages, observed as they are stored.
+    With ``distinct_posts`` a post that several dumps hold counts once.
 
     Next to the four exports, ``reports/run_date=*/`` holds the counts per source and per dump file and the
     validation report. An absent or unreadable input counts as empty, and a stage without rows
@@ -48,14 +48,18 @@ def run_folders(spark: SparkSession, listings: str | None, dumps: str, out: str,
     as_of_year = as_of_year or today.year
     run_date = run_date or today.isoformat()
 
-    def kept(df: DataFrame, name: str) -> DataFrame:
+    counts = R.StageCounts()
+
+    def kept(df: DataFrame, name: str, **more: Column) -> DataFrame:
         path = scratch_path(spark, name)
-        df.write.parquet(path)
+        counts.watch(df, name, **more).write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     vendors: list[DataFrame] = []
     if listings:
-        catalog = kept(X.build_catalog_from_records(_listings(spark, listings, listing_pattern), rate), "catalog")
+        parsed = kept(X.parse_records(_listings(spark, listings, listing_pattern), rate), "sections")
+        sections = X.count_parsed(parsed)
+        catalog = X.catalog_of(parsed)
         SC.write_stage_csv(catalog.drop("pos"), os.path.join(out, "catalog"), ["source"])
         # catalog order: vendor folders by name, then the place in the file
         vendors.append(catalog.withColumn("cat_ord", F.struct("source", "pos.path", "pos.block", "pos.n", "pos.part")).drop("pos"))
@@ -66,36 +70,38 @@ def run_folders(spark: SparkSession, listings: str | None, dumps: str, out: str,
             F.lit(0).alias("part"))).drop("path", "pos"))
     if not vendors:
         raise ValueError("no catalog: give listing folders or catalog CSVs")
-    merged = kept(union_catalogs(vendors), "merged")
+    merged = kept(union_catalogs(vendors), "catalog")
 
     children = kept(_or_none(spark, dumps), "children")
+    if distinct_posts:
+        children = kept(P.distinct_posts(children), "distinct")
     posts = kept(P.build_posts(children, flair).withColumn(
         "post_key", F.concat_ws(":", "path", F.col("pos").cast("string"))), "posts")
     SC.write_stage_csv(P.posts_csv_frame(posts), os.path.join(out, "posts"))
 
     matches = kept(L.match_posts(posts, merged, key="post_key", created="created_date",
-                                 ord_col="link_ord", label_patterns=label_patterns), "matches")
+                                 ord_col="link_ord", label_patterns=label_patterns), "matches",
+                   matched=F.col("figure_name") != "", unmatched=F.col("figure_name") == "")
     SC.write_stage_csv(matches, os.path.join(out, "matches"))
 
     combined = kept(N.enrich_join(N.filter_matched(matches), merged, as_of_year, seller=seller,
-                                  ord_col="link_ord", key="post_key"), "combined")
+                                  ord_col="link_ord", key="post_key"), "combined",
+                    found_in_catalog=F.col("found"), missing_from_catalog=~F.col("found"))
     SC.write_stage_csv(combined.select("post_key", *N.COMBINED_COLUMNS).withColumn("run_date", F.lit(run_date)),
                        os.path.join(out, "combined"), ["run_date"])
     errors = kept(N.validate_records(combined, key="post_key"), "errors")
 
     reports = os.path.join(out, "reports", f"run_date={run_date}")
-    per_source = merged.groupBy(F.coalesce("source", F.lit("")).alias("source")) if "source" in merged.columns \
-        else merged.groupBy(F.lit("").alias("source"))
-    SC.write_stage_csv(per_source.agg(F.count(F.lit(1)).alias("products")), f"{reports}/sources")
+    source = F.coalesce("source", F.lit("")) if "source" in merged.columns else F.lit("")
+    per_source = merged.groupBy(source.alias("source")).agg(F.count(F.lit(1)).alias("products"))
+    if listings:  # sections, parsed and kept come from the listing sources alone
+        per_source = per_source.join(sections, "source", "full").na.fill(0, ["products"])
+    SC.write_stage_csv(per_source, f"{reports}/sources")
     SC.write_stage_csv(P.count_flair(children, flair), f"{reports}/dumps")
     SC.write_stage_csv(R.top_errors(errors, key="post_key"), f"{reports}/validation")
 
-    counts = [df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("n"))
-              for name, df in [("catalog", merged), ("posts", posts), ("matches", matches),
-                               ("combined", combined), ("errors", errors)]]
-    result = {r.stage: r.n for r in reduce(DataFrame.unionByName, counts).collect()}
-    return (result | R.count_matches(matches).first().asDict() | R.count_enriched(combined).first().asDict()
-            | {"passed": result["errors"] == 0})
+    result = counts.values()
+    return result | {"passed": result["errors"] == 0}
 
 
 def _listings(spark: SparkSession, root: str, pattern: str) -> DataFrame:
@@ -128,9 +134,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--flair", default=P.DEFAULT_FLAIR)
     ap.add_argument("--as-of-year", type=int)
     ap.add_argument("--run-date")
+    ap.add_argument("--distinct-posts", action="store_true")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("prodlink").getOrCreate()
-    print(run_folders(spark, a.listings, a.dumps, a.out, a.catalog_csv, a.flair, a.as_of_year, a.run_date))
+    print(run_folders(spark, a.listings, a.dumps, a.out, a.catalog_csv, a.flair, a.as_of_year, a.run_date,
+                      distinct_posts=a.distinct_posts))
 
 
 if __name__ == "__main__":

@@ -45,7 +45,13 @@ def enrich_join(matched: DataFrame, catalog: DataFrame, as_of_year: int,
 
     Adaptive execution knows the exact size of the deduplicated catalog from its shuffle and
     decides between broadcast, sort-merge and split skewed partitions; building the plan runs no job."""
-    last = dedupe_last(catalog, ord_col).select(
+    return enrich_last(matched, dedupe_last(catalog, ord_col), as_of_year, seller, key)
+
+
+def enrich_last(matched: DataFrame, last: DataFrame, as_of_year: int, seller: str = DEFAULT_SELLER,
+                key: str = "post_id") -> DataFrame:
+    """``enrich_join`` with a catalog that holds each key once (``dedupe_last``, ``snapshot.read_snapshot``)."""
+    last = last.select(
         "k_name", "k_brand", F.lit(True).alias("found"),
         F.col("name").alias("c_name"), F.col("brand").alias("c_brand"),
         F.col("product_line").alias("c_line"), F.col("series_title").alias("c_series"),
@@ -95,6 +101,7 @@ def validation_errors(rec: DataFrame, key: str = "post_id") -> Column:
     has_issues = issues.isNotNull() & (issues != "")
     parsed = F.try_parse_json(issues)
     is_array = F.schema_of_variant(parsed).startswith("ARRAY")
+    # The five message texts.
     checks = [
         (F.coalesce(F.col("figure_name"), F.lit("")) == "", "Missing figure_name"),
         (F.coalesce(F.col("brand"), F.lit("")) == "", "Missing brand"),

@@ -104,10 +104,30 @@ def build_catalog_from_records(records: DataFrame, rate: float = JPY_TO_USD) ->
     separators that only show after them (CRLF files). ``pos`` is the struct (path, block, n, part):
     the file, the input split's start, the record's order inside its split, the part of the record.
     """
+    return catalog_of(parse_records(records, rate))
+
+
+def parse_records(records: DataFrame, rate: float = JPY_TO_USD) -> DataFrame:
+    """Every section of ``read_listing_records`` output parsed: source, pos, blank, candidate and the catalog columns."""
     parts = (records.select("source", "path", "block", "n",
                             F.posexplode(F.split(prepare_document(F.col("section")), r"\n-\n", -1)).alias("part", "section"))
              .select("source", F.struct("path", "block", "n", "part").alias("pos"), "section"))
-    return filter_valid_records(parse_sections(parts, rate)).select("source", "pos", *CATALOG_COLUMNS)
+    s = F.col("section")
+    flagged = parts.select("*", is_candidate(s).alias("candidate"))
+    columns = [*extract_fields(s), *extract_price(s, rate), *extract_spec(s)]
+    return flagged.select("source", "pos", (js_trim(s) == "").alias("blank"), "candidate", *columns)
+
+
+def catalog_of(parsed: DataFrame) -> DataFrame:
+    """The products among ``parse_records`` output."""
+    return filter_valid_records(parsed.where("candidate")).select("source", "pos", *CATALOG_COLUMNS)
+
+
+def count_parsed(parsed: DataFrame) -> DataFrame:
+    """``count_sections`` from ``parse_records`` output."""
+    kept = F.col("candidate") & (F.col("gcode") != "") & (F.col("brand") != "")
+    return parsed.groupBy("source").agg(F.count_if(~F.col("blank")).alias("sections"), F.count_if("candidate").alias("parsed"),
+                                        F.count_if(kept).alias("kept"))
 
 
 def count_sections(sections: DataFrame) -> DataFrame:

@@ -534,16 +534,19 @@ class LinkPlan:
 
 def prepare_anchors(catalog: DataFrame, posts: DataFrame | None = None, ord_col: str = "cat_ord",
                     rules: KeywordRules = DEFAULT_RULES, weights: MatchWeights = DEFAULT_WEIGHTS,
-                    broadcast_rows: int = BROADCAST_ANCHOR_ROWS, broadcast_bytes: int = BROADCAST_BYTES) -> Anchors:
+                    broadcast_rows: int = BROADCAST_ANCHOR_ROWS, broadcast_bytes: int = BROADCAST_BYTES,
+                    keywords: DataFrame | None = None) -> Anchors:
     """Catalog side of the link, materialised once.
 
     Keyword generation, the per-text winner and the anchor terms are small next to the posts: they are
     checkpointed into the shared folder (lineage cut, survives executor loss), and one small aggregate
     over them gives the row count and size that decide broadcast or shuffle. With ``posts`` (column
     ``txt``) anchors are chosen by the terms' frequency in them, which takes a pass over the posts; without, by
-    their frequency among the keywords. The choice changes the work, never the result.
+    their frequency among the keywords. The choice changes the work, never the result. ``keywords`` takes a
+    keyword table made before.
     """
-    best_kw = materialize(best_per_keyword(keyword_table(catalog, ord_col=ord_col, rules=rules), ord_col=ord_col, w=weights))
+    keywords = keyword_table(catalog, ord_col=ord_col, rules=rules) if keywords is None else keywords
+    best_kw = materialize(best_per_keyword(keywords, ord_col=ord_col, w=weights))
     frequencies = None
     if posts is not None:
         small = fits_broadcast(size_stats(best_kw.select("keyword")), broadcast_rows, broadcast_bytes)

@@ -52,6 +52,24 @@ def build_posts(children: DataFrame, flair: str = DEFAULT_FLAIR) -> DataFrame:
     return project_posts(filter_flair(children, flair))
 
 
+def post_identity(post_id: Column) -> Column:
+    """What makes two posts the same: the id; a post without one is only itself (file and place)."""
+    own = F.concat_ws(":", F.col("path"), F.col("pos").cast("string"))
+    return F.when(F.coalesce(post_id, F.lit("")) != "", F.struct(F.lit("id").alias("by"), post_id.alias("value"))) \
+        .otherwise(F.struct(F.lit("place").alias("by"), own.alias("value")))
+
+
+def distinct_posts(children: DataFrame, post_id: str = "post.id") -> DataFrame:
+    """Each post once, as it stands first by (path, pos): listings collected on several days repeat posts.
+
+    An option: the source keeps every copy. Copies meet within a task before the shuffle, so a post that is in every
+    dump does not gather its copies in one task.
+    """
+    first = children.groupBy(post_identity(F.col(post_id)).alias("identity")).agg(
+        F.min_by(F.struct(*children.columns), F.struct("path", "pos")).alias("row"))
+    return first.select("row.*")
+
+
 def posts_csv_frame(posts: DataFrame) -> DataFrame:
     """The 8 written columns under their CSV titles."""
     return posts.select(*[F.col(c).alias(t) for c, t in POSTS_CSV_COLUMNS])

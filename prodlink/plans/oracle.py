@@ -306,7 +306,7 @@ def workflow_sql(columns: list[str], as_of: int, flair: str = "error") -> str:
 wcat AS (
   SELECT {shared}, NULL::varchar AS sculptor, NULL::varchar AS material, NULL::varchar AS spec FROM cat0
   UNION ALL
-  SELECT (1::bigint << 50) + p_partkey, name, brand, product_line, series_title, release_date, sculptor, material, spec
+  SELECT (1::bigint << 50) + row_number() OVER (ORDER BY source, pos), name, brand, product_line, series_title, release_date, sculptor, material, spec
   FROM lcat WHERE brand <> ''),
 cat AS (SELECT {shared} FROM wcat)"""
     texts = f"""

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +20,7 @@ from ..operators import extract as X
 from ..operators import link as L
 from ..operators import posts as P
 from ..operators import report as R
+from ..operators import snapshot as SN
 from ..session import scratch_path
 from ..sources import csv_lenient as SC
 from ..sources import html as H
@@ -295,6 +295,18 @@ def q_dedupe_last(spark, sf):
         .select("k_name", "k_brand", "cat_ord", "sculptor", "release_date")
 
 
+@register("dedupe_last_incremental", _ENR + """
+SELECT k_name, k_brand, r.cat_ord AS cat_ord, r.sculptor AS sculptor, r.release_date AS release_date FROM eclast""")
+def q_dedupe_last_incremental(spark, sf):
+    """The last-wins catalog as a stored snapshot: three deliveries in mixed order, compacted after the second."""
+    rows, path = D.enrich_catalog_from_part(spark, sf), scratch_path(spark, "snapshot")
+    for part in (2, 0, 1):
+        SN.add_rows(rows.where(F.col("cat_ord") % 3 == part), path)
+        if part == 0:
+            SN.compact(spark, path)
+    return SN.read_snapshot(spark, path).select("k_name", "k_brand", "cat_ord", "sculptor", "release_date")
+
+
 @register("enrich_join", _COMB + "SELECT * EXCLUDE (found) FROM comb")
 def q_enrich_join(spark, sf):
     return _combined(spark, sf).drop("found")
@@ -528,6 +540,12 @@ def q_html_heading_text(spark, sf):
 
 _ENV = O.with_(O.ENV_CTE)
 
+_POSTS_SQL = _ENV + """
+SELECT id AS "Post ID", title AS "Title", author AS "Author", flair_raw AS "Flair", created_date AS "Created Date",
+       selftext AS "Text (Preview)", permalink AS "Permalink", url AS "URL"
+FROM ev WHERE trim(flair_raw) = 'error'"""
+_POSTS_SQL_DISTINCT = _POSTS_SQL.replace("FROM ev ", "FROM ev0 ")
+
 
 def _children(spark, sf):
     c = SJ.read_listing_dumps(spark, D.write_dump_files(spark, sf))
@@ -563,6 +581,26 @@ def q_union_posts(spark, sf):
     return _children(spark, sf).groupBy(F.col("post.id").alias("id")).agg(F.count(F.lit(1)).alias("copies"))
 
 
+@register("union_posts_distinct", _ENV + """
+SELECT dump, pos, id, title FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY cast(dump AS varchar), pos) AS copy FROM ev) WHERE copy = 1""")
+def q_union_posts_distinct(spark, sf):
+    """Each post once over all dumps, as it stands in the first file (by path) that has it."""
+    once = P.distinct_posts(SJ.read_listing_dumps(spark, D.write_dump_files(spark, sf)))
+    return once.select(F.regexp_extract("path", r"dump=(-?\d+)", 1).cast("bigint").alias("dump"), "pos",
+                       F.col("post.id").alias("id"), F.col("post.title").alias("title"))
+
+
+@register("stream_posts_distinct", _POSTS_SQL_DISTINCT)
+def q_stream_posts_distinct(spark, sf):
+    """The posts stage as a stream in two runs that keeps each post once; the second run brings a dump that repeats posts."""
+    first, second = D.write_dump_files(spark, sf, repeat_first=False), D.write_dump_files(spark, sf)
+    out, ckpt = scratch_path(spark, "stream_distinct"), scratch_path(spark, "stream_distinct_ckpt")
+    ST.run_posts_stream(spark, first, out, ckpt, flair="error", distinct=True)
+    ST.run_posts_stream(spark, second, out, ckpt, flair="error", distinct=True)
+    return P.posts_csv_frame(spark.read.parquet(out))
+
+
 @register("count_flair", _ENV + """
 SELECT dump, count(*) AS posts, count(*) FILTER (WHERE trim(flair_raw) = 'error') AS flair_posts FROM ev GROUP BY dump""")
 def q_count_flair(spark, sf):
@@ -571,12 +609,6 @@ def q_count_flair(spark, sf):
         F.regexp_extract("path", r"dump=(-?\d+)", 1).cast("bigint").alias("dump"), "posts", "flair_posts")
 
 
-_POSTS_SQL = _ENV + """
-SELECT id AS "Post ID", title AS "Title", author AS "Author", flair_raw AS "Flair", created_date AS "Created Date",
-       selftext AS "Text (Preview)", permalink AS "Permalink", url AS "URL"
-FROM ev WHERE trim(flair_raw) = 'error'"""
-
-
 @register("build_posts", _POSTS_SQL)
 def q_build_posts(spark, sf):
     return P.posts_csv_frame(P.build_posts(_children(spark, sf), "error"))
@@ -641,15 +673,18 @@ def q_sink_combined_csv(spark, sf):
 # ====================================================================== accuracy reports
 
 def _outcomes(spark, sf):
-    """Review outcomes from ``labels``: category from (quality, toxic), class from quality."""
+    """Review outcomes from ``labels``: category from (quality, toxic), null for some; two class schemes that
+    overlap: is it right or expected, and is it of use."""
     lb = D.table(spark, sf, "labels")
-    cat = F.concat(F.lit("q"), F.col("quality").cast("string"), F.lit("_t"), F.col("toxic").cast("string"))
-    klass = F.when(F.col("quality") == 1, F.lit("usable")).otherwise(F.lit("unused"))
-    return lb.select("doc_id", cat.alias("category"), klass.alias("class"))
+    cat = F.when(F.col("doc_id") % 17 != 0, F.concat(F.lit("q"), F.col("quality").cast("string"), F.lit("_t"), F.col("toxic").cast("string")))
+    right = F.when(F.col("doc_id") % 17 != 0, F.when((F.col("quality") == 1) | (F.col("toxic") == 1), "expected").otherwise("wrong"))
+    use = F.when((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit("usable")).otherwise(F.lit("unused"))
+    return lb.select("doc_id", cat.alias("category"), right.alias("right_class"), use.alias("use_class"))
 
 
-_OUT_SQL = ("SELECT doc_id, 'q' || cast(quality AS varchar) || '_t' || cast(toxic AS varchar) AS category, "
-            "CASE WHEN quality = 1 THEN 'usable' ELSE 'unused' END AS class FROM labels")
+_OUT_SQL = ("SELECT doc_id, CASE WHEN doc_id % 17 <> 0 THEN 'q' || cast(quality AS varchar) || '_t' || cast(toxic AS varchar) END AS category, "
+            "CASE WHEN doc_id % 17 <> 0 THEN CASE WHEN quality = 1 OR toxic = 1 THEN 'expected' ELSE 'wrong' END END AS right_class, "
+            "CASE WHEN quality = 1 AND toxic = 0 THEN 'usable' ELSE 'unused' END AS use_class FROM labels")
 
 
 @register("accuracy_by_category", f"""
@@ -660,10 +695,14 @@ def q_accuracy_by_category(spark, sf):
 
 
 @register("accuracy_rollup", f"""
-SELECT class, category, count(*) AS n, count(*) * 100.0 / (SELECT count(*) FROM labels) AS pct
-FROM ({_OUT_SQL}) GROUP BY ROLLUP (class, category)""")
+SELECT right_class, use_class, category, cast(level AS integer) AS level, n, n * 100.0 / (SELECT count(*) FROM labels) AS pct FROM (
+  SELECT right_class, NULL AS use_class, category, 2 AS level, count(*) AS n FROM ({_OUT_SQL}) GROUP BY right_class, category
+  UNION ALL SELECT right_class, NULL, NULL, 3, count(*) FROM ({_OUT_SQL}) GROUP BY right_class
+  UNION ALL SELECT NULL, use_class, category, 4, count(*) FROM ({_OUT_SQL}) GROUP BY use_class, category
+  UNION ALL SELECT NULL, use_class, NULL, 5, count(*) FROM ({_OUT_SQL}) GROUP BY use_class
+  UNION ALL SELECT NULL, NULL, NULL, 7, count(*) FROM ({_OUT_SQL}))""")
 def q_accuracy_rollup(spark, sf):
-    return R.accuracy_rollup(_outcomes(spark, sf))
+    return R.accuracy_rollup(_outcomes(spark, sf), ("right_class", "use_class"))
 
 
 # ====================================================================== workflow
@@ -686,21 +725,18 @@ UNION ALL SELECT 'matched', count(*) FROM emm
 UNION ALL SELECT 'combined', count(*) FROM comb
 UNION ALL SELECT 'found', count(*) FROM comb WHERE found""")
 def q_count_stages(spark, sf):
-    """Cardinalities per stage: one small aggregate per stage input, unioned."""
-    plan = _link_plan(spark, sf)
-    comb = _combined(spark, sf)
-    parts = [("catalog", D.catalog_from_benchmark(spark, sf)),
-             ("keywords", plan.keywords.where(F.length("keyword") >= 4)),
-             ("posts", _posts_prepared(spark, sf)),
-             ("linked", plan.best),
-             ("matched", N.filter_matched(D.enrich_matches_from_part(spark, sf)))]
-    counts = [df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("n")) for name, df in parts]
-    # combined and found come from one pass over the combined rows
-    both = comb.agg(F.count(F.lit(1)).alias("combined"), F.count_if("found").alias("found")) \
-        .select(F.explode(F.array(F.struct(F.lit("combined").alias("stage"), F.col("combined").alias("n")),
-                                  F.struct(F.lit("found").alias("stage"), F.col("found").alias("n")))).alias("x")) \
-        .select("x.stage", "x.n")
-    return reduce(lambda a, b: a.unionByName(b), counts + [both])
+    """Cardinalities per stage, observed while the link and the enrichment are computed once."""
+    counts = R.StageCounts()
+    catalog = counts.watch(D.catalog_from_benchmark(spark, sf), "catalog")
+    keywords = counts.watch(L.keyword_table(catalog).where(F.length("keyword") >= 4), "keywords")
+    anchors = L.prepare_anchors(catalog, keywords=keywords)
+    posts = counts.watch(_posts_prepared(spark, sf), "posts")
+    verified = L.match_candidates(posts, anchors.anchors, "post_id", anchors.with_runs, anchors.broadcast)
+    matched = counts.watch(N.filter_matched(D.enrich_matches_from_part(spark, sf)), "matched")
+    combined = N.enrich_join(matched, D.enrich_catalog_from_part(spark, sf), AS_OF_YEAR)
+    for df in (counts.watch(L.best_match(verified, "post_id"), "linked"), counts.watch(combined, "combined", found=F.col("found"))):
+        df.write.format("noop").mode("overwrite").save()
+    return counts.table(spark)
 
 
 # ====================================================================== streaming

@@ -33,9 +33,9 @@ class WorkflowResult:
 
 def listing_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vendor catalog parsed from the LIST documents (in memory, no file round trip).
-    The product code is the row's ordinal."""
+    A row's ordinal is its place: vendor folder by name, then section. Codes repeat in real listings."""
     cat = X.build_catalog(D.listing_documents(spark, sf_dir).withColumn("path", F.lit("")))
-    return cat.withColumn("cat_ord", F.regexp_extract("gcode", r"(\d+)$", 1).cast("long"))
+    return cat.withColumn("cat_ord", F.struct("source", F.col("pos").cast("long").alias("pos")))
 
 
 def workflow_posts(spark: SparkSession, sf_dir: str, flair: str = "error") -> DataFrame:
@@ -58,8 +58,9 @@ def run_workflow(spark: SparkSession, sf_dir: str, as_of_year: int = 1999,
     """Stage 1 (two vendor catalogs) -> stage 2 (posts) -> stage 3 (link) -> stage 4 (enrich, validate)."""
     # The catalog feeds keyword generation, the last-wins dedupe and a size
     # check: materialise it once in the shared checkpoint folder.
-    catalog = materialize(union_catalogs([D.catalog_from_benchmark(spark, sf_dir),
-                                          listing_catalog(spark, sf_dir)]))
+    first = D.catalog_from_benchmark(spark, sf_dir)
+    first = first.withColumn("cat_ord", F.struct(F.lit("").alias("source"), F.col("cat_ord").alias("pos")))
+    catalog = materialize(union_catalogs([first, listing_catalog(spark, sf_dir)]))
     posts = workflow_posts(spark, sf_dir)
     matches = L.match_posts(posts, catalog, key="post_key", ord_col="link_ord", label_patterns=label_patterns,
                             layout_partitions=layout_partitions)

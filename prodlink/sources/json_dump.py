@@ -39,12 +39,12 @@ def read_listing_dumps(spark: SparkSession, root: str, glob: str = "*.txt") -> D
     return parse_listing_documents(df.select(F.col("_metadata.file_path").alias("path"), "value"))
 
 
-def parse_listing_documents(docs: DataFrame, value: str = "value", path: str = "path") -> DataFrame:
+def parse_listing_documents(docs: DataFrame, value: str = "value", path: str = "path", keep: tuple[str, ...] = ()) -> DataFrame:
     """Same rows as ``read_listing_dumps`` for listing JSON already held in a
     string column (one document per row); unparsable documents, and those whose top level is not an
-    object, yield nothing."""
+    object, yield nothing. ``keep`` names columns of a document that its posts get as well."""
     objects = docs.where(F.ltrim(F.translate(F.col(value), "\ufeff\t\r\n", "   ")).startswith("{"))
-    parsed = objects.select(F.col(path).alias("path"), F.from_json(F.col(value), LISTING_SCHEMA).alias("doc"))
-    return parsed.select("path", F.posexplode(F.col("doc.data.children")).alias("pos", "child")) \
-        .select("path", "pos", F.col("child.data").alias("post")) \
+    parsed = objects.select(F.col(path).alias("path"), *keep, F.from_json(F.col(value), LISTING_SCHEMA).alias("doc"))
+    return parsed.select("path", *keep, F.posexplode(F.col("doc.data.children")).alias("pos", "child")) \
+        .select("path", "pos", F.col("child.data").alias("post"), *keep) \
         .where(F.col("post").isNotNull())
