@@ -100,8 +100,10 @@ def enrich_catalog_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     sculptor = (F.when(k % 9 == 0, "UNKNOWN").when(k % 10 == 0, "")
                 .otherwise(F.concat(F.lit("S"), size, F.lit(" "))))
     release = F.when(k % 8 == 0, "UNKNOWN").otherwise(F.concat(F.lit("late Mar-"), _s(F.lit(1995) + k % 10)))
-    spec = F.when(k % 3 == 0, F.concat(F.lit("Scale: 1/"), size, F.lit("\nMaterial: PVC"))) \
-        .otherwise(F.concat(F.lit("Size: H"), size))
+    spec = (F.when(k % 3 == 0, F.concat(F.lit("Scale: 1/"), size, F.lit("\nMaterial: PVC")))
+            .when(k % 6 == 2, F.concat(F.lit("Scale:  1:"), size, F.lit(" ca.")))
+            .when(k % 6 == 5, F.concat(F.lit("scale: non scale "), size, F.lit("\nSize: H1")))
+            .otherwise(F.concat(F.lit("Size: H"), size)))
     series = (F.when(k % 7 == 0, F.lit("")).when(k % 7 == 1, F.concat(F.lit('"'), F.col("p_type"), F.lit('"')))
               .otherwise(F.col("p_type")))
     material = F.when(k % 3 == 0, F.lit("PVC")).otherwise(F.lit(""))
@@ -129,7 +131,7 @@ LIST_BLOCK = 500  # sections per rendered listing file (bounded; file count grow
 
 
 def listing_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """LIST: one listing section per part, with missing codes (key % 13) and brands (key % 17)."""
+    """LIST: one listing section per part, with missing codes (key % 13) and brands (key % 17); every fourth has a series."""
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     tab = F.lit("\t")
@@ -142,6 +144,7 @@ def listing_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Release Date"), tab, F.lit("Mar-"), _s(F.lit(2017) + k % 11), tab,
                  F.lit("List Price"), tab, price, F.lit(" JPY")),
         brand, F.concat(F.lit("Product Line"), tab, F.col("p_type")),
+        F.when(k % 4 == 0, F.concat(F.lit("Series Title  Saga of "), F.col("p_type"), F.lit(" "), _s(F.col("p_size")), F.lit(" "))),
         F.concat(F.lit("Character Name    "), F.col("p_name")),
         F.concat(F.lit("Sculptor"), tab, F.lit("S"), _s(F.col("p_size")), F.lit(" ")),
         F.concat(F.lit("Specifications"), tab, F.lit("Scale: 1/"), _s(F.col("p_size"))),

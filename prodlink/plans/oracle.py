@@ -178,7 +178,9 @@ ec AS (
     CASE WHEN p_partkey % 9 = 0 THEN 'UNKNOWN' WHEN p_partkey % 10 = 0 THEN ''
          ELSE 'S' || cast(p_size AS varchar(20)) || ' ' END AS sculptor,
     CASE WHEN p_partkey % 8 = 0 THEN 'UNKNOWN' ELSE 'late Mar-' || cast(1995 + p_partkey % 10 AS varchar(20)) END AS release_date,
-    CASE p_partkey % 3 WHEN 0 THEN 'Scale: 1/' || cast(p_size AS varchar(20)) || chr(10) || 'Material: PVC'
+    CASE WHEN p_partkey % 3 = 0 THEN 'Scale: 1/' || cast(p_size AS varchar(20)) || chr(10) || 'Material: PVC'
+         WHEN p_partkey % 6 = 2 THEN 'Scale:  1:' || cast(p_size AS varchar(20)) || ' ca.'
+         WHEN p_partkey % 6 = 5 THEN 'scale: non scale ' || cast(p_size AS varchar(20)) || chr(10) || 'Size: H1'
          ELSE 'Size: H' || cast(p_size AS varchar(20)) END AS spec,
     CASE WHEN p_partkey % 3 = 0 THEN 'PVC' ELSE '' END AS material
   FROM part),
@@ -264,14 +266,16 @@ lsec AS (
       'Release Date' || chr(9) || 'Mar-' || cast(2017 + p_partkey % 11 AS varchar) || chr(9) || 'List Price' || chr(9)
         || format('{:,}', cast(floor(p_retailprice) AS bigint) * 10) || ' JPY',
       CASE WHEN p_partkey % 17 = 0 THEN 'Maker' || chr(9) || p_brand ELSE 'Brand' || chr(9) || p_brand END,
-      'Product Line' || chr(9) || p_type, 'Character Name    ' || p_name,
+      'Product Line' || chr(9) || p_type,
+      CASE WHEN p_partkey % 4 = 0 THEN 'Series Title  Saga of ' || p_type || ' ' || cast(p_size AS varchar) || ' ' END, 'Character Name    ' || p_name,
       'Sculptor' || chr(9) || 'S' || cast(p_size AS varchar) || ' ',
       'Specifications' || chr(9) || 'Scale: 1/' || cast(p_size AS varchar), 'Material: PVC & ABS', '',
       '[Set Contents]', 'Main Body x1', 'Details' || chr(9) || 'x') AS section
   FROM part),
 lcat AS (
   SELECT source, pos, p_partkey, printf('FIGURE-%012d', p_partkey) AS gcode, p_name AS name,
-    CASE WHEN p_partkey % 17 = 0 THEN '' ELSE p_brand END AS brand, p_type AS product_line, '' AS series_title,
+    CASE WHEN p_partkey % 17 = 0 THEN '' ELSE p_brand END AS brand, p_type AS product_line,
+    CASE WHEN p_partkey % 4 = 0 THEN 'Saga of ' || p_type || ' ' || cast(p_size AS varchar) ELSE '' END AS series_title,
     'Mar-' || cast(2017 + p_partkey % 11 AS varchar) AS release_date, 'S' || cast(p_size AS varchar) AS sculptor,
     'PVC & ABS' AS material, 'Scale: 1/' || cast(p_size AS varchar) || chr(10) || 'Material: PVC & ABS' AS spec,
     '' AS status, cast(jpy AS varchar) AS price_jpy, printf('%.2f', jpy * 0.0069::double) AS price_usd,
