@@ -221,13 +221,14 @@ class PieceCount:
         self._get = _Words(lambda w: len(model.encode(w))).__getitem__
 
     def __call__(self, text: str) -> int:
-        words = text.split(" ")
+        # The model writes a space as U+2581, so one in the text is a space like any other.
+        words = (text.replace("▁", " ") if "▁" in text else text).split(" ")
         if "" not in words:
             return sum(map(self._get, words))
         if not text:
             return 0
         # Runs of spaces: each run but its first space belongs to the following word.
-        parts = [w[1:] for w in _SPACED_WORDS.findall(" " + text)]
+        parts = [w[1:] for w in _SPACED_WORDS.findall(" " + " ".join(words))]
         lone = not parts[-1]  # a single space at the end is one id of its own
         return sum(map(self._get, parts[:-1] if lone else parts)) + lone
 

@@ -1,6 +1,7 @@
 """Cached encoders against the libraries on whole texts."""
 
 import random
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,14 @@ def test_piece_counts():
         assert ours(text) == len(library.encode(text)), text[:50]
 
 
+def test_piece_counts_of_all_short_texts():
+    """Every text of up to six characters over a letter, a space, the model's own space mark and a line end."""
+    library, ours = SentencePieceProcessor(model_file=T.tokenizer_path(T.PIECE_BPE)), T.PieceCount()
+    texts = ["".join(t) for n in range(7) for t in product("a ▁\n", repeat=n)]
+    wrong = [t for t, ids in zip(texts, library.encode(texts)) if ours(t) != len(ids)]
+    assert not wrong, wrong[:5]
+
+
 def test_with_end():
     ids, at = T.with_end(np.array([5, 6, 7], np.uint32), np.array([0, 0, 2, 3]), 2)
     assert ids.tolist() == [2, 5, 6, 2, 7, 2] and at.tolist() == [0, 1, 4, 6]
