@@ -47,6 +47,7 @@ FLUSH_WINDOWS = 1 << 22   # distinct windows that a task holds before it hands t
 SHARPNESS = 8.0           # the score is a softmax of -SHARPNESS * cross-entropy per character
 
 _SPACE = 32
+_BEYOND = np.uint32(0xD800), np.uint32(0xF900 - 0xD800)  # first of those places, and their number
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -60,8 +61,8 @@ def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(four-character windows as 4 x 16 bits, document offsets into them).
 
     Each document is read as three spaces, its letters with single spaces for other runs, and a
-    final space; a window ends at each character behind the padding. Code points beyond
-    16 bits are folded into 16.
+    final space; a window ends at each character behind the padding. Letters beyond 16 bits share
+    the places of 16 bits that no letter has (surrogates and private use): never another letter's or the space's.
     """
     joined = "\0".join([t.replace("\0", " ") if "\0" in t else t for t in texts]).lower() + "\0"
     code = np.frombuffer(joined.encode("utf-32-le", "replace"), "<u4")
@@ -75,8 +76,7 @@ def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     reps = np.zeros(len(code), np.int64)
     reps[letter | gap] = 1
     reps[stop] = ORDER
-    wide = code & np.uint32(0xFFFF) ^ code >> np.uint32(16) * np.uint32(0x5A5)
-    chars = np.where(letter, wide, _SPACE).astype(np.uint64)
+    chars = np.where(letter, np.where(code > 0xFFFF, _BEYOND[0] + code % _BEYOND[1], code), _SPACE).astype(np.uint64)
     chars = np.r_[np.full(ORDER - 1, _SPACE, np.uint64), np.repeat(chars, reps)]
     packed = chars[:-3] << np.uint64(48) | chars[1:-2] << np.uint64(32) | chars[2:-1] << np.uint64(16) | chars[3:]
     # Windows that end in the padding behind a document: all of its ORDER spaces but the first.

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 from edge_docs import edge_docs, edge_rows, empty_docs
 
+from prodlink.llm.langid import windows
 from prodlink.llm import langid as I
 from prodlink.llm.common import table
 
@@ -97,3 +98,15 @@ def test_large_alphabet(spark):
     out = [(i, lang) for i, _, lang in rows if zlib.crc32(str(i).encode()) % 5 == 0]
     right = sum(got[i] == lang for i, lang in out) / len(out)
     assert right > 0.97, right
+
+
+def test_letters_beyond_16_bits():
+    """They are letters, differ from all others, and a text of them alone has windows."""
+    def of(text):
+        return tuple(windows([text])[0].tolist())
+
+    plain = {of(chr(c)) for c in range(0x110000) if c <= 0xFFFF and chr(c).isalpha() and chr(c).lower() == chr(c)}
+    far = [chr(c) for c in (0x10020, 0x20020, 0x20061, 0x20062, 0x2F800, 0x1D400, 0x1E900 + 0x22)]
+    assert all(of(c) and of(c) not in plain for c in far)
+    assert of("\U00020061\U00020062") != of("ab") and len({of(c) for c in far}) == len(far)
+    assert of(" ") == of("12") == ()
