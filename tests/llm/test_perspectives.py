@@ -38,11 +38,18 @@ def test_rotation(spark, monkeypatch, size):
     assert got == brute(ROWS, size)
 
 
-def test_crowded_parts_are_split(spark, monkeypatch):
-    monkeypatch.setattr(P, "PART_ROWS", 10)
-    rows = [(1, 0, "user", f"text {i}") for i in range(50)]
-    out = P.rotate(spark.createDataFrame(rows, TURNS)).collect()
-    assert sum(r.n_turns for r in out) == 50 and all(r.n_turns == 1 for r in out)
+@pytest.mark.parametrize("size", [10, 3])
+def test_crowded_parts_keep_their_order(spark, monkeypatch, size):
+    monkeypatch.setattr(P, "PART_ROWS", size)
+    rows = [(1, i % 7, "user" if i % 3 else "Ann", f"text {i:02}") for i in range(50)] + [(2, 0, "user", "few")] \
+        + [(3, None, "user", f"late {i:02}") for i in range(12)]
+    out = P.rotate(spark.createDataFrame(rows, TURNS).repartition(7)).collect()
+    whole = {}
+    for r in sorted(out, key=lambda r: r.sub):
+        text, mask = whole.get((r.conv_id, r.perspective, r.part), ("", []))
+        whole[r.conv_id, r.perspective, r.part] = (text + r.text, mask + [(m.begin + len(text), m.end + len(text)) for m in r["mask"]])
+    assert whole == brute(rows)
+    assert max(r.n_turns for r in out) <= size and {r.sub for r in out if r.conv_id == 1} == set(range(-(-50 // size)))
 
 
 def test_empty(spark):
