@@ -146,12 +146,12 @@ def train(texts, labels: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, s
         share = (positive + 1) / (n + 2)
         return Model(np.zeros(buckets, np.float32), float(np.log(share / (1 - share))))
     make = Featurizer()
-    docs: list[tuple[np.ndarray, np.ndarray]] = []
-    for i, j, raw, off in utf8_slices(texts):
-        parts = list(make(raw, off))
-        for d in range(j - i):
-            ids, count = np.unique(np.concatenate([h[at[d]:at[d + 1]] for h, at in parts]), return_counts=True)
-            docs.append((ids.astype(np.int64), (count / max(1, count.sum())).astype(np.float32)[:, None]))
+    docs = [raw for _, _, raw, _ in utf8_slices(texts, 0)]  # views on the texts: features are made anew in each epoch
+
+    def features(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, count = np.unique(np.concatenate([h for h, _ in make(raw, np.array([0, len(raw)]))]), return_counts=True)
+        return ids.astype(np.int64), (count / max(1, count.sum())).astype(np.float32)[:, None]
+
     rng = np.random.default_rng(seed)
     table_ = rng.uniform(-1 / DIM, 1 / DIM, (buckets, DIM)).astype(np.float32)
     weights = rng.uniform(-1, 1, (2, DIM)).astype(np.float32)
@@ -159,7 +159,7 @@ def train(texts, labels: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, s
     step, steps = 0, epochs * n
     for _ in range(epochs):
         for d in rng.permutation(n):
-            ids, share = docs[d]
+            ids, share = features(docs[d])
             lr = np.float32(rate * (1 - step / steps))
             step += 1
             mean = (table_[ids] * share).sum(axis=0) if len(ids) else np.zeros(DIM, np.float32)
@@ -179,7 +179,8 @@ def train(texts, labels: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, s
 
 def training_sample(docs: DataFrame, labels: DataFrame, target: str, max_docs: int = SAMPLE_DOCS,
                     max_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """At most ``max_docs`` labelled, not held-out documents (smallest id hashes): text, label."""
+    """At most ``max_docs`` labelled, not held-out documents (smallest id hashes): text, label. Texts over a sixteenth of
+    ``max_bytes`` (4 MB by default) are not learned from, so that no single one fills the sample; all are scored."""
     keys = (labels.filter(F.col(target).isin(0, 1) & ~held_out())
             .groupBy("doc_id").agg(F.max(target).cast("int").alias("label"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs))
