@@ -1,14 +1,15 @@
 """Operator 4 - line dedup by an exact set-similarity join (built-in functions only).
 
-A line is the set of its lower-cased words (between spaces); lines of fewer than ``LEAST_WORDS``
-distinct words are never touched. A line goes when an earlier line, by (doc_id, place), has a
+A line is its lower-cased text and the set of its words (between white space). A line goes when an earlier line, by
+(doc_id, place), has the same lower-cased text, or, if it has ``LEAST_WORDS`` distinct words or more, such a line has a
 Jaccard similarity of ``4/5`` or more - whether that earlier line stays or not, so the result
-does not depend on any order of work.
+does not depend on any order of work. Lines of white space alone are never touched.
 
 1. Rarity: occurrences of all words (as they are spelled) are counted into ``RARITY_SLOTS`` slots by
    hash. The counts, one byte a slot, order words from rare to frequent (ties by hash); any order
    keeps the join exact. More slots tell apart rarer words; raise them with the vocabulary.
-2. Lines with equal text are one class, led by its earliest line; all its other lines go.
+2. Lines with equal text are one class, led by its earliest line; all its other lines go. Classes of fewer
+   than ``LEAST_WORDS`` words take no part in what follows.
 3. Families of near-equal lines are settled first, so that they are never paired with themselves: leaders
    whose i-th smallest and i-th largest word hashes agree (i = 1 .. ``FAMILY_KEYS``) are compared with
    the earliest of them, and those found similar are done. This only saves work.
@@ -19,17 +20,18 @@ does not depend on any order of work.
    words), and every differing parity is a word that is not shared.
 5. Pairs that pass the suffix bound on their whole prefixes are verified on the words themselves.
 
-Edge cases: null texts stay null and have no lines; empty lines stay; a null doc_id ranks first, told apart
-by text; rows that share a doc_id count as one document, line by line; repeated rows keep one
-another's lines; extra columns are passed on untouched by ``dedup_lines``; empty tables stay empty.
+Edge cases: null texts stay null and have no lines; a null doc_id ranks first; rows are told apart by
+doc_id and text, so rows that share a doc_id but not the text are documents of their own, the one with the smaller
+hash of its text first; rows repeated whole count as one document and keep one another's lines; extra columns are
+passed on untouched by ``dedup_lines``; empty tables stay empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, stored, table, whole_text
+from .common import discard, long_id, stored, table, whole_text
 
 LEAST_WORDS = 5
 RARITY_SLOTS = 1 << 17
@@ -41,25 +43,34 @@ BROADCAST_BYTES = 128 << 20
 _HASH_BITS = 31   # of a word in a prefix; a clash only adds a candidate
 
 
+_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a" \
+          "\u2028\u2029\u202f\u205f\u3000"
+
+
 def _line_id() -> Column:
-    """doc_id; without one, a number below all ids made from the text."""
-    return F.coalesce(F.col("doc_id").cast("long"),
-                      F.lit(-(1 << 63)) + F.shiftrightunsigned(F.xxhash64(whole_text()), 2))
+    """What tells rows apart: doc_id (a null one below all) and a hash of the text."""
+    return F.struct(long_id().alias("doc"), F.xxhash64(whole_text()).alias("text"))
+
+
+def _spaced(text: Column) -> Column:
+    """White space other than line ends as spaces."""
+    return F.translate(text, _SPACES, " " * len(_SPACES))
 
 
 def _split_words(line: Column) -> Column:
-    return F.array_remove(F.split(line, " "), "")
+    return F.array_remove(F.split(_spaced(line), " "), "")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """(id, place, line) with the line in lower case."""
     return (docs.filter(F.col("text").isNotNull()).select(_line_id().alias("id"), F.lower(whole_text()).alias("t"))
-            .select("id", F.posexplode_outer(F.split("t", "\n")).alias("place", "line")))
+            .select("id", F.posexplode_outer(F.split("t", "\n")).alias("place", "line"))
+            .filter(F.trim(_spaced(F.col("line"))) != ""))
 
 
 def _rarity(docs: DataFrame) -> Column:
     """One character per slot, on a logarithmic scale: RARITY_SLOTS bytes whatever the corpus."""
-    words = (docs.select(F.replace(whole_text(), F.lit("\n"), F.lit(" ")).alias("t"))
+    words = (docs.select(F.translate(whole_text(), "\n" + _SPACES, " " * (len(_SPACES) + 1)).alias("t"))
              .select(F.explode_outer(F.split("t", " ")).alias("w"))
              .groupBy(F.pmod(F.xxhash64("w"), F.lit(RARITY_SLOTS)).cast("int").alias("slot")).agg(F.count(F.lit(1)).alias("n")))
     level = F.least(F.lit(93), F.floor(4 * F.log2(F.col("n") + 1))).cast("int")
@@ -77,7 +88,7 @@ def _classes(docs: DataFrame) -> DataFrame:
     """Lines of equal text: same (digest), lines, id and place of the leader, n words, prefix (hashes of the
     rarest words), bits (parities), keys (of families)."""
     rarity = _rarity(docs)
-    hashes = F.array_remove(F.array_distinct(F.transform(F.split("line", " "), lambda w: F.xxhash64(w))),
+    hashes = F.array_remove(F.array_distinct(F.transform(F.split(_spaced(F.col("line")), " "), lambda w: F.xxhash64(w))),
                             F.xxhash64(F.lit("")))
     low = F.lit((1 << _HASH_BITS) - 1)
     ordered = F.sort_array(F.transform("h", lambda h: F.shiftleft(
@@ -93,13 +104,12 @@ def _classes(docs: DataFrame) -> DataFrame:
     more = F.when(F.size("h") > LONG_LINE, F.array(*[
         parities(F.filter("h", lambda h, k=k: F.pmod(h, F.lit(3)) == k)) for k in range(3)]))
     keys = F.array(*[F.xxhash64(F.lit(i), F.get("s", F.lit(i)), F.get("s", F.size("s") - 1 - i)) for i in range(FAMILY_KEYS)])
-    lines = (_lines(docs).filter(F.length("line") >= 2 * LEAST_WORDS - 1)
-             .select("id", "place", _same(F.col("line")).alias("same"), hashes.alias("h"))
-             .filter(F.size("h") >= LEAST_WORDS)
+    lines = (_lines(docs).select("id", "place", _same(F.col("line")).alias("same"), hashes.alias("h"))
              .select("id", "place", "same", F.size("h").alias("n"), bits.alias("bits"), more.alias("more"), F.sort_array("h").alias("s"),
                      F.transform(F.slice(ordered, 1, F.floor(F.size("h") / 5).cast("int") + 1),
                                  lambda x: x.bitwiseAND(low).cast("int")).alias("prefix"))
-             .select("id", "place", "same", F.struct("n", "bits", "more", keys.alias("keys"), "prefix").alias("info")))
+             .select("id", "place", "same", F.when(F.col("n") >= LEAST_WORDS, F.struct(
+                 "n", "bits", "more", keys.alias("keys"), "prefix")).alias("info")))
     return stored(lines.groupBy("same").agg(
         F.count(F.lit(1)).alias("lines"), F.min(F.struct("id", "place")).alias("lead"), F.first("info").alias("info"))
         .select("same", "lines", "lead.*", "info.*"), "classes")
@@ -127,9 +137,11 @@ def _may_match(x: str, y: str) -> Column:
 
 def _family_pairs(classes: DataFrame) -> DataFrame:
     """Leaders with the earliest leader of a common family key."""
-    w = Window.partitionBy("key").orderBy("id", "place")
-    rows = (classes.select(F.struct("n", "bits", "more").alias("x"), "id", "place", F.explode_outer("keys").alias("key"))
-            .withColumn("y", F.first(F.struct("x.n", "x.bits", "x.more", "id", "place")).over(w)))
+    keyed = classes.select("n", "bits", "more", "id", "place", F.explode_outer("keys").alias("key"))
+    # The earliest by a minimum, which counts before the shuffle; a key that only one leader has needs no partner.
+    first = (keyed.groupBy("key").agg(F.min(F.struct("id", "place", "n", "bits", "more")).alias("y"), F.count(F.lit(1)).alias("size"))
+             .filter("size > 1").select("key", "y"))
+    rows = keyed.join(first, "key").select(F.struct("n", "bits", "more").alias("x"), "id", "place", "y")
     return (rows.filter(((F.col("id") != F.col("y.id")) | (F.col("place") != F.col("y.place"))) & _may_match("x", "y"))
             .select("id", "place", F.col("y.id").alias("id2"), F.col("y.place").alias("place2")).distinct())
 
@@ -182,26 +194,25 @@ def _similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(id, place) of all lines to remove."""
     classes = _classes(docs)
-    first = _similar(docs, classes, _family_pairs(classes))
-    second = _similar(docs, classes, _prefix_pairs(classes, first))
+    longer = classes.filter(F.col("n").isNotNull())
+    first = _similar(docs, longer, _family_pairs(longer))
+    second = _similar(docs, longer, _prefix_pairs(longer, first))
     similar = first.union(second).withColumn("similar", F.lit(True))
     # Classes with something to remove: further lines of the class, or all when the leader goes.
     dirty = stored(classes.select("same", "lines", "id", "place").join(similar, ["id", "place"], "left")
                    .filter((F.col("lines") > 1) | F.col("similar"))
                    .select("same", F.col("id").alias("lead_id"), F.col("place").alias("lead_place"), "similar"), "dirty")
     discard(classes)
-    return (_lines(docs).filter(F.length("line") >= 2 * LEAST_WORDS - 1)
-            .select("id", "place", _same(F.col("line")).alias("same"))
+    return (_lines(docs).select("id", "place", _same(F.col("line")).alias("same"))
             .join(dirty, "same")
             .filter(F.coalesce("similar", F.lit(False)) | (F.col("id") != F.col("lead_id"))
                     | (F.col("place") != F.col("lead_place"))).select("id", "place").distinct())
 
 
 def dedup_lines(docs: DataFrame, prefix: str = "_ld_") -> DataFrame:
-    """The documents with repeated lines removed from ``text``, plus <prefix>lines, <prefix>removed and
-    <prefix>left (lines of LEAST_WORDS words or more that stay)."""
+    """The documents with repeated lines removed from ``text``, plus <prefix>lines and <prefix>removed."""
     gone = stored(repeated_lines(docs).groupBy("id").agg(F.collect_list("place").alias("places")), "removed-lines")
-    size = gone.agg(F.sum(16 + 4 * F.size("places")).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    size = gone.agg(F.sum(24 + 4 * F.size("places")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     if (size["b"] or 0) <= BROADCAST_BYTES and size["n"] <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
     gone = gone.select(F.col("id").alias(f"{prefix}id"), F.col("places").alias(f"{prefix}places"))
@@ -209,14 +220,10 @@ def dedup_lines(docs: DataFrame, prefix: str = "_ld_") -> DataFrame:
     kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col(f"{prefix}places")))
     changed = F.col(f"{prefix}places").isNotNull()
     names = [c for c in docs.columns if c != "text"]
-    long_line = F.size(_split_words(F.lower("text")))
     text = F.when(changed, F.array_join(F.transform(kept, lambda i: F.get(all_lines, i)), "\n")).otherwise(F.col("text"))
     return (docs.withColumn(f"{prefix}id", _line_id()).join(gone, f"{prefix}id", "left")
             .select(*names, text.alias("text"), F.coalesce(F.size(all_lines), F.lit(0)).cast("long").alias(f"{prefix}lines"),
-                    F.when(changed, F.size(f"{prefix}places")).otherwise(F.lit(0)).cast("long").alias(f"{prefix}removed"))
-            .withColumn(f"{prefix}left", F.when(F.col(f"{prefix}removed") > 0,
-                        F.exists(F.split("text", "\n"), lambda x: F.size(F.array_distinct(_split_words(F.lower(x)))) >= LEAST_WORDS))
-                        .otherwise(F.lit(True))))
+                    F.when(changed, F.size(f"{prefix}places")).otherwise(F.lit(0)).cast("long").alias(f"{prefix}removed")))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,28 +233,21 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: repeated lines go. A document that lost lines goes too if nothing but white space is
-    left of it, or if it has no line of LEAST_WORDS words left and its whole remaining text is that of a document
-    that lost none, which stays. n_chars is that of the remaining text."""
+    """Pipeline stage: repeated lines go, and with them a document that lost lines and has nothing but white space
+    left: all of it stands in earlier ones. n_chars is that of the remaining text."""
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
-    rows = dedup_lines(docs.select(*cols))
-    same = _same(F.col("text"))
-    short = stored(rows.filter(~F.col("_ld_left") & F.col("text").rlike("(?U)\\S")).select(same.alias("same")).distinct(), "short-rests")
-    whole = stored(rows.filter((F.col("_ld_removed") == 0) & F.col("text").isNotNull()).select(same.alias("same"))
-                   .join(_small(short), "same", "left_semi").distinct(), "whole-texts")
-    rest = rows.filter("_ld_left").union(
-        rows.filter(~F.col("_ld_left") & F.col("text").rlike("(?U)\\S")).withColumn("same", same)
-        .join(_small(whole), "same", "left_anti").select(rows.columns))
-    return (rest.withColumn("n_chars", F.when(F.col("_ld_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-            .select(*cols))
+    lost = F.col("_ld_removed") > 0
+    return (dedup_lines(docs.select(*cols)).filter(~lost | (F.trim(_spaced(F.translate("text", "\n", ""))) != ""))
+            .withColumn("n_chars", F.when(lost, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*cols))
 
 
 OP4_SQL = f"""
 WITH l AS (SELECT doc_id AS id, unnest(string_split(text, chr(10))) AS line,
                   generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents),
-     s AS (SELECT id, place, lower(line) AS same, list_distinct(list_filter(string_split(lower(line), ' '), lambda w: w <> '')) AS w FROM l),
-     c AS (SELECT same, w, len(w) AS n, min((id, place)) AS lead FROM s WHERE len(w) >= {LEAST_WORDS} GROUP BY ALL),
-     t AS (SELECT lead, n, unnest(w) AS word FROM c),
+     s AS (SELECT id, place, lower(line) AS same,
+                  list_distinct(list_filter(string_split_regex(lower(line), '[ {_SPACES}]+'), lambda w: w <> '')) AS w FROM l),
+     c AS (SELECT same, w, len(w) AS n, min((id, place)) AS lead FROM s WHERE len(w) > 0 GROUP BY ALL),
+     t AS (SELECT lead, n, unnest(w) AS word FROM c WHERE n >= {LEAST_WORDS}),
      near AS (SELECT DISTINCT x.lead FROM t x JOIN t y ON x.word = y.word AND y.lead < x.lead
                      AND 5 * x.n >= 4 * y.n AND 5 * y.n >= 4 * x.n
               GROUP BY x.lead, y.lead, x.n, y.n HAVING 9 * count(*) >= 4 * (x.n + y.n)),

@@ -9,11 +9,12 @@ from prodlink.llm import linejoin as L
 def brute(rows):
     """{(id, place)} to remove; ids must be unique and not null."""
     lines = [(i, p, line.lower()) for i, text, *_ in rows if text is not None for p, line in enumerate(text.split("\n"))]
-    sets = sorted((i, p, frozenset(w for w in line.split(" ") if w)) for i, p, line in lines)
-    sets = [x for x in sets if len(x[2]) >= L.LEAST_WORDS]
+    sets = sorted((i, p, line, frozenset(line.split())) for i, p, line in lines)
+    sets = [x for x in sets if x[3]]
     gone = set()
-    for k, (i, p, s) in enumerate(sets):
-        if any(9 * len(s & t) >= 4 * (len(s) + len(t)) for _, _, t in sets[:k]):
+    for k, (i, p, line, s) in enumerate(sets):
+        if any(line == other or (min(len(s), len(t)) >= L.LEAST_WORDS and 9 * len(s & t) >= 4 * (len(s) + len(t)))
+               for _, _, other, t in sets[:k]):
             gone.add((i, p))
     return gone
 
@@ -30,7 +31,7 @@ def line_rows(seed=0):
             line = list(rng.choice(base))
             for _ in range(rng.choice([0, 0, 1, 2, 6])):
                 line[rng.randrange(len(line))] = rng.choice(words)
-            text.append(" ".join(line))
+            text.append(rng.choice([" ", " ", " ", "\t", "\u3000"]).join(line))
         rows.append((i, "\n".join(text), None, None, None))
     return rows
 
@@ -39,7 +40,7 @@ def line_rows(seed=0):
 def test_against_all_pairs(spark, monkeypatch, keys, rows):
     monkeypatch.setattr(L, "FAMILY_KEYS", keys)
     docs = spark.createDataFrame(rows, DOCS)
-    got = {tuple(r) for r in L.repeated_lines(docs).collect()}
+    got = {(r.id.doc, r.place) for r in L.repeated_lines(docs).collect()}
     assert got == brute(rows)
     left = {r.doc_id: r.text for r in L.dedup_lines(docs).collect()}
     for i, text, *_ in rows:
@@ -58,19 +59,38 @@ def test_edge_rows_and_extra_columns(spark):
     assert kept == {r[1] for r in nulls}
 
 
+def test_short_and_unspaced_lines(spark):
+    """Equal lines go whatever their words; near ones need words enough."""
+    texts = ["Hi all\n日本語の同じ文章です\n \n", "hi ALL\nx", "日本語の同じ文章です\n\n \nown", "a\tb\tc", "a b c", "A\tB\tC\nHi  all", "x\nx"]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    left = {r.doc_id: r.text for r in L.dedup_lines(docs).collect()}
+    assert left == {0: texts[0], 1: "x", 2: "\n \nown", 3: "a\tb\tc", 4: "a b c", 5: "Hi  all", 6: ""}
+
+
+def test_rows_of_one_id_keep_their_own_lines(spark):
+    line = "a line that three documents hold word for word"
+    rows = [(1, line), (2, f"{line}\nfirst own line nobody else has here"), (2, f"second own line nobody else has here\n{line}"),
+            (2, f"second own line nobody else has here\n{line}"), (None, f"{line}\nthird"), (None, "fourth")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    left = sorted(((r.doc_id or 0), r.text) for r in L.dedup_lines(docs).collect())
+    # Rows without an id come first, so one of them leads.
+    assert left == [(0, f"{line}\nthird"), (0, "fourth"), (1, ""), (2, "first own line nobody else has here"),
+                    (2, "second own line nobody else has here"), (2, "second own line nobody else has here")]
+
+
 def test_stage_drops_documents_without_own_content(spark):
     long_line = "one two three four five six seven"
     docs = spark.createDataFrame([(1, long_line, "en", "s", 9), (2, f"Hi.\n{long_line}", "en", "s", 9), (3, "Hi.", "en", "s", 3),
                                   (4, f"{long_line}\nan own line of more than five words", "en", "s", 9)], DOCS)
     rows = {r.doc_id: (r.text, r.n_chars) for r in L.line_dedup_stage(spark, docs, "").collect()}
     own = "an own line of more than five words"
-    assert rows == {1: (long_line, 9), 3: ("Hi.", 3), 4: (own, len(own))}
+    assert rows == {1: (long_line, 9), 2: ("Hi.", 3), 4: (own, len(own))}
 
 
 def test_stage_keeps_short_lines_found_nowhere_else(spark):
     long_line = "one two three four five six seven"
     texts = [long_line, f"{long_line}\nroses\nare red", f"日本語の文章です\n{long_line}", f"{long_line}\na\tb\tc", f"{long_line}\n \t\u3000",
-             f"Hi.\n{long_line}", "Hi.", f"{long_line}\nyes\nno", "yes", "no"]
+             f"Hi.\n{long_line}", "Hi.", f"{long_line}\nyes\nno", "yes", "no", "", " \n"]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS)
     rows = {r.doc_id: r.text for r in L.line_dedup_stage(spark, docs, "").collect()}
-    assert rows == {0: long_line, 1: "roses\nare red", 2: "日本語の文章です", 3: "a\tb\tc", 6: "Hi.", 7: "yes\nno", 8: "yes", 9: "no"}
+    assert rows == {0: long_line, 1: "roses\nare red", 2: "日本語の文章です", 3: "a\tb\tc", 5: "Hi.", 7: "yes\nno", 10: "", 11: " \n"}
