@@ -34,11 +34,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import long_id, map_arrow, plain_id, stored, table, utf8_slices, whole_text
+from .common import LOWER, UPPER, long_id, map_arrow, plain_id, stored, table, utf8_slices, whole_text
 
 WINDOW = 13
 SHINGLE = 5
-BLOCK_WORDS = 4_000_000
+BLOCK_WORDS = 1 << 19
 SLICE = 1 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -239,13 +239,18 @@ def _merged(spans: Column) -> Column:
 def find_hits(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of every document, n_words, n_hit, items (sorted ids), contaminated."""
     source = docs.select(*keep, whole_text().alias("t"))
-    blocks = [Windows([(r["item"], r["t"]) for r in b.collect()]) for b in _blocks(benchmark)]  # bounded by BLOCK_WORDS each
+    blocks = _blocks(benchmark)
+
+    def windows(block: DataFrame) -> Windows:
+        return Windows([(r["item"], r["t"]) for r in block.collect()])  # bounded by BLOCK_WORDS
+
     if len(blocks) == 1:
-        out = _hits_of_block(source, blocks[0])
+        out = _hits_of_block(source, windows(blocks[0]))
     else:
         # Rows get a number, fixed by storing them, and each block's hits are united under it.
         rows = stored(source.withColumn("_n", F.monotonically_increasing_id()), "numbered")
-        hits = [_hits_of_block(rows.select("_n", "t"), b) for b in blocks]
+        # One block after another: its windows are gone before the next one's are made.
+        hits = [stored(_hits_of_block(rows.select("_n", "t"), windows(b)), "block-hits") for b in blocks]
         every = hits[0]
         for h in hits[1:]:
             every = every.union(h)
@@ -269,3 +274,20 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Pipeline stage: contaminated documents go."""
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
     return find_hits(docs, table(spark, sf_dir, "benchmark"), cols).filter(~F.col("contaminated")).select(*cols)
+
+
+OP9_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS words
+        FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)),
+gram AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS words
+         FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d JOIN (SELECT DISTINCT n FROM win) ON len(w) >= n)),
+found AS (SELECT g.doc_id, g.i, g.n, win.item_id FROM gram g JOIN win ON win.n = g.n AND win.words = g.words),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM found) GROUP BY doc_id),
+item AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+         FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(item.n, 0) AS n_items, sha256(coalesce(item.ids, '')) AS items_sha256,
+       coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN item ON item.doc_id = d.doc_id
+"""

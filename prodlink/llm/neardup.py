@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import long_id, map_arrow, ship, stored, table, utf8_slices, whole_text
+from .common import LOWER, UPPER, long_id, map_arrow, ship, stored, table, utf8_slices, whole_text
 from .components import components
 from .superminhash import mix, shingle_sets, signatures
 
@@ -257,3 +257,20 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows = docs.select(*cols).withColumn("_id", long_id()).join(kept, "_id")
     one = Window.partitionBy("_id", F.xxhash64("text")).orderBy("lang", "source")
     return rows.withColumn("_copy", F.row_number().over(one)).filter("_copy = 1").select(*cols)
+
+
+OP10_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')))
+                                 WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS (SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+         JOIN n nx ON nx.doc_id = x.doc_id JOIN n ny ON ny.doc_id = y.doc_id
+         GROUP BY x.doc_id, y.doc_id, nx.n, ny.n HAVING 100 * count(*) >= {PERCENT} * (nx.n + ny.n - count(*))),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT DISTINCT a, a AS b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON e.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component, d.doc_id) AS component_id,
+       coalesce(c.component, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id
+"""

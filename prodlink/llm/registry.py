@@ -25,5 +25,7 @@ ORACLES: dict[str, str] = {
     "op1_exact_dedup": blocknames.OP1_SQL,
     "op4_line_dedup": linejoin.OP4_SQL,
     "op8_chat_perspectives": perspectives.OP8_SQL,
+    "op9_decontamination": decontaminate.OP9_SQL,
+    "op10_near_dedup": neardup.OP10_SQL,
     "op12_quality_rules": divergence.OP12_SQL,
 }
