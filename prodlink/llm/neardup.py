@@ -29,19 +29,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, long_id, map_arrow, ship, stored, table, utf8_slices, whole_text
+from .common import LOWER, NULL_ID, UPPER, long_id, map_arrow, ship, stored, table, utf8_slices, whole_text
 from .components import components
 from .superminhash import mix, shingle_sets, signatures
 
 PERCENT = 85          # linked at 100 * intersection >= PERCENT * union
 BANDS, ROWS = 24, 5
 PLACES = BANDS * ROWS
-# Pairs under this share of equal places are not verified: at a similarity of 0.85 the share of 120 places
-# spreads by less than 0.033, so a link falls under it about once in 100,000.
-LEAST_AGREEMENT = PERCENT / 100 - 0.14
+STAGE_PERCENT = 80    # and in the pipeline's stage
+# Pairs whose share of equal places is so much below the threshold are not verified: at a similarity of 0.85 the share
+# of 120 places spreads by less than 0.033, so a link falls under it about once in 100,000 (once in 15,000 at 0.8).
+SPREAD = 0.14
 SMALL_BUCKET = 64
 BLOCK = 1024                  # members of a block of a large bucket
 BLOCK_ELEMENTS = 1 << 21      # and shingles of their sets (16 MB)
@@ -59,7 +60,7 @@ def _keys(ids: np.ndarray, digests: list[bytes]) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """key, n, digest, sig (a byte per place), bands; one row per document."""
+    """key, text (a hash of the text), n, digest, sig (a byte per place), bands; one row per document."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,14 +74,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                     bands = mix(bands + np.uint64(k + 1) + sig[:, k::ROWS])
                 low = (sig & np.uint64(0xFF)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_keys(ids[i:j], digests)), pa.array(np.diff(at)), pa.array(digests, pa.binary()),
+                    [pa.array(_keys(ids[i:j], digests)), batch.column(2)[i:j], pa.array(np.diff(at)), pa.array(digests, pa.binary()),
                      pa.array([x.tobytes() for x in low], pa.binary()),
                      pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * BANDS),
                                               pa.array(bands.reshape(-1).view(np.int64)))],
-                    names=["key", "n", "digest", "sig", "bands"])
+                    names=["key", "text", "n", "digest", "sig", "bands"])
 
-    return map_arrow(docs.select(long_id().alias("id"), whole_text().alias("t")), run,
-                     "key long, n long, digest binary, sig binary, bands array<long>")
+    return map_arrow(docs.select(long_id().alias("id"), whole_text().alias("t"), F.xxhash64(whole_text()).alias("h")), run,
+                     "key long, text long, n long, digest binary, sig binary, bands array<long>")
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -103,29 +104,29 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return map_arrow(texts, run, "node long, set binary")
 
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _agreeing(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes and signatures allow a link."""
     a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
-    fits = (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
+    fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PLACES) for c in (2, 3))
-            good = pa.array((x == y).mean(axis=1) >= LEAST_AGREEMENT)
+            good = pa.array((x == y).mean(axis=1) >= percent / 100 - SPREAD)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
 
     return map_arrow(pairs.join(a, "a").join(b, "b").filter(fits).select("a", "b", "sa", "sb"), run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y"))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [_linked(_set_of(x.as_py()), _set_of(y.as_py())) for x, y in zip(batch.column(2), batch.column(3))]
+            good = [_linked(_set_of(x.as_py()), _set_of(y.as_py()), percent) for x, y in zip(batch.column(2), batch.column(3))]
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
@@ -136,14 +137,14 @@ def _set_of(value: bytes) -> np.ndarray:
     return np.frombuffer(value, np.uint64)
 
 
-def _linked(p: np.ndarray, q: np.ndarray) -> bool:
+def _linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
     """Are two sorted sets similar enough?"""
     if not len(p) or not len(q):
         return False
     at = np.searchsorted(p, q)
     at[at == len(p)] = 0
     common = int((p[at] == q).sum())
-    return 100 * common >= PERCENT * (len(p) + len(q) - common)
+    return 100 * common >= percent * (len(p) + len(q) - common)
 
 
 def _open_buckets(members: DataFrame) -> DataFrame:
@@ -162,7 +163,7 @@ def _pairs_of_small(rows: DataFrame) -> DataFrame:
     return x.join(y, "bucket").filter("a < b and ca <> cb").select("a", "b").distinct()
 
 
-def _links_of_large(rows: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+def _links_of_large(rows: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Verified links across components of the larger buckets, one per node and component it links to.
 
     A block of members outside the largest component meets every block of the bucket; all its
@@ -194,15 +195,15 @@ def _links_of_large(rows: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataF
             sets_ = [_set_of(x) for x in two["set"]]
             for x in one.itertuples(index=False):
                 may = np.flatnonzero((component != x.component)
-                                     & (100 * np.minimum(n, x.n) >= PERCENT * np.maximum(n, x.n)))
+                                     & (100 * np.minimum(n, x.n) >= percent * np.maximum(n, x.n)))
                 may = may[(bands[may] == x.bands).argmax(axis=1) == x.band]
                 agree = (sig[may] == np.frombuffer(x.sig, np.uint8)).mean(axis=1)
                 own, done = _set_of(x.set), set()
                 for k in np.argsort(-agree, kind="stable"):
-                    if agree[k] < LEAST_AGREEMENT:
+                    if agree[k] < percent / 100 - SPREAD:
                         break
                     y = may[k]
-                    if component[y] not in done and _linked(own, sets_[y]):
+                    if component[y] not in done and _linked(own, sets_[y], percent):
                         done.add(component[y])
                         out.append((min(x.node, node[y]), max(x.node, node[y])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -210,8 +211,8 @@ def _links_of_large(rows: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataF
     return blocks.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """One row per document: key, digest, n, component."""
+def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row per document: key, text (a hash of it), digest, n, component; linked at 100 * intersection >= percent * union."""
     ship(docs.sparkSession)
     prints = stored(fingerprints(docs), "fingerprints")
     nodes = stored(prints.filter("n > 0").groupBy("digest")
@@ -225,18 +226,18 @@ def near_groups(docs: DataFrame) -> DataFrame:
     met = stored(members.select("node").distinct().join(nodes.drop("digest"), "node"), "met")
     sets = stored(_sets_of(docs, met.select("node").distinct()), "sets")
     stars = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = stored(_verified(_agreeing(stars, met), sets), "star-links")
+    links = stored(_verified(_agreeing(stars, met, percent), sets, percent), "star-links")
     first = components(links)
     rows = _open_buckets(members.join(first, "node", "left")
                          .select("bucket", "band", "node", F.coalesce("component", "node").alias("component")))
-    more = stored(_verified(_agreeing(_pairs_of_small(rows), met), sets)
-                  .union(_links_of_large(rows, met, sets)).distinct(), "more-links")
+    more = stored(_verified(_agreeing(_pairs_of_small(rows), met, percent), sets, percent)
+                  .union(_links_of_large(rows, met, sets, percent)).distinct(), "more-links")
     last = first if more.isEmpty() else components(
         more.union(first.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     classes = (nodes.select("digest", "node").join(last, "node", "left")
                .select("digest", F.coalesce("component", "node").alias("component")))
-    return (prints.select("key", "digest", "n").join(classes, "digest", "left")
-            .select("key", "digest", "n", F.coalesce("component", "key").alias("component")))
+    return (prints.select("key", "text", "digest", "n").join(classes, "digest", "left")
+            .select("key", "text", "digest", "n", F.coalesce("component", "key").alias("component")))
 
 
 def _id(col: str) -> Column:
@@ -250,13 +251,21 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group the document with the smallest id stays; of repeated rows, one."""
+    """Pipeline stage: of each group, linked at STAGE_PERCENT, the document with the smallest id stays; where only rows without an
+    id lead a group, the one with the smallest hash of its text. Rows equal in id and text count once; documents
+    without words all stay but for such repeats."""
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
-    kept = (near_groups(docs).filter(F.col("key") == F.col("component"))
-            .select(F.coalesce(_id("key"), F.lit(-(1 << 63))).alias("_id")).distinct())
-    rows = docs.select(*cols).withColumn("_id", long_id()).join(kept, "_id")
-    one = Window.partitionBy("_id", F.xxhash64("text")).orderBy("lang", "source")
-    return rows.withColumn("_copy", F.row_number().over(one)).filter("_copy = 1").select(*cols)
+    groups = near_groups(docs, STAGE_PERCENT)
+    # One leader a group; a minimum counts before the shuffle, however large a group is.
+    leads = groups.filter("n > 0").groupBy("component").agg(F.min(F.struct("key", "text")).alias("lead")).select("lead.*")
+    kept = leads.union(groups.filter("n = 0").select("key", "text").distinct())
+    kept = kept.select(F.coalesce(_id("key"), F.lit(NULL_ID)).alias("_id"), F.col("text").alias("_text"))
+    rows = docs.select(*cols).withColumn("_id", long_id()).withColumn("_text", F.xxhash64(whole_text())).join(kept, ["_id", "_text"])
+    # Repeats are few: only their keys are gathered, and the least row of each key stays.
+    order = F.struct("lang", "source", "n_chars")
+    least = (rows.groupBy("_id", "_text").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("least")).filter("n > 1").drop("n"))
+    many = rows.join(least, ["_id", "_text"]).filter(order.eqNullSafe(F.col("least"))).select(*cols).dropDuplicates()
+    return rows.join(least, ["_id", "_text"], "left_anti").select(*cols).union(many)
 
 
 OP10_SQL = rf"""
