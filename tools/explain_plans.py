@@ -19,7 +19,8 @@ NOTES = {
                         "The others group `events` children into listing documents (the dump fixture, in memory), "
                         "and deduplicate the catalog (last wins) for the enrichment join, which AQE plans.",
     "match_posts": "The exchange carries slim rows into the arg-max; anchors are a checkpointed, size-checked broadcast.",
-    "match_posts_shuffle": "Beyond the broadcast limit: (post, term) and (anchor, keyword) rows, texts by key, hits by keyword.",
+    "match_posts_shuffle": "Beyond the broadcast limit: hashes of words and gaps by term and by place; no text, no broadcast.",
+    "src_csv_lenient": "One scan; the exchange brings a file's records together, where its first one is their header.",
     "build_catalog": "No exchange.",
 }
 NAMES = ["match_posts", "match_posts_shuffle", "build_combined", "build_catalog", "build_posts", "src_csv_lenient", "validate_records"]
