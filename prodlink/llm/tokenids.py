@@ -56,7 +56,8 @@ _ASCII_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _WORD_END = np.array([0xFFFFFFFF], np.uint32)          # no id
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASE = 0x9E3779B97F4A7C15
+_BASE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+_SLOT_BITS = 21                                        # slots of the word table: over two a word kept (25 MB)
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
@@ -85,10 +86,34 @@ class WordBpe:
 
     def _forget(self) -> None:
         self._pieces: dict[str, bytes] = {}
-        self._keys = np.zeros(0, np.uint64)
+        # Open addressing by the keys' upper bits: a word's key (0 is a free slot) and its number.
+        self._slots, self._number = np.zeros(1 << _SLOT_BITS, np.uint64), np.zeros(1 << _SLOT_BITS, np.int32)
         self._at, self._len = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self._pool, self._pool_size = np.zeros(1 << 16, np.uint32), 0
 
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of the words, -1 for unknown ones."""
+        out = np.full(len(keys), -1, np.int64)
+        slot, todo = (keys >> np.uint64(64 - _SLOT_BITS)).astype(np.int64), np.arange(len(keys))
+        while len(todo):
+            at = slot[todo]
+            there = self._slots[at]
+            hit = there == keys[todo]
+            out[todo[hit]] = self._number[at[hit]]
+            todo = todo[~hit & (there != 0)]
+            slot[todo] = slot[todo] + 1 & (1 << _SLOT_BITS) - 1
+        return out
+
+    def _add(self, keys: np.ndarray) -> None:
+        """Give distinct new words the next numbers."""
+        slot, todo = (keys >> np.uint64(64 - _SLOT_BITS)).astype(np.int64), np.arange(len(keys))
+        while len(todo):
+            free = todo[self._slots[slot[todo]] == 0]
+            self._slots[slot[free]] = keys[free]  # of several for one slot, one stays
+            todo = todo[self._slots[slot[todo]] != keys[todo]]
+            slot[todo] = slot[todo] + 1 & (1 << _SLOT_BITS) - 1
+        self._number[slot] = np.arange(len(self._at), len(self._at) + len(keys))
+
     def plain(self, text: str) -> np.ndarray:
         """The library's ids of one text."""
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -101,7 +126,7 @@ class WordBpe:
         return bool(_PLAIN.fullmatch(w)) and "<|" not in w and not _ODD.search(w) and is_normalized("NFC", w)
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        """Encode new words and add them to the sorted table."""
+        """Encode new words and add them to the table."""
         if len(self._pieces) > CACHE_PIECES:
             self._pieces = {}
         pieces = self._pieces
@@ -133,10 +158,8 @@ class WordBpe:
         at = self._pool_size + np.cumsum(lens) - lens
         self._pool[self._pool_size:need] = ids
         self._pool_size = need
-        every = np.concatenate([self._keys, keys])
-        order = np.argsort(every)
-        self._keys = every[order]
-        self._at, self._len = np.concatenate([self._at, at])[order], np.concatenate([self._len, lens])[order]
+        self._add(keys)
+        self._at, self._len = np.concatenate([self._at, at]), np.concatenate([self._len, lens])
 
     def __call__(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """UTF-8 bytes of some texts and their offsets -> ids of all, and each text's offsets into them."""
@@ -157,6 +180,7 @@ class WordBpe:
         np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self._power[:n], out=prefix[1:])
         keys = (prefix[ends] - prefix[starts]) * self._inverse[starts]
         keys ^= keys >> np.uint64(32)
+        keys = np.maximum(keys * np.uint64(_MIX), np.uint64(1))
         size = ends - starts
         # Long words are told apart by position, not by hash, and encoded each time.
         long_words = np.flatnonzero(size > CACHE_CHARS)
@@ -164,18 +188,17 @@ class WordBpe:
         short = np.flatnonzero(size <= CACHE_CHARS)
         k = keys[short]
         for _ in range(2):
-            where = np.searchsorted(self._keys, k)
-            where[where == len(self._keys)] = 0
-            miss = np.flatnonzero(self._keys[where] != k) if len(self._keys) else np.arange(len(k))
+            where = self._find(k)
+            miss = np.flatnonzero(where < 0)
             if not len(miss):
                 break
             new, first = np.unique(k[miss], return_index=True)
-            if len(self._keys) + len(new) > CACHE_WORDS and len(self._keys):
+            if len(self._at) + len(new) > CACHE_WORDS and len(self._at):
                 self._forget()  # begin anew with all words of this run
                 new, first = np.unique(k, return_index=True)
                 miss = np.arange(len(k))
             pick = short[miss[first]]
-            if len(self._keys) > CACHE_WORDS:
+            if len(self._at) > CACHE_WORDS:
                 self._forget()
             # All new words in one string, each with a line end in place of what follows it.
             after = np.cumsum(size[pick] + 1)
