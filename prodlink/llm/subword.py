@@ -28,6 +28,7 @@ from .common import held_out, map_arrow, table, utf8_slices, whole_text
 
 SAMPLE_DOCS = 4000        # bound of the training sample (documents)
 SAMPLE_BYTES = 64 << 20   # and of its text; the sample stops before the document that would pass it
+SCORE_SLICE = 1 << 18     # bytes of text scored at once: some twenty arrays of 8 bytes for each
 BUCKETS_LOG2 = 18
 DIM = 8
 EPOCHS = 3
@@ -126,7 +127,7 @@ class Model:
         """Probability of label 1 for an Arrow string array."""
         out = np.empty(len(texts), np.float64)
         make = Featurizer(int(np.log2(len(self.scalars))))
-        for i, j, raw, off in utf8_slices(texts):
+        for i, j, raw, off in utf8_slices(texts, SCORE_SLICE):
             total, count = np.zeros(j - i), np.zeros(j - i)
             for buckets, at in make(raw, off):
                 run = np.zeros(len(buckets) + 1)
