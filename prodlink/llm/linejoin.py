@@ -47,9 +47,20 @@ _SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2
           "\u2028\u2029\u202f\u205f\u3000"
 
 
-def _line_id() -> Column:
-    """What tells rows apart: doc_id (a null one below all) and a hash of the text."""
-    return F.struct(long_id().alias("doc"), F.xxhash64(whole_text()).alias("text"))
+ID = "_ld_id"
+
+
+def _with_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` with what tells its rows apart: doc_id (a null one below all) and, where rows of one doc_id have different
+    texts, a hash of the text, else 0 (which costs next to nothing in shuffles)."""
+    if ID in docs.columns:
+        return docs
+    text = F.xxhash64(whole_text())
+    shared = stored(docs.select(long_id().alias("_ld_doc"), text.alias("h")).groupBy("_ld_doc")
+                    .agg((F.min("h") != F.max("h")).alias("differ")).filter("differ").select("_ld_doc"), "shared-ids")
+    joined = docs.withColumn("_ld_own", long_id()).join(_small(shared, 8), F.col("_ld_own") == F.col("_ld_doc"), "left")
+    return joined.withColumn(ID, F.struct(F.col("_ld_own").alias("doc"), F.when(F.col("_ld_doc").isNull(), 0).otherwise(text).alias("text"))) \
+        .drop("_ld_own", "_ld_doc")
 
 
 def _spaced(text: Column) -> Column:
@@ -63,7 +74,7 @@ def _split_words(line: Column) -> Column:
 
 def _lines(docs: DataFrame) -> DataFrame:
     """(id, place, line) with the line in lower case."""
-    return (docs.filter(F.col("text").isNotNull()).select(_line_id().alias("id"), F.lower(whole_text()).alias("t"))
+    return (docs.filter(F.col("text").isNotNull()).select(F.col(ID).alias("id"), F.lower(whole_text()).alias("t"))
             .select("id", F.posexplode_outer(F.split("t", "\n")).alias("place", "line"))
             .filter(F.trim(_spaced(F.col("line"))) != ""))
 
@@ -179,7 +190,7 @@ def _similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     ends = stored(near.select("id", "place").union(near.select("id2", "place2")).distinct(), "line-ends")
     ids = _small(stored(ends.select("id").distinct(), "line-docs"), 8)
     words = stored(
-        docs.filter(F.col("text").isNotNull()).select(_line_id().alias("id"), F.lower(whole_text()).alias("t"))
+        docs.filter(F.col("text").isNotNull()).select(F.col(ID).alias("id"), F.lower(whole_text()).alias("t"))
         .join(ids, "id").select("id", F.posexplode_outer(F.split("t", "\n")).alias("place", "line"))
         .join(_small(ends), ["id", "place"], "left_semi")
         .select("id", "place", F.array_distinct(_split_words(F.col("line"))).alias("words")), "line-words")
@@ -192,7 +203,8 @@ def _similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """(id, place) of all lines to remove."""
+    """(id, place) of all lines to remove; ``id`` as ``_with_ids`` makes it."""
+    docs = _with_ids(docs)
     classes = _classes(docs)
     longer = classes.filter(F.col("n").isNotNull())
     first = _similar(docs, longer, _family_pairs(longer))
@@ -211,17 +223,18 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, prefix: str = "_ld_") -> DataFrame:
     """The documents with repeated lines removed from ``text``, plus <prefix>lines and <prefix>removed."""
+    names = [c for c in docs.columns if c != "text"]
+    docs = _with_ids(docs)
     gone = stored(repeated_lines(docs).groupBy("id").agg(F.collect_list("place").alias("places")), "removed-lines")
     size = gone.agg(F.sum(24 + 4 * F.size("places")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     if (size["b"] or 0) <= BROADCAST_BYTES and size["n"] <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    gone = gone.select(F.col("id").alias(f"{prefix}id"), F.col("places").alias(f"{prefix}places"))
+    gone = gone.select(F.col("id").alias(f"{prefix}gone"), F.col("places").alias(f"{prefix}places"))
     all_lines = F.split("text", "\n")
     kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col(f"{prefix}places")))
     changed = F.col(f"{prefix}places").isNotNull()
-    names = [c for c in docs.columns if c != "text"]
     text = F.when(changed, F.array_join(F.transform(kept, lambda i: F.get(all_lines, i)), "\n")).otherwise(F.col("text"))
-    return (docs.withColumn(f"{prefix}id", _line_id()).join(gone, f"{prefix}id", "left")
+    return (docs.join(gone, F.col(ID) == F.col(f"{prefix}gone"), "left")
             .select(*names, text.alias("text"), F.coalesce(F.size(all_lines), F.lit(0)).cast("long").alias(f"{prefix}lines"),
                     F.when(changed, F.size(f"{prefix}places")).otherwise(F.lit(0)).cast("long").alias(f"{prefix}removed")))
 
