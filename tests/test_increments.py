@@ -45,6 +45,18 @@ def test_stream_drops_posts_of_earlier_dumps(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["1", "2", "3", "4"]
 
 
+def test_stream_takes_a_backlog_as_one_batch(spark, tmp_path):
+    dumps, out, ckpt = tmp_path / "dumps", str(tmp_path / "out"), tmp_path / "ckpt"
+    dumps.mkdir()
+    for i in range(120):
+        _dump(dumps / f"{i}.txt", [(str(i), "a"), (str(i // 2), "a")])
+    ST.run_posts_stream(spark, str(dumps), out, str(ckpt), distinct=True)
+    assert sorted(int(r.id) for r in spark.read.parquet(out).collect()) == list(range(120))
+    with_files = [p for p in (ckpt / "sources" / "0").iterdir() if p.name.isdigit()]
+    assert len(with_files) == 1, "every batch goes through the whole state: their number must not grow with the files"
+    assert "RocksDB" in (ckpt / "offsets" / "0").read_text()
+
+
 def test_stream_forgets_after_its_horizon(spark, tmp_path):
     """State is bounded: an identity last brought by a dump long before the newest one is forgotten."""
     dumps, out, ckpt = tmp_path / "dumps", str(tmp_path / "out"), str(tmp_path / "ckpt")
