@@ -236,3 +236,30 @@ def test_keyword_pattern_agrees_with_places(spark):
     pairs = posts.crossJoin(a.best_per_keyword.select("keyword")).where(
         F.rlike("txt", pattern) | F.rlike(L.dehyphen(F.col("txt")), pattern))
     assert placed == {tuple(r) for r in pairs.select("post_id", "keyword").collect()} and placed
+
+
+def test_label_guard_by_a_literal_inside():
+    assert L.required_inner_literal(r"\b[a-z0-9._]+@[a-z0-9.]+\.[a-z]+\b") == "@"
+    assert L.required_inner_literal(r"\d+ab?c{0,2}xyz*(q|r)") == "xy"
+    assert L.required_inner_literal(r"[ab(\]c]+d\+e(f[)]g)?") == "d+e"
+    for none in (r"a@|b", r"(?i)[a]@", r"\x40@", r"\w+", r"(a@)?", r"[@]", r"@?"):
+        assert L.required_inner_literal(none) is None, none
+
+
+def test_labels_scan_for_an_address_only_where_one_can_be(spark):
+    email = {"email": r"\b[a-z0-9._]+@[a-z0-9.]+\.[a-z]+\b"}
+    df = spark.createDataFrame([("write to a.b@c.org now",), ("a@b",), ("none.here",), ("",), (None,)], "t string")
+    plan = df.select(L.detect_labels(F.col("t"), email).alias("l"))
+    assert [r.l for r in plan.collect()] == [["email"], [], [], [], []]
+    assert "Contains(t" in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_one_pass_checks_a_place_once(spark):
+    catalog = spark.createDataFrame([(1, "wonderful heroine", "b", "l", "")],
+                                    "cat_ord long, name string, brand string, product_line string, series_title string")
+    posts = spark.createDataFrame([(1, "the wonderful heroine-wonderful heroines"), (2, ""), (3, "a post"), (4, "!")],
+                                  "post_id long, txt string")
+    linked = L._one_pass(posts, L.prepare_anchors(catalog), "post_id", [])
+    assert {r.post_id: r.best and r.best.figure_name for r in linked.collect()} == {1: "wonderful heroine", 2: None, 3: None, 4: None}
+    plan = linked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("slice(words") == 1, "a check repeated in the columns runs again for each hit"
