@@ -224,6 +224,25 @@ def test_position_join_moves_no_text(spark):
         assert names.isdisjoint({"txt", "t", "words", "gaps", "term"})
 
 
+def test_position_join_shuffles_only_runs_of_keywords(spark):
+    """A word of every keyword does not bring every place to every keyword, and keywords of any length are settled in one row."""
+    long_name = "saga of the " + " ".join(f"part{i}" for i in range(12)) + " (gold)"
+    names = [f"saga hero{i}" for i in range(40)] + [long_name, "saga of"]
+    cat = spark.createDataFrame([(i, n, "B", "L", "") for i, n in enumerate(names)], CATALOG)
+    texts = ["saga saga saga " * 30, "the saga hero7's end", "saga hero3s, saga-hero4", long_name + "s", long_name[:-1], long_name.replace("part9", "x"), "", "!"]
+    posts = spark.createDataFrame(list(enumerate(texts)), "post_id long, txt string")
+    a = L.prepare_anchors(cat, posts, broadcast_rows=0)
+    asked = L.asked_windows(a.anchors)
+    assert asked.where("m > 8 and start is null").count() == 0 and asked.where("m > 8").count() > 0
+    runs = L.hashed_windows(posts, "post_id", a.with_runs, asked)
+    pairs = [sorted(map(tuple, L.match_candidates(posts, a.anchors, "post_id", a.with_runs, ok).select("post_id", "keyword").distinct().collect()))
+             for ok in (True, False)]
+    assert pairs[0] == pairs[1] and any(len(k.split()) > 8 for _, k in pairs[0])
+    words_of_keywords = sum(len(t.split()) for t in texts)
+    assert runs.count() < words_of_keywords + 20, "a place is shuffled once for each run that a keyword has, not for each keyword"
+    assert runs.where("post_id = 0").count() <= asked.where("m = 1").count() * 90
+
+
 def test_keyword_pattern_agrees_with_places(spark):
     """The boundary pattern on the text and the check of places name the same pairs."""
     names = ["sky-walker (tori)", "kit 'n gear", "ver.1.5", "rook falcon"]
