@@ -51,26 +51,33 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     base = int(seq.max()) + 1 if len(seq) else 1
     rules = np.zeros((0, 2), np.uint32)
     while len(seq) > 1 and len(rules) < MAX_RULES:
-        pair = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        ordered = np.sort(pair)
-        begin = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        count = np.diff(np.r_[begin, len(ordered)])
+        # One sort brings equal pairs together, each with its place: (left, right, place) in 64 bits.
+        left, right, size, place = seq[:-1], seq[1:], int(seq.max()).bit_length(), len(seq).bit_length()
+        names = None
+        if 2 * size + place > 64:
+            names, dense = np.unique(seq, return_inverse=True)
+            left, right, size = dense[:-1], dense[1:], len(names).bit_length()
+        ordered = left.astype(np.uint64) << np.uint64(size) | right.astype(np.uint64)
+        ordered = np.sort(ordered << np.uint64(place) | np.arange(len(ordered), dtype=np.uint64))
+        pair = ordered >> np.uint64(place)
+        begin = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        count = np.diff(np.append(begin, len(ordered)))
         often = np.flatnonzero(count >= LEAST_COUNT)
         if not len(often):
             break
         rank = often[np.argsort(-count[often], kind="stable")]
         near = int(np.searchsorted(-count[rank], -count[rank[0]] / BATCH_FACTOR, side="right"))
-        rank = rank[:min(max(near, BATCH_LEAST), MAX_RULES - len(rules))]
-        chosen = np.sort(ordered[begin[rank]])
-        # Cheap test first: does the symbol begin, and its neighbour end, any chosen pair?
-        head, tail = (np.zeros(base + len(rules) + 1, bool) for _ in range(2))
-        head[(chosen >> np.uint64(32)).astype(np.int64)] = True
-        tail[(chosen & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
-        at = np.flatnonzero(head[seq[:-1]] & tail[seq[1:]])
-        where = np.searchsorted(chosen, pair[at])
-        where[where == len(chosen)] = 0
-        hit = chosen[where] == pair[at]
-        at, where = at[hit], where[hit]
+        rank = np.sort(rank[:min(max(near, BATCH_LEAST), MAX_RULES - len(rules))])
+        chosen = pair[begin[rank]]
+        chosen = np.stack([chosen >> np.uint64(size), chosen & np.uint64((1 << size) - 1)], axis=1).astype(np.int64)
+        chosen = (chosen if names is None else names[chosen]).astype(np.uint32)
+        # All occurrences of the chosen pairs, in order of place.
+        groups = count[rank]
+        first = np.repeat(begin[rank] - np.cumsum(groups) + groups, groups)
+        rule = np.full(len(seq), -1, np.int32)
+        rule[(ordered[first + np.arange(len(first))] & np.uint64((1 << place) - 1)).astype(np.int64)] = np.repeat(np.arange(len(rank)), groups)
+        at = np.flatnonzero(rule >= 0)
+        where = rule[at]
         # In a run of overlapping occurrences, every other one is replaced.
         run_start = np.r_[True, at[1:] != at[:-1] + 1]
         step = np.arange(len(at))
@@ -80,8 +87,7 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
         keep[at + 1] = False
         seq[at] = (base + len(rules) + where).astype(np.uint32)
         seq = seq[keep]
-        rules = np.concatenate([rules, np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)],
-                                                axis=1).astype(np.uint32)])
+        rules = np.concatenate([rules, chosen])
     expansion = np.ones(base + len(rules), np.int64)
     for i, (a, b) in enumerate(rules.tolist()):
         expansion[base + i] = expansion[a] + expansion[b]
@@ -104,6 +110,21 @@ def expand(symbols: np.ndarray, base: int, rules: np.ndarray) -> np.ndarray:
         seq = out
 
 
+def expand_whole(symbols: np.ndarray, base: int, rules: np.ndarray, expansion: np.ndarray) -> np.ndarray:
+    """``expand`` of a whole shard: each rule is expanded once, then all symbols are copied from there."""
+    pool = np.concatenate([np.arange(base, dtype=np.uint32), expand(np.arange(base, base + len(rules)), base, rules)])
+    size = np.ones(base + len(rules), np.int64)
+    size[base:] = expansion
+    begin = np.cumsum(size) - size
+    symbols = symbols.astype(np.int64)
+    size = size[symbols]
+    after = np.cumsum(size)
+    # Place in the pool: one further than before, but for a jump where a symbol begins.
+    at = np.repeat(begin[symbols] - (after - size), size)
+    at += np.arange(len(at))
+    return pool[at]
+
+
 def unpack(row: dict) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     """The arrays of one stored shard."""
     kind = np.uint16 if row["width"] == 2 else np.uint32
@@ -180,8 +201,7 @@ def read_documents(files: DataFrame) -> DataFrame:
         for batch in batches:
             for r in range(batch.num_rows):
                 row = batch.slice(r, 1).to_pylist()[0]
-                base, rules, _, symbols = unpack(row)
-                ids = expand(symbols, base, rules).astype("<u4")
+                ids = expand_whole(*(unpack(row)[i] for i in (3, 0, 1, 2))).astype("<u4")
                 lens = np.array(row["doc_len"], np.int64)
                 at = np.r_[0, np.cumsum(lens)]
                 n = len(lens)

@@ -54,8 +54,7 @@ _ODD = re.compile("[\x7f-\xa0\xb2\xb3\xb9\xbc-\xbe]")  # spaces and digits of ot
 _ASCII_SPACE = np.zeros(256, bool)
 _ASCII_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _WORD_END = np.array([0xFFFFFFFF], np.uint32)          # no id
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_LOWER = bytes(b + 32 if 65 <= b < 91 else b for b in range(256))
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _SLOT_BITS = 21                                        # slots of the word table: over two a word kept (25 MB)
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -167,8 +166,9 @@ class WordBpe:
         if len(self._power) <= n:
             self._power, self._inverse = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(n + n // 8, b, np.uint64)])
                                           for b in (np.uint64(_BASE), np.uint64(_INVERSE)))
-        if b"<|" not in raw.tobytes():  # else case may decide whether a marker is one
-            raw = _LOWER[raw]           # the tokenizer does so anyway; fewer distinct words
+        data = raw.tobytes()
+        if b"<|" not in data:  # else case may decide whether a marker is one
+            raw = np.frombuffer(data.translate(_LOWER), np.uint8)  # the tokenizer does so anyway; fewer distinct words
         word = ~_ASCII_SPACE[raw]
         edge = np.zeros(n + 1, bool)
         edge[off] = True

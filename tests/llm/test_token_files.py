@@ -26,6 +26,18 @@ def test_grammar_round_trip():
     assert len(symbols) < len(ids)
 
 
+def test_whole_shards_are_copied_rule_by_rule():
+    rng = np.random.default_rng(5)
+    phrases = [rng.integers(0, 400, 7) for _ in range(20)]
+    ids = np.concatenate([phrases[i] for i in rng.integers(0, 20, 900)]).astype(np.uint32)
+    # No ids, ids without rules, runs of one id, and ids too wide for two of them and a place in 64 bits.
+    for case in (ids, ids[:0], np.arange(50, dtype=np.uint32), np.zeros(99, np.uint32), np.concatenate([ids, ids + (1 << 26)]).astype(np.uint32)):
+        base, rules, expansion, symbols = R.compress(case)
+        assert np.array_equal(R.expand_whole(symbols, base, rules, expansion), case)
+        assert np.array_equal(R.expand(symbols, base, rules), case)
+        assert len(rules) == 0 or len(symbols) < len(case)
+
+
 def test_files_and_random_access(spark, monkeypatch):
     monkeypatch.setattr(R, "SHARD_IDS", 3000)
     library = Tokenizer.from_file(T.tokenizer_path(T.WORD_BPE))
