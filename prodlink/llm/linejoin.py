@@ -16,8 +16,10 @@ does not depend on any order of work. Lines of white space alone are never touch
 4. Prefix filter: similar lines share one of their n/5 + 1 rarest words. The leaders that are left meet
    all earlier ones under these words, and a pair goes on only if it passes, inside the join, the
    length filter, the positional filter (what can still follow the shared word) and a bitmap
-   filter: each line carries 64 parities of its words' hashes (192 more if it has over ``LONG_LINE``
-   words), and every differing parity is a word that is not shared.
+   filter: each line carries 64 parities of its words' hashes (64 others if it has over ``MIDDLE_LINE`` words, 192 more if
+   over ``LONG_LINE``), and every differing parity is a word that is not shared. Lines of unlike words differ in about half of
+   the parities, so chance lets hardly a pair through, however many meet under a word. Both sides of the join read one
+   shuffle of the words; what is settled is marked in it, by a rank beyond all.
 5. Pairs that pass the suffix bound on their whole prefixes are verified on the words themselves.
 
 Edge cases: null texts stay null and have no lines; a null doc_id ranks first; rows are told apart by
@@ -36,10 +38,14 @@ from .common import discard, long_id, stored, table, whole_text
 LEAST_WORDS = 5
 RARITY_SLOTS = 1 << 17
 FAMILY_KEYS = 3
+MIDDLE_LINE = 36
 LONG_LINE = 80
+SETTLED = 1 << 40                # added to the rank of a settled line's words
 BROADCAST_ROWS = 2_000_000      # of ids, or of lists of removed places; beyond, the join shuffles
 BROADCAST_BYTES = 128 << 20
 
+MASKS = ["bits", "bits2", "more"]
+
 _HASH_BITS = 31   # of a word in a prefix; a clash only adds a candidate
 
 
@@ -97,7 +103,7 @@ def _same(line: Column) -> Column:
 
 def _classes(docs: DataFrame) -> DataFrame:
     """Lines of equal text: same (digest), lines, id and place of the leader, n words, prefix (hashes of the
-    rarest words), bits (parities), keys (of families)."""
+    rarest words), bits, bits2 and more (parities), keys (of families)."""
     rarity = _rarity(docs)
     hashes = F.array_remove(F.array_distinct(F.transform(F.split(_spaced(F.col("line")), " "), lambda w: F.xxhash64(w))),
                             F.xxhash64(F.lit("")))
@@ -107,20 +113,22 @@ def _classes(docs: DataFrame) -> DataFrame:
         _HASH_BITS).bitwiseOR(h.bitwiseAND(low))))
     # Parity of the words' hashes per bit number: one bit of each word, joined by exclusive or.
     # (shiftleft takes its distance modulo 64.)
-    def parities(words: Column) -> Column:
+    def parities(words: Column, start: int = 40) -> Column:
         return F.aggregate(words, F.lit(0).cast("long"), lambda b, h: b.bitwiseXOR(F.call_function(
-            "shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 40).cast("int"))))
+            "shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, start).cast("int"))))
 
     bits = parities(F.col("h"))
+    bits2 = F.when(F.size("h") > MIDDLE_LINE, parities(F.col("h"), 46))  # by other bits of the hashes
     more = F.when(F.size("h") > LONG_LINE, F.array(*[
         parities(F.filter("h", lambda h, k=k: F.pmod(h, F.lit(3)) == k)) for k in range(3)]))
     keys = F.array(*[F.xxhash64(F.lit(i), F.get("s", F.lit(i)), F.get("s", F.size("s") - 1 - i)) for i in range(FAMILY_KEYS)])
     lines = (_lines(docs).select("id", "place", _same(F.col("line")).alias("same"), hashes.alias("h"))
-             .select("id", "place", "same", F.size("h").alias("n"), bits.alias("bits"), more.alias("more"), F.sort_array("h").alias("s"),
+             .select("id", "place", "same", F.size("h").alias("n"), bits.alias("bits"), bits2.alias("bits2"), more.alias("more"),
+                     F.sort_array("h").alias("s"),
                      F.transform(F.slice(ordered, 1, F.floor(F.size("h") / 5).cast("int") + 1),
                                  lambda x: x.bitwiseAND(low).cast("int")).alias("prefix"))
              .select("id", "place", "same", F.when(F.col("n") >= LEAST_WORDS, F.struct(
-                 "n", "bits", "more", keys.alias("keys"), "prefix")).alias("info")))
+                 "n", *MASKS, keys.alias("keys"), "prefix")).alias("info")))
     return stored(lines.groupBy("same").agg(
         F.count(F.lit(1)).alias("lines"), F.min(F.struct("id", "place")).alias("lead"), F.first("info").alias("info"))
         .select("same", "lines", "lead.*", "info.*"), "classes")
@@ -133,7 +141,7 @@ def _small(df: DataFrame, bytes_a_row: int = 16) -> DataFrame:
 
 
 def _may_match(x: str, y: str) -> Column:
-    """Length and bitmap filters for two lines' columns n, bits and more."""
+    """Length and bitmap filters for two lines' columns n, bits, bits2 and more."""
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
 
     def differ(a: Column, b: Column) -> Column:
@@ -143,30 +151,37 @@ def _may_match(x: str, y: str) -> Column:
     spare = n + m - 2 * F.ceil(4 * (n + m) / 9)  # words not shared, at most
     wide = F.coalesce(differ(F.get(a, F.lit(0)), F.get(b, F.lit(0))) + differ(F.get(a, F.lit(1)), F.get(b, F.lit(1)))
                       + differ(F.get(a, F.lit(2)), F.get(b, F.lit(2))), F.lit(0))
-    return ((5 * n >= 4 * m) & (5 * m >= 4 * n) & (differ(F.col(f"{x}.bits"), F.col(f"{y}.bits")) <= spare) & (wide <= spare))
+    other = F.coalesce(differ(F.col(f"{x}.bits2"), F.col(f"{y}.bits2")), F.lit(0))
+    return ((5 * n >= 4 * m) & (5 * m >= 4 * n) & (differ(F.col(f"{x}.bits"), F.col(f"{y}.bits")) <= spare)
+            & (other <= spare) & (wide <= spare))
 
 
 def _family_pairs(classes: DataFrame) -> DataFrame:
     """Leaders with the earliest leader of a common family key."""
-    keyed = classes.select("n", "bits", "more", "id", "place", F.explode_outer("keys").alias("key"))
+    keyed = classes.select("n", *MASKS, "id", "place", F.explode_outer("keys").alias("key"))
     # The earliest by a minimum, which counts before the shuffle; a key that only one leader has needs no partner.
-    first = (keyed.groupBy("key").agg(F.min(F.struct("id", "place", "n", "bits", "more")).alias("y"), F.count(F.lit(1)).alias("size"))
+    first = (keyed.groupBy("key").agg(F.min(F.struct("id", "place", "n", *MASKS)).alias("y"), F.count(F.lit(1)).alias("size"))
              .filter("size > 1").select("key", "y"))
-    rows = keyed.join(first, "key").select(F.struct("n", "bits", "more").alias("x"), "id", "place", "y")
+    rows = keyed.join(first, "key").select(F.struct("n", *MASKS).alias("x"), "id", "place", "y")
     return (rows.filter(((F.col("id") != F.col("y.id")) | (F.col("place") != F.col("y.place"))) & _may_match("x", "y"))
             .select("id", "place", F.col("y.id").alias("id2"), F.col("y.place").alias("place2")).distinct())
 
 
 def _prefix_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
     """Unsettled leaders with all earlier leaders under a common prefix word."""
-    words = (classes.select("id", "place", "n", "bits", "more", F.posexplode_outer("prefix").alias("rank", "word"))
-             .repartition(F.col("word")))  # one exchange for both sides of the join
-    x = words.join(_small(settled), ["id", "place"], "left_anti").alias("x")
+    # One exchange for both sides of the join: an anti-join or a filter of one side would be pushed below it and make two.
+    marked = classes.join(_small(settled.withColumn("after", F.lit(SETTLED))), ["id", "place"], "left")
+    words = (marked.select("id", "place", "n", *MASKS, F.coalesce("after", F.lit(0).cast("long")).alias("after"),
+                           F.posexplode_outer("prefix").alias("at", "word"))
+             .select("id", "place", "n", *MASKS, (F.col("after") + F.col("at")).alias("rank"), "word")
+             .repartition(F.col("word")))
+    x = words.alias("x")
     y = words.alias("y")
     c = F.col
     before = (c("y.id") < c("x.id")) | ((c("y.id") == c("x.id")) & (c("y.place") < c("x.place")))
-    # At the pair's first shared word, that word and the shorter rest bound the overlap.
-    position = F.least(c("x.n") - c("x.rank"), c("y.n") - c("y.rank")) >= F.ceil(4 * (c("x.n") + c("y.n")) / 9)
+    # At the pair's first shared word, that word and the shorter rest bound the overlap; a settled x has no rest.
+    position = F.least(c("x.n") - c("x.rank"), c("y.n") - F.pmod(c("y.rank"), F.lit(SETTLED))) \
+        >= F.ceil(4 * (c("x.n") + c("y.n")) / 9)
     return (x.join(y, (c("x.word") == c("y.word")) & before & position & _may_match("x", "y"))
             .select("x.id", "x.place", c("y.id").alias("id2"), c("y.place").alias("place2")).distinct())
 

@@ -94,3 +94,29 @@ def test_stage_keeps_short_lines_found_nowhere_else(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS)
     rows = {r.doc_id: r.text for r in L.line_dedup_stage(spark, docs, "").collect()}
     assert rows == {0: long_line, 1: "roses\nare red", 2: "日本語の文章です", 3: "a\tb\tc", 5: "Hi.", 7: "yes\nno", 10: "", 11: " \n"}
+
+
+def test_unlike_lines_hardly_meet(spark):
+    """Long lines under common words: chance must let no share of all pairs through the parities."""
+    import random
+    rng = random.Random(3)
+    words = [f"v{i}" for i in range(400)]
+    rows = [(i, " ".join(rng.sample(words, 79)), None, None, None) for i in range(1500)]
+    docs = L._with_ids(spark.createDataFrame(rows, DOCS))
+    classes = L._classes(docs)
+    nothing = classes.select("id", "place").limit(0)
+    assert L._prefix_pairs(classes, nothing).count() <= 1
+
+
+def test_words_of_prefixes_are_shuffled_once(spark):
+    rows = line_rows(2)
+    classes = L._classes(L._with_ids(spark.createDataFrame(rows, DOCS))).filter("n IS NOT NULL")
+    settled = L.stored(classes.select("id", "place").orderBy("same").limit(5), "settled")
+    pairs = L._prefix_pairs(classes, settled)
+    got = pairs.collect()
+    done = {tuple(r) for r in settled.collect()}
+    # A settled line looks for no partner, but is one.
+    assert not done & {(r.id, r.place) for r in got} and done & {(r.id2, r.place2) for r in got}
+    plan = pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning(word" in x]
+    assert len([x for x in shuffles if "ReusedExchange" not in x]) == 1 and len(shuffles) == 2
