@@ -119,8 +119,11 @@ def _classes(docs: DataFrame) -> DataFrame:
 
     bits = parities(F.col("h"))
     bits2 = F.when(F.size("h") > MIDDLE_LINE, parities(F.col("h"), 46))  # by other bits of the hashes
-    more = F.when(F.size("h") > LONG_LINE, F.array(*[
-        parities(F.filter("h", lambda h, k=k: F.pmod(h, F.lit(3)) == k)) for k in range(3)]))
+
+    def third(k: int) -> Column:  # no second argument of the lambda: Spark would pass the word's index in it
+        return F.filter("h", lambda h: F.pmod(h, F.lit(3)) == k)
+
+    more = F.when(F.size("h") > LONG_LINE, F.array(*[parities(third(k)) for k in range(3)]))
     keys = F.array(*[F.xxhash64(F.lit(i), F.get("s", F.lit(i)), F.get("s", F.size("s") - 1 - i)) for i in range(FAMILY_KEYS)])
     lines = (_lines(docs).select("id", "place", _same(F.col("line")).alias("same"), hashes.alias("h"))
              .select("id", "place", "same", F.size("h").alias("n"), bits.alias("bits"), bits2.alias("bits2"), more.alias("more"),

@@ -96,12 +96,13 @@ def test_stage_keeps_short_lines_found_nowhere_else(spark):
     assert rows == {0: long_line, 1: "roses\nare red", 2: "日本語の文章です", 3: "a\tb\tc", 5: "Hi.", 7: "yes\nno", 10: "", 11: " \n"}
 
 
-def test_unlike_lines_hardly_meet(spark):
+@pytest.mark.parametrize("lines,length,vocabulary", [(1000, 79, 400), (200, 150, 700)])
+def test_unlike_lines_hardly_meet(spark, lines, length, vocabulary):
     """Long lines under common words: chance must let no share of all pairs through the parities."""
     import random
     rng = random.Random(3)
-    words = [f"v{i}" for i in range(400)]
-    rows = [(i, " ".join(rng.sample(words, 79)), None, None, None) for i in range(1500)]
+    words = [f"v{i}" for i in range(vocabulary)]
+    rows = [(i, " ".join(rng.sample(words, length)), None, None, None) for i in range(lines)]
     docs = L._with_ids(spark.createDataFrame(rows, DOCS))
     classes = L._classes(docs)
     nothing = classes.select("id", "place").limit(0)
