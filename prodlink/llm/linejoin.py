@@ -12,7 +12,9 @@ does not depend on any order of work. Lines of white space alone are never touch
    than ``LEAST_WORDS`` words take no part in what follows.
 3. Families of near-equal lines are settled first, so that they are never paired with themselves: leaders
    whose i-th smallest and i-th largest word hashes agree (i = 1 .. ``FAMILY_KEYS``) are compared with
-   the earliest of them, and those found similar are done. This only saves work.
+   the earliest of each of ``FAMILY_PARTS`` parts of them (by a hash of the place, so a family of edited lines has
+   several to be near to, and few of its lines are left to meet all others), and those found similar are done. This only
+   saves work.
 4. Prefix filter: similar lines share one of their n/5 + 1 rarest words. The leaders that are left meet
    all earlier ones under these words, and a pair goes on only if it passes, inside the join, the
    length filter, the positional filter (what can still follow the shared word) and a bitmap
@@ -20,7 +22,8 @@ does not depend on any order of work. Lines of white space alone are never touch
    over ``LONG_LINE``), and every differing parity is a word that is not shared. Lines of unlike words differ in about half of
    the parities, so chance lets hardly a pair through, however many meet under a word. Both sides of the join read one
    shuffle of the words; what is settled is marked in it, by a rank beyond all.
-5. Pairs that pass the suffix bound on their whole prefixes are verified on the words themselves.
+5. Pairs that pass the suffix bound on their whole prefixes are verified on the words themselves. Only the lines in
+   pairs are shuffled for that.
 
 Edge cases: null texts stay null and have no lines; a null doc_id ranks first; rows are told apart by
 doc_id and text, so rows that share a doc_id but not the text are documents of their own, the one with the smaller
@@ -38,6 +41,7 @@ from .common import discard, long_id, stored, table, whole_text
 LEAST_WORDS = 5
 RARITY_SLOTS = 1 << 17
 FAMILY_KEYS = 3
+FAMILY_PARTS = 8
 MIDDLE_LINE = 36
 LONG_LINE = 80
 SETTLED = 1 << 40                # added to the rank of a settled line's words
@@ -160,14 +164,18 @@ def _may_match(x: str, y: str) -> Column:
 
 
 def _family_pairs(classes: DataFrame) -> DataFrame:
-    """Leaders with the earliest leader of a common family key."""
+    """Leaders with the earliest leaders of the parts of a common family key."""
     keyed = classes.select("n", *MASKS, "id", "place", F.explode_outer("keys").alias("key"))
-    # The earliest by a minimum, which counts before the shuffle; a key that only one leader has needs no partner.
-    first = (keyed.groupBy("key").agg(F.min(F.struct("id", "place", "n", *MASKS)).alias("y"), F.count(F.lit(1)).alias("size"))
-             .filter("size > 1").select("key", "y"))
-    rows = keyed.join(first, "key").select(F.struct("n", *MASKS).alias("x"), "id", "place", "y")
-    return (rows.filter(((F.col("id") != F.col("y.id")) | (F.col("place") != F.col("y.place"))) & _may_match("x", "y"))
-            .select("id", "place", F.col("y.id").alias("id2"), F.col("y.place").alias("place2")).distinct())
+    # A key that only one leader has needs no partner; the earliest of a part is a minimum, which counts before the shuffle.
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
+    rows = stored(keyed.join(shared, "key").select(F.struct("n", *MASKS).alias("x"), "id", "place", "key"), "families")
+    part = F.pmod(F.xxhash64("id", "place"), F.lit(FAMILY_PARTS))
+    first = rows.groupBy("key", part).agg(F.min(F.struct("id", "place", "x.*")).alias("y")).select("key", "y")
+    x, y = rows.alias("r"), first.alias("f")
+    c = F.col
+    before = (c("y.id") < c("r.id")) | ((c("y.id") == c("r.id")) & (c("y.place") < c("r.place")))
+    return (x.join(y, (c("r.key") == c("f.key")) & before & _may_match("x", "y"))
+            .select("r.id", "r.place", c("y.id").alias("id2"), c("y.place").alias("place2")).distinct())
 
 
 def _prefix_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
@@ -193,6 +201,9 @@ def _similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     """(id, place) of lines with a verified earlier partner; stored."""
     pairs = stored(pairs, "line-pairs")
 
+    def ends_of(pairs: DataFrame) -> DataFrame:
+        return stored(pairs.select("id", "place").union(pairs.select("id2", "place2")).distinct(), "line-ends")
+
     def with_ends(left: DataFrame, right: DataFrame, *cols: str) -> DataFrame:
         a = right.select("id", "place", *cols)
         b = right.select(F.col("id").alias("id2"), F.col("place").alias("place2"), *[F.col(x).alias(f"{x}2") for x in cols])
@@ -202,10 +213,12 @@ def _similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     # words in the other one, so only the rest of that line can add to the words the prefixes share.
     rest = F.greatest(F.col("n") - F.size("prefix"), F.col("n2") - F.size("prefix2"))
     clashes = F.size("prefix") - F.size(F.array_distinct("prefix"))  # hidden by equal hashes inside a line
-    near = stored(with_ends(pairs, classes, "n", "prefix")
+    met = ends_of(pairs)
+    prefixes = stored(classes.select("id", "place", "n", "prefix").join(_small(met), ["id", "place"], "left_semi"), "line-prefixes")
+    near = stored(with_ends(pairs, prefixes, "n", "prefix")
                   .filter(F.size(F.array_intersect("prefix", "prefix2")) + clashes + rest >= F.ceil(4 * (F.col("n") + F.col("n2")) / 9))
                   .select("id", "place", "id2", "place2"), "near-pairs")
-    ends = stored(near.select("id", "place").union(near.select("id2", "place2")).distinct(), "line-ends")
+    ends = ends_of(near)
     ids = _small(stored(ends.select("id").distinct(), "line-docs"), 8)
     words = stored(
         docs.filter(F.col("text").isNotNull()).select(F.col(ID).alias("id"), F.lower(whole_text()).alias("t"))
@@ -215,7 +228,7 @@ def _similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     common = F.size(F.array_intersect("words", "words2"))
     out = stored(with_ends(near, words, "words")
                  .filter(9 * common >= 4 * (F.size("words") + F.size("words2"))).select("id", "place").distinct(), "similar")
-    for df in (words, ends, near, pairs):
+    for df in (words, ends, near, prefixes, met, pairs):
         discard(df)
     return out
 

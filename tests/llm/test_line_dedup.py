@@ -121,3 +121,39 @@ def test_words_of_prefixes_are_shuffled_once(spark):
     plan = pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning(word" in x]
     assert len([x for x in shuffles if "ReusedExchange" not in x]) == 1 and len(shuffles) == 2
+
+
+def test_few_lines_of_a_family_meet_all_others(spark):
+    """Edited copies of one line: most are near to the earliest of some part, and only lines in pairs are fetched again."""
+    import random
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for i in range(600):
+        line = list(base)
+        for at in rng.sample(range(60), rng.randint(1, 5)):
+            line[at] = f"o{rng.randrange(10_000)}"
+        rows.append((i, " ".join(line), None, None, None))
+    docs = L._with_ids(spark.createDataFrame(rows, DOCS))
+    classes = L._classes(docs)
+    pairs = L.stored(L._family_pairs(classes), "pairs")
+    assert pairs.count() <= 600 * L.FAMILY_KEYS * L.FAMILY_PARTS
+    settled = L._similar(docs, classes, pairs)
+    # 25,884 pairs with the earliest line of each whole family alone.
+    assert L._prefix_pairs(classes, settled).count() < 5_000
+
+
+def test_only_lines_in_pairs_are_fetched(spark, monkeypatch):
+    rows = line_rows(3) + [(1000 + i, f"lone{i} a{i} b{i} c{i} d{i} e{i}", None, None, None) for i in range(300)]
+    sizes, stored = {}, L.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(L, "stored", counted)
+    gone = {(r.id.doc, r.place) for r in L.repeated_lines(spark.createDataFrame(rows, DOCS)).collect()}
+    assert gone == brute(rows)
+    for ends, fetched in zip(sizes["line-ends"][::2], sizes["line-prefixes"]):
+        assert fetched == ends <= sizes["classes"][0] - 300
