@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import long_id, map_arrow, plain_id, ship, stored, table, utf8_slices, whole_text
+from .common import long_id, map_arrow, plain_id, ship, small_batches, stored, table, utf8_slices, whole_text
 from .tokenids import with_end, word_bpe
 
 CAPACITY = 2048
@@ -226,7 +226,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = pieces.sparkSession
     ship(spark)
     # Stored once, so the row numbers are fixed from here on.
-    rows = stored(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
+    with small_batches(spark):
+        rows = stored(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
     full = F.col("length") == capacity
     placed = [rows.filter(full).select("uid", (F.lit(1 << 62) + F.col("uid")).alias("sequence_id"),
                                        F.lit(0).cast("long").alias("offset"))]

@@ -64,3 +64,16 @@ def test_evolution_keeps_every_piece(seed):
     decreasing = []
     G.best_fit(sorted(range(200), key=lambda p: -length[p]), length, [], decreasing, 100)
     assert len(a) <= len(decreasing)
+
+
+def test_texts_reach_the_workers_in_small_batches(spark, monkeypatch):
+    setting, seen, stored = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, G.stored
+    before = spark.conf.get(setting)
+
+    def watched(df, name):
+        seen[name] = spark.conf.get(setting)
+        return stored(df, name)
+
+    monkeypatch.setattr(G, "stored", watched)
+    assert G.packed_documents(edge_docs(spark)).count() >= len(edge_rows())
+    assert int(seen["pieces"]) <= 500 and spark.conf.get(setting) == before
