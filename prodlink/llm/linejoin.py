@@ -5,24 +5,26 @@ A line is its lower-cased text and the set of its words (between white space). A
 Jaccard similarity of ``4/5`` or more - whether that earlier line stays or not, so the result
 does not depend on any order of work. Lines of white space alone are never touched.
 
-1. Rarity: occurrences of all words (as they are spelled) are counted into ``RARITY_SLOTS`` slots by
-   hash. The counts, one byte a slot, order words from rare to frequent (ties by hash); any order
-   keeps the join exact. More slots tell apart rarer words; raise them with the vocabulary.
+1. Words (as they are spelled) are ordered by length, longest first, and by hash among those of one length. Any order
+   keeps the join exact; long words are mostly rare ones, and no counts are needed for it.
 2. Lines with equal text are one class, led by its earliest line; all its other lines go. Classes of fewer
    than ``LEAST_WORDS`` words take no part in what follows.
-3. Families of near-equal lines are settled first, so that they are never paired with themselves: leaders
-   whose i-th smallest and i-th largest word hashes agree (i = 1 .. ``FAMILY_KEYS``) are compared with
-   the earliest of each of ``FAMILY_PARTS`` parts of them (by a hash of the place, so a family of edited lines has
-   several to be near to, and few of its lines are left to meet all others), and those found similar are done. This only
-   saves work.
-4. Prefix filter: similar lines share one of their n/5 + 1 rarest words. The leaders that are left meet
-   all earlier ones under these words, and a pair goes on only if it passes, inside the join, the
-   length filter, the positional filter (what can still follow the shared word) and a bitmap
-   filter: each line carries 64 parities of its words' hashes (64 others if it has over ``MIDDLE_LINE`` words, 192 more if
-   over ``LONG_LINE``), and every differing parity is a word that is not shared. Lines of unlike words differ in about half of
-   the parities, so chance lets hardly a pair through, however many meet under a word. Both sides of the join read one
-   shuffle of the words; what is settled is marked in it, by a rank beyond all.
-5. Pairs that pass the suffix bound on their whole prefixes are verified on the words themselves. Only the lines in
+3. Neighbours: let similar lines of n and m words have o or more words in common, so that a = n - o and b = m - o have no
+   counterpart. Each of these parts at most one pair of common words that follow one another, so of the first a + b + 1 such
+   pairs one stands together in both lines, and begins at one of the first 2a + b + 1 places. As o >= 4(n + m)/9,
+   these are 2n/5 + 1 places at most. So similar lines have two neighbouring words in common in their prefixes of
+   2n/5 + 2 words. Two given words hardly ever stand together in unlike lines, so most pairs of neighbours are
+   found in one line only and are dropped after one shuffle of (hash, line); what lines have in common grows little faster than the input,
+   where lines that meet under a single word grow with the square of its occurrences.
+4. Families of near-equal lines are settled first, so that they are never paired with themselves: under pairs that more
+   than ``FAMILY_LINES`` leaders have, each meets the earliest of each of ``FAMILY_PARTS`` parts (by a hash of the place, so
+   a family of edited lines has several to be near to, and few of its lines are left to meet all others). It is compared
+   with the ``FAMILY_KEYS`` of them that it has most pairs in common with, and done if one is similar. This only saves work.
+5. The leaders that are left meet all earlier ones under their pairs, and go on only if they pass, inside the
+   join, the length filter, the positional filter (what can stand before and after the pair) and a bitmap
+   filter: 192 parities of the hashes of a prefix' words, where every differing parity is a word that one prefix
+   has alone. Both sides of the join read one shuffle; what is settled is marked in it, by a rank beyond all.
+6. Pairs that pass the suffix bound on their whole prefixes are verified on the words themselves. Only the lines in
    pairs are shuffled for that.
 
 Edge cases: null texts stay null and have no lines; a null doc_id ranks first; rows are told apart by
@@ -33,24 +35,26 @@ passed on untouched by ``dedup_lines``; empty tables stay empty.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import discard, long_id, stored, table, whole_text
 
 LEAST_WORDS = 5
-RARITY_SLOTS = 1 << 17
 FAMILY_KEYS = 3
 FAMILY_PARTS = 8
-MIDDLE_LINE = 36
-LONG_LINE = 80
-SETTLED = 1 << 40                # added to the rank of a settled line's words
+FAMILY_LINES = 8
+SETTLED = 1 << 40                # added to the rank of a settled line's pairs
 BROADCAST_ROWS = 2_000_000      # of ids, or of lists of removed places; beyond, the join shuffles
 BROADCAST_BYTES = 128 << 20
 
-MASKS = ["bits", "bits2", "more"]
+MASKS = ["bits0", "bits1", "bits2"]
 
-_HASH_BITS = 31   # of a word in a prefix; a clash only adds a candidate
+_LONGEST = 127    # bytes; longer words are ordered by hash alone
+_HASH_BITS = 56
 
 
 _SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a" \
@@ -73,72 +77,62 @@ def _with_ids(docs: DataFrame) -> DataFrame:
         .drop("_ld_own", "_ld_doc")
 
 
-def _spaced(text: Column) -> Column:
-    """White space other than line ends as spaces."""
-    return F.translate(text, _SPACES, " " * len(_SPACES))
+def _odd(text: Column) -> Column:
+    """Is there white space other than spaces and line ends? By searches for bytes, the wide characters' only in texts that have
+    any: a regular expression takes several times as long."""
+    def found(some: list[str]) -> Column:
+        return reduce(or_, [text.contains(x) for x in some])
 
+    wide = [x for x in _SPACES if ord(x) > 127]
+    starts = sorted({x.encode()[:2] for x in wide})
+    return found([x for x in _SPACES if ord(x) < 128]) | (F.octet_length(text) != F.length(text)) & reduce(or_, [
+        F.contains(text.cast("binary"), F.lit(k)) & found([x for x in wide if x.encode()[:2] == k]) for k in starts])
 
-def _split_words(line: Column) -> Column:
-    return F.array_remove(F.split(_spaced(line), " "), "")
 
+def _spaced(text: Column, odd: Column | None = None) -> Column:
+    """White space other than line ends as spaces. translate looks up every character, so only where there is any."""
+    return F.when(_odd(text) if odd is None else odd, F.translate(text, _SPACES, " " * len(_SPACES))).otherwise(text)
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(id, place, line) with the line in lower case."""
-    return (docs.filter(F.col("text").isNotNull()).select(F.col(ID).alias("id"), F.lower(whole_text()).alias("t"))
-            .select("id", F.posexplode_outer(F.split("t", "\n")).alias("place", "line"))
-            .filter(F.trim(_spaced(F.col("line"))) != ""))
+
+def _split_words(line: Column) -> Column:
+    return F.array_remove(F.split(_spaced(line), " "), "")
 
 
-def _rarity(docs: DataFrame) -> Column:
-    """One character per slot, on a logarithmic scale: RARITY_SLOTS bytes whatever the corpus."""
-    words = (docs.select(F.translate(whole_text(), "\n" + _SPACES, " " * (len(_SPACES) + 1)).alias("t"))
-             .select(F.explode_outer(F.split("t", " ")).alias("w"))
-             .groupBy(F.pmod(F.xxhash64("w"), F.lit(RARITY_SLOTS)).cast("int").alias("slot")).agg(F.count(F.lit(1)).alias("n")))
-    level = F.least(F.lit(93), F.floor(4 * F.log2(F.col("n") + 1))).cast("int")
-    out = bytearray(b"!" * RARITY_SLOTS)
-    for row in words.select("slot", level.alias("level")).collect():  # RARITY_SLOTS rows at most
-        out[row["slot"]] += row["level"]
-    return F.lit(bytes(out))
+def _lines(docs: DataFrame, odd: Column | None = None) -> DataFrame:
+    """(id, place, line, odd) with the line in lower case."""
+    line, odd = F.col("line"), F.lit(False) if odd is None else odd
+    return (docs.filter(F.col("text").isNotNull()).select(F.col(ID).alias("id"), odd.alias("odd"), F.lower(whole_text()).alias("t"))
+            .select("id", "odd", F.posexplode_outer(F.split("t", "\n")).alias("place", "line"))
+            .filter(line.between("!", "~") | line.rlike(f"[^ {_SPACES}]")))
 
 
 def _same(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
-def _classes(docs: DataFrame) -> DataFrame:
-    """Lines of equal text: same (digest), lines, id and place of the leader, n words, prefix (hashes of the
-    rarest words), bits, bits2 and more (parities), keys (of families)."""
-    rarity = _rarity(docs)
-    hashes = F.array_remove(F.array_distinct(F.transform(F.split(_spaced(F.col("line")), " "), lambda w: F.xxhash64(w))),
-                            F.xxhash64(F.lit("")))
-    low = F.lit((1 << _HASH_BITS) - 1)
-    ordered = F.sort_array(F.transform("h", lambda h: F.shiftleft(
-        F.ascii(F.substring(rarity, F.pmod(h, F.lit(RARITY_SLOTS)).cast("int") + 1, F.lit(1)).cast("string")).cast("long"),
-        _HASH_BITS).bitwiseOR(h.bitwiseAND(low))))
-    # Parity of the words' hashes per bit number: one bit of each word, joined by exclusive or.
-    # (shiftleft takes its distance modulo 64.)
-    def parities(words: Column, start: int = 40) -> Column:
-        return F.aggregate(words, F.lit(0).cast("long"), lambda b, h: b.bitwiseXOR(F.call_function(
-            "shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, start).cast("int"))))
-
-    bits = parities(F.col("h"))
-    bits2 = F.when(F.size("h") > MIDDLE_LINE, parities(F.col("h"), 46))  # by other bits of the hashes
+def _ordered_word(word: Column) -> Column:
+    """A word as a number: longer words first, words of one length by hash."""
+    length = F.least(F.octet_length(word), F.lit(_LONGEST))
+    return F.shiftleft((F.lit(_LONGEST) - length).cast("long"), _HASH_BITS).bitwiseOR(
+        F.xxhash64(word).bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
 
-    def third(k: int) -> Column:  # no second argument of the lambda: Spark would pass the word's index in it
-        return F.filter("h", lambda h: F.pmod(h, F.lit(3)) == k)
-
-    more = F.when(F.size("h") > LONG_LINE, F.array(*[parities(third(k)) for k in range(3)]))
-    keys = F.array(*[F.xxhash64(F.lit(i), F.get("s", F.lit(i)), F.get("s", F.size("s") - 1 - i)) for i in range(FAMILY_KEYS)])
-    lines = (_lines(docs).select("id", "place", _same(F.col("line")).alias("same"), hashes.alias("h"))
-             .select("id", "place", "same", F.size("h").alias("n"), bits.alias("bits"), bits2.alias("bits2"), more.alias("more"),
-                     F.sort_array("h").alias("s"),
-                     F.transform(F.slice(ordered, 1, F.floor(F.size("h") / 5).cast("int") + 1),
-                                 lambda x: x.bitwiseAND(low).cast("int")).alias("prefix"))
-             .select("id", "place", "same", F.when(F.col("n") >= LEAST_WORDS, F.struct(
-                 "n", *MASKS, keys.alias("keys"), "prefix")).alias("info")))
+
+def _prefix_size(n: Column) -> Column:
+    """Words of a prefix: with all its neighbours, 2n/5 + 1 pairs."""
+    return F.floor(2 * n / 5).cast("int") + 2
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """Lines of equal text: line (a number), same (digest), lines, id and place of the leader, n words, prefix (the first
+    words in order)."""
+    words = F.array_distinct(F.transform(F.split(_spaced(F.col("line"), F.col("odd")), " "), _ordered_word))
+    lines = (_lines(docs, _odd(F.col("text"))).select("id", "place", _same(F.col("line")).alias("same"),
+                                 F.sort_array(F.array_remove(words, _ordered_word(F.lit("")))).alias("s"))
+             .select("id", "place", "same", F.when(F.size("s") >= LEAST_WORDS, F.struct(
+                 F.size("s").alias("n"), F.slice("s", 1, _prefix_size(F.size("s"))).alias("prefix"))).alias("info")))
     return stored(lines.groupBy("same").agg(
         F.count(F.lit(1)).alias("lines"), F.min(F.struct("id", "place")).alias("lead"), F.first("info").alias("info"))
-        .select("same", "lines", "lead.*", "info.*"), "classes")
+        .select(F.monotonically_increasing_id().alias("line"), "same", "lines", "lead.*", "info.*"), "classes")
 
 
 def _small(df: DataFrame, bytes_a_row: int = 16) -> DataFrame:
@@ -147,53 +141,88 @@ def _small(df: DataFrame, bytes_a_row: int = 16) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS and n * bytes_a_row <= BROADCAST_BYTES else df
 
 
-def _may_match(x: str, y: str) -> Column:
-    """Length and bitmap filters for two lines' columns n, bits, bits2 and more."""
-    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+def _neighbours(classes: DataFrame, *cols: str, only: str = "spots") -> DataFrame:
+    """(cols, at, word): the pairs of neighbours in the prefixes, each a hash; those at the places in the column ``only``, if
+    there is one."""
+    spots = F.col(only) if only in classes.columns else F.sequence(F.lit(0), F.size("prefix") - 2)
+    pair = F.xxhash64(F.get("prefix", F.col("at")), F.get("prefix", F.col("at") + 1))
+    return (classes.filter(F.col("n").isNotNull()).select(*cols, "prefix", F.explode_outer(spots).alias("at"))
+            .filter(F.col("at").isNotNull()).select(*cols, "at", pair.alias("word")))
+
+
+def _shared(classes: DataFrame) -> DataFrame:
+    """The leaders that have a pair of neighbours in common with another one, with the spots of such pairs, and those of
+    pairs that over FAMILY_LINES leaders have; stored."""
+    # One sort of narrow rows; a join of the pairs with themselves takes two.
+    met = (_neighbours(classes, "line").withColumn("lines", F.count(F.lit(1)).over(Window.partitionBy("word")))
+           .filter(F.col("lines") > 1))
+    spots = stored(met.groupBy("line").agg(
+        F.collect_list("at").alias("spots"),
+        F.collect_list(F.when(F.col("lines") > FAMILY_LINES, F.col("at"))).alias("often")), "spots")
+    out = stored(classes.join(_small(spots, 100), "line"), "shared")
+    discard(spots)
+    return out
+
+
+def _overlap(n: Column, m: Column) -> Column:
+    """Words that similar lines of n and m words have in common at least."""
+    return F.ceil(4 * (n + m) / 9)
 
-    def differ(a: Column, b: Column) -> Column:
-        return F.bit_count(a.bitwiseXOR(b))
 
-    a, b = F.col(f"{x}.more"), F.col(f"{y}.more")
-    spare = n + m - 2 * F.ceil(4 * (n + m) / 9)  # words not shared, at most
-    wide = F.coalesce(differ(F.get(a, F.lit(0)), F.get(b, F.lit(0))) + differ(F.get(a, F.lit(1)), F.get(b, F.lit(1)))
-                      + differ(F.get(a, F.lit(2)), F.get(b, F.lit(2))), F.lit(0))
-    other = F.coalesce(differ(F.col(f"{x}.bits2"), F.col(f"{y}.bits2")), F.lit(0))
-    return ((5 * n >= 4 * m) & (5 * m >= 4 * n) & (differ(F.col(f"{x}.bits"), F.col(f"{y}.bits")) <= spare)
-            & (other <= spare) & (wide <= spare))
+def _like_lengths(n: Column, m: Column) -> Column:
+    return (5 * n >= 4 * m) & (5 * m >= 4 * n)
 
 
 def _family_pairs(classes: DataFrame) -> DataFrame:
-    """Leaders with the earliest leaders of the parts of a common family key."""
-    keyed = classes.select("n", *MASKS, "id", "place", F.explode_outer("keys").alias("key"))
-    # A key that only one leader has needs no partner; the earliest of a part is a minimum, which counts before the shuffle.
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
-    rows = stored(keyed.join(shared, "key").select(F.struct("n", *MASKS).alias("x"), "id", "place", "key"), "families")
+    """Leaders with the earliest leaders of the parts of a common pair of neighbours: those they have most pairs in common with."""
+    rows = _neighbours(classes, "id", "place", "n", only="often").drop("at")
     part = F.pmod(F.xxhash64("id", "place"), F.lit(FAMILY_PARTS))
-    first = rows.groupBy("key", part).agg(F.min(F.struct("id", "place", "x.*")).alias("y")).select("key", "y")
+    # The earliest of a part is a minimum, which counts before the shuffle.
+    first = rows.groupBy("word", part).agg(F.min(F.struct("id", "place", "n")).alias("y")).select("word", "y")
     x, y = rows.alias("r"), first.alias("f")
     c = F.col
     before = (c("y.id") < c("r.id")) | ((c("y.id") == c("r.id")) & (c("y.place") < c("r.place")))
-    return (x.join(y, (c("r.key") == c("f.key")) & before & _may_match("x", "y"))
-            .select("r.id", "r.place", c("y.id").alias("id2"), c("y.place").alias("place2")).distinct())
+    pairs = (x.join(y, (c("r.word") == c("f.word")) & before & _like_lengths(c("r.n"), c("y.n")))
+             .groupBy("r.id", "r.place", c("y.id").alias("id2"), c("y.place").alias("place2")).agg(F.count(F.lit(1)).alias("common")))
+    likest = Window.partitionBy("id", "place").orderBy(F.desc("common"), "id2", "place2")
+    return (pairs.filter("common > 1").withColumn("nth", F.row_number().over(likest)).filter(F.col("nth") <= FAMILY_KEYS)
+            .select("id", "place", "id2", "place2"))
+
+
+def _parities(words: str) -> list[Column]:
+    """Of the words' hashes, per bit number: one bit of each word, in one of three masks."""
+    def of(some: Column) -> Column:  # shiftleft takes its distance modulo 64
+        return F.aggregate(some, F.lit(0).cast("long"), lambda b, h: b.bitwiseXOR(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 33).cast("int"))))
+
+    def third(k: int) -> Column:  # no second argument of the lambda: Spark would pass the word's index in it
+        return F.filter(words, lambda h: F.pmod(h, F.lit(len(MASKS))) == k)
+
+    # Never null, else the join would have them made once more to see that.
+    return [F.coalesce(of(third(k)), F.lit(0).cast("long")) for k in range(len(MASKS))]
 
 
 def _prefix_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
-    """Unsettled leaders with all earlier leaders under a common prefix word."""
+    """Unsettled leaders with all earlier leaders under a common pair of neighbours."""
     # One exchange for both sides of the join: an anti-join or a filter of one side would be pushed below it and make two.
     marked = classes.join(_small(settled.withColumn("after", F.lit(SETTLED))), ["id", "place"], "left")
-    words = (marked.select("id", "place", "n", *MASKS, F.coalesce("after", F.lit(0).cast("long")).alias("after"),
-                           F.posexplode_outer("prefix").alias("at", "word"))
+    after = F.coalesce("after", F.lit(0).cast("long"))
+    words = (_neighbours(marked.withColumns({"after": after} | dict(zip(MASKS, _parities("prefix")))),
+                         "id", "place", "n", *MASKS, "after")
              .select("id", "place", "n", *MASKS, (F.col("after") + F.col("at")).alias("rank"), "word")
              .repartition(F.col("word")))
     x = words.alias("x")
     y = words.alias("y")
     c = F.col
     before = (c("y.id") < c("x.id")) | ((c("y.id") == c("x.id")) & (c("y.place") < c("x.place")))
-    # At the pair's first shared word, that word and the shorter rest bound the overlap; a settled x has no rest.
-    position = F.least(c("x.n") - c("x.rank"), c("y.n") - F.pmod(c("y.rank"), F.lit(SETTLED))) \
-        >= F.ceil(4 * (c("x.n") + c("y.n")) / 9)
-    return (x.join(y, (c("x.word") == c("y.word")) & before & position & _may_match("x", "y"))
+    n, m, at = c("x.n"), c("y.n"), F.pmod(c("y.rank"), F.lit(SETTLED))
+    # What stands before and after the pair bounds the overlap; a settled x has no rest.
+    position = F.least(c("x.rank"), at) + F.least(n - c("x.rank"), m - at) >= _overlap(n, m)
+    # Words that only one of the two prefixes has, at most (see the suffix bound in _similar).
+    p, q = _prefix_size(n), _prefix_size(m)
+    spare = p + q - 2 * (_overlap(n, m) - F.greatest(n - p, m - q))
+    differ = sum((F.bit_count(c(f"x.{k}").bitwiseXOR(c(f"y.{k}"))) for k in MASKS), F.lit(0))
+    return (x.join(y, (c("x.word") == c("y.word")) & before & _like_lengths(n, m) & position & (differ <= spare))
             .select("x.id", "x.place", c("y.id").alias("id2"), c("y.place").alias("place2")).distinct())
 
 
@@ -209,14 +238,13 @@ def _similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
         b = right.select(F.col("id").alias("id2"), F.col("place").alias("place2"), *[F.col(x).alias(f"{x}2") for x in cols])
         return left.join(a, ["id", "place"]).join(b, ["id2", "place2"])
 
-    # Suffix bound: of the two prefixes, the one that ends first in the order of rarity has all its shared
+    # Suffix bound: of the two prefixes, the one that ends first in the order of words has all its shared
     # words in the other one, so only the rest of that line can add to the words the prefixes share.
     rest = F.greatest(F.col("n") - F.size("prefix"), F.col("n2") - F.size("prefix2"))
-    clashes = F.size("prefix") - F.size(F.array_distinct("prefix"))  # hidden by equal hashes inside a line
     met = ends_of(pairs)
     prefixes = stored(classes.select("id", "place", "n", "prefix").join(_small(met), ["id", "place"], "left_semi"), "line-prefixes")
     near = stored(with_ends(pairs, prefixes, "n", "prefix")
-                  .filter(F.size(F.array_intersect("prefix", "prefix2")) + clashes + rest >= F.ceil(4 * (F.col("n") + F.col("n2")) / 9))
+                  .filter(F.size(F.array_intersect("prefix", "prefix2")) + rest >= _overlap(F.col("n"), F.col("n2")))
                   .select("id", "place", "id2", "place2"), "near-pairs")
     ends = ends_of(near)
     ids = _small(stored(ends.select("id").distinct(), "line-docs"), 8)
@@ -238,8 +266,10 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     docs = _with_ids(docs)
     classes = _classes(docs)
     longer = classes.filter(F.col("n").isNotNull())
-    first = _similar(docs, longer, _family_pairs(longer))
-    second = _similar(docs, longer, _prefix_pairs(longer, first))
+    shared = _shared(longer)
+    first = _similar(docs, shared, _family_pairs(shared))
+    second = _similar(docs, shared, _prefix_pairs(shared, first))
+    discard(shared)
     similar = first.union(second).withColumn("similar", F.lit(True))
     # Classes with something to remove: further lines of the class, or all when the leader goes.
     dirty = stored(classes.select("same", "lines", "id", "place").join(similar, ["id", "place"], "left")
@@ -247,7 +277,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
                    .select("same", F.col("id").alias("lead_id"), F.col("place").alias("lead_place"), "similar"), "dirty")
     discard(classes)
     return (_lines(docs).select("id", "place", _same(F.col("line")).alias("same"))
-            .join(dirty, "same")
+            .join(_small(dirty, 64), "same")
             .filter(F.coalesce("similar", F.lit(False)) | (F.col("id") != F.col("lead_id"))
                     | (F.col("place") != F.col("lead_place"))).select("id", "place").distinct())
 
@@ -261,11 +291,11 @@ def dedup_lines(docs: DataFrame, prefix: str = "_ld_") -> DataFrame:
     if (size["b"] or 0) <= BROADCAST_BYTES and size["n"] <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
     gone = gone.select(F.col("id").alias(f"{prefix}gone"), F.col("places").alias(f"{prefix}places"))
-    all_lines = F.split("text", "\n")
+    all_lines = F.col(f"{prefix}all")  # a column of its own: inside the lambda, the text would be split for every line
     kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col(f"{prefix}places")))
     changed = F.col(f"{prefix}places").isNotNull()
     text = F.when(changed, F.array_join(F.transform(kept, lambda i: F.get(all_lines, i)), "\n")).otherwise(F.col("text"))
-    return (docs.join(gone, F.col(ID) == F.col(f"{prefix}gone"), "left")
+    return (docs.join(gone, F.col(ID) == F.col(f"{prefix}gone"), "left").withColumn(f"{prefix}all", F.split("text", "\n"))
             .select(*names, text.alias("text"), F.coalesce(F.size(all_lines), F.lit(0)).cast("long").alias(f"{prefix}lines"),
                     F.when(changed, F.size(f"{prefix}places")).otherwise(F.lit(0)).cast("long").alias(f"{prefix}removed")))
 

@@ -157,3 +157,57 @@ def test_only_lines_in_pairs_are_fetched(spark, monkeypatch):
     assert gone == brute(rows)
     for ends, fetched in zip(sizes["line-ends"][::2], sizes["line-prefixes"]):
         assert fetched == ends <= sizes["classes"][0] - 300
+
+
+def at_the_bound(seed, words):
+    """Lines of 5 to 60 words, each with edited copies of just the similarity that counts or just less."""
+    import random
+    rng = random.Random(seed)
+    rows = []
+    for n in range(5, 60, 3):
+        base = rng.sample(words, n)
+        rows.append(" ".join(base))
+        for less in (0, 1):
+            for m in {n, -(-4 * n // 5), 5 * n // 4}:
+                common = min(-(-4 * (n + m) // 9), n, m) - less
+                line = rng.sample(base, common) + rng.sample([w for w in words if w not in base], m - common)
+                rng.shuffle(line)
+                rows.append(" ".join(line))
+    rng.shuffle(rows)
+    return [(i, text, None, None, None) for i, text in enumerate(rows)]
+
+
+@pytest.mark.parametrize("seed,words", [(1, [f"w{i:04}" for i in range(2000)]), (2, ["x" * (i % 150) + f"{i:x}" for i in range(2000)]),
+                                        (3, [f"{i:b}" for i in range(400)])])
+def test_lines_at_the_bound(spark, seed, words):
+    rows = at_the_bound(seed, words)
+    gone = {(r.id.doc, r.place) for r in L.repeated_lines(spark.createDataFrame(rows, DOCS)).collect()}
+    assert gone == brute(rows) and len(gone) > len(rows) // 4
+
+
+def test_white_space_of_all_kinds(spark):
+    words = "these six words are one line"
+    texts = [words, "caf\u00e9 \u2014 unlike all others here, with no odd space"] + [words.replace(" ", c) for c in L._SPACES] + list(L._SPACES)
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    assert [r.odd for r in docs.orderBy("doc_id").select(L._odd(L.F.col("text")).alias("odd")).collect()] == [i > 1 for i in range(len(texts))]
+    left = {r.doc_id: r.text for r in L.dedup_lines(docs).collect()}
+    blank = len(texts) - len(L._SPACES)
+    assert left == {i: t if i < 2 or i >= blank else "" for i, t in enumerate(texts)}
+
+
+def test_lines_with_words_in_common_hardly_meet(spark):
+    """Every word stands in many lines, so pairs of lines that meet under a word of their prefixes grow with the square of the table
+    (40,000 and more here); hardly any have neighbours in common."""
+    import random
+    rng = random.Random(7)
+    words = [f"{rng.randrange(1 << 40):x}"[:rng.randint(3, 10)] for _ in range(2000)]
+    rows = [(i, " ".join(rng.sample(words, 40)), None, None, None) for i in range(1500)]
+    spread = spark.createDataFrame(rows, DOCS)
+    met = L._neighbours(L._classes(L._with_ids(spread)), "line").groupBy("word").count().selectExpr("sum(count * (count - 1) / 2)").first()[0]
+    assert (met or 0) < 4_000
+
+
+def test_texts_are_split_once(spark):
+    """Not once more for each line that stays."""
+    plan = L.dedup_lines(spark.createDataFrame(line_rows(4), DOCS))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
