@@ -35,9 +35,11 @@ passed on untouched by ``dedup_lines``; empty tables stay empty.
 
 from __future__ import annotations
 
+from contextlib import suppress
 from functools import reduce
 from operator import or_
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,8 +55,7 @@ BROADCAST_BYTES = 128 << 20
 
 MASKS = ["bits0", "bits1", "bits2"]
 
-_LONGEST = 127    # bytes; longer words are ordered by hash alone
-_HASH_BITS = 56
+_HASH_BITS = 31   # of a word in a prefix; a clash only adds a candidate
 
 
 _SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a" \
@@ -111,10 +112,9 @@ def _same(line: Column) -> Column:
 
 
 def _ordered_word(word: Column) -> Column:
-    """A word as a number: longer words first, words of one length by hash."""
-    length = F.least(F.octet_length(word), F.lit(_LONGEST))
-    return F.shiftleft((F.lit(_LONGEST) - length).cast("long"), _HASH_BITS).bitwiseOR(
-        F.xxhash64(word).bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
+    """A word as a number: longer words first (those of 128 bytes or more come last), words of one length by hash."""
+    return F.shiftleft(F.bitwise_not(F.octet_length(word)).cast("long"), 56).bitwiseOR(
+        F.xxhash64(word).bitwiseAND(F.lit((1 << 56) - 1)))
 
 
 def _prefix_size(n: Column) -> Column:
@@ -123,13 +123,15 @@ def _prefix_size(n: Column) -> Column:
 
 
 def _classes(docs: DataFrame) -> DataFrame:
-    """Lines of equal text: line (a number), same (digest), lines, id and place of the leader, n words, prefix (the first
-    words in order)."""
+    """Lines of equal text: line (a number), same (digest), lines, id and place of the leader, n words, prefix (hashes of the
+    first words in order)."""
+    low = F.lit((1 << _HASH_BITS) - 1)
     words = F.array_distinct(F.transform(F.split(_spaced(F.col("line"), F.col("odd")), " "), _ordered_word))
     lines = (_lines(docs, _odd(F.col("text"))).select("id", "place", _same(F.col("line")).alias("same"),
                                  F.sort_array(F.array_remove(words, _ordered_word(F.lit("")))).alias("s"))
              .select("id", "place", "same", F.when(F.size("s") >= LEAST_WORDS, F.struct(
-                 F.size("s").alias("n"), F.slice("s", 1, _prefix_size(F.size("s"))).alias("prefix"))).alias("info")))
+                 F.size("s").alias("n"), F.transform(
+                     F.slice("s", 1, _prefix_size(F.size("s"))), lambda x: x.bitwiseAND(low).cast("int")).alias("prefix"))).alias("info")))
     return stored(lines.groupBy("same").agg(
         F.count(F.lit(1)).alias("lines"), F.min(F.struct("id", "place")).alias("lead"), F.first("info").alias("info"))
         .select(F.monotonically_increasing_id().alias("line"), "same", "lines", "lead.*", "info.*"), "classes")
@@ -155,11 +157,12 @@ def _shared(classes: DataFrame) -> DataFrame:
     pairs that over FAMILY_LINES leaders have; stored."""
     # One sort of narrow rows; a join of the pairs with themselves takes two.
     met = (_neighbours(classes, "line").withColumn("lines", F.count(F.lit(1)).over(Window.partitionBy("word")))
-           .filter(F.col("lines") > 1))
-    spots = stored(met.groupBy("line").agg(
-        F.collect_list("at").alias("spots"),
-        F.collect_list(F.when(F.col("lines") > FAMILY_LINES, F.col("at"))).alias("often")), "spots")
-    out = stored(classes.join(_small(spots, 100), "line"), "shared")
+           .filter(F.col("lines") > 1)
+           .select("line", "at", F.when(F.col("lines") > FAMILY_LINES, F.col("at")).alias("often")))
+    # Rows are shuffled, not lists: of one line, hardly any are in one task before.
+    spots = stored(met.repartition(F.col("line")).groupBy("line")
+                   .agg(F.collect_list("at").alias("spots"), F.collect_list("often").alias("often")), "spots")
+    out = stored(classes.join(_small(spots, 400), "line"), "shared")
     discard(spots)
     return out
 
@@ -193,7 +196,7 @@ def _parities(words: str) -> list[Column]:
     """Of the words' hashes, per bit number: one bit of each word, in one of three masks."""
     def of(some: Column) -> Column:  # shiftleft takes its distance modulo 64
         return F.aggregate(some, F.lit(0).cast("long"), lambda b, h: b.bitwiseXOR(F.call_function(
-            "shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 33).cast("int"))))
+            "shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 20))))
 
     def third(k: int) -> Column:  # no second argument of the lambda: Spark would pass the word's index in it
         return F.filter(words, lambda h: F.pmod(h, F.lit(len(MASKS))) == k)
@@ -241,10 +244,11 @@ def _similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     # Suffix bound: of the two prefixes, the one that ends first in the order of words has all its shared
     # words in the other one, so only the rest of that line can add to the words the prefixes share.
     rest = F.greatest(F.col("n") - F.size("prefix"), F.col("n2") - F.size("prefix2"))
+    clashes = F.size("prefix") - F.size(F.array_distinct("prefix"))  # hidden by equal hashes inside a line
     met = ends_of(pairs)
     prefixes = stored(classes.select("id", "place", "n", "prefix").join(_small(met), ["id", "place"], "left_semi"), "line-prefixes")
     near = stored(with_ends(pairs, prefixes, "n", "prefix")
-                  .filter(F.size(F.array_intersect("prefix", "prefix2")) + rest >= _overlap(F.col("n"), F.col("n2")))
+                  .filter(F.size(F.array_intersect("prefix", "prefix2")) + clashes + rest >= _overlap(F.col("n"), F.col("n2")))
                   .select("id", "place", "id2", "place2"), "near-pairs")
     ends = ends_of(near)
     ids = _small(stored(ends.select("id").distinct(), "line-docs"), 8)
@@ -261,12 +265,22 @@ def _similar(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     return out
 
 
+def _tidy(spark: SparkSession) -> None:
+    """The shuffle files of finished jobs go. (Events of a job hold them until they are handled, so the collection in
+    ``stored``, right after its own job, comes too early for them.)"""
+    with suppress(Py4JError):  # if the events take too long
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    spark.sparkContext._jvm.System.gc()
+
+
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(id, place) of all lines to remove; ``id`` as ``_with_ids`` makes it."""
     docs = _with_ids(docs)
     classes = _classes(docs)
     longer = classes.filter(F.col("n").isNotNull())
+    _tidy(docs.sparkSession)
     shared = _shared(longer)
+    _tidy(docs.sparkSession)
     first = _similar(docs, shared, _family_pairs(shared))
     second = _similar(docs, shared, _prefix_pairs(shared, first))
     discard(shared)
