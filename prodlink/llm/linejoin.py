@@ -16,10 +16,10 @@ does not depend on any order of work. Lines of white space alone are never touch
    2n/5 + 2 words. Two given words hardly ever stand together in unlike lines, so most pairs of neighbours are
    found in one line only and are dropped after one shuffle of (hash, line); what lines have in common grows little faster than the input,
    where lines that meet under a single word grow with the square of its occurrences.
-4. Families of near-equal lines are settled first, so that they are never paired with themselves: under pairs that more
-   than ``FAMILY_LINES`` leaders have, each meets the earliest of each of ``FAMILY_PARTS`` parts (by a hash of the place, so
+4. Families of near-equal lines are settled first, so that they are never paired with themselves: under pairs that
+   ``FAMILY_LINES`` other leaders of like length have, each meets the earliest of each of ``FAMILY_PARTS`` parts (by a hash of the place, so
    a family of edited lines has several to be near to, and few of its lines are left to meet all others). It is compared
-   with the ``FAMILY_KEYS`` of them that it has most pairs in common with, and done if one is similar. This only saves work.
+   with the ``FAMILY_KEYS * FAMILY_PARTS`` of them that it has most pairs in common with, and done if one is similar. This only saves work.
 5. The leaders that are left meet all earlier ones under their pairs, and go on only if they pass, inside the
    join, the length filter, the positional filter (what can stand before and after the pair) and a bitmap
    filter: 192 parities of the hashes of a prefix' words, where every differing parity is a word that one prefix
@@ -48,7 +48,7 @@ from .common import discard, long_id, stored, table, whole_text
 LEAST_WORDS = 5
 FAMILY_KEYS = 3
 FAMILY_PARTS = 8
-FAMILY_LINES = 8
+FAMILY_LINES = 4
 SETTLED = 1 << 40                # added to the rank of a settled line's pairs
 BROADCAST_ROWS = 2_000_000      # of ids, or of lists of removed places; beyond, the join shuffles
 BROADCAST_BYTES = 128 << 20
@@ -153,16 +153,23 @@ def _neighbours(classes: DataFrame, *cols: str, only: str = "spots") -> DataFram
 
 
 def _shared(classes: DataFrame) -> DataFrame:
-    """The leaders that have a pair of neighbours in common with another one, with the spots of such pairs, and those of
-    pairs that over FAMILY_LINES leaders have; stored."""
+    """The leaders that have a pair of neighbours in common with another one of like length, with the spots of such pairs, and
+    those of pairs that FAMILY_LINES leaders of like length have before or after it in the order of lengths; stored."""
     # One sort of narrow rows; a join of the pairs with themselves takes two.
-    met = (_neighbours(classes, "line").withColumn("lines", F.count(F.lit(1)).over(Window.partitionBy("word")))
-           .filter(F.col("lines") > 1)
-           .select("line", "at", F.when(F.col("lines") > FAMILY_LINES, F.col("at")).alias("often")))
+    by_length = Window.partitionBy("word").orderBy("n")
+    n = F.col("n")
+
+    def like(k: int) -> Column:
+        return F.coalesce(5 * F.lag("n", k).over(by_length) >= 4 * n, F.lit(False)) \
+            | F.coalesce(5 * n >= 4 * F.lead("n", k).over(by_length), F.lit(False))
+
+    met = (_neighbours(classes, "line", "n").withColumns({"met": like(1), "family": like(FAMILY_LINES)}).filter("met")
+           .select("line", "at", F.when(F.col("family"), F.col("at")).alias("often")))
     # Rows are shuffled, not lists: of one line, hardly any are in one task before.
     spots = stored(met.repartition(F.col("line")).groupBy("line")
                    .agg(F.collect_list("at").alias("spots"), F.collect_list("often").alias("often")), "spots")
-    out = stored(classes.join(_small(spots, 400), "line"), "shared")
+    _tidy(classes.sparkSession)
+    out = stored(classes.join(spots, "line"), "shared")
     discard(spots)
     return out
 
@@ -188,7 +195,7 @@ def _family_pairs(classes: DataFrame) -> DataFrame:
     pairs = (x.join(y, (c("r.word") == c("f.word")) & before & _like_lengths(c("r.n"), c("y.n")))
              .groupBy("r.id", "r.place", c("y.id").alias("id2"), c("y.place").alias("place2")).agg(F.count(F.lit(1)).alias("common")))
     likest = Window.partitionBy("id", "place").orderBy(F.desc("common"), "id2", "place2")
-    return (pairs.filter("common > 1").withColumn("nth", F.row_number().over(likest)).filter(F.col("nth") <= FAMILY_KEYS)
+    return (pairs.filter("common > 1").withColumn("nth", F.row_number().over(likest)).filter(F.col("nth") <= FAMILY_KEYS * FAMILY_PARTS)
             .select("id", "place", "id2", "place2"))
 
 
@@ -282,6 +289,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     shared = _shared(longer)
     _tidy(docs.sparkSession)
     first = _similar(docs, shared, _family_pairs(shared))
+    _tidy(docs.sparkSession)
     second = _similar(docs, shared, _prefix_pairs(shared, first))
     discard(shared)
     similar = first.union(second).withColumn("similar", F.lit(True))
