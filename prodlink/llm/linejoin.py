@@ -22,7 +22,7 @@ does not depend on any order of work. Lines of white space alone are never touch
    with the ``FAMILY_KEYS * FAMILY_PARTS`` of them that it has most pairs in common with, and done if one is similar. This only saves work.
 5. The leaders that are left meet all earlier ones under their pairs, and go on only if they pass, inside the
    join, the length filter, the positional filter (what can stand before and after the pair) and a bitmap
-   filter: 192 parities of the hashes of a prefix' words, where every differing parity is a word that one prefix
+   filter: 192 parities of the hashes of a line's words, where every differing parity is a word that one line
    has alone. Both sides of the join read one shuffle; what is settled is marked in it, by a rank beyond all.
 6. Pairs that pass the suffix bound on their whole prefixes are verified on the words themselves. Only the lines in
    pairs are shuffled for that.
@@ -122,15 +122,27 @@ def _prefix_size(n: Column) -> Column:
     return F.floor(2 * n / 5).cast("int") + 2
 
 
+def _parities(words: str) -> list[Column]:
+    """Of the words' hashes, per bit number: one bit of each word, in one of three masks."""
+    def of(some: Column) -> Column:  # shiftleft takes its distance modulo 64
+        return F.aggregate(some, F.lit(0).cast("long"), lambda b, h: b.bitwiseXOR(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 33).cast("int"))))
+
+    def third(k: int) -> Column:  # no second argument of the lambda: Spark would pass the word's index in it
+        return F.filter(words, lambda h: F.pmod(h, F.lit(len(MASKS))) == k)
+
+    return [of(third(k)).alias(name) for k, name in enumerate(MASKS)]
+
+
 def _classes(docs: DataFrame) -> DataFrame:
-    """Lines of equal text: line (a number), same (digest), lines, id and place of the leader, n words, prefix (hashes of the
-    first words in order)."""
+    """Lines of equal text: line (a number), same (digest), lines, id and place of the leader, n words, parities, prefix (hashes
+    of the first words in order)."""
     low = F.lit((1 << _HASH_BITS) - 1)
     words = F.array_distinct(F.transform(F.split(_spaced(F.col("line"), F.col("odd")), " "), _ordered_word))
     lines = (_lines(docs, _odd(F.col("text"))).select("id", "place", _same(F.col("line")).alias("same"),
                                  F.sort_array(F.array_remove(words, _ordered_word(F.lit("")))).alias("s"))
              .select("id", "place", "same", F.when(F.size("s") >= LEAST_WORDS, F.struct(
-                 F.size("s").alias("n"), F.transform(
+                 F.size("s").alias("n"), *_parities("s"), F.transform(
                      F.slice("s", 1, _prefix_size(F.size("s"))), lambda x: x.bitwiseAND(low).cast("int")).alias("prefix"))).alias("info")))
     return stored(lines.groupBy("same").agg(
         F.count(F.lit(1)).alias("lines"), F.min(F.struct("id", "place")).alias("lead"), F.first("info").alias("info"))
@@ -199,25 +211,12 @@ def _family_pairs(classes: DataFrame) -> DataFrame:
             .select("id", "place", "id2", "place2"))
 
 
-def _parities(words: str) -> list[Column]:
-    """Of the words' hashes, per bit number: one bit of each word, in one of three masks."""
-    def of(some: Column) -> Column:  # shiftleft takes its distance modulo 64
-        return F.aggregate(some, F.lit(0).cast("long"), lambda b, h: b.bitwiseXOR(F.call_function(
-            "shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 20))))
-
-    def third(k: int) -> Column:  # no second argument of the lambda: Spark would pass the word's index in it
-        return F.filter(words, lambda h: F.pmod(h, F.lit(len(MASKS))) == k)
-
-    # Never null, else the join would have them made once more to see that.
-    return [F.coalesce(of(third(k)), F.lit(0).cast("long")) for k in range(len(MASKS))]
-
-
 def _prefix_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
     """Unsettled leaders with all earlier leaders under a common pair of neighbours."""
     # One exchange for both sides of the join: an anti-join or a filter of one side would be pushed below it and make two.
     marked = classes.join(_small(settled.withColumn("after", F.lit(SETTLED))), ["id", "place"], "left")
     after = F.coalesce("after", F.lit(0).cast("long"))
-    words = (_neighbours(marked.withColumns({"after": after} | dict(zip(MASKS, _parities("prefix")))),
+    words = (_neighbours(marked.withColumn("after", after),
                          "id", "place", "n", *MASKS, "after")
              .select("id", "place", "n", *MASKS, (F.col("after") + F.col("at")).alias("rank"), "word")
              .repartition(F.col("word")))
@@ -228,9 +227,7 @@ def _prefix_pairs(classes: DataFrame, settled: DataFrame) -> DataFrame:
     n, m, at = c("x.n"), c("y.n"), F.pmod(c("y.rank"), F.lit(SETTLED))
     # What stands before and after the pair bounds the overlap; a settled x has no rest.
     position = F.least(c("x.rank"), at) + F.least(n - c("x.rank"), m - at) >= _overlap(n, m)
-    # Words that only one of the two prefixes has, at most (see the suffix bound in _similar).
-    p, q = _prefix_size(n), _prefix_size(m)
-    spare = p + q - 2 * (_overlap(n, m) - F.greatest(n - p, m - q))
+    spare = n + m - 2 * _overlap(n, m)  # words that only one of the two has, at most
     differ = sum((F.bit_count(c(f"x.{k}").bitwiseXOR(c(f"y.{k}"))) for k in MASKS), F.lit(0))
     return (x.join(y, (c("x.word") == c("y.word")) & before & _like_lengths(n, m) & position & (differ <= spare))
             .select("x.id", "x.place", c("y.id").alias("id2"), c("y.place").alias("place2")).distinct())
